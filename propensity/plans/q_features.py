@@ -116,7 +116,7 @@ SELECT l.visit_id, d.col || '_' || d.level AS dummy,
        CASE WHEN (CASE d.col WHEN 'nation' THEN l.nation WHEN 'segment' THEN l.segment ELSE l.weekend END) IS NULL
             THEN NULL
             WHEN (CASE d.col WHEN 'nation' THEN l.nation WHEN 'segment' THEN l.segment ELSE l.weekend END) = d.level
-            THEN 1.0 ELSE 0.0 END AS value
+            THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS value
 FROM lumped l JOIN art_dummies d ON TRUE"""), ["value"]))
 def feat_onehot(spark, base):
     """Full-rank dummies (first string-sorted level dropped), long form (visit, dummy, value)."""
@@ -158,7 +158,7 @@ def feat_zscore(spark, base):
 
 @register("feat_target", with_(VISITS, body="""
 SELECT visit_id, CASE WHEN label = 1 THEN 'Yes' ELSE 'No' END AS target,
-       CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END AS label FROM visits"""))
+       CAST(CASE WHEN label = 1 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM visits"""))
 def feat_target(spark, base):
     """Label -> Yes/No and 1.0/0.0."""
     v = FX.visits(spark, base)
