@@ -56,7 +56,7 @@ class GaussianNB:
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = [(c, f, float(self.means[(c, f)]), float(self.sds[(c, f)]), float(self.priors[c]))
                 for c in self.classes for f in self.features]
-        return spark.createDataFrame(rows, "label int, feature string, mean double, sd double, prior double")
+        return spark.createDataFrame(rows, "label double, feature string, mean double, sd double, prior double")
 
 
 def fit_gaussian_nb(train: DataFrame, features: Sequence[str], label: str = "label") -> GaussianNB:

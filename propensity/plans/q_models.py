@@ -1 +1,393 @@
-"""Registered queries."""
+"""Registered model queries (F*): closed-form models with oracles, Spark ML fits rows-only."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from propensity.operators import evaluate as EV
+from propensity.operators import split as S
+from propensity.operators.models import explain as X
+from propensity.operators.models import generative as G
+from propensity.operators.models import linear as LIN
+from propensity.operators.models import trees as TR
+from propensity.operators import profile as P
+from propensity.functions.cumulative import running_totals
+from propensity.plans import fixtures as FX
+from propensity.plans.q_evaluate import SCORED, _CMP_SQL, _compare
+from propensity.plans.q_features import ART_SQL, _IMPUTE_SQL, _Z_SQL, visit_artifact
+from propensity.plans.q_split import FOLD_PRIME, visit_key
+from propensity.plans.registry import register
+from propensity.plans.sql import ORDERS, VISITS, rounded, with_
+
+NB_F = FX.V_NUMERIC + ["isReturningVisitor"]
+LDA_F = ["prd", "prd_value"]
+N_FOLDS = 5
+
+
+def prepared(spark, base, with_weights=True):
+    """Prepared visits (artifact fitted on train), fold ids and balanced weights.
+
+    Persisted: every CV fit re-reads it, and the persisted plan keeps model
+    expressions from re-inlining the preparation.
+    """
+    v, art = visit_artifact(spark, base)
+    prep = art.transform(visit_key(v)).join(
+        visit_key(v).select("visit_id", S.fold_column("vkey", N_FOLDS, FOLD_PRIME).alias("fold")), "visit_id")
+    if with_weights:
+        train_counts = S.class_counts(prep.where(F.col("period") == "train"), "label")
+        n, k = sum(train_counts.values()), len(train_counts)
+        w = None
+        for c, nc in train_counts.items():
+            t = F.lit(n / (k * nc))
+            w = F.when(F.col("label") == F.lit(c), t) if w is None else w.when(F.col("label") == F.lit(c), t)
+        prep = prep.withColumn("weight", w)
+    prep = prep.persist(StorageLevel.MEMORY_AND_DISK)
+    return prep, art.feature_names()
+
+
+def _train(prep):
+    return prep.where(F.col("period") == "train")
+
+
+def _test(prep):
+    return prep.where(F.col("period") == "test")
+
+
+# ------------------------------------------------------------------ SQL: prepared visits, NB, LDA
+
+VPREP = f"""
+vprep AS (SELECT visit_id, period, {_Z_SQL}, {_IMPUTE_SQL} AS isReturningVisitor, CAST(label AS DOUBLE) AS label
+          FROM visits, art_num, art_p)"""
+
+NB_SQL = f"""
+nbs AS (SELECT label, count(*) AS n, {', '.join(f'avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}' for f in NB_F)}
+        FROM vprep WHERE period = 'train' GROUP BY label),
+nbp AS (SELECT label, n / sum(n) OVER () AS prior,
+               {', '.join(f'm_{f}, CASE WHEN s_{f} IS NULL OR isnan(s_{f}) OR s_{f} <= 0 THEN 0.001 ELSE s_{f} END AS s_{f}' for f in NB_F)}
+        FROM nbs)"""
+
+
+def _nb_term(f):
+    z = f"((v.{f} - p.m_{f}) / p.s_{f})"
+    d = f"(exp(-0.5 * {z} * {z}) / (p.s_{f} * sqrt(2 * pi())))"
+    return f"ln(CASE WHEN {d} <= 0 THEN 0.001 ELSE {d} END)"
+
+
+NB_SCORE_SQL = f"""
+nbl AS (SELECT v.visit_id, v.period, p.label AS cls, ln(p.prior) + {' + '.join(_nb_term(f) for f in NB_F)} AS L
+        FROM vprep v JOIN nbp p ON TRUE),
+nbscore AS (SELECT visit_id, any_value(period) AS period,
+                   1 / (1 + exp(max(L) FILTER (WHERE cls = 0) - max(L) FILTER (WHERE cls = 1))) AS score
+            FROM nbl GROUP BY visit_id)"""
+
+LDA_SQL = """
+lm AS (SELECT label, count(*) AS n, avg(prd) AS a1, avg(prd_value) AS a2 FROM vprep WHERE period = 'train' GROUP BY label),
+lw AS (SELECT sum((v.prd - m.a1) * (v.prd - m.a1)) AS w11, sum((v.prd - m.a1) * (v.prd_value - m.a2)) AS w12,
+              sum((v.prd_value - m.a2) * (v.prd_value - m.a2)) AS w22, count(*) - 2 AS df
+       FROM vprep v JOIN lm m ON v.label = m.label WHERE v.period = 'train'),
+lc AS (SELECT w11 / df AS W11, w12 / df AS W12, w22 / df AS W22, m0.a1 AS m01, m0.a2 AS m02, m1.a1 AS m11, m1.a2 AS m12
+       FROM lw, lm m0, lm m1 WHERE m0.label = 0 AND m1.label = 1),
+ld AS (SELECT *, W11 * W22 - W12 * W12 AS det FROM lc),
+lb AS (SELECT *, (W22 * (m11 - m01) - W12 * (m12 - m02)) / det AS b1, (-W12 * (m11 - m01) + W11 * (m12 - m02)) / det AS b2
+       FROM ld),
+lfin AS (SELECT *, -((m01 + m11) * b1 + (m02 + m12) * b2) / 2 + ln(0.5 / 0.5) AS c,
+                sqrt(b1 * (W11 * b1 + W12 * b2) + b2 * (W12 * b1 + W22 * b2)) AS scale FROM lb)"""
+
+
+def _visit_prep(spark, base):
+    v, art = visit_artifact(spark, base)
+    return art.transform(v)
+
+
+# ------------------------------------------------------------------ F6, F7
+
+@register("nb_fit", rounded(with_(VISITS, ART_SQL, VPREP, NB_SQL, body="\n UNION ALL ".join(
+    f"SELECT label, '{f}' AS feature, m_{f} AS mean, s_{f} AS sd, prior FROM nbp" for f in NB_F)),
+    ["label", "mean", "sd", "prior"]))
+def nb_fit(spark, base):
+    """F6 fit: class priors, per-class means and sample sds (floored) on prepared train visits."""
+    prep = _visit_prep(spark, base)
+    return G.fit_gaussian_nb(_train(prep), NB_F).to_frame(spark)
+
+
+@register("nb_scores", rounded(with_(VISITS, ART_SQL, VPREP, NB_SQL, NB_SCORE_SQL, body="""
+SELECT visit_id, score FROM nbscore WHERE period = 'test'"""), ["score"]))
+def nb_scores(spark, base):
+    """F6 apply: naive-Bayes posterior of a purchase for test visits."""
+    prep = _visit_prep(spark, base)
+    nb = G.fit_gaussian_nb(_train(prep), NB_F)
+    return _test(prep).select("visit_id", nb.posterior().alias("score"))
+
+
+@register("nb_insights", rounded(with_(VISITS, ART_SQL, VPREP, NB_SQL, """
+ins AS (""" + "\n UNION ALL ".join(
+    f"SELECT '{f}' AS feature, max(m_{f}) FILTER (WHERE label = 0) AS mn, max(m_{f}) FILTER (WHERE label = 1) AS my FROM nbp"
+    for f in NB_F) + ")", body="""
+SELECT feature, mean_no, mean_yes, ratio, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT feature, round_even(mn, 4) AS mean_no, round_even(my, 4) AS mean_yes, round_even(my / (mn + 1e-9), 4) AS ratio,
+         row_number() OVER (ORDER BY round_even(my / (mn + 1e-9), 4) DESC, feature) AS rk FROM ins) WHERE rk <= 10"""),
+    ["mean_no", "mean_yes", "ratio"]))
+def nb_insights(spark, base):
+    """class means, yes/no ratio (rounded to 4), top 10 by ratio."""
+    prep = _visit_prep(spark, base)
+    return G.nb_insights(G.fit_gaussian_nb(_train(prep), NB_F))
+
+
+# ------------------------------------------------------------------ F8, F9
+
+@register("lda_scores", rounded(with_(VISITS, ART_SQL, VPREP, LDA_SQL, body="""
+SELECT v.visit_id, 1 / (1 + exp(-(l.c + v.prd * l.b1 + v.prd_value * l.b2))) AS score
+FROM vprep v, lfin l WHERE v.period = 'test'"""), ["score"]))
+def lda_scores(spark, base):
+    """F8: two-feature LDA with equal priors, posterior for test visits."""
+    prep = _visit_prep(spark, base)
+    lda = G.fit_lda(_train(prep), LDA_F)
+    return _test(prep).select("visit_id", lda.posterior().alias("score"))
+
+
+@register("lda_projection", rounded(with_(VISITS, ART_SQL, VPREP, LDA_SQL, """
+p AS (SELECT v.label AS label, (0.0 + (v.prd - (l.m01 + l.m11) / 2) * l.b1 + (v.prd_value - (l.m02 + l.m12) / 2) * l.b2)
+                                / l.scale AS value FROM vprep v, lfin l WHERE v.period = 'train'),
+s AS (SELECT label, count(*) AS n, min(value) AS lo, max(value) AS hi FROM p GROUP BY label),
+s2 AS (SELECT *, CASE WHEN n <= 1 THEN 1 ELSE CAST(ceil(log2(n)) AS INTEGER) + 1 END AS nb FROM s),
+c AS (SELECT p.label, CAST(CASE WHEN s2.hi = s2.lo THEN 0
+                  ELSE least(floor((p.value - s2.lo) / (s2.hi - s2.lo) * s2.nb), s2.nb - 1) END AS BIGINT) AS bin,
+             count(*) AS n FROM p JOIN s2 ON p.label = s2.label GROUP BY ALL),
+a AS (SELECT label, lo, hi, nb, unnest(range(0, nb)) AS bin FROM s2)""", body="""
+SELECT a.label, 'ld1' AS feature, CAST(a.bin AS BIGINT) AS bin, a.lo + a.bin * ((a.hi - a.lo) / a.nb) AS lower,
+       CASE WHEN a.bin = a.nb - 1 THEN a.hi ELSE a.lo + (a.bin + 1) * ((a.hi - a.lo) / a.nb) END AS upper,
+       coalesce(c.n, 0) AS n
+FROM a LEFT JOIN c ON a.label = c.label AND a.bin = c.bin"""), ["label", "lower", "upper"]))
+def lda_projection(spark, base):
+    """histogram of the discriminant projection LD1 per class (train visits)."""
+    prep = _visit_prep(spark, base)
+    lda = G.fit_lda(_train(prep), LDA_F)
+    proj = _train(prep).select("label", lda.ld1().alias("ld1"))
+    return P.histogram(proj, ["ld1"], group_col="label")
+
+
+# ------------------------------------------------------------------ F12 on a given series, F19
+
+@register("stable_iteration", with_(ORDERS, """
+d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_all, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f
+      FROM orders GROUP BY 1),
+c AS (SELECT row_number() OVER (ORDER BY day) AS n,
+             sum(n_f) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+             / sum(n_all) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM d),
+e AS (SELECT n, v, CASE WHEN abs(v - lag(v) OVER (ORDER BY n)) < 0.0005 THEN 1 ELSE 0 END AS small FROM c),
+g AS (SELECT *, sum(1 - small) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM e),
+h AS (SELECT *, sum(small) OVER (PARTITION BY grp ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS len
+      FROM g)""", body="""
+SELECT CAST(coalesce(min(n) FILTER (WHERE len >= 50), max(n)) AS BIGINT) AS stable_n FROM h"""))
+def stable_iteration(spark, base):
+    """F12 on a given error series: running share of finished orders by day; first day after 50 calm steps."""
+    o = FX.orders(spark, base)
+    daily = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("o_orderstatus") == "F").alias("n_f"))
+    cum = running_totals(daily, "day", ["n_all", "n_f"])
+    idx = running_totals(cum.withColumn("_one", F.lit(1)), "day", ["_one"])
+    series = idx.select(F.col("_one_cum").alias("n"), (F.col("n_f_cum") / F.col("n_all_cum")).alias("v"))
+    return TR.stable_iteration(series, "n", "v", 0.0005, 50)
+
+
+@register("model_pick", rounded(with_(SCORED, _CMP_SQL, body="""
+SELECT 'views' AS default_model, 'value' AS tuned_model,
+       max(pr_auc) FILTER (WHERE model = 'views') AS default_pr_auc, max(pr_auc) FILTER (WHERE model = 'value') AS tuned_pr_auc,
+       CASE WHEN max(pr_auc) FILTER (WHERE model = 'value') > max(pr_auc) FILTER (WHERE model = 'views')
+            THEN 'value' ELSE 'views' END AS picked
+FROM cmp WHERE model IN ('views', 'value')"""), ["default_pr_auc", "tuned_pr_auc"]))
+def model_pick(spark, base):
+    """tuned vs default by PR-AUC, ties to the default."""
+    return TR.model_pick(_compare(spark, base), "views", "value")
+
+
+# ------------------------------------------------------------------ F1-F3 (rows-only: iterative fits)
+
+def _logistic(spark, base, alpha=0.5):
+    prep, feats = prepared(spark, base)
+    model, cv = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=12, fold_col="fold")
+    return prep, feats, model, cv
+
+
+@register("logreg_scores")
+def logreg_scores(spark, base):
+    """F1: weighted elastic-net logistic regression (alpha 0.5, CV lambda) scores on all visits."""
+    prep, feats, model, _ = _logistic(spark, base)
+    return LIN.score_logistic(model, prep, feats).select("visit_id", "period", "label", "score")
+
+
+@register("logreg_cv_path")
+def logreg_cv_path(spark, base):
+    """the lambda path with its cross-validated deviance."""
+    return _logistic(spark, base)[3]
+
+
+@register("penalty_comparison")
+def penalty_comparison(spark, base):
+    """ridge / elastic net / lasso: accuracy, kappa (Youden threshold on train, '>'), test AUC."""
+    prep, feats = prepared(spark, base)
+    rows = None
+    for name, alpha in (("Ridge", 0.0), ("ElasticNet", 0.5), ("Lasso", 1.0)):
+        model, _ = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=12, fold_col="fold")
+        sc = LIN.score_logistic(model, prep, feats).withColumn("model", F.lit(name))
+        thr = EV.youden(sc.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
+        te = sc.where(F.col("period") == "test")
+        m = EV.metrics(EV.confusion(te, thr, ["model"], inclusive=False), ["model"])
+        auc = EV.roc_auc(te, ["model"])
+        r = m.join(auc, "model").select("model", F.lit(alpha).alias("alpha"), "accuracy", "kappa",
+                                        F.col("roc_auc").alias("auc"))
+        rows = r if rows is None else rows.unionByName(r)
+    return rows
+
+
+@register("odds_ratios")
+def odds_ratios(spark, base):
+    """odds ratios of the non-zero coefficients, top 10 and bottom 5."""
+    prep, feats, model, _ = _logistic(spark, base)
+    return LIN.odds_head_tail(LIN.odds_ratios(model, feats), 10, 5)
+
+
+# ------------------------------------------------------------------ F4, F5
+
+@register("tree_scores")
+def tree_scores(spark, base):
+    """weighted CART pruned by CV, scores on all visits."""
+    prep, feats = prepared(spark, base)
+    model, _ = TR.fit_tree_cv(_train(prep), feats, "label", "weight")
+    return TR.score_model(model, prep, feats).select("visit_id", "period", "label", "score")
+
+
+@register("tree_prune_path")
+def tree_prune_path(spark, base):
+    """cross-validated weighted error per complexity setting."""
+    prep, feats = prepared(spark, base)
+    return TR.fit_tree_cv(_train(prep), feats, "label", "weight")[1]
+
+
+# ------------------------------------------------------------------ F10-F14
+
+def _forest(prep, feats, **kw):
+    return TR.fit_forest(_train(prep), feats, "label", "weight", num_trees=kw.get("num_trees", 20), seed=42)
+
+
+@register("forest_scores")
+def forest_scores(spark, base):
+    """balanced-weight random forest (20 trees, mtry floor(sqrt p)), scores on all visits."""
+    prep, feats = prepared(spark, base)
+    return TR.score_model(_forest(prep, feats), prep, feats).select("visit_id", "period", "label", "score")
+
+
+@register("oof_scores")
+def oof_scores(spark, base):
+    """out-of-fold forest scores on train visits (stand-in for OOB votes)."""
+    prep, feats = prepared(spark, base)
+    fit = lambda d: TR.fit_forest(d, feats, "label", "weight", num_trees=20, seed=42)
+    return TR.out_of_fold_scores(_train(prep), feats, fit, "fold", N_FOLDS).select("visit_id", "label", "score")
+
+
+@register("forest_stability")
+def forest_stability(spark, base):
+    """F12 on a forest: error by number of trees (test visits) and the stable tree count."""
+    prep, feats = prepared(spark, base)
+    path = TR.tree_error_path(_forest(prep, feats), _test(prep), feats)
+    stable = TR.stable_iteration(path, "n_trees", "error", 0.0005, 50).first()["stable_n"]   # one number
+    return path.withColumn("stable_n", F.lit(stable).cast("long"))
+
+
+@register("forest_tuning")
+def forest_tuning(spark, base):
+    """F13 + F14: coordinate search on out-of-fold PR-AUC; the sensitivity table."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    tr = _train(prep).withColumn("fold", F.col("fold") % 3)
+    return TR.forest_tuning(tr, feats, "label", "fold", k=3, num_trees=10,
+                            mtry_grid=[2, 4], node_grid=(1, 10, 50), ratios=(1.0, 1.5, 2.0))
+
+
+# ------------------------------------------------------------------ F15-F18
+
+def _scale_pos(prep):
+    return S.scale_pos_weight(prep.drop("weight"), "label", 1.0, "weight")
+
+
+@register("boost_scores")
+def boost_scores(spark, base):
+    """gradient-boosted trees (30 rounds, positive-class weight), scores on all visits."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    tr = _scale_pos(_train(prep))
+    m = TR.fit_boost(tr, feats, "label", "weight", max_iter=30, step_size=0.3, max_depth=6)
+    return TR.score_model(m, prep, feats).select("visit_id", "period", "label", "score")
+
+
+@register("boost_tuning")
+def boost_tuning(spark, base):
+    """F16: 5 random + 10 guided trials on a fold hold-out, by PR-AUC."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    tr = _train(prep)
+    return TR.boost_tuning(tr.where(F.col("fold") != 0), tr.where(F.col("fold") == 0), feats, "label",
+                           n_init=5, n_iter=10)
+
+
+@register("boost_rounds")
+def boost_rounds(spark, base):
+    """boosting rounds chosen by 5-fold CV log-loss with patience."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    return TR.boost_rounds(_train(prep), feats, "label", None, "fold", N_FOLDS, max_rounds=40, patience=10,
+                           step_size=0.1, max_depth=4)
+
+
+# ------------------------------------------------------------------ F20-F23
+
+@register("score_all_models")
+def score_all_models(spark, base):
+    """every model scored on the test visits, long form (visit, model, score, label)."""
+    prep, feats = prepared(spark, base)
+    tr, te = _train(prep), _test(prep)
+    models = {
+        "naive_bayes": ("expr", G.fit_gaussian_nb(tr, feats).posterior()),
+        "lda": ("expr", G.fit_lda(tr, list(FX.V_NUMERIC) + ["isReturningVisitor"]).posterior()),
+    }
+    out = None
+    for name, (_, expr) in models.items():
+        s = te.select("visit_id", F.lit(name).alias("model"), expr.alias("score"), "label")
+        out = s if out is None else out.unionByName(s)
+    lr, _ = LIN.fit_logistic_cv(tr, feats, "label", "weight", 0.5, n_lambda=6, fold_col="fold")
+    ml = {"logistic": lr, "cart": TR.fit_tree_cv(tr, feats, "label", "weight")[0],
+          "forest": _forest(prep, feats),
+          "boost": TR.fit_boost(_scale_pos(tr), feats, "label", "weight", max_iter=30)}
+    for name, m in ml.items():
+        s = TR.score_model(m, te, feats).select("visit_id", F.lit(name).alias("model"), "score", "label")
+        out = out.unionByName(s)
+    return out
+
+
+@register("permutation_importance")
+def permutation_importance(spark, base):
+    """accuracy drop when one feature is permuted (forest, test visits), top 10."""
+    prep, feats = prepared(spark, base)
+    forest = _forest(prep, feats)
+    imp = X.permutation_importance(forest, _test(prep), feats, "visit_id", "label", seed=7)
+    return imp.orderBy(F.col("importance").desc(), "feature").limit(10)
+
+
+@register("partial_dependence")
+def partial_dependence(spark, base):
+    """partial dependence (half log-odds) of the 3 most important features, 20-point grids."""
+    prep, feats = prepared(spark, base)
+    forest = _forest(prep, feats)
+    tr = _train(prep)
+    imp = X.permutation_importance(forest, tr, feats, "visit_id", "label", seed=7)
+    top = [r.feature for r in imp.orderBy(F.col("importance").desc(), "feature").limit(3).collect()]
+    return X.partial_dependence(forest, tr, feats, top, n_grid=20)
+
+
+@register("shap_summary")
+def shap_summary(spark, base):
+    """mean |SHAP| per feature of the boosted model (TreeSHAP), top 10."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    tr = _scale_pos(_train(prep))
+    m = TR.fit_boost(tr, feats, "label", "weight", max_iter=30, max_depth=4)
+    contrib = X.tree_shap(m, _test(prep), feats, "visit_id")
+    return X.shap_summary(contrib, feats).orderBy(F.col("mean_abs_shap").desc(), "feature").limit(10)
