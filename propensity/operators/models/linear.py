@@ -76,7 +76,7 @@ def lambda_path(lmax: float, n: int = 12, ratio: float = 1e-4) -> list[float]:
 
 def fit_logistic_cv(train: DataFrame, features: Sequence[str], label: str = "label",
                     weight: str | None = None, alpha: float = 0.5, n_lambda: int = 12,
-                    fold_col: str = "fold", parallelism: int = 4, max_iter: int = 100):
+                    fold_col: str = "fold", n_folds: int = 5, parallelism: int = 4, max_iter: int = 100):
     """elastic-net logistic regression, lambda = argmin CV deviance (``lambda.min``).
 
     ``train`` must carry ``fold_col`` (see ``split.fold_column``).
@@ -91,7 +91,7 @@ def fit_logistic_cv(train: DataFrame, features: Sequence[str], label: str = "lab
     grid = ParamGridBuilder().addGrid(lr.regParam, lams).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid,
                         evaluator=DevianceEvaluator(label, weightCol=weight),
-                        foldCol=fold_col, parallelism=parallelism, collectSubModels=False)
+                        foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
     fitted = cv.fit(data)
     spark = train.sparkSession
     table = spark.createDataFrame([(float(l), float(m)) for l, m in zip(lams, fitted.avgMetrics)],

@@ -42,7 +42,7 @@ score_model = _score
 
 def fit_tree_cv(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = None,
                 grid: Sequence[float] = PRUNE_GRID, fold_col: str = "fold", max_depth: int = 10,
-                min_leaf: int = 7, seed: int = 123, parallelism: int = 4):
+                min_leaf: int = 7, seed: int = 123, n_folds: int = 5, parallelism: int = 4):
     """F4 + F5: weighted Gini tree; complexity chosen by least cross-validated weighted error.
 
     Returns (tree refit on all train rows, path table (min_info_gain, cv_error)).
@@ -56,7 +56,7 @@ def fit_tree_cv(train: DataFrame, features: Sequence[str], label: str = "label",
         ev.setWeightCol(weight)
     pg = ParamGridBuilder().addGrid(dt.minInfoGain, list(grid)).build()
     cv = CrossValidator(estimator=dt, estimatorParamMaps=pg, evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism)
+                        numFolds=n_folds, parallelism=parallelism)
     fitted = cv.fit(design_matrix(train, features))
     spark = train.sparkSession
     path = spark.createDataFrame([(float(g), 1.0 - float(a)) for g, a in zip(grid, fitted.avgMetrics)],
@@ -224,17 +224,19 @@ BOOST_SPACE = {"max_depth": (2, 8), "step_size": (0.01, 0.3), "subsampling": (0.
 
 
 def boost_tuning(fit_rows: DataFrame, val_rows: DataFrame, features: Sequence[str], label: str = "label",
-                 weight: str | None = None, n_init: int = 5, n_iter: int = 10, seed: int = 42) -> DataFrame:
+                 weight: str | None = None, n_init: int = 5, n_iter: int = 10, seed: int = 42,
+                 space: dict | None = None) -> DataFrame:
     """F16: seeded random search (n_init) then local steps around the best (n_iter), by hold-out PR-AUC.
 
     Six bounded parameters; each trial is one Spark GBT fit scored on the
     validation rows. Returns the trial table, best trial first.
     """
     rng = random.Random(seed)
+    space = space or BOOST_SPACE
 
     def draw(center=None, scale=1.0):
         out = {}
-        for k, (lo, hi) in BOOST_SPACE.items():
+        for k, (lo, hi) in space.items():
             if center is None:
                 v = rng.uniform(lo, hi)
             else:
@@ -277,7 +279,7 @@ def boost_rounds(train: DataFrame, features: Sequence[str], label: str = "label"
     sums = [0.0] * max_rounds
     for f in range(k):
         m = fit_boost(train.where(F.col(fold_col) != f), features, label, weight, max_iter=max_rounds, **params)
-        losses = m.evaluateEachIteration(design_matrix(train.where(F.col(fold_col) == f), features), "logistic")
+        losses = m.evaluateEachIteration(design_matrix(train.where(F.col(fold_col) == f), features))
         for i, v in enumerate(losses):
             sums[i] += v / k
     best_i, best_v, since = 0, float("inf"), 0

@@ -21,10 +21,13 @@ from propensity.plans.q_features import ART_SQL, _IMPUTE_SQL, _Z_SQL, visit_arti
 from propensity.plans.q_split import FOLD_PRIME, visit_key
 from propensity.plans.registry import register
 from propensity.plans.sql import ORDERS, VISITS, rounded, with_
+from propensity.session import right_size
 
 NB_F = FX.V_NUMERIC + ["isReturningVisitor"]
 LDA_F = ["prd", "prd_value"]
 N_FOLDS = 5
+LR_LAMBDAS = 8       # driver-facing path length (the operator takes any)
+LR_MAX_ITER = 50
 
 
 def prepared(spark, base, with_weights=True):
@@ -36,15 +39,15 @@ def prepared(spark, base, with_weights=True):
     v, art = visit_artifact(spark, base)
     prep = art.transform(visit_key(v)).join(
         visit_key(v).select("visit_id", S.fold_column("vkey", N_FOLDS, FOLD_PRIME).alias("fold")), "visit_id")
+    train_counts = S.class_counts(prep.where(F.col("period") == "train"), "label")
     if with_weights:
-        train_counts = S.class_counts(prep.where(F.col("period") == "train"), "label")
         n, k = sum(train_counts.values()), len(train_counts)
         w = None
         for c, nc in train_counts.items():
             t = F.lit(n / (k * nc))
             w = F.when(F.col("label") == F.lit(c), t) if w is None else w.when(F.col("label") == F.lit(c), t)
         prep = prep.withColumn("weight", w)
-    prep = prep.persist(StorageLevel.MEMORY_AND_DISK)
+    prep = right_size(prep, 2 * sum(train_counts.values())).persist(StorageLevel.MEMORY_AND_DISK)
     return prep, art.feature_names()
 
 
@@ -208,7 +211,8 @@ def model_pick(spark, base):
 
 def _logistic(spark, base, alpha=0.5):
     prep, feats = prepared(spark, base)
-    model, cv = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=12, fold_col="fold")
+    model, cv = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=LR_LAMBDAS,
+                                    fold_col="fold", parallelism=8, max_iter=LR_MAX_ITER)
     return prep, feats, model, cv
 
 
@@ -231,7 +235,8 @@ def penalty_comparison(spark, base):
     prep, feats = prepared(spark, base)
     rows = None
     for name, alpha in (("Ridge", 0.0), ("ElasticNet", 0.5), ("Lasso", 1.0)):
-        model, _ = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=12, fold_col="fold")
+        model, _ = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=LR_LAMBDAS,
+                                       fold_col="fold", parallelism=8, max_iter=LR_MAX_ITER)
         sc = LIN.score_logistic(model, prep, feats).withColumn("model", F.lit(name))
         thr = EV.youden(sc.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
         te = sc.where(F.col("period") == "test")
@@ -301,9 +306,10 @@ def forest_stability(spark, base):
 def forest_tuning(spark, base):
     """F13 + F14: coordinate search on out-of-fold PR-AUC; the sensitivity table."""
     prep, feats = prepared(spark, base, with_weights=False)
-    tr = _train(prep).withColumn("fold", F.col("fold") % 3)
-    return TR.forest_tuning(tr, feats, "label", "fold", k=3, num_trees=10,
-                            mtry_grid=[2, 4], node_grid=(1, 10, 50), ratios=(1.0, 1.5, 2.0))
+    tr = _train(prep)
+    tr = tr.withColumn("fold", F.col("fold") % 2)
+    return TR.forest_tuning(tr, feats, "label", "fold", k=2, num_trees=10,
+                            mtry_grid=[2, 4], node_grid=(1, 20), ratios=(1.0, 2.0))
 
 
 # ------------------------------------------------------------------ F15-F18
@@ -326,8 +332,9 @@ def boost_tuning(spark, base):
     """F16: 5 random + 10 guided trials on a fold hold-out, by PR-AUC."""
     prep, feats = prepared(spark, base, with_weights=False)
     tr = _train(prep)
+    space = {**TR.BOOST_SPACE, "max_iter": (5, 15)}
     return TR.boost_tuning(tr.where(F.col("fold") != 0), tr.where(F.col("fold") == 0), feats, "label",
-                           n_init=5, n_iter=10)
+                           n_init=5, n_iter=5, space=space)
 
 
 @register("boost_rounds")
@@ -353,7 +360,8 @@ def score_all_models(spark, base):
     for name, (_, expr) in models.items():
         s = te.select("visit_id", F.lit(name).alias("model"), expr.alias("score"), "label")
         out = s if out is None else out.unionByName(s)
-    lr, _ = LIN.fit_logistic_cv(tr, feats, "label", "weight", 0.5, n_lambda=6, fold_col="fold")
+    lr, _ = LIN.fit_logistic_cv(tr, feats, "label", "weight", 0.5, n_lambda=LR_LAMBDAS, fold_col="fold",
+                                parallelism=8, max_iter=LR_MAX_ITER)
     ml = {"logistic": lr, "cart": TR.fit_tree_cv(tr, feats, "label", "weight")[0],
           "forest": _forest(prep, feats),
           "boost": TR.fit_boost(_scale_pos(tr), feats, "label", "weight", max_iter=30)}

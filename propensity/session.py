@@ -64,3 +64,23 @@ def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never ``localCheckpoint``."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+ROWS_PER_PARTITION = 1_000_000
+
+
+def right_size(df, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Partition count sized to the data: ceil(rows / rows_per_partition).
+
+    Iterative fits (one Spark job per optimizer step) pay a per-task cost on
+    every step, so a reused training table should have as many partitions as
+    its size needs -- few for small data, many (one per ~1M rows) at scale.
+    """
+    import math
+    want = max(1, math.ceil(n_rows / rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    if want < have:
+        return df.coalesce(want)
+    if want > have:
+        return df.repartition(want)
+    return df
