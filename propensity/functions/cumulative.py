@@ -88,9 +88,9 @@ def order_statistics(long_df: DataFrame, group_cols: Sequence[str], value_col: s
         positions = positions.withColumn("_g0", F.lit(0))
         return order_statistics(long_df, ["_g0"], value_col, positions, rows_per_bucket).drop("_g0")
     hist = (long_df.where(F.col(value_col).isNotNull())
-            .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(hist, value_col, ["_c"], g, rows_per_bucket=rows_per_bucket)
-    pos = F.broadcast(positions)   # features x wanted ranks: bounded
+            .groupBy(*g, F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    cum = running_totals(hist, "_v", ["_c"], g, rows_per_bucket=rows_per_bucket)
+    pos = F.broadcast(positions.select(*g, F.col("key").alias("_pkey"), F.col("k").alias("_pk")))  # bounded
     j = cum.join(pos, g, "inner")
-    hit = j.where((F.col("_c_cum") - F.col("_c") <= F.col("k")) & (F.col("k") < F.col("_c_cum")))
-    return hit.select(*g, "key", F.col(value_col).alias("x"))
+    hit = j.where((F.col("_c_cum") - F.col("_c") <= F.col("_pk")) & (F.col("_pk") < F.col("_c_cum")))
+    return hit.select(*g, F.col("_pkey").alias("key"), F.col("_v").alias("x"))
