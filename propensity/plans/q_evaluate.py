@@ -7,6 +7,7 @@ evaluated by the same operators in the model queries and in ``entry``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from propensity.functions.columns import clean_name, isin_safe
@@ -351,7 +352,9 @@ def fn_scalar_pack(spark, base):
 def model_scores(spark, base):
     """Visits -> artifact -> NB + LDA fitted on train -> scores for train and test."""
     v, art = visit_artifact(spark, base)
-    prep = art.transform(v)
+    # persisted: scored twice (train for thresholds, test for the comparison), and a
+    # materialised input keeps the model expressions from re-inlining the preparation
+    prep = art.transform(v).persist(StorageLevel.MEMORY_AND_DISK)
     train = prep.where(F.col("period") == "train")
     nb = fit_gaussian_nb(train, art.feature_names())
     lda = fit_lda(train, list(FX.V_NUMERIC) + ["isReturningVisitor"])
