@@ -75,6 +75,38 @@ def roc_points(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "
                       _div(F.col("neg_cum"), F.col("N")).alias("fpr"), "P", "N")
 
 
+def _roc_auc_agg():
+    # step area: dFP * (TP_before + TP_after) / 2, normalised by P * N
+    step = F.col("neg") * (F.lit(2.0) * F.col("tp") - F.col("pos")) / F.lit(2.0)
+    return _div(F.sum(step), F.first("P") * F.first("N")).alias("roc_auc")
+
+
+def _pr_auc_agg():
+    tp1, dtp, dfp = F.col("tp"), F.col("pos"), F.col("neg")
+    tp0, fp0 = tp1 - dtp, F.col("fp") - dfp
+    h = dfp / dtp
+    a = F.lit(1.0) + h
+    b = fp0 - h * tp0
+
+    def prim(t):
+        return t / a - b / (a * a) * F.log(a * t + b)
+
+    seg = (F.when(dtp <= 0, F.lit(0.0))
+           .when(b == 0, dtp / a)
+           .otherwise(prim(tp1) - prim(tp0)))
+    return _div(F.sum(seg), F.first("P")).alias("pr_auc")
+
+
+@grouped
+def curve_areas(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
+                label: str = "label", weight: str | None = None,
+                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """G6 + G7 from one pass over the curve: (group..., roc_auc, pr_auc)."""
+    g = list(group_cols)
+    pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
+    return pts.groupBy(*g).agg(_roc_auc_agg(), _pr_auc_agg())
+
+
 @grouped
 def roc_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
             label: str = "label", weight: str | None = None,
@@ -82,9 +114,7 @@ def roc_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "sco
     """Trapezoid area under the ROC points (= rank-sum AUC, ties count half)."""
     g = list(group_cols)
     pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
-    # step area: dFP * (TP_before + TP_after) / 2, normalised by P * N
-    step = F.col("neg") * (F.lit(2.0) * F.col("tp") - F.col("pos")) / F.lit(2.0)
-    return pts.groupBy(*g).agg(_div(F.sum(step), F.first("P") * F.first("N")).alias("roc_auc"))
+    return pts.groupBy(*g).agg(_roc_auc_agg())
 
 
 @grouped
@@ -111,19 +141,7 @@ def pr_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "scor
     """
     g = list(group_cols)
     pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
-    tp1, dtp, dfp = F.col("tp"), F.col("pos"), F.col("neg")
-    tp0, fp0 = tp1 - dtp, F.col("fp") - dfp
-    h = dfp / dtp
-    a = F.lit(1.0) + h
-    b = fp0 - h * tp0
-
-    def prim(t):
-        return t / a - b / (a * a) * F.log(a * t + b)
-
-    seg = (F.when(dtp <= 0, F.lit(0.0))
-           .when(b == 0, dtp / a)
-           .otherwise(prim(tp1) - prim(tp0)))
-    return pts.groupBy(*g).agg(_div(F.sum(seg), F.first("P")).alias("pr_auc"))
+    return pts.groupBy(*g).agg(_pr_auc_agg())
 
 
 @grouped
@@ -270,9 +288,8 @@ def compare_models(scored: DataFrame, thresholds, group_cols: Sequence[str] = ("
     g = list(group_cols)
     conf = confusion(scored, thresholds, g, score, label, inclusive)
     m = metrics(conf, g)
-    pa = pr_auc(scored, g, score, label, rows_per_bucket=rows_per_bucket)
-    ra = roc_auc(scored, g, score, label, rows_per_bucket=rows_per_bucket)
-    return m.join(pa, g).join(ra, g)
+    areas = curve_areas(scored, g, score, label, rows_per_bucket=rows_per_bucket)
+    return m.join(areas, g)
 
 
 def rank_models(cmp: DataFrame, model_col: str = "model") -> DataFrame:

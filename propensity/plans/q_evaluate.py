@@ -366,7 +366,8 @@ def model_scores(spark, base):
 
 def flagship_comparison(spark, base):
     """Youden thresholds chosen on train scores, models compared and ranked on test."""
-    s = model_scores(spark, base)
+    # scores feed several curve passes: materialise once instead of re-scoring in each
+    s = model_scores(spark, base).persist(StorageLevel.MEMORY_AND_DISK)
     thr = EV.youden(s.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
     cmp = EV.compare_models(s.where(F.col("period") == "test"), thr)
     return EV.rank_models(cmp)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from propensity.functions.columns import safe_div
@@ -17,7 +18,8 @@ V_CATS = ["nation", "segment", "weekend"]
 
 
 def visit_artifact(spark, base, spec: PrepSpec = V_SPEC):
-    v = FX.visits(spark, base)
+    """Visits (persisted: the fit reads them twice and the caller applies the artifact to them) + artifact."""
+    v = FX.visits(spark, base).persist(StorageLevel.MEMORY_AND_DISK)
     return v, fit_artifact(v.where(F.col("period") == "train"), spec)
 
 
