@@ -140,14 +140,20 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
         "min_value", "max_value")
 
 
-def _top_levels(freq: DataFrame, k: int) -> DataFrame:
-    """Top-k levels per feature by (count desc, level asc).
+def _top_level(freq: DataFrame, exclude: DataFrame | None = None, suffix: str = "1") -> DataFrame:
+    """Most frequent non-null level per feature (count desc, then smallest level).
 
-    ``freq`` has one row per (feature, level): the window holds the number of
-    levels of one column, not rows.
+    Two aggregations joined through a one-row-per-feature broadcast table, so
+    a column with millions of levels is still spread over many tasks (a
+    window per feature would put all of its levels in one task).
+    ``exclude``: (feature, level) rows to leave out (for the runner-up).
     """
-    w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("level").asc_nulls_last())
-    return freq.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    f = freq.where(F.col("level").isNotNull())
+    if exclude is not None:
+        f = f.join(F.broadcast(exclude), ["feature", "level"], "left_anti")   # one row per feature
+    best = f.groupBy("feature").agg(F.max("n").alias("_nmax"))
+    return (f.join(F.broadcast(best), "feature").where(F.col("n") == F.col("_nmax"))
+             .groupBy("feature").agg(F.min("level").alias(f"top{suffix}"), F.first("_nmax").alias(f"_n{suffix}")))
 
 
 def categorical_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -157,7 +163,7 @@ def categorical_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     stats = freq.groupBy("feature").agg(
         F.sum(F.when(F.col("level").isNull(), F.col("n")).otherwise(0)).cast("long").alias("n_missing"),
         F.count(F.lit(1)).cast("long").alias("n_unique"))
-    top = _top_levels(freq.where(F.col("level").isNotNull()), 1).select("feature", F.col("level").alias("top_level"))
+    top = _top_level(freq).select("feature", F.col("top1").alias("top_level"))
     tmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return (stats.join(top, "feature", "left")
             .select("feature", F.element_at(tmap, F.col("feature")).alias("type"),
@@ -168,16 +174,15 @@ def category_top2(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Top-1 and top-2 level with percent, percent of all other levels.
 
     Top-2 is ``'N/A'`` with a null percent when a column has one level.
+    Ties go to the smallest level.
     """
     freq = frequencies(df, cols)
-    tot = freq.groupBy("feature").agg(F.sum("n").alias("_tot"), F.count(F.lit(1)).cast("long").alias("n_unique"))
-    top = _top_levels(freq, 2)
-    piv = top.groupBy("feature").agg(
-        F.max(F.when(F.col("rank") == 1, F.col("level"))).alias("top1"),
-        F.max(F.when(F.col("rank") == 1, F.col("n"))).alias("_n1"),
-        F.max(F.when(F.col("rank") == 2, F.col("level"))).alias("_top2"),
-        F.max(F.when(F.col("rank") == 2, F.col("n"))).alias("_n2"))
-    j = piv.join(tot, "feature")
+    # percentages among non-null values (as ``prop.table(table(x))``); n_unique counts null as a value
+    tot = freq.groupBy("feature").agg(F.sum(F.when(F.col("level").isNotNull(), F.col("n"))).alias("_tot"),
+                                      F.count(F.lit(1)).cast("long").alias("n_unique"))
+    t1 = _top_level(freq, None, "1")
+    t2 = _top_level(freq, t1.select("feature", F.col("top1").alias("level")), "2")
+    j = t1.join(t2.withColumnRenamed("top2", "_top2"), "feature", "left").join(tot, "feature")
     pct = lambda c: F.lit(100.0) * F.col(c) / F.col("_tot")
     return j.select(
         "feature", "n_unique", "top1", pct("_n1").alias("top1_pct"),

@@ -337,6 +337,21 @@ def boost_tuning(spark, base):
                            n_init=5, n_iter=5, space=space)
 
 
+@register("boost_final")
+def boost_final(spark, base):
+    """the boosted model refit on all train visits with the best hold-out trial's parameters."""
+    prep, feats = prepared(spark, base, with_weights=False)
+    tr = _train(prep)
+    space = {**TR.BOOST_SPACE, "max_iter": (5, 15)}
+    trials = TR.boost_tuning(tr.where(F.col("fold") != 0), tr.where(F.col("fold") == 0), feats, "label",
+                             n_init=3, n_iter=3, space=space)
+    best = trials.where(F.col("rank") == 1).first()   # one row
+    m = TR.fit_boost(_scale_pos(tr), feats, "label", "weight", max_iter=best.max_iter, step_size=best.step_size,
+                     max_depth=best.max_depth, min_leaf=best.min_leaf, min_gain=best.min_gain,
+                     subsampling=best.subsampling)
+    return TR.score_model(m, prep, feats).select("visit_id", "period", "label", "score")
+
+
 @register("boost_rounds")
 def boost_rounds(spark, base):
     """boosting rounds chosen by 5-fold CV log-loss with patience."""

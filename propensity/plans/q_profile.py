@@ -147,16 +147,17 @@ def prof_categorical_summary(spark, base):
 
 @register("prof_category_top2", rounded(f"""
 WITH f AS (SELECT feature, level, count(*) AS n FROM {_sql_cat_long('lineitem', L_CAT)} GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, level ASC NULLS LAST) AS rk,
-             sum(n) OVER (PARTITION BY feature) AS tot, count(*) OVER (PARTITION BY feature) AS nu FROM f)
-SELECT feature, any_value(nu) AS n_unique,
+r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, level ASC) AS rk,
+             sum(n) OVER (PARTITION BY feature) AS tot FROM f WHERE level IS NOT NULL),
+u AS (SELECT feature, count(*) AS nu FROM f GROUP BY feature)
+SELECT r.feature, any_value(u.nu) AS n_unique,
        max(CASE WHEN rk = 1 THEN level END) AS top1,
        100.0 * max(CASE WHEN rk = 1 THEN n END) / any_value(tot) AS top1_pct,
        coalesce(max(CASE WHEN rk = 2 THEN level END), 'N/A') AS top2,
        100.0 * max(CASE WHEN rk = 2 THEN n END) / any_value(tot) AS top2_pct,
        100.0 * (any_value(tot) - max(CASE WHEN rk = 1 THEN n END) - coalesce(max(CASE WHEN rk = 2 THEN n END), 0))
          / any_value(tot) AS other_pct
-FROM r GROUP BY feature""", ["top1_pct", "top2_pct", "other_pct"]))
+FROM r JOIN u ON r.feature = u.feature GROUP BY r.feature""", ["top1_pct", "top2_pct", "other_pct"]))
 def prof_category_top2(spark, base):
     """Top-two levels with percent per categorical column."""
     return P.category_top2(FX.lineitem(spark, base), L_CAT)

@@ -110,3 +110,17 @@ def test_weights_and_sampling(spark):
     counts = {r.y: r["count"] for r in s.groupBy("y").count().collect()}
     assert counts == {1: 20, 0: 30}
     assert s.where("y = 0").agg(F.max("k")).first()[0] == 49
+
+
+def test_artifact_forces_train_levels_on_test(spark):
+    # D3: test rows only see the train level set; unseen months fall into Q4 like the reference
+    train = spark.createDataFrame([(i, ["Mar", "May", "Aug"][i % 3], 1.0, i % 2) for i in range(30)],
+                                  "id int, m string, v double, label int")
+    test = spark.createDataFrame([(100, "Nov", 1.0, 0), (101, "Dec", 2.0, 1), (102, "Mar", 3.0, 0)],
+                                 "id int, m string, v double, label int")
+    spec = PrepSpec(numeric=["v"], month="m", label="label", keep=["id"], log1p=False)
+    art = fit_artifact(train, spec)
+    assert art.onehot_levels["quarter"] == ["Q1", "Q2", "Q3"]
+    out = {r.id: (r.quarter_Q2, r.quarter_Q3) for r in art.transform(test).collect()}
+    assert out == {100: (0.0, 0.0), 101: (0.0, 0.0), 102: (0.0, 0.0)}
+    assert art.feature_names() == ["v", "quarter_Q2", "quarter_Q3"]
