@@ -99,9 +99,13 @@ def out_of_fold_scores(train: DataFrame, features: Sequence[str], fit_fn, fold_c
 def tree_error_path(forest, df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
     """Error of the forest made of its first n trees, n = 1..T, from one pass over ``df``.
 
-    Each tree's class-1 vote is taken once (the trees are evaluated in the
-    same projection); prefix vote shares come from array expressions.
+    Spark evaluates every tree's vote in one projection; each task turns its
+    rows' vote matrix into prefix vote shares with one NumPy ``cumsum``
+    (O(T) per row) and emits T error counts; Spark sums them per n.
     """
+    import numpy as np
+    import pandas as pd
+
     data = design_matrix(df, features).select(label, "features")
     cols = []
     for i, tree in enumerate(forest.trees):
@@ -110,14 +114,20 @@ def tree_error_path(forest, df: DataFrame, features: Sequence[str], label: str =
             .setProbabilityCol(f"_p{i}")
         data = t.transform(data).drop(f"_r{i}", f"_p{i}")
         cols.append(f"_t{i}")
-    votes = F.array(*[F.col(c) for c in cols])
     T = len(cols)
-    prefix = F.transform(F.sequence(F.lit(1), F.lit(T)),
-                         lambda n: F.aggregate(F.slice(votes, 1, n), F.lit(0.0), lambda a, x: a + x) / n)
-    long = data.select(label, F.posexplode(prefix).alias("i", "share"))
-    return long.groupBy((F.col("i") + 1).alias("n_trees")).agg(
-        F.avg(((F.col("share") > 0.5).cast("double") != F.col(label)).cast("double")).alias("error")) \
-        .orderBy("n_trees")
+    votes = data.select(F.col(label).cast("double").alias("y"), *[F.col(c).cast("double") for c in cols])
+
+    def run(batches):
+        n = np.arange(1, T + 1)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            share = pdf[cols].to_numpy().cumsum(axis=1) / n
+            wrong = ((share > 0.5).astype(float) != pdf["y"].to_numpy()[:, None]).sum(axis=0)
+            yield pd.DataFrame({"n_trees": n, "n_wrong": wrong, "n_rows": float(len(pdf))})
+
+    counts = votes.mapInPandas(run, "n_trees long, n_wrong double, n_rows double")
+    return counts.groupBy("n_trees").agg((F.sum("n_wrong") / F.sum("n_rows")).alias("error")).orderBy("n_trees")
 
 
 def stable_iteration(series: DataFrame, order_col: str, value_col: str, tol: float = 0.0005,
