@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ def running_totals(hist: DataFrame, order_col: str, value_cols: Sequence[str],
                              descending, rows_per_bucket, suffix)
         return out.drop("_g0")
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    # the sizing job below and the final plan both read the histogram: build it once
+    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
     sizes = hist.groupBy(*parts).count()
     # one row per group: bounded by the number of groups (features, models)
     max_n = sizes.agg(F.max("count")).first()[0] or 0
