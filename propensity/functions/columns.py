@@ -34,7 +34,7 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name).cast("double"), places).alias(f.name))
+            out.append((F.round(F.col(f.name).cast("double"), places) + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

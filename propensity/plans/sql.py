@@ -68,7 +68,8 @@ def rounded(inner: str, cols: list[str], places: int = 6) -> str:
     """Round the listed double columns of a query to ``places`` decimals."""
     if not cols:
         return inner
-    rep = ", ".join(f"round({c}, {places}) AS {c}" for c in cols)
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's round never yields -0.0)
+    rep = ", ".join(f"round({c}, {places}) + 0.0 AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{inner}\n) _r"
 
 
