@@ -67,7 +67,8 @@ def partial_dependence(model, df: DataFrame, features: Sequence[str], targets: S
     """mean over rows of 0.5 * (log p1 - log p0) with one feature set to each grid value.
 
     Grid: ``min(n_grid, distinct values)`` equally spaced points between the
-    feature's min and max (as R's ``partialPlot``).
+    feature's min and max (as R's ``partialPlot``). ``model`` is a fitted Spark
+    ML model, or a function ``df -> df with a 'score' column`` (closed-form models).
     """
     out = None
     for f in targets:
@@ -77,7 +78,7 @@ def partial_dependence(model, df: DataFrame, features: Sequence[str], targets: S
         grid = [lo + (hi - lo) * i / (k - 1) for i in range(k)] if k > 1 else [lo]
         rep = df.select(*features).withColumn("_g", F.explode(F.array(*[F.lit(g) for g in grid]))) \
             .withColumn(f, F.col("_g"))
-        s = score_model(model, rep, features)
+        s = model(rep) if callable(model) and not hasattr(model, "transform") else score_model(model, rep, features)
         p1 = F.greatest(F.col("score"), F.lit(EPS))
         p0 = F.greatest(F.lit(1.0) - F.col("score"), F.lit(EPS))
         pd_ = s.groupBy("_g").agg(F.avg(F.lit(0.5) * (F.log(p1) - F.log(p0))).alias("pd")) \

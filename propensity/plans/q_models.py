@@ -174,6 +174,24 @@ def lda_projection(spark, base):
 
 # ------------------------------------------------------------------ F12 on a given series, F19
 
+@register("pd_lda", rounded(with_(VISITS, ART_SQL, VPREP, LDA_SQL, """
+tr AS (SELECT * FROM vprep WHERE period = 'train'),
+gs AS (SELECT min(prd) AS lo, max(prd) AS hi, least(20, count(DISTINCT prd)) AS k FROM tr),
+grid AS (SELECT CASE WHEN gs.k > 1 THEN gs.lo + (gs.hi - gs.lo) * i / (gs.k - 1) ELSE gs.lo END AS g
+         FROM gs, range(0, 20) t(i) WHERE i < gs.k),
+sc AS (SELECT grid.g, 1 / (1 + exp(-(l.c + grid.g * l.b1 + tr.prd_value * l.b2))) AS p FROM tr, grid, lfin l)""",
+    body="""
+SELECT 'prd' AS feature, g AS value,
+       avg(0.5 * (ln(greatest(p, 2.220446049250313e-16)) - ln(greatest(1.0 - p, 2.220446049250313e-16)))) AS pd
+FROM sc GROUP BY g"""), ["value", "pd"]))
+def pd_lda(spark, base):
+    """F22 with a closed-form model: partial dependence of the two-feature LDA on 'prd' (20-point grid)."""
+    prep = _visit_prep(spark, base)
+    tr = _train(prep)
+    lda = G.fit_lda(tr, LDA_F)
+    return X.partial_dependence(lambda d: d.withColumn("score", lda.posterior()), tr, LDA_F, ["prd"], n_grid=20)
+
+
 @register("stable_iteration", with_(ORDERS, """
 d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_all, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_f
       FROM orders GROUP BY 1),
