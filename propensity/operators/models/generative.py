@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 SD_FLOOR = 0.001        # fixed value: sd <= 0 is replaced by this
 DENSITY_FLOOR = 0.001   # fixed value: a density <= 0 is replaced by this
-_LOG_SQRT_2PI = 0.5 * math.log(2 * math.pi)
 
 
 # ------------------------------------------------------------------ Gaussian naive Bayes

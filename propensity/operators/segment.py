@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
