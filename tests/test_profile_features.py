@@ -124,3 +124,42 @@ def test_artifact_forces_train_levels_on_test(spark):
     out = {r.id: (r.quarter_Q2, r.quarter_Q3) for r in art.transform(test).collect()}
     assert out == {100: (0.0, 0.0), 101: (0.0, 0.0), 102: (0.0, 0.0)}
     assert art.feature_names() == ["v", "quarter_Q2", "quarter_Q3"]
+
+
+def test_split_helpers(spark):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01"), (3, None)], "k long, d string") \
+        .withColumn("d", F.to_date("d"))
+    out = {r.k: r.split for r in S.split_by_cutoff(df, "d", "2024-01-15").collect()}
+    assert out == {1: "train", 2: "test", 3: "train"}
+    per = {r.k: r.split for r in S.split_by_period(df.withColumn("m", F.month("d")), "m", [2]).collect()}
+    assert per == {1: "train", 2: "test", 3: "train"}
+    folds = spark.range(1000).select(S.hash_fold_column(["id"], 5).alias("f"), S.fold_column("id", 5).alias("g"))
+    r = folds.agg(F.min("f"), F.max("f"), F.countDistinct("f"), F.countDistinct("g")).first()
+    assert (r[0], r[1], r[2], r[3]) == (0, 4, 5, 5)
+    roles = spark.createDataFrame([("train", "Q1"), ("train", "Q3"), ("train", "Q4"), ("test", "Q4")],
+                                  "split string, q string")
+    got = [r.role for r in S.temporal_holdout(roles, "split", "q", ["Q1", "Q2"], ["Q3"]).collect()]
+    assert got == ["fit", "validate", "unused", "test"]
+
+
+def test_read_csv_with_schema(spark, tmpdir_path):
+    import os
+    from pyspark.sql import types as T
+    from propensity.sources import io
+    p = os.path.join(tmpdir_path, "x.csv")
+    with open(p, "w") as fh:
+        fh.write("a,b\n1,x\n2,y\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    df = io.read_csv(spark, p, schema)
+    assert [tuple(r) for r in df.collect()] == [(1, "x"), (2, "y")]
+
+
+def test_correlation_pairs(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=500)
+    rows = [(float(a), float(a * 2 + rng.normal() * 0.1), float(rng.normal())) for a in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    cm = P.correlation_matrix(df, ["a", "b", "c"])
+    assert cm.count() == 9
+    pairs = [(r.var1, r.var2) for r in P.high_correlations(cm, ["a", "b", "c"], 0.4).collect()]
+    assert pairs == [("a", "b")]
