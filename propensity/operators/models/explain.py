@@ -150,7 +150,7 @@ def _shap_batch(X: np.ndarray, trees: list) -> tuple[np.ndarray, float]:
 
 
 def tree_shap(model, df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
-    """per-row SHAP contributions of a GBT / forest regression margin.
+    """per-row SHAP contributions of a gradient-boosted model's margin (sum of weighted trees).
 
     Output: key, one ``phi_<feature>`` column per feature, ``expected`` and
     ``margin`` (sum of contributions + expected = margin, checked in tests).

@@ -238,6 +238,82 @@ def histogram(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
                     F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
+def pretty_breaks(lo: float, hi: float, n: int, min_n: int = 1, shrink: float = 0.75,
+                  high_u: float = 1.5) -> list[float]:
+    """R's ``pretty()`` boundaries for [lo, hi] with about ``n`` intervals (1, 2, 5 x 10^k steps)."""
+    import math
+    eps = 2.220446049250313e-16   # fixed value: double machine epsilon
+    h, h5 = high_u, 0.5 + 1.5 * high_u
+    dx = hi - lo
+    if dx == 0 and hi == 0:
+        cell, small = 1.0, True
+    else:
+        cell = max(abs(lo), abs(hi))
+        u = 1 + ((1 / (1 + h)) if h5 >= 1.5 * h + 0.5 else (1.5 / (1 + h5)))
+        u *= max(1, n) * eps
+        small = dx < cell * u * 3
+    if small:
+        if cell > 10:
+            cell = 9 + cell / 10
+        cell *= shrink
+        if min_n > 1:
+            cell /= min_n
+    else:
+        cell = dx
+        if n > 1:
+            cell /= n
+    base = 10.0 ** math.floor(math.log10(cell))
+    unit = base
+    if 2 * base - cell < h * (cell - unit):
+        unit = 2 * base
+        if 5 * base - cell < h5 * (cell - unit):
+            unit = 5 * base
+            if 10 * base - cell < h * (cell - unit):
+                unit = 10 * base
+    r_eps = 1e-10
+    ns, nu = math.floor(lo / unit + r_eps), math.ceil(hi / unit - r_eps)
+    while ns * unit > lo + r_eps * unit:
+        ns -= 1
+    while nu * unit < hi - r_eps * unit:
+        nu += 1
+    k = int(0.5 + nu - ns)
+    if k < min_n:
+        k = min_n - k
+        if ns >= 0:
+            nu += k // 2
+            ns -= k // 2 + k % 2
+        else:
+            ns -= k // 2
+            nu += k // 2 + k % 2
+    return [(ns + i) * unit for i in range(int(round(nu - ns)) + 1)]
+
+
+def histogram_r(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """B10 with R's ``hist()`` defaults: Sturges class count, ``pretty()`` breaks, right-closed bins.
+
+    Per column one small aggregation gives (n, min, max); breaks are computed
+    on the driver (a few numbers per column) and each value finds its bin by
+    counting the breaks below it, a JVM array expression. Bins are (a, b],
+    the first one [a, b].
+    """
+    long = unpivot_long(df, [], cols, "feature", "value", cast="double").where(F.col("value").isNotNull())
+    stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                        F.max("value").alias("hi")).collect()   # one row per column
+    brk = {}
+    for r in stats:
+        nclass = 1 if r.n <= 1 else (r.n - 1).bit_length() + 1
+        brk[r.feature] = pretty_breaks(float(r.lo), float(r.hi), nclass, 1)
+    bmap = F.create_map(*[x for f, b in brk.items() for x in (F.lit(f), F.array(*[F.lit(v) for v in b]))])
+    arr = F.element_at(bmap, F.col("feature"))
+    idx = F.greatest(F.size(F.filter(arr, lambda b: b < F.col("value"))) - 1, F.lit(0))
+    cnt = long.groupBy("feature", idx.cast("long").alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    spark = df.sparkSession
+    allb = spark.createDataFrame([(f, i, b[i], b[i + 1]) for f, b in brk.items() for i in range(len(b) - 1)],
+                                 "feature string, bin long, lower double, upper double")
+    return allb.join(cnt, ["feature", "bin"], "left").select(
+        "feature", "bin", "lower", "upper", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
 # ------------------------------------------------------------------ B11, B13 box plots
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], group_col: str | None = None,

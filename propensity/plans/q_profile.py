@@ -191,6 +191,45 @@ def prof_histogram(spark, base):
     return P.histogram(FX.lineitem(spark, base), L_NUM)
 
 
+_PRETTY_SQL = f"""
+WITH lg AS (SELECT * FROM {_sql_num_long('lineitem', L_NUM)} WHERE value IS NOT NULL),
+s AS (SELECT feature, count(*) AS n, min(value) AS lo, max(value) AS hi FROM lg GROUP BY feature),
+s1 AS (SELECT *, CASE WHEN n <= 1 THEN 1 ELSE CAST(ceil(log2(n)) AS INTEGER) + 1 END AS nc,
+              greatest(abs(lo), abs(hi)) AS mx FROM s),
+s2 AS (SELECT *, (hi - lo = 0 AND hi = 0)
+                 OR (hi - lo) < mx * ((1 + 1 / (1 + 1.5)) * greatest(1, nc) * 2.220446049250313e-16) * 3 AS small FROM s1),
+s3 AS (SELECT *, CASE WHEN hi - lo = 0 AND hi = 0 THEN 0.75
+                      WHEN small THEN (CASE WHEN mx > 10 THEN 9 + mx / 10 ELSE mx END) * 0.75
+                      WHEN nc > 1 THEN (hi - lo) / nc ELSE hi - lo END AS cell FROM s2),
+s4 AS (SELECT *, pow(10.0, floor(log10(cell))) AS base FROM s3),
+s5 AS (SELECT *, CASE WHEN NOT (2 * base - cell < 1.5 * (cell - base)) THEN base
+                      WHEN NOT (5 * base - cell < 2.75 * (cell - 2 * base)) THEN 2 * base
+                      WHEN NOT (10 * base - cell < 1.5 * (cell - 5 * base)) THEN 5 * base
+                      ELSE 10 * base END AS unit FROM s4),
+s6 AS (SELECT *, CAST(floor(lo / unit + 1e-10) AS BIGINT) AS ns0, CAST(ceil(hi / unit - 1e-10) AS BIGINT) AS nu0 FROM s5),
+s7 AS (SELECT *, CASE WHEN ns0 * unit > lo + 1e-10 * unit THEN ns0 - 1 ELSE ns0 END AS ns1,
+                 CASE WHEN nu0 * unit < hi - 1e-10 * unit THEN nu0 + 1 ELSE nu0 END AS nu1 FROM s6),
+s8 AS (SELECT *, CASE WHEN nu1 - ns1 < 1 AND ns1 >= 0 THEN ns1 - 1 ELSE ns1 END AS ns,
+                 CASE WHEN nu1 - ns1 < 1 AND ns1 < 0 THEN nu1 + 1 ELSE nu1 END AS nu FROM s7),
+b AS (SELECT feature, i - ns AS bin, i * unit AS lower, (i + 1) * unit AS upper
+      FROM s8, range(ns, nu) t(i)),
+lgv AS (SELECT feature, value, count(*) AS m FROM lg GROUP BY ALL),
+c AS (SELECT v.feature, v.value, any_value(v.m) AS m,
+             greatest(count(*) FILTER (WHERE br.i * s8.unit < v.value) - 1, 0) AS bin
+      FROM lgv v JOIN s8 ON v.feature = s8.feature
+      JOIN (SELECT feature, unnest(range(ns, nu + 1)) AS i FROM s8) br ON br.feature = v.feature
+      GROUP BY v.feature, v.value),
+cc AS (SELECT feature, bin, sum(m) AS n FROM c GROUP BY ALL)
+SELECT b.feature, CAST(b.bin AS BIGINT) AS bin, b.lower, b.upper, CAST(coalesce(cc.n, 0) AS BIGINT) AS n
+FROM b LEFT JOIN cc ON b.feature = cc.feature AND b.bin = cc.bin"""
+
+
+@register("prof_histogram_r", rounded(_PRETTY_SQL, ["lower", "upper"]))
+def prof_histogram_r(spark, base):
+    """B10 with R's hist() defaults: Sturges count, pretty() breaks, right-closed bins."""
+    return P.histogram_r(FX.lineitem(spark, base), L_NUM)
+
+
 @register("prof_boxplot", rounded(with_(_sql_box(_sql_num_long("lineitem", L_NUM), ["feature"]),
                                         body=_sql_box_select(["feature"])), _BOX_COLS))
 def prof_boxplot(spark, base):

@@ -163,3 +163,14 @@ def test_correlation_pairs(spark):
     assert cm.count() == 9
     pairs = [(r.var1, r.var2) for r in P.high_correlations(cm, ["a", "b", "c"], 0.4).collect()]
     assert pairs == [("a", "b")]
+
+
+def test_pretty_breaks_and_r_histogram(spark):
+    # known R results: pretty(c(0,100)), pretty(c(0.5,9.7)), hist(1:100)$breaks
+    assert P.pretty_breaks(0, 100, 5) == [0, 20, 40, 60, 80, 100]
+    assert P.pretty_breaks(0.5, 9.7, 5) == [0, 2, 4, 6, 8, 10]
+    assert P.pretty_breaks(1, 100, 8) == [float(x) for x in range(0, 101, 10)]
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    h = P.histogram_r(df, ["x"]).toPandas().sort_values("bin")
+    # right-closed bins (0,10], (10,20], ... -> ten values each
+    assert list(h["n"]) == [10] * 10 and h["lower"].iloc[0] == 0.0 and h["upper"].iloc[-1] == 100.0
