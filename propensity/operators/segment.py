@@ -115,6 +115,8 @@ def fast_ica(df: DataFrame, cols: Sequence[str] | None = None, n_comp: int = 2,
         W = W1
         if lim < tol:
             break
+    # components are defined up to sign: make each row's largest absolute weight positive
+    W = W * np.where(W[np.arange(n_comp), np.abs(W).argmax(axis=1)] < 0, -1.0, 1.0)[:, None]
     scores = z.select(*keep, *[sum((zc[j] * float(W[i, j]) for j in range(n_comp)), F.lit(0.0)).alias(f"ic{i + 1}")
                                for i in range(n_comp)])
     return scores, W
