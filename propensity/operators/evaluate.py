@@ -11,8 +11,11 @@ Results are one row per group (model) or per distinct score.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -327,3 +330,16 @@ def fourfold(conf: DataFrame, group_cols: Sequence[str] = ("model",)) -> DataFra
     long = conf.select(*g, cells.alias("c")).select(*g, "c.actual", "c.predicted", F.col("c.n").cast("long").alias("n"))
     row_tot = F.sum("n").over(Window.partitionBy(*g, "actual"))
     return long.withColumn("share", _div(F.col("n").cast("double"), row_tot.cast("double")))
+
+
+def mcnemar_p_value(rep: DataFrame, statistic: str = "mcnemar_statistic", out: str = "mcnemar_p_value") -> DataFrame:
+    """P-value of the McNemar statistic, P(chi2 with 1 df > x) = erfc(sqrt(x / 2)).
+
+    Spark SQL has no erfc, so an Arrow-batched pandas UDF evaluates it on the
+    report table (one row per model).
+    """
+    return rep.withColumn(out, F.pandas_udf(_chi2_1_sf, "double")(F.col(statistic)))
+
+
+def _chi2_1_sf(x: pd.Series) -> pd.Series:
+    return x.map(lambda v: math.erfc(math.sqrt(v / 2.0)) if v is not None and v == v and v >= 0 else None)

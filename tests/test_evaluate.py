@@ -126,3 +126,9 @@ def test_compare_rank_best(spark):
     assert long.count() == 2 * 9
     ff = EV.fourfold(EV.confusion(a, 0.5, ["model"])).toPandas()
     assert np.allclose(ff.groupby("actual")["share"].sum(), 1.0)
+
+
+def test_mcnemar_p_value(spark):
+    rep = spark.createDataFrame([("a", 3.841458820694124), ("b", 0.0), ("c", None)], "model string, mcnemar_statistic double")
+    got = {r.model: r.mcnemar_p_value for r in EV.mcnemar_p_value(rep).collect()}
+    assert got["a"] == pytest.approx(0.05, abs=1e-9) and got["b"] == pytest.approx(1.0) and got["c"] is None
