@@ -317,19 +317,27 @@ def histogram_r(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------ B11, B13 box plots
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
-                  coef: float = 1.5, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                  coef: float = 1.5, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                  approx_accuracy: int | None = None) -> DataFrame:
     """Tukey five numbers, 1.5-IQR whiskers and outlier count.
 
     Hinges follow R's ``boxplot.stats``/``fivenum``: with n values and
     m = floor((n+3)/2)/2 the lower hinge is the mean of the floor(m)-th and
     ceil(m)-th smallest values (1-based), the median likewise at (n+1)/2.
     Order statistics come from a distributed histogram, never a global sort.
+    ``approx_accuracy`` switches the hinges to ``percentile_approx`` quartiles
+    (one pass, bounded memory per group; not Tukey hinges) for very large tables.
     """
     ids = [group_col] if group_col else []
     gk = ids + ["feature"]
     long = unpivot_long(df, ids, cols, "feature", "value", cast="double").where(F.col("value").isNotNull())
     st = long.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("ymin"),
                                F.max("value").alias("ymax"))
+    if approx_accuracy:
+        q = long.groupBy(*gk).agg(F.percentile_approx("value", [0.25, 0.5, 0.75], approx_accuracy).alias("_q"))
+        five = q.select(*gk, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("med"), F.col("_q")[2].alias("q3")) \
+            .join(st, gk)
+        return _whiskers(long, five, gk, coef)
     n = F.col("_n")
     m = F.floor((n + 3) / 2) / 2
     pos = {"q1": m, "med": (n + 1) / 2, "q3": n + 1 - m}
@@ -343,6 +351,11 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], group_col: str | None = No
         ((F.max(F.when(F.col("key") == k, F.col("x"))) + F.max(F.when(F.col("key") == k + "_hi", F.col("x"))))
          / 2).alias(k) for k in pos])
     five = piv.join(st, gk)
+    return _whiskers(long, five, gk, coef)
+
+
+def _whiskers(long: DataFrame, five: DataFrame, gk: list, coef: float) -> DataFrame:
+    """1.5-IQR whiskers and outlier count: one pass joined to the per-group hinges (broadcast)."""
     iqr = F.col("q3") - F.col("q1")
     five = five.withColumn("_lf", F.col("q1") - coef * iqr).withColumn("_uf", F.col("q3") + coef * iqr)
     # five: one row per (group, feature) -> broadcast for the whisker pass

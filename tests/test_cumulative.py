@@ -65,3 +65,13 @@ def test_boxplot_tukey_hinges(spark, n):
     lo, hi = f[1] - 1.5 * iqr, f[3] + 1.5 * iqr
     assert r.n_out == int(((x < lo) | (x > hi)).sum())
     assert r.whisker_hi == x[x <= hi].max() and r.whisker_lo == x[x >= lo].min()
+
+
+def test_boxplot_approx_path_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=5001)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    a = P.boxplot_stats(df, ["x"], approx_accuracy=100_000).first()
+    f = fivenum(x)
+    assert abs(a.med - f[2]) < 0.01 and abs(a.q1 - f[1]) < 0.01 and abs(a.q3 - f[3]) < 0.01
+    assert a.n == 5001 and a.ymin == x.min()
