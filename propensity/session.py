@@ -23,7 +23,7 @@ _DEFAULTS = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "propensity") -> SparkSession:
+              app_name: str = "propensity", extra: dict | None = None) -> SparkSession:
     """Return the active session or build a local one (tests, bench)."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -36,6 +36,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("PROPENSITY_DRIVER_MEMORY", "16g"))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
