@@ -3,9 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+import tools.parity as TP
 from tests.conftest import SMALL
 from tools.parity import compare, duck
 
+TP.STRICT = True   # both sides round to 6 places; the rounded doubles must be identical
+
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
 
