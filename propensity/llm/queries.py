@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from propensity.llm.common import table
 
@@ -20,12 +22,50 @@ def op4_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's path is its source, language and number."""
+    from propensity.llm.license_scan import license_scan
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan(table(spark, sf_dir, "documents"), path, "doc_id")
+
+
+def op8_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.pii_boost import personal_data
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from propensity.llm.line_rules import line_rules
     return line_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_cws_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.cws_fingerprint import fingerprints
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.word_bpe import encode_decode
+    return encode_decode(table(spark, sf_dir, "documents"), P.path("word_bpe_49k.json"))
+
+
+def op5_piece_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.piece_count import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), P.path("piece_bpe_32k.model"))
+
+
+def op6_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.repair_tokens import read_store, write_store
+    return read_store(write_store(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json")))
+
+
+def op10_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.bestfit_pack import pack
+    return pack(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op4_simhash_gray, op9_line_rules)}
+    f.__name__: f for f in (op1_quality_classifier, op2_cws_fingerprint, op3_word_bpe, op4_simhash_gray, op5_piece_count,
+                               op6_repair_tokens, op7_license_scan, op8_pii_boost, op9_line_rules, op10_bestfit_pack)}
 
 ORACLES: dict[str, str] = {}

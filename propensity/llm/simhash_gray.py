@@ -151,14 +151,16 @@ def surviving_pairs(leaves: DataFrame, levels: int, max_bits: int = MAX_BITS) ->
     for _ in range(levels - 1):
         tree.append(tree[-1].groupBy(F.shiftright("node", FAN_BITS).alias("node"))
                     .agg(F.bit_and("ones").alias("ones"), F.bit_or("any").alias("any")))
-    root = leaves.select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).distinct()
-    pairs = root
+    pairs = None
     for level in reversed(tree):
         child = level.withColumn("up", F.shiftright("node", FAN_BITS))
-        pairs = (pairs.join(child.alias("x"), F.col("a") == F.col("x.up"))
-                 .join(child.alias("y"), (F.col("b") == F.col("y.up")) & (F.col("x.node") <= F.col("y.node"))
-                       & (apart("x", "y") <= max_bits))
-                 .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+        x, y = child.alias("x"), child.alias("y")
+        near = (F.col("x.node") <= F.col("y.node")) & (apart("x", "y") <= max_bits)
+        if pairs is None:       # the children of the root
+            joined = x.join(y, (F.col("x.up") == F.col("y.up")) & near)
+        else:
+            joined = pairs.join(x, F.col("a") == F.col("x.up")).join(y, (F.col("b") == F.col("y.up")) & near)
+        pairs = joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return pairs
 
 
