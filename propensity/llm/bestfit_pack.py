@@ -35,6 +35,8 @@ LIMIT = 1024
 END_ID = 2
 #: Pieces that one task ranks, about.
 BUCKET_ROWS = 50_000
+#: Text that is encoded together: larger slices repeat fewer chunks.
+SLICE_BYTES = 8 << 20
 _RANK_BITS = 50
 
 
@@ -46,8 +48,8 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, limit: int = LIMIT,
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for part in TB.slices(batch):
-                flat, at = encoder(path).encode(part.column("text").to_pylist())
+            for part in TB.slices(batch, target=SLICE_BYTES):
+                flat, at = encoder(path).encode(part.column("text"))
                 flat = np.insert(flat, at[1:], end_id).astype("<u4")
                 at = at + np.arange(len(at))
                 size = np.diff(at)

@@ -90,7 +90,8 @@ class Grammar:
         return symbols[stay], stay
 
 
-def compress(entry: np.ndarray, per_doc: np.ndarray, ids: np.ndarray, count: np.ndarray, vocabulary: int, end_id: int):
+def compress(entry: np.ndarray, per_doc: np.ndarray, ids: np.ndarray, start: np.ndarray, count: np.ndarray,
+             vocabulary: int, end_id: int):
     """(grammar, symbols, end of each document in the symbols) of texts given as chunk entries."""
     grammar = Grammar(vocabulary)
     often = np.bincount(entry, minlength=len(count))
@@ -98,7 +99,7 @@ def compress(entry: np.ndarray, per_doc: np.ndarray, ids: np.ndarray, count: np.
     new = np.cumsum(often > 0) - 1
     entry, often = new[entry], often[kinds].astype(float)
     size = count[kinds]
-    symbols = ids[ragged((np.cumsum(count) - count)[kinds], size)].astype(np.int64)
+    symbols = ids[ragged(start[kinds], size)].astype(np.int64)
     chunk = np.repeat(np.arange(len(kinds)), size)
     for _ in range(CHUNK_ROUNDS):
         joins = np.zeros(len(symbols), dtype=bool)
@@ -126,7 +127,7 @@ def _write(rows: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[p
     enc = encoder(path)
 
     def shard(held: list[pa.RecordBatch], no: int) -> pa.RecordBatch:
-        texts = [x for b in held for x in b.column("text").to_pylist()]
+        texts = pa.concat_arrays([b.column("text") for b in held])
         doc_ids = np.concatenate([b.column("doc_id").fill_null(NO_ID).to_numpy() for b in held])
         grammar, symbols, ends = compress(*enc.entries(texts), enc.size, end_id)
         row = {"part": part, "shard": no, "vocabulary": enc.size, "n_docs": len(texts),

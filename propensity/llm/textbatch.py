@@ -96,9 +96,9 @@ def word_codes(starts: np.ndarray, ends: np.ndarray, data: np.ndarray, is_word:
     return codes(strings(at, data[is_word[data]]))
 
 
-def lines(offsets: np.ndarray, data: np.ndarray):
-    """(starts, ends, document) of the \\n-split lines."""
-    breaks = np.flatnonzero(data == 10)
+def lines(offsets: np.ndarray, data: np.ndarray, mark: int = 10):
+    """(starts, ends, document) of the lines: what lies between ``mark`` bytes (default: line breaks)."""
+    breaks = np.flatnonzero(data == mark)
     starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
     ends = np.sort(np.concatenate([offsets[1:], breaks]), kind="stable")
     per = 1 + np.diff(np.searchsorted(breaks, offsets, side="left"))
