@@ -3,7 +3,7 @@
 The terms of a text are its lower-cased words, weighted by how often they
 occur. For each of ``SAMPLES`` samples every term draws r and c from
 Gamma(2, 1) and beta from (0, 1), all from a hash of the term and the sample's
-number, so they are the same in every text:
+number, so they are the same in every text (the gamma draws by quantile tables):
 
     t = floor(ln(weight) / r + beta)        ln a = ln c - r (t - beta + 1)
 
@@ -22,38 +22,52 @@ one; columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensity.llm.common import doc_text
+from propensity.llm.common import doc_text, saved
 
 SAMPLES = 64
-#: Documents that are dealt together, about; ranges whose bounds are literals.
+#: Documents of a range and of a partition, about; quantiles that bound the ranges.
 RANGE_ROWS = 500
+PART_ROWS = 1_000
 COARSE = 64
+#: Draws are quantiles of so many cells; the least 1 / TAIL of c has as many cells of its own.
+CELLS = 4096
+TAIL = 64
 
 _SEPARATORS = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 # --- samples --------------------------------------------------------------------------------------------------
 
-def _uniform(bits: Column, shift: int, width: int) -> Column:
-    """A number strictly between 0 and 1 from ``width`` bits."""
-    cell = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
-    return (cell.cast("double") + 0.5) * (0.5 ** width)
+def _quantile(u: Column) -> Column:
+    """Inverse of the Gamma(2, 1) distribution, 1 - (1 + x) exp(-x), by Newton steps from its inflection."""
+    step = lambda x, _: x - (1 - (1 + x) * F.exp(-x) - u) / (x * F.exp(-x))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.lit(1.0), step)
 
 
-def sample(term: Column, log_weight: Column, number: int) -> Column:
+def gamma_tables(spark: SparkSession) -> tuple[Column, Column]:
+    """r by 12 bits; ln c by 12 bits, then the least 1/64 of it by 12 further bits. Scalar subqueries: one row each."""
+    cells = F.sequence(F.lit(0), F.lit(CELLS - 1))
+    of = lambda share, fn: F.transform(cells, lambda i: fn(_quantile((i + 0.5) * (share / CELLS))))
+    one = spark.range(1)
+    return (one.select(of(1.0, lambda x: x).alias("r")).scalar(),
+            one.select(F.concat(of(1.0, F.ln), of(1.0 / TAIL, F.ln)).alias("c")).scalar())
+
+
+def sample(term: Column, log_weight: Column, number: int, tables: tuple[Column, Column]) -> Column:
     """ln a (upper bits) and 18 bits that tell the term and its t, as one comparable integer."""
     x = F.xxhash64(term, F.lit(number))
-    y = F.xxhash64(x)
-    r = -F.ln(_uniform(x, 0, 24) * _uniform(x, 24, 24))
-    beta = _uniform(x, 48, 16)
-    c = -F.ln(_uniform(y, 0, 24) * _uniform(y, 24, 24))
+    bits = lambda shift, width: F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << width) - 1))
+    r = F.get(tables[0], bits(0, 12).cast("int"))
+    coarse = bits(12, 12).cast("int")
+    log_c = F.get(tables[1], F.when(coarse < CELLS // TAIL, bits(24, 12).cast("int") + CELLS).otherwise(coarse))
+    beta = (bits(36, 16).cast("double") + 0.5) * 0.5 ** 16
     t = F.floor(log_weight / r + beta)
-    log_a = F.ln(c) - r * (t - beta + 1)                      # between -70 and 10
-    tag = F.shiftrightunsigned(y, 46).bitwiseXOR(t * F.lit(7919)).bitwiseAND(F.lit((1 << 18) - 1))
-    return F.shiftleft(((log_a + 80) * float(1 << 38)).cast("long"), 18).bitwiseOR(tag)
+    log_a = log_c - r * (t - beta + 1)                        # between -80 and 10
+    tag = F.shiftrightunsigned(x, 46).bitwiseXOR(t * F.lit(7919)).bitwiseAND(F.lit((1 << 18) - 1))
+    return F.shiftleft(((log_a + 90) * float(1 << 38)).cast("long"), 18).bitwiseOR(tag)
 
 
 def signatures(texts: DataFrame, keys: list[str], n_samples: int = SAMPLES) -> DataFrame:
@@ -64,7 +78,8 @@ def signatures(texts: DataFrame, keys: list[str], n_samples: int = SAMPLES) -> D
     words = texts.select(*keys, F.explode(F.split(F.lower("body"), _SEPARATORS)).alias("word")).where("word != ''")
     terms = words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     terms = terms.select(*keys, "term", F.ln(F.col("n").cast("double")).alias("w"))
-    best = terms.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("w"), k)).alias(f"s{k}")
+    tables = gamma_tables(texts.sparkSession)
+    best = terms.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("w"), k, tables)).alias(f"s{k}")
                                       for k in range(n_samples)])
     return best.select(*keys, F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(0xFFFF)).cast("int")
                                         for k in range(n_samples)]).alias("samples"))
@@ -125,20 +140,17 @@ def fingerprints(docs: DataFrame, n_samples: int = SAMPLES) -> DataFrame:
     many (or all) of the next document.
     """
     given = dealt(docs)
-    heads = given.groupBy("range").agg(F.min("doc_id").alias("doc_id"))
-    first = given.join(heads.select("range", F.col("doc_id").alias("h")), "range").where(F.col("doc_id").eqNullSafe(F.col("h")))
-    first = first.groupBy("range").agg(F.min("text").alias("body"))               # one text per range
-    first = first.join(signatures(first, ["range"], n_samples), "range", "left").select(
-        F.col("range").alias("after"), F.col("body").alias("head"), F.col("samples").alias("head_samples"))
-    follow = _following_ranges(given).join(first, "after").drop("after")
-
+    n_parts = max(1, -(-given.count() // PART_ROWS))
     inside = Window.partitionBy("range").orderBy("doc_id", "text")
-    rows = given.drop("coarse").withColumn("place", F.row_number().over(inside)).withColumn("next", F.lead("text").over(inside))
-    last = rows.join(follow.select("range", "head"), "range")
+    rows = given.drop("coarse").repartition(n_parts, "range").withColumn("place", F.row_number().over(inside)) \
+        .withColumn("next", F.lead("text").over(inside))
+    heads = rows.where("place = 1").select(F.col("range").alias("after"), F.col("text").alias("head"))
+    follow = _following_ranges(given)
+    rows = rows.join(follow.join(heads, "after").select("range", "head"), "range")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half),
                       F.substring(F.coalesce("next", "head"), F.lit(1), half))
-    rows = last.select("range", "place", "doc_id", "text", edited.alias("edited"))
+    rows = rows.select("range", "place", "doc_id", "text", edited.alias("edited"))
 
     both = rows.select("range", "place", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("text").alias("body")),
@@ -149,13 +161,15 @@ def fingerprints(docs: DataFrame, n_samples: int = SAMPLES) -> DataFrame:
     facts = rows.select("range", "place", "doc_id", F.length("text").cast("long").alias("n_chars"),
                         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     none = F.array(*[F.lit(0xFFFF)] * n_samples)
-    got = facts.join(found, ["range", "place"], "left").join(follow.select("range", "head_samples"), "range")
-    order = Window.partitionBy("range").orderBy("place")
-    own = F.coalesce("own", none)
-    got = got.withColumn("own", own).withColumn("changed", F.coalesce("changed", none))
-    after = F.when(F.lead("place").over(order).isNull(), F.coalesce("head_samples", none)).otherwise(F.lead("own").over(order))
-    return got.withColumn("after", after).select(
+    got = facts.join(found, ["range", "place"], "left").withColumns({
+        "own": F.coalesce("own", none), "changed": F.coalesce("changed", none)})
+    got = saved(got, "signatures")
+
+    heads = got.where("place = 1").select(F.col("range").alias("after"), F.col("own").alias("head"))
+    got = got.join(follow.join(heads, "after").select("range", "head"), "range")
+    after = F.coalesce(F.lead("own").over(Window.partitionBy("range").orderBy("place")), F.col("head"))
+    return got.withColumn("following", after).select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.col("after")).alias("near_next"))
+        likeness(F.col("own"), F.col("following")).alias("near_next"))
