@@ -1,9 +1,10 @@
 """Token ids by the tokenizers library, with equal chunks of text encoded once.
 
-A single space between two other characters always begins a new pre-token of
-the byte-level pattern, so a text may be cut there: its ids are the ids of its
-chunks (each with its leading space) one after another. Texts in which a space
-touches other white space are given to the library whole.
+A text may be cut where the byte-level pattern always begins a new pre-token:
+before a single space and on both sides of a single line break, if neither
+touches other white space, and between a letter and a full stop or comma that
+ends such a piece. Its ids are the ids of its chunks one after another. Texts in
+which a space or line break touches other white space go to the library whole.
 
 A tab between two chunks is a pre-token and a token of its own, so many new
 chunks are encoded in one call, joined by tabs.
@@ -23,6 +24,12 @@ MAX_CHUNKS = 1_200_000
 #: Chunks in one call.
 JOINED = 2048
 
+#: Where texts are cut, and the marks that are chunks of their own behind an ASCII letter.
+IS_CUT = TB.byte_set(b" \n")
+MARKS = b".,"
+IS_MARK = TB.byte_set(MARKS)
+IS_LETTER = TB.byte_set(bytes([*range(65, 91), *range(97, 123)]))
+
 
 def ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Positions start[0], start[0]+1, ... (count[0] of them), start[1], ..."""
@@ -68,14 +75,19 @@ class ChunkEncoder:
 
     def clear(self) -> None:
         self.rest: dict[bytes, int] = {}        # chunk without its leading space -> entry
-        self.first: dict[bytes, int] = {}       # chunk at the start of a text -> entry
+        self.first: dict[bytes, int] = {}       # chunk at the start of a text or line -> entry
         self.store = Store()
+        each = self._encoded([chr(b) for b in b"\n" + MARKS])
+        places = self.store.add(np.concatenate(each), np.array([len(x) for x in each]))
+        self.marks = dict(zip(b"\n" + MARKS, places))
+        self.of_mark = np.zeros(256, dtype=np.int64)
+        self.of_mark[list(self.marks)] = list(self.marks.values())
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has; each text begins with a space and has no tab."""
+        """Ids of all chunks in a row, and how many each has; none holds a tab or ends in white space."""
         groups = [texts[k:k + JOINED] for k in range(0, len(texts), JOINED)]
         ids, counts = [], []
         for group, got in zip(groups, self._encoded(["\t".join(g) for g in groups])):
@@ -90,65 +102,76 @@ class ChunkEncoder:
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate([*ids, none]).astype(np.int32), np.concatenate([*counts, none])
 
-    def _learn_rest(self, new: list[bytes]) -> None:
+    def _learn(self, known: dict[bytes, int], new: list[bytes], prefix: str) -> None:
         words = [w.decode() for w in new]
         edge = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], dtype=bool)
-        joined = [k for k, w in enumerate(words) if not edge[k] and "\t" not in w]
-        count = np.zeros(len(new), dtype=np.int64)
-        ids, count[joined] = self._chunks([" " + words[k] for k in joined])
-        order = np.array(joined, dtype=np.int64)
-        self.rest.update(zip([new[k] for k in joined], self.store.add(ids, count[order])))
+        plain = [k for k, w in enumerate(words) if not edge[k] and "\t" not in w]
+        known.update(zip([new[k] for k in plain], self.store.add(*self._chunks([prefix + words[k] for k in plain]))))
         odd = [k for k, w in enumerate(words) if edge[k] or "\t" in w]
         if odd:
-            each = self._encoded([" " + words[k] for k in odd])
-            places = self.store.add(np.concatenate(each), np.array([len(x) for x in each]), edge[odd])
-            self.rest.update(zip([new[k] for k in odd], places))
-
-    def _learn_first(self, new: list[bytes]) -> None:
-        words = [w.decode() for w in new]
-        each = self._encoded(words)
-        edge = np.array([bool(w) and (w[0].isspace() or w[-1].isspace()) for w in words], dtype=bool)
-        self.first.update(zip(new, self.store.add(np.concatenate(each), np.array([len(x) for x in each]), edge)))
+            each = self._encoded([prefix + words[k] for k in odd])
+            known.update(zip([new[k] for k in odd],
+                             self.store.add(np.concatenate(each), np.array([len(x) for x in each]), edge[odd])))
 
     def entries(self, column: pa.Array):
         """(entry of every chunk, chunks per text, ids of the store, first id and number of ids of each entry)."""
         offsets, data = TB.utf8(column)
-        start, end, doc = TB.lines(offsets, data, 32)
-        at = np.concatenate([[0], np.cumsum(end - start)])
-        coded = TB.strings(at, data[data != 32]).dictionary_encode()
-        kinds = coded.dictionary.to_pylist()
-        per = np.bincount(doc, minlength=len(column))
-        head = np.cumsum(per) - per
-        heads = coded.indices.to_numpy()[head]
+        n = len(column)
+        cut = IS_CUT[data]
+        start, end, doc = TB.cuts(offsets, cut)
+        # a mark that ends a piece is a chunk of its own
+        size = end - start
+        marked = size > 1
+        at = end[marked] - 1
+        marked[marked] = IS_MARK[data[at]] & IS_LETTER[data[at - 1]]
+        mark = data[end[marked] - 1]
+        keep = ~cut
+        keep[end[marked] - 1] = False
+        ends = np.concatenate([[0], np.cumsum(size - marked)])
+        coded = TB.strings(ends, data[keep]).dictionary_encode()
+        kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        head = np.ones(len(start), dtype=bool)
+        head[1:] = doc[1:] != doc[:-1]
+        broken, spaced = np.zeros(len(start), dtype=bool), np.zeros(len(start), dtype=bool)
+        spaced[~head] = data[start[~head] - 1] == 32
+        broken[~head] = ~spaced[~head]
         if len(self.rest) + len(self.first) + len(kinds) > self.max_chunks:
             self.clear()
-        new = [w for w in kinds if w not in self.rest]
-        if new:
-            self._learn_rest(new)
-        new = [kinds[k] for k in np.unique(heads).tolist() if kinds[k] not in self.first]
-        if new:
-            self._learn_first(new)
-        place = np.fromiter(map(self.rest.__getitem__, kinds), dtype=np.int64, count=len(kinds))
-        entry = place[coded.indices.to_numpy()]
-        entry[head] = [self.first[kinds[k]] for k in heads.tolist()]
-        bad = self.store.edge[entry]
-        many = per > 1
-        bad[head] |= (self.store.count[entry[head]] == 0) & many        # a text that begins with a space
+        entry = np.zeros(len(start), dtype=np.int64)
+        for known, prefix, mine in ((self.rest, " ", spaced), (self.first, "", ~spaced)):
+            used = np.flatnonzero(np.bincount(code[mine], minlength=len(kinds)))
+            names = [kinds[k] for k in used.tolist()]
+            new = [w for w in names if w not in known]
+            if new:
+                self._learn(known, new, prefix)
+            place = np.zeros(len(kinds), dtype=np.int64)
+            place[used] = np.fromiter(map(known.__getitem__, names), dtype=np.int64, count=len(names))
+            entry[mine] = place[code[mine]]
         s = self.store
-        whole = np.flatnonzero(np.bincount(doc[bad], minlength=len(column)))
+        alone = head.copy()
+        alone[:-1] &= head[1:]
+        bad = s.edge[entry] & ~(alone & (size == 0))
+        # line break, chunk, mark
+        per = 1 + broken + marked
+        first = np.cumsum(per) - per
+        out = np.zeros(int(per.sum()), dtype=np.int64)
+        out[first + broken] = entry
+        out[first[broken]] = self.marks[10]
+        out[(first + broken)[marked] + 1] = self.of_mark[mark]
+        whole = np.flatnonzero(np.bincount(doc[bad], minlength=n))
+        chunks = np.bincount(doc, weights=per, minlength=n).astype(np.int64)
         if not len(whole):
-            return entry, per, s.ids[:s.used], s.start[:s.n], s.count[:s.n]
+            return out, chunks, s.ids[:s.used], s.start[:s.n], s.count[:s.n]
         # these texts become one chunk each
         each = self._encoded([column[int(i)].as_py() for i in whole])
-        size = np.array([len(x) for x in each])
-        drop = np.zeros(len(column), dtype=bool)
-        drop[whole] = True
-        stay = ~drop[doc]
-        stay[head[whole]] = True
-        entry[head[whole]] = s.n + np.arange(len(whole))
-        per[whole] = 1
-        return (entry[stay], per, np.concatenate([s.ids[:s.used], *each]),
-                np.concatenate([s.start[:s.n], s.used + np.cumsum(size) - size]), np.concatenate([s.count[:s.n], size]))
+        length = np.array([len(x) for x in each])
+        begin = np.cumsum(chunks) - chunks
+        stay = np.ones(len(out), dtype=bool)
+        stay[ragged(begin[whole] + 1, chunks[whole] - 1)] = False
+        out[begin[whole]] = s.n + np.arange(len(whole))
+        chunks[whole] = 1
+        return (out[stay], chunks, np.concatenate([s.ids[:s.used], *each]),
+                np.concatenate([s.start[:s.n], s.used + np.cumsum(length) - length]), np.concatenate([s.count[:s.n], length]))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of each text in them."""

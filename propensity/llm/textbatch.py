@@ -96,15 +96,20 @@ def word_codes(starts: np.ndarray, ends: np.ndarray, data: np.ndarray, is_word:
     return codes(strings(at, data[is_word[data]]))
 
 
-def lines(offsets: np.ndarray, data: np.ndarray, mark: int = 10):
-    """(starts, ends, document) of the lines: what lies between ``mark`` bytes (default: line breaks)."""
-    breaks = np.flatnonzero(data == mark)
+def cuts(offsets: np.ndarray, cut: np.ndarray):
+    """(starts, ends, document) of what lies between the bytes flagged in ``cut``; never across documents."""
+    breaks = np.flatnonzero(cut)
     starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
     ends = np.sort(np.concatenate([offsets[1:], breaks]), kind="stable")
     per = 1 + np.diff(np.searchsorted(breaks, offsets, side="left"))
     return starts, ends, np.repeat(np.arange(len(offsets) - 1), per)
 
 
+def lines(offsets: np.ndarray, data: np.ndarray):
+    """(starts, ends, document) of the \\n-split lines."""
+    return cuts(offsets, data == 10)
+
+
 def line_codes(starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> np.ndarray:
     at = np.zeros(len(starts) + 1, dtype=np.int64)
     np.cumsum(ends - starts, out=at[1:])
