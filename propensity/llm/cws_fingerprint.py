@@ -47,22 +47,20 @@ def _quantile(u: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.lit(1.0), step)
 
 
-def gamma_tables(spark: SparkSession) -> tuple[Column, Column]:
-    """r by 12 bits; ln c by 12 bits, then the least 1/64 of it by 12 further bits. Scalar subqueries: one row each."""
+def gamma_table(spark: SparkSession) -> Column:
+    """Quantiles as one array, a scalar subquery: r by 12 bits, ln c by 12 bits, the least 1/64 of ln c by 12 further bits."""
     cells = F.sequence(F.lit(0), F.lit(CELLS - 1))
     of = lambda share, fn: F.transform(cells, lambda i: fn(_quantile((i + 0.5) * (share / CELLS))))
-    one = spark.range(1)
-    return (one.select(of(1.0, lambda x: x).alias("r")).scalar(),
-            one.select(F.concat(of(1.0, F.ln), of(1.0 / TAIL, F.ln)).alias("c")).scalar())
+    return spark.range(1).select(F.concat(of(1.0, lambda x: x), of(1.0, F.ln), of(1.0 / TAIL, F.ln)).alias("q")).scalar()
 
 
-def sample(term: Column, log_weight: Column, number: int, tables: tuple[Column, Column]) -> Column:
+def sample(term: Column, log_weight: Column, number: int, table: Column) -> Column:
     """ln a (upper bits) and 18 bits that tell the term and its t, as one comparable integer."""
     x = F.xxhash64(term, F.lit(number))
     bits = lambda shift, width: F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << width) - 1))
-    r = F.get(tables[0], bits(0, 12).cast("int"))
+    r = F.get(table, bits(0, 12).cast("int"))
     coarse = bits(12, 12).cast("int")
-    log_c = F.get(tables[1], F.when(coarse < CELLS // TAIL, bits(24, 12).cast("int") + CELLS).otherwise(coarse))
+    log_c = F.get(table, F.when(coarse < CELLS // TAIL, bits(24, 12).cast("int") + 2 * CELLS).otherwise(coarse + CELLS))
     beta = (bits(36, 16).cast("double") + 0.5) * 0.5 ** 16
     t = F.floor(log_weight / r + beta)
     log_a = log_c - r * (t - beta + 1)                        # between -80 and 10
@@ -77,9 +75,9 @@ def signatures(texts: DataFrame, keys: list[str], n_samples: int = SAMPLES) -> D
     """
     words = texts.select(*keys, F.explode(F.split(F.lower("body"), _SEPARATORS)).alias("word")).where("word != ''")
     terms = words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
-    terms = terms.select(*keys, "term", F.ln(F.col("n").cast("double")).alias("w"))
-    tables = gamma_tables(texts.sparkSession)
-    best = terms.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("w"), k, tables)).alias(f"s{k}")
+    terms = terms.select(*keys, "term", F.ln(F.col("n").cast("double")).alias("w"),
+                         gamma_table(texts.sparkSession).alias("q"))
+    best = terms.groupBy(*keys).agg(*[F.min(sample(F.col("term"), F.col("w"), k, F.col("q"))).alias(f"s{k}")
                                       for k in range(n_samples)])
     return best.select(*keys, F.array(*[F.col(f"s{k}").bitwiseAND(F.lit(0xFFFF)).cast("int")
                                         for k in range(n_samples)]).alias("samples"))
