@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ class Grammar:
         if not len(at):
             return symbols, stay
         bound = self.vocabulary + len(self.rules)
-        keys, name = np.unique(symbols[at] * bound + symbols[at + 1], return_inverse=True)
+        name, keys = pd.factorize(symbols[at] * bound + symbols[at + 1])
         count = np.bincount(name, weights=None if weight is None else weight[at])
         rank = np.zeros(len(symbols) + 1)               # of the pair that begins at each place
         rank[at] = np.where(count >= min_count, count, 0)[name]
@@ -204,9 +205,10 @@ def read_store(store: DataFrame) -> DataFrame:
                 begin = np.concatenate([[0], ends[:-1]])
                 raw = ids.astype("<u4").view(np.uint8).data
                 crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begin.tolist(), ends.tolist())]
+                n = len(begin)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(shard.doc_ids, mask=shard.doc_ids == NO_ID),
-                    "start": pa.array(begin + row["before"]),
+                    "part": pa.array(np.full(n, row["part"], np.int32)), "shard": pa.array(np.full(n, row["shard"], np.int32)),
+                    "doc_id": pa.array(shard.doc_ids, mask=shard.doc_ids == NO_ID), "begin": pa.array(begin),
                     "n_tokens": pa.array(ends - begin), "ids_crc32": pa.array(crc, pa.int64())})
 
     parts = store.groupBy("part").agg(F.sum("n_tokens").alias("all"))       # a row per part, 16 MB of text each
@@ -215,5 +217,6 @@ def read_store(store: DataFrame) -> DataFrame:
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     sizes = sizes.select("part", "shard", inside.alias("inside")).join(parts, "part")
     sizes = sizes.select("part", "shard", (F.col("inside") + F.col("earlier")).alias("before"))
-    return map_arrow(store.join(sizes, ["part", "shard"]).drop("part", "shard"), decoded,
-                     "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = map_arrow(store, decoded, "part int, shard int, doc_id long, begin long, n_tokens long, ids_crc32 long")
+    return rows.join(sizes, ["part", "shard"]).select("doc_id", (F.col("begin") + F.col("before")).alias("start"),
+                                                      "n_tokens", "ids_crc32")

@@ -268,9 +268,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
 def representatives(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of repeated rows, one).
 
-    A component whose documents all lack a doc_id keeps one of them.
+    A document without doc_id goes by a number made from its text, larger than
+    any doc_id below 2^62, so it stays only if no document with one is near.
     """
-    firsts = (near_duplicates(docs, width, max_bits).groupBy("component_id")
-              .agg(F.min("doc_id").alias("_first")).select("_first").distinct())
-    named = docs.where("doc_id is not null").join(firsts, docs["doc_id"] == firsts["_first"], "left_semi")
-    return named.dropDuplicates(["doc_id"])
+    top = 1 << 62
+    stand_in = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(top - 1)).bitwiseOR(F.lit(top))
+    keyed = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    found = near_duplicates(keyed.select(F.col("_near_id").alias("doc_id"), "text"), width, max_bits)
+    firsts = found.select(F.col("component_id").alias("_near_id")).distinct()
+    return keyed.join(firsts, "_near_id", "left_semi").dropDuplicates(["_near_id"]).select(*docs.columns)
