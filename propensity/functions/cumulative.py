@@ -1,99 +1,85 @@
 """Distributed running sums and exact order statistics.
 
 Running sums over an ordered histogram (ROC / PR curves, exact quantiles,
-Youden) are the one place where a naive plan puts all rows into a single
-window partition. ``running_totals`` avoids that:
+Youden) are the one place where a naive plan puts a whole group into a single
+window partition. ``running_totals`` avoids that with one lazy plan, whatever
+the size:
 
-1. the input is a *histogram* (one row per distinct ordering value and
-   group), so a value held by a third of all rows is already one row;
-2. if a group has more than ``rows_per_bucket`` rows, its ordering values are
-   cut into ranges by approximate quantiles (``percentile_approx``, exactness
-   is not needed for a cut point), each range gets its own window partition,
-   and per-range totals -- a tiny table, ``groups x buckets`` rows -- give
-   each range its starting offset (broadcast, bounded by construction);
-3. otherwise a plain per-group window is used.
+1. the input is a *histogram* (one row per distinct ordering value and group),
+   so a value held by a third of all rows is already one row;
+2. it is range-partitioned by group and value, and summed within each range;
+3. the last row of a group in a range carries the range's total to every later
+   range (a few rows: groups x ranges x later ranges), where a second window
+   adds up what has arrived.
 
-Both paths give identical, exact results; the tests force the bucketed one.
+No job runs while the plan is built, nothing is cached, and a range's number is
+computed once, in the stage that deals the ranges out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-MAX_OFFSET_ROWS = 2_000_000   # groups x buckets above this is joined without broadcast
-
 
 def running_totals(hist: DataFrame, order_col: str, value_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                   suffix: str = "_cum") -> DataFrame:
+                   n_ranges: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``value_cols`` along ``order_col`` per group.
 
     ``hist`` must hold one row per (partition_cols, order_col) value.
-    Adds ``<value>_cum`` columns.
+    Adds ``<value>_cum`` columns. ``n_ranges`` (default: the session's shuffle
+    partitions) is the number of ranges the rows are dealt to.
     """
     parts = list(partition_cols)
-    if not parts:   # a constant group key instead of a global window / cross join
+    if not parts:   # a constant group key instead of a global window
         out = running_totals(hist.withColumn("_g0", F.lit(0)), order_col, value_cols, ["_g0"],
-                             descending, rows_per_bucket, suffix)
+                             descending, n_ranges, suffix)
         return out.drop("_g0")
+    n = n_ranges or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    # the sizing job below and the final plan both read the histogram: build it once
-    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = hist.groupBy(*parts).count()
-    # one row per group: bounded by the number of groups (features, models)
-    max_n = sizes.agg(F.max("count")).first()[0] or 0
-    nb = min(MAX_BUCKETS, max(1, math.ceil(max_n / max(rows_per_bucket, 1))))
-    if nb <= 1:
-        w = Window.partitionBy(*parts).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return hist.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in value_cols])
-
-    probs = [i / nb for i in range(1, nb)]
-    bounds = hist.groupBy(*parts).agg(F.percentile_approx(order_col, probs, 10_000).alias("_bounds"))
-    n_groups = sizes.count()
-    b = hist.join(F.broadcast(bounds), parts, "inner")   # one row per group: bounded
-    rank_in = F.size(F.filter("_bounds", lambda x: x < F.col(order_col)))
-    bucket = (F.lit(nb - 1) - rank_in) if descending else rank_in
-    b = b.withColumn("_bucket", bucket).drop("_bounds")
-    totals = b.groupBy(*parts, "_bucket").agg(*[F.sum(c).alias(c + "_t") for c in value_cols])
-    wo = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "_bucket",
-                            *[F.coalesce(F.sum(c + "_t").over(wo), F.lit(0)).alias(c + "_off")
-                              for c in value_cols])
-    if n_groups * nb <= MAX_OFFSET_ROWS:
-        offsets = F.broadcast(offsets)
-    j = b.join(offsets, parts + ["_bucket"], "inner")
-    w = Window.partitionBy(*parts, "_bucket").orderBy(o) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = j.select("*", *[(F.sum(c).over(w) + F.col(c + "_off")).alias(c + suffix) for c in value_cols])
-    return out.drop("_bucket", *[c + "_off" for c in value_cols])
+    ranged = hist.repartitionByRange(n, *[F.col(p) for p in parts], o).withColumn("_range", F.spark_partition_id())
+    inside = Window.partitionBy(*parts, "_range").orderBy(o)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.select("*", *[F.sum(c).over(so_far).alias(f"_in_{i}") for i, c in enumerate(value_cols)],
+                           F.lead(F.lit(1)).over(inside).isNull().alias("_last"))
+    # the last row of a range goes on as a carrier to every later range of the plan
+    to = F.when(F.col("_last"), F.sequence(F.col("_range"), F.lit(n - 1))).otherwise(F.array("_range"))
+    sent = summed.withColumn("_to", F.explode(to))
+    arrived = Window.partitionBy(*parts, "_to")
+    carried = [F.coalesce(F.sum(F.when(F.col("_to") != F.col("_range"), F.col(f"_in_{i}"))).over(arrived), F.lit(0))
+               for i in range(len(value_cols))]
+    out = sent.select("*", *[(F.col(f"_in_{i}") + c).alias(v + suffix)
+                             for (i, v), c in zip(enumerate(value_cols), carried)])
+    return out.where(F.col("_to") == F.col("_range")).drop(
+        "_range", "_to", "_last", *[f"_in_{i}" for i in range(len(value_cols))])
 
 
 def order_statistics(long_df: DataFrame, group_cols: Sequence[str], value_col: str,
-                     positions: DataFrame, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                     positions: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """Exact k-th smallest values (0-based ``k``) per group, without sorting rows.
 
-    ``positions``: (group_cols..., key, k) -- a small table of wanted ranks.
+    ``positions``: (group_cols..., key, k) -- the wanted ranks.
     Returns (group_cols..., key, x) where x is the k-th smallest non-null value.
-    Work: one histogram (partial aggregation), bucketed running counts, and a
-    broadcast hash join of the histogram against the small rank table.
     """
     g = list(group_cols)
     if not g:
         long_df = long_df.withColumn("_g0", F.lit(0))
         positions = positions.withColumn("_g0", F.lit(0))
-        return order_statistics(long_df, ["_g0"], value_col, positions, rows_per_bucket).drop("_g0")
+        return order_statistics(long_df, ["_g0"], value_col, positions, n_ranges).drop("_g0")
     hist = (long_df.where(F.col(value_col).isNotNull())
             .groupBy(*g, F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(hist, "_v", ["_c"], g, rows_per_bucket=rows_per_bucket)
-    pos = F.broadcast(positions.select(*g, F.col("key").alias("_pkey"), F.col("k").alias("_pk")))  # bounded
-    j = cum.join(pos, g, "inner")
-    hit = j.where((F.col("_c_cum") - F.col("_c") <= F.col("_pk")) & (F.col("_pk") < F.col("_c_cum")))
+    return histogram_statistics(hist, g, positions, n_ranges)
+
+
+def histogram_statistics(hist: DataFrame, group_cols: Sequence[str], positions: DataFrame,
+                         n_ranges: int | None = None) -> DataFrame:
+    """``order_statistics`` of a histogram (group_cols..., _v, _c)."""
+    g = list(group_cols)
+    cum = running_totals(hist, "_v", ["_c"], g, n_ranges=n_ranges)
+    pos = positions.select(*g, F.col("key").alias("_pkey"), F.col("k").alias("_pk"))
+    hit = cum.join(pos, g, "inner").where(
+        (F.col("_c_cum") - F.col("_c") <= F.col("_pk")) & (F.col("_pk") < F.col("_c_cum")))
     return hit.select(*g, F.col("_pkey").alias("key"), F.col("_v").alias("x"))

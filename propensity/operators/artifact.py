@@ -15,7 +15,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propensity.functions.columns import unpivot_long
+from propensity.functions.columns import isin_safe, unpivot_long
 from propensity.operators import features as FE
 
 
@@ -26,9 +26,9 @@ class PrepSpec:
     lump: list[str] = field(default_factory=list)          # D4, then one-hot
     onehot: list[str] = field(default_factory=list)        # D5 without lumping
     visitor: str | None = None                             # D1
-    visitor_yes: str = "Returning_Visitor"
+    visitor_yes: str = "Returning_Visitor"                 # fixed values: the two types that count
     visitor_no: str = "New_Visitor"
-    imputed_name: str = "isReturningVisitor"
+    imputed_name: str = "is_returning"
     month: str | None = None                               # D2 -> 'quarter', one-hot
     label: str | None = None                               # D8
     positive: int = 1
@@ -57,9 +57,8 @@ class Artifact:
             cols.append(FE.prob_impute(s.visitor, self.prob_returning, s.visitor_yes, s.visitor_no)
                         .alias(s.imputed_name))
         for c, e in self._categoricals().items():
-            for level in sorted(self.onehot_levels[c])[1:]:
-                cols.append(F.when(e.isNull(), F.lit(None).cast("double"))
-                            .otherwise((e == F.lit(level)).cast("double")).alias(f"{c}_{level}"))
+            levels = sorted(self.onehot_levels[c])
+            cols += [FE.dummy(e, levels, level).alias(f"{c}_{level}") for level in levels[1:]]
         if s.label:
             cols.append(FE.target_label(s.label, s.positive).alias("label"))
         return df.select(*cols)
@@ -126,7 +125,7 @@ def fit_artifact(train: DataFrame, spec: PrepSpec) -> Artifact:
     # job 1: moments and the imputation probability in one aggregation
     ex = [F.log1p(F.col(c).cast("double")) if spec.log1p else F.col(c).cast("double") for c in spec.numeric]
     aggs = [F.avg(e).alias(f"m{i}") for i, e in enumerate(ex)] + \
-           [F.stddev_samp(e).alias(f"s{i}") for i, e in enumerate(ex)]
+           [F.stddev_samp(e).alias(f"s{i}") for i, e in enumerate(ex)] + [F.count(F.lit(1)).alias("n")]
     if spec.visitor:
         v = F.col(spec.visitor)
         aggs.append(F.avg(F.when(v == spec.visitor_yes, 1.0).when(v == spec.visitor_no, 0.0)).alias("p"))
@@ -134,27 +133,20 @@ def fit_artifact(train: DataFrame, spec: PrepSpec) -> Artifact:
     means = {c: float(r[f"m{i}"] or 0.0) for i, c in enumerate(spec.numeric)}
     sds = {c: float(r[f"s{i}"] or 0.0) for i, c in enumerate(spec.numeric)}
     p = float(r["p"] if r["p"] is not None else 0.0) if spec.visitor else None
-    # job 2: (feature, level) counts of all categoricals in one pass; the
-    # kept levels and the one-hot level lists both follow from it
+    # job 2: (feature, level) counts of all categoricals in one pass. Rare levels
+    # of lumped columns stay in Spark; "Other" is always there for them and for
+    # levels that train has not seen.
     cat_cols = {c: F.col(c).cast("string") for c in list(spec.lump) + list(spec.onehot)}
     if spec.month:
         cat_cols["quarter"] = FE.quarter(spec.month)
-    keep, levels = {}, {}
+    keep, levels = {c: [] for c in spec.lump}, {c: [] for c in cat_cols}
     if cat_cols:
         staged = train.select(*[e.alias(c) for c, e in cat_cols.items()])
         long = unpivot_long(staged, [], list(cat_cols), "feature", "level")
-        rows = long.groupBy("feature", "level").count().limit(FE.MAX_LEVELS + 1).collect()
-        if len(rows) > FE.MAX_LEVELS:
-            raise ValueError("too many levels; is a column not categorical?")
-        counts: dict[str, dict] = {c: {} for c in cat_cols}
-        for r in rows:
-            counts[r.feature][r.level] = r["count"]
-        for c, cn in counts.items():
-            total = sum(cn.values())
-            if c in spec.lump:
-                keep[c] = sorted(lv for lv, n in cn.items() if lv is not None and n / total >= spec.min_share)
-                lumped = set(keep[c]) | ({"Other"} if any(lv not in keep[c] for lv in cn) else set())
-                levels[c] = sorted(lumped)
-            else:
-                levels[c] = sorted(lv for lv in cn if lv is not None)
+        frequent = F.col("count") >= F.lit(spec.min_share * r["n"])
+        counted = long.groupBy("feature", "level").count().where(F.col("level").isNotNull())
+        for row in counted.where(~isin_safe("feature", spec.lump) | frequent).collect():
+            (keep if row.feature in keep else levels)[row.feature].append(row.level)
+        levels = {c: sorted({*keep[c], "Other"}) if c in keep else sorted(lv) for c, lv in levels.items()}
+        keep = {c: sorted(lv) for c, lv in keep.items()}
     return Artifact(spec, p, keep, levels, means, sds)

@@ -3,10 +3,13 @@
 Input is a long table of scored rows: (group cols e.g. model/split, score,
 label[, weight]). Every curve metric starts from a *score histogram* --
 positives and negatives per distinct score, built with partial aggregation
--- and running sums over it come from ``running_totals`` (range-bucketed
+-- and running sums over it come from ``running_totals`` (range-partitioned
 windows), so neither a hot score value nor a billion distinct scores ever
 lands in one task. Confusion counts are one aggregation over the rows.
 Results are one row per group (model) or per distinct score.
+
+Rows whose score is null or NaN, or whose label is null, are unscored: no
+curve, confusion or metric counts them; ``confusion`` reports their number.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propensity.functions.cumulative import DEFAULT_ROWS_PER_BUCKET, running_totals
+from propensity.functions.cumulative import running_totals
 
 METRICS = ["accuracy", "kappa", "sensitivity", "specificity", "precision", "f1", "balanced_accuracy"]
 
@@ -29,6 +32,15 @@ def _div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b)
 
 
+def is_scored(score: str | Column = "score", label: str | Column | None = "label") -> Column:
+    """Whether a row takes part: a score that is a number, and a label."""
+    s = F.col(score) if isinstance(score, str) else score
+    ok = s.isNotNull() & ~F.isnan(s.cast("double"))
+    if label is None:
+        return ok
+    return ok & (F.col(label) if isinstance(label, str) else label).isNotNull()
+
+
 # ------------------------------------------------------------------ histogram and curves
 
 def score_histogram(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
@@ -37,7 +49,7 @@ def score_histogram(scored: DataFrame, group_cols: Sequence[str] = (), score: st
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     pos = F.when(F.col(label) == 1, w).otherwise(F.lit(0.0))
     neg = F.when(F.col(label) == 1, F.lit(0.0)).otherwise(w)
-    return (scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return (scored.where(is_scored(score, label))
             .groupBy(*group_cols, F.col(score).cast("double").alias("score"))
             .agg(F.sum(pos).alias("pos"), F.sum(neg).alias("neg")))
 
@@ -45,7 +57,7 @@ def score_histogram(scored: DataFrame, group_cols: Sequence[str] = (), score: st
 def _with_totals(hist: DataFrame, group_cols: Sequence[str]) -> DataFrame:
     g = list(group_cols)
     tot = hist.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return hist.join(F.broadcast(tot), g)   # one row per group (model, split): bounded
+    return hist.join(tot, g)
 
 
 def grouped(fn):
@@ -63,14 +75,14 @@ def grouped(fn):
 @grouped
 def roc_points(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
                label: str = "label", weight: str | None = None,
-               rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+               n_ranges: int | None = None) -> DataFrame:
     """One point per distinct score, classifying ``score >= threshold`` as positive.
 
     Columns: group..., threshold, pos, neg, tp, fp, tpr, fpr, P, N.
     """
     g = list(group_cols)
     h = score_histogram(scored, g, score, label, weight)
-    cum = running_totals(h, "score", ["pos", "neg"], g, descending=True, rows_per_bucket=rows_per_bucket)
+    cum = running_totals(h, "score", ["pos", "neg"], g, descending=True, n_ranges=n_ranges)
     cum = _with_totals(cum, g)
     return cum.select(*g, F.col("score").alias("threshold"), "pos", "neg",
                       F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
@@ -103,30 +115,30 @@ def _pr_auc_agg():
 @grouped
 def curve_areas(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
                 label: str = "label", weight: str | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                n_ranges: int | None = None) -> DataFrame:
     """G6 + G7 from one pass over the curve: (group..., roc_auc, pr_auc)."""
     g = list(group_cols)
-    pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
+    pts = roc_points(scored, g, score, label, weight, n_ranges)
     return pts.groupBy(*g).agg(_roc_auc_agg(), _pr_auc_agg())
 
 
 @grouped
 def roc_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
             label: str = "label", weight: str | None = None,
-            rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+            n_ranges: int | None = None) -> DataFrame:
     """Trapezoid area under the ROC points (= rank-sum AUC, ties count half)."""
     g = list(group_cols)
-    pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
+    pts = roc_points(scored, g, score, label, weight, n_ranges)
     return pts.groupBy(*g).agg(_roc_auc_agg())
 
 
 @grouped
 def pr_points(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
               label: str = "label", weight: str | None = None,
-              rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+              n_ranges: int | None = None) -> DataFrame:
     """Recall and precision per distinct score threshold (weighted if ``weight``)."""
     g = list(group_cols)
-    pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
+    pts = roc_points(scored, g, score, label, weight, n_ranges)
     return pts.select(*g, "threshold", _div(F.col("tp"), F.col("P")).alias("recall"),
                       _div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
 
@@ -134,7 +146,7 @@ def pr_points(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "s
 @grouped
 def pr_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
            label: str = "label", weight: str | None = None,
-           rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+           n_ranges: int | None = None) -> DataFrame:
     """Area under the precision-recall curve with non-linear interpolation.
 
     Between two adjacent points (TP0, FP0) -> (TP1, FP1) precision is
@@ -143,49 +155,46 @@ def pr_auc(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "scor
     (1/P) * [t/a - b/a^2 * ln(a t + b)] from TP0 to TP1, or dTP/(a P) when b = 0.
     """
     g = list(group_cols)
-    pts = roc_points(scored, g, score, label, weight, rows_per_bucket)
+    pts = roc_points(scored, g, score, label, weight, n_ranges)
     return pts.groupBy(*g).agg(_pr_auc_agg())
 
 
 @grouped
 def youden(scored: DataFrame, group_cols: Sequence[str] = (), score: str = "score",
-           label: str = "label", rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+           label: str = "label", n_ranges: int | None = None) -> DataFrame:
     """Threshold maximising sensitivity + specificity - 1.
 
     Candidates are midpoints between adjacent distinct scores (and -inf below
     the lowest); classifying ``score >= t`` at the midpoint below score s is
-    the ROC point of s. Ties in J go to the least threshold. Three
-    aggregations, no sort of the curve.
+    the ROC point of s. Ties in J go to the least threshold. The curve is
+    evaluated once; the next lower score comes from the histogram.
     """
     g = list(group_cols)
-    pts = roc_points(scored, g, score, label, None, rows_per_bucket)
-    pts = pts.withColumn("j", F.col("tp") / F.col("P") + (F.col("N") - F.col("fp")) / F.col("N") - F.lit(1.0))
-    best_j = pts.groupBy(*g).agg(F.max("j").alias("_bj"))
-    cand = pts.join(F.broadcast(best_j), g)   # one row per group
-    best = cand.where(F.col("j") == F.col("_bj")).groupBy(*g).agg(
-        F.min("threshold").alias("_s"), F.max("j").alias("j"))
-    nxt_src = pts.select(*g, "threshold").join(F.broadcast(best.select(*g, "_s")), g)
-    nxt = nxt_src.groupBy(*g).agg(F.max(F.when(F.col("threshold") < F.col("_s"), F.col("threshold"))).alias("_next"))
-    sel = pts.select(*g, F.col("threshold").alias("_s"), F.col("tpr").alias("sensitivity"),
-                     (F.lit(1.0) - F.col("fpr")).alias("specificity"))
-    out = best.join(nxt, g).join(sel, g + ["_s"])
-    return out.select(*g, F.when(F.col("_next").isNull(), F.lit(float("-inf")))
-                      .otherwise((F.col("_s") + F.col("_next")) / 2).alias("threshold"),
-                      "sensitivity", "specificity", "j")
+    pts = roc_points(scored, g, score, label, None, n_ranges)
+    j = F.col("tp") / F.col("P") + (F.col("N") - F.col("fp")) / F.col("N") - F.lit(1.0)
+    order = F.struct(j.alias("j"), (-F.col("threshold")).alias("least"))     # the best, then the least threshold
+    best = pts.groupBy(*g).agg(F.max_by(F.struct(F.col("threshold").alias("s"), "tpr", "fpr", j.alias("j")), order)
+                               .alias("b")).select(*g, "b.*")
+    hist = score_histogram(scored, g, score, label)
+    below = (hist.join(best.select(*g, "s"), g).where(F.col("score") < F.col("s"))
+             .groupBy(*g).agg(F.max("score").alias("below")))
+    return best.join(below, g, "left").select(
+        *g, F.when(F.col("below").isNull(), F.lit(float("-inf"))).otherwise((F.col("s") + F.col("below")) / 2)
+        .alias("threshold"), F.col("tpr").alias("sensitivity"), (F.lit(1.0) - F.col("fpr")).alias("specificity"), "j")
 
 
 # ------------------------------------------------------------------ confusion-based
 
 def classify(score: str | Column, threshold, inclusive: bool = True) -> Column:
-    """G1: 1 when score >= t (``inclusive``) or score > t, else 0."""
+    """G1: 1 when score >= t (``inclusive``) or score > t, else 0; null for a score that is null or NaN."""
     s = F.col(score) if isinstance(score, str) else score
     t = F.col(threshold) if isinstance(threshold, str) else F.lit(threshold)
-    return F.when(s >= t if inclusive else s > t, 1).otherwise(0)
+    return F.when(is_scored(s, None), F.when(s >= t if inclusive else s > t, 1).otherwise(0))
 
 
 def _thresholded(scored: DataFrame, thresholds, group_cols: Sequence[str]) -> DataFrame:
     if isinstance(thresholds, DataFrame):   # (model, threshold): one row per model
-        return scored.join(F.broadcast(thresholds), list(group_cols))
+        return scored.join(thresholds, list(group_cols))
     if isinstance(thresholds, Mapping):
         key = group_cols[0]
         m = F.create_map(*[x for k, v in thresholds.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -195,7 +204,7 @@ def _thresholded(scored: DataFrame, thresholds, group_cols: Sequence[str]) -> Da
 
 def confusion(scored: DataFrame, thresholds, group_cols: Sequence[str] = ("model",),
               score: str = "score", label: str = "label", inclusive: bool = True) -> DataFrame:
-    """TP, FP, TN, FN per group at the group's threshold (one aggregation)."""
+    """TP, FP, TN, FN and the unscored rows per group at the group's threshold (one aggregation)."""
     g = list(group_cols)
     t = _thresholded(scored, thresholds, g)
     pred = classify(score, "threshold", inclusive)
@@ -203,7 +212,8 @@ def confusion(scored: DataFrame, thresholds, group_cols: Sequence[str] = ("model
     return t.groupBy(*g).agg(
         F.first("threshold").alias("threshold"),
         F.count_if((pred == 1) & y).alias("tp"), F.count_if((pred == 1) & ~y).alias("fp"),
-        F.count_if((pred == 0) & ~y).alias("tn"), F.count_if((pred == 0) & y).alias("fn"))
+        F.count_if((pred == 0) & ~y).alias("tn"), F.count_if((pred == 0) & y).alias("fn"),
+        F.count_if(~is_scored(score, label)).alias("n_unscored"))
 
 
 def metrics(conf: DataFrame, group_cols: Sequence[str] = ("model",), digits: int | None = None) -> DataFrame:
@@ -286,12 +296,12 @@ def threshold_grid(scored: DataFrame, group_cols: Sequence[str] = ("model",), sc
 
 def compare_models(scored: DataFrame, thresholds, group_cols: Sequence[str] = ("model",),
                    score: str = "score", label: str = "label", inclusive: bool = True,
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+                   n_ranges: int | None = None) -> DataFrame:
     """One row per model: threshold, G3 metrics, PR-AUC, ROC-AUC."""
     g = list(group_cols)
     conf = confusion(scored, thresholds, g, score, label, inclusive)
     m = metrics(conf, g)
-    areas = curve_areas(scored, g, score, label, rows_per_bucket=rows_per_bucket)
+    areas = curve_areas(scored, g, score, label, n_ranges=n_ranges)
     return m.join(areas, g)
 
 

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from propensity.functions.columns import isin_safe, safe_div, unpivot_long
 
-MAX_LEVELS = 100_000   # a "categorical" with more levels than this is refused
-
 
 # ------------------------------------------------------------------ D1
 
@@ -37,18 +35,17 @@ def prob_impute(col: str, p: float, yes: str = "Returning_Visitor", no: str = "N
 
 # ------------------------------------------------------------------ D2
 
-QUARTER_OF_MONTH = {"Jan": "Q1", "Feb": "Q1", "Mar": "Q1", "Apr": "Q2", "May": "Q2", "June": "Q2",
-                    "Jul": "Q3", "Aug": "Q3", "Sep": "Q3"}
+#: The level list of the month column, in calendar order; a month's quarter follows from its place.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "June", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
 def quarter(col: str) -> Column:
     """Month (name or number) -> Q1..Q3; anything else, unknown included, is Q4."""
     c = F.col(col).cast("string")
     q = F.lit("Q4")
-    for qq, (names, nums) in {"Q3": (["Jul", "Aug", "Sep"], ["7", "8", "9"]),
-                              "Q2": (["Apr", "May", "June"], ["4", "5", "6"]),
-                              "Q1": (["Jan", "Feb", "Mar"], ["1", "2", "3"])}.items():
-        q = F.when(isin_safe(c, names + nums), F.lit(qq)).otherwise(q)
+    for k in range(3):
+        places = range(3 * k, 3 * k + 3)
+        q = F.when(isin_safe(c, [MONTHS[i] for i in places] + [str(i + 1) for i in places]), F.lit(f"Q{k + 1}")).otherwise(q)
     return q
 
 
@@ -63,12 +60,13 @@ def level_shares(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_lump(train: DataFrame, cols: Sequence[str], min_share: float = 0.05) -> dict[str, list[str]]:
-    """D4 fit: levels with train share >= min_share (inclusive) per column."""
+    """D4 fit: levels with train share >= min_share (inclusive) per column.
+
+    Rare levels are dropped in Spark: at most 1 / min_share levels per column come back.
+    """
     shares = level_shares(train, cols)
     rows = shares.where(F.col("share") >= min_share).where(F.col("level").isNotNull()) \
-        .select("feature", "level").limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError("too many levels kept; is this column categorical?")
+        .select("feature", "level").collect()
     keep: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         keep[r.feature].append(r.level)
@@ -83,12 +81,9 @@ def lump(col: str, keep: Sequence[str], other: str = "Other") -> Column:
 # ------------------------------------------------------------------ D5
 
 def fit_onehot_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Level lists (sorted as strings) of categorical columns on train."""
+    """Level lists (sorted as strings) of categorical columns on train; each level becomes a column."""
     long = unpivot_long(train, [], cols, "feature", "level", cast="string")
-    rows = long.where(F.col("level").isNotNull()).select("feature", "level").distinct() \
-        .limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError("too many levels; is this column categorical?")
+    rows = long.where(F.col("level").isNotNull()).select("feature", "level").distinct().collect()
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r.feature].append(r.level)
@@ -100,15 +95,16 @@ def onehot_full_rank(levels: Mapping[str, Sequence[str]], sep: str = "_") -> lis
 
     Names are ``<col><sep><level>`` (the reference writes ``col.level``; a dot
     in a Spark column name needs quoting everywhere, so ``_`` is the default).
-    A null value gives nulls in all of its dummies.
+    A null value, or a level that the list does not hold, gives nulls in all of
+    its dummies.
     """
-    out = []
-    for c, lv in levels.items():
-        for level in sorted(lv)[1:]:
-            v = F.col(c).cast("string")
-            out.append(F.when(v.isNull(), F.lit(None).cast("double"))
-                       .otherwise((v == F.lit(level)).cast("double")).alias(f"{c}{sep}{level}"))
-    return out
+    return [dummy(F.col(c).cast("string"), lv, level).alias(f"{c}{sep}{level}")
+            for c, lv in levels.items() for level in sorted(lv)[1:]]
+
+
+def dummy(value: Column, levels: Sequence[str], level: str) -> Column:
+    """1 for ``level``, 0 for another known level, null for anything else."""
+    return F.when(isin_safe(value, levels), (value == F.lit(level)).cast("double"))
 
 
 # ------------------------------------------------------------------ D6, D7

@@ -1,8 +1,8 @@
 """Model explanation.
 
-* Permutation importance: one feature's values are permuted among the rows
-  of the same hash bucket (buckets of at most ~1M rows, so no task sorts
-  more than that), the model re-scores, and the accuracy drop is recorded.
+* Permutation importance: every row also carries the values of another row
+  (one numbering, one join); one job scores all variants, and the accuracy
+  drop per feature is recorded.
 * Partial dependence: every row is replicated over a small fixed grid of
   values for one feature (an ``explode`` of a literal array, no join),
   scored, and averaged per grid value on the half-log-odds scale.
@@ -22,44 +22,41 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.functions.cumulative import running_totals
 from propensity.operators.models.trees import score_model
 
 EPS = 2.220446049250313e-16   # fixed value: machine epsilon used for log(0)
-ROWS_PER_PERMUTATION_BUCKET = 1_000_000
 
-
-def _accuracy(scored: DataFrame, label: str, threshold: float = 0.5) -> float:
-    r = scored.agg(F.avg(((F.col("score") >= threshold).cast("double") == F.col(label)).cast("double"))).first()
-    return float(r[0] or 0.0)
-
-
-def permute_column(df: DataFrame, col: str, key: str, seed: int, n: int | None = None) -> DataFrame:
-    """Replace ``col`` by the value of another row of the same hash bucket (a random permutation)."""
-    n = n if n is not None else df.count()
-    nb = max(1, math.ceil(n / ROWS_PER_PERMUTATION_BUCKET))
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(nb))
-    rows = df.withColumn("_b", b).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64(F.col(key), F.lit(seed + 1)), key)))
-    vals = df.select(F.col(col).alias("_v"), b.alias("_b"),
-                     F.row_number().over(Window.partitionBy(b).orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)), key))
-                     .alias("_r"))
-    return rows.join(vals, ["_b", "_r"]).withColumn(col, F.col("_v")).drop("_b", "_r", "_v")
+def numbered(df: DataFrame, key: str, seed: int, out: str = "_i") -> DataFrame:
+    """``df`` with ``out``: 1..n in the order of a seeded hash of the (unique) key, over all rows."""
+    hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_one", F.lit(1))
+    return running_totals(hashed, "_h", ["_one"]).withColumn(out, F.col("_one_cum")).drop("_h", "_one", "_one_cum")
 
 
 def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, label: str = "label",
                            seed: int = 7, threshold: float = 0.5) -> DataFrame:
-    """accuracy on ``df`` minus accuracy with one feature permuted, per feature."""
-    base_rows = df.select(key, label, *features)
-    n = base_rows.count()
-    base = _accuracy(score_model(model, base_rows, features), label, threshold)
-    rows = []
-    for i, f in enumerate(features):
-        perm = permute_column(base_rows, f, key, seed + 3 * i, n)
-        rows.append((f, base - _accuracy(score_model(model, perm, features), label, threshold)))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    """accuracy on ``df`` minus accuracy with one feature permuted, per feature.
+
+    The rows are numbered once in a random order; a row's permuted values are
+    those of the next row in that order (the first follows the last), carried
+    over by one join. All variants, one per feature and one unchanged, are
+    scored by one job.
+    """
+    rows = numbered(df.select(key, label, *features), key, seed)
+    n = df.count()
+    swap = rows.select(F.when(F.col("_i") == 1, F.lit(n)).otherwise(F.col("_i") - 1).alias("_i"),
+                       F.struct(*[F.col(f).alias(f"c{j}") for j, f in enumerate(features)]).alias("_other"))
+    both = rows.join(swap, "_i").withColumn("_variant", F.explode(F.array(*[F.lit(j) for j in range(-1, len(features))])))
+    tried = both.select(label, "_variant", *[
+        F.when(F.col("_variant") == j, F.col(f"_other.c{j}")).otherwise(F.col(f)).alias(f) for j, f in enumerate(features)])
+    hit = ((F.col("score") >= threshold).cast("double") == F.col(label)).cast("double")
+    got = {r["_variant"]: r["a"] for r in score_model(model, tried, features).groupBy("_variant")
+           .agg(F.avg(hit).alias("a")).collect()}       # features + 1 numbers
+    return df.sparkSession.createDataFrame([(f, float(got.get(-1, 0.0) - got.get(j, 0.0)))
+                                            for j, f in enumerate(features)], "feature string, importance double")
 
 
 def partial_dependence(model, df: DataFrame, features: Sequence[str], targets: Sequence[str],

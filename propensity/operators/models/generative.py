@@ -57,6 +57,14 @@ class GaussianNB:
                 for c in self.classes for f in self.features]
         return spark.createDataFrame(rows, "label double, feature string, mean double, sd double, prior double")
 
+    @staticmethod
+    def from_frame(table: DataFrame) -> GaussianNB:
+        """The model that ``to_frame`` wrote; features in name order."""
+        rows = table.collect()      # classes x features
+        return GaussianNB(sorted({r.feature for r in rows}), sorted({r.label for r in rows}),
+                          {r.label: r.prior for r in rows}, {(r.label, r.feature): r["mean"] for r in rows},
+                          {(r.label, r.feature): r.sd for r in rows})
+
 
 def fit_gaussian_nb(train: DataFrame, features: Sequence[str], label: str = "label") -> GaussianNB:
     """class priors from class frequencies; per class mean and sample sd (n-1)."""
@@ -123,6 +131,18 @@ class LinearDiscriminant:
     def transform(self, df: DataFrame, out: str = "score") -> DataFrame:
         return df.withColumn(out, self.posterior())
 
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """One row per feature, and one (feature null) with intercept and scale."""
+        rows = [(f, i, w, c) for i, (f, w, c) in enumerate(zip(self.features, self.coef, self.center))]
+        return spark.createDataFrame([*rows, (None, -1, self.intercept, self.scale)],
+                                     "feature string, place int, weight double, center double")
+
+    @staticmethod
+    def from_frame(table: DataFrame) -> LinearDiscriminant:
+        head, *rows = sorted(table.collect(), key=lambda r: r.place)
+        return LinearDiscriminant([r.feature for r in rows], [r.weight for r in rows], head.weight,
+                                  [r.center for r in rows], head.center)
+
 
 def class_moments(train: DataFrame, features: Sequence[str], label: str = "label") -> dict:
     """Per class: n, sums, sums of cross products -- one aggregation, p(p+1)/2 + p sums per class."""

@@ -1,10 +1,8 @@
-"""Penalised logistic regression on Spark ML.
+"""Penalised logistic regression.
 
-The lambda path starts at the smallest penalty that zeroes every
-coefficient (computed by one aggregation over standardised features) and
-is log-spaced down to 1e-4 of it. Cross-validation uses Spark's
-``CrossValidator`` with a fold column (deterministic folds) and a weighted
-binomial deviance evaluator; fits run in parallel on the cluster.
+The lambda path starts at the smallest penalty that zeroes every coefficient
+and is log-spaced down to 1e-4 of it. Cross-validation fits all folds and
+penalties together, one job per Newton step; the final fit is Spark ML's.
 """
 
 from __future__ import annotations
@@ -12,91 +10,179 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensity.operators.features import design_matrix
 
 
-class DevianceEvaluator(Evaluator):
-    """Weighted mean binomial deviance of the positive-class probability (smaller is better)."""
-
-    def __init__(self, labelCol="label", probabilityCol="probability", weightCol=None, eps=1e-15):
-        super().__init__()
-        self.labelCol, self.probabilityCol, self.weightCol, self.eps = labelCol, probabilityCol, weightCol, eps
-
-    def _evaluate(self, dataset):
-        p = F.least(F.greatest(vector_to_array(self.probabilityCol)[1], F.lit(self.eps)), F.lit(1 - self.eps))
-        y = F.col(self.labelCol)
-        w = F.col(self.weightCol) if self.weightCol else F.lit(1.0)
-        ll = -2.0 * (y * F.log(p) + (1 - y) * F.log(1 - p))
-        r = dataset.agg((F.sum(w * ll) / F.sum(w)).alias("d")).first()
-        return float(r["d"])
-
-    def isLargerBetter(self):
-        return False
-
-
 def positive_score(df: DataFrame, prob_col: str = "probability", out: str = "score") -> DataFrame:
     """P(label = 1) out of Spark ML's probability vector."""
     return df.withColumn(out, vector_to_array(prob_col)[1])
 
 
+def weighted_moments(train: DataFrame, features: Sequence[str], label: str, weight: str | None) -> dict:
+    """Total weight, weighted label mean, and weighted mean and sd (1/N) of each feature: one aggregation."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    x = [F.col(f).cast("double") for f in features]
+    r = train.agg(F.sum(w).alias("w"), F.sum(w * F.col(label)).alias("y"),
+                  *[F.sum(w * v).alias(f"a{i}") for i, v in enumerate(x)]).first()
+    mean = np.array([r[f"a{i}"] / r["w"] for i in range(len(x))])
+    sq = train.agg(*[F.sum(w * (v - F.lit(float(m))) * (v - F.lit(float(m)))).alias(f"q{i}")
+                     for i, (v, m) in enumerate(zip(x, mean))]).first() if x else []
+    sd = np.sqrt(np.array([sq[f"q{i}"] for i in range(len(x))]) / r["w"])
+    return {"weight": float(r["w"]), "label": float(r["y"] / r["w"]), "mean": mean, "sd": sd}
+
+
 def lambda_max(train: DataFrame, features: Sequence[str], label: str = "label",
-               weight: str | None = None, alpha: float = 0.5) -> float:
-    """max_j |sum_i w_i z_ij (y_i - ybar_w)| / (sum_i w_i * alpha), z standardised.
+               weight: str | None = None, alpha: float = 0.5, moments: dict | None = None) -> float:
+    """max_j |sum_i w_i z_ij (y_i - ybar_w)| / (sum_i w_i * alpha), z standardised by weighted moments.
 
-    Two aggregations (moments, then the gradient at zero); alpha is floored
-    at 0.001 so ridge gets a finite start.
+    The least penalty that zeroes every coefficient; alpha is floored at 0.001
+    so ridge gets a finite start.
     """
+    m = moments or weighted_moments(train, features, label, weight)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    y = F.col(label).cast("double")
-    mom = train.agg(F.sum(w).alias("sw"), (F.sum(w * y) / F.sum(w)).alias("yb"),
-                    *[F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features)],
-                    *[F.stddev_pop(F.col(f).cast("double")).alias(f"s{i}") for i, f in enumerate(features)]).first()
-    grads = []
-    for i, f in enumerate(features):
-        sd = mom[f"s{i}"] or 0.0
-        z = (F.col(f).cast("double") - F.lit(mom[f"m{i}"])) / F.lit(sd) if sd > 0 else F.lit(0.0)
-        grads.append(F.abs(F.sum(w * z * (y - F.lit(mom["yb"])))).alias(f"g{i}"))
-    g = train.agg(*grads).first()
-    gmax = max(float(g[f"g{i}"] or 0.0) for i in range(len(features))) if features else 0.0
-    return gmax / (float(mom["sw"]) * max(alpha, 0.001))
-
-
-def lambda_path(lmax: float, n: int = 12, ratio: float = 1e-4) -> list[float]:
+    grads = [F.abs(F.sum(w * (F.col(f).cast("double") - F.lit(float(a))) / F.lit(float(s)) * (F.col(label) - F.lit(m["label"]))))
+             .alias(f"g{i}") for i, (f, a, s) in enumerate(zip(features, m["mean"], m["sd"])) if s > 0]
+    g = train.agg(*grads).first() if grads else []
+    return max((float(v or 0.0) for v in g), default=0.0) / (m["weight"] * max(alpha, 0.001))
+
+
+def lambda_path(lmax: float, n: int = 100, ratio: float = 1e-4) -> list[float]:
     if lmax <= 0:
         return [0.0]
     return [lmax * math.exp(math.log(ratio) * i / (n - 1)) for i in range(n)]
 
 
+def _descend(grad: np.ndarray, hess: np.ndarray, beta: np.ndarray, lam: np.ndarray, alpha: np.ndarray,
+             sweeps: int = 200) -> np.ndarray:
+    """Coordinate descent on the quadratic models of a Newton step, one per row of ``beta`` (intercept first)."""
+    new = beta.copy()
+    diag = np.einsum("mjj->mj", hess)
+    slope = grad.copy()                                     # of the quadratic model at ``new``
+    for _ in range(sweeps):
+        shift = 0.0
+        for j in range(beta.shape[1]):
+            d = np.maximum(diag[:, j], 1e-12)
+            target = d * new[:, j] - slope[:, j]
+            if j:
+                target = np.sign(target) * np.maximum(np.abs(target) - lam * alpha, 0)
+                d = d + lam * (1 - alpha)
+            step = target / d - new[:, j]
+            new[:, j] += step
+            slope += hess[:, :, j] * step[:, None]
+            shift = max(shift, float(np.abs(step).max()))
+        if shift < 1e-8:
+            break
+    return new
+
+
+def penalty_path_cv(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = None,
+                    alphas: Sequence[float] = (0.5,), n_lambda: int = 100, fold_col: str = "fold", n_folds: int = 10,
+                    max_iter: int = 25, tol: float = 1e-6) -> DataFrame:
+    """Cross-validated deviance of elastic-net logistic regression: (alpha, reg_param, cv_deviance).
+
+    All alphas, folds and penalties are fitted together. A Newton step is one
+    job: every task sums gradients and Hessians of all fits over its rows, and
+    the small penalised quadratic problems are solved on the driver, whose data
+    are bounded by fits x features^2. One more job reads the held-out deviance.
+    """
+    feats = list(features)
+    m = weighted_moments(train, feats, label, weight)
+    paths = {a: lambda_path(lambda_max(train, feats, label, weight, a, m), n_lambda) for a in alphas}
+    alpha, lam, fold = (np.array(v) for v in zip(*[(a, v, f) for a in alphas for v in paths[a] for f in range(n_folds)]))
+    q = len(feats) + 1
+    up = np.triu_indices(q)
+    sd = np.where(m["sd"] > 0, m["sd"], np.inf)
+    rows = train.select(F.col(label).cast("double").alias("y"),
+                        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
+                        F.col(fold_col).cast("int").alias("f"), F.array(*[F.col(x).cast("double") for x in feats]).alias("x"))
+    width = q + len(up[0]) + 1
+
+    def parts(batch):
+        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, q - 1)
+        x = np.concatenate([np.ones((len(x), 1)), (x - m["mean"]) / sd], axis=1)
+        y, w, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "f"))
+        size = max(1, 4_000_000 // len(lam))
+        for a in range(0, len(x), size):
+            yield x[a:a + size], y[a:a + size, None], w[a:a + size, None], f[a:a + size, None]
+
+    def job(beta: np.ndarray, held: bool) -> np.ndarray:
+        """Sums per fit: gradient, Hessian (upper part) and weight of its rows; or deviance and weight of the held out."""
+
+        def sums(batches):
+            out = np.zeros((len(lam), 2 if held else width))
+            for batch in batches:
+                for x, y, w, f in parts(batch):
+                    prob = 1 / (1 + np.exp(-np.clip(x @ beta.T, -35, 35)))
+                    own = w * ((f == fold) if held else (f != fold))
+                    if held:
+                        p = np.clip(prob, 1e-15, 1 - 1e-15)
+                        out[:, 0] += (-2 * own * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum(0)
+                    else:
+                        out[:, :q] += (own * (prob - y)).T @ x
+                        curve = own * np.maximum(prob * (1 - prob), 1e-5)
+                        out[:, q:-1] += curve.T @ (x[:, up[0]] * x[:, up[1]])
+                    out[:, -1] += own.sum(0)
+            at = np.arange(out.size)
+            yield pa.RecordBatch.from_pydict({"at": pa.array(at), "v": pa.array(out.ravel())})
+
+        got = rows.mapInArrow(sums, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+        out = np.zeros(len(lam) * (2 if held else width))
+        out[got["at"].to_numpy()] = got["v"].to_numpy()
+        return out.reshape(len(lam), -1)
+
+    beta = np.zeros((len(lam), q))
+    start = min(max(m["label"], 1e-9), 1 - 1e-9)
+    beta[:, 0] = math.log(start / (1 - start))
+    for _ in range(max_iter):
+        got = job(beta, False)
+        total = np.maximum(got[:, -1:], 1e-12)
+        hess = np.zeros((len(lam), q, q))
+        hess[:, up[0], up[1]] = got[:, q:-1] / total
+        hess[:, up[1], up[0]] = hess[:, up[0], up[1]]
+        new = _descend(got[:, :q] / total, hess, beta, lam, alpha)
+        shift, beta = float(np.abs(new - beta).max()), new
+        if shift < tol:
+            break
+    dev = job(beta, True)
+    mean = (dev[:, 0] / np.maximum(dev[:, 1], 1e-12)).reshape(-1, n_folds).mean(1)
+    keys = [(float(a), float(v)) for a in alphas for v in paths[a]]
+    return train.sparkSession.createDataFrame([(*k, float(d)) for k, d in zip(keys, mean)],
+                                              "alpha double, reg_param double, cv_deviance double")
+
+
+def fit_logistic(train: DataFrame, features: Sequence[str], label: str, weight: str | None, alpha: float,
+                 reg_param: float, max_iter: int = 100):
+    """One elastic-net logistic regression on all rows."""
+    lr = LogisticRegression(featuresCol="features", labelCol=label, elasticNetParam=alpha, regParam=reg_param,
+                            maxIter=max_iter, standardization=True, family="binomial")
+    if weight:
+        lr.setWeightCol(weight)
+    return lr.fit(design_matrix(train, features))
+
+
+def best_penalties(table: DataFrame) -> dict[float, float]:
+    """The penalty of least deviance for each alpha (the larger one of equals)."""
+    order = F.struct("cv_deviance", (-F.col("reg_param")).alias("r"))
+    return {r["alpha"]: r["best"] for r in table.groupBy("alpha").agg(F.min_by("reg_param", order).alias("best")).collect()}
+
+
 def fit_logistic_cv(train: DataFrame, features: Sequence[str], label: str = "label",
-                    weight: str | None = None, alpha: float = 0.5, n_lambda: int = 12,
-                    fold_col: str = "fold", n_folds: int = 5, parallelism: int = 4, max_iter: int = 100):
+                    weight: str | None = None, alpha: float = 0.5, n_lambda: int = 100,
+                    fold_col: str = "fold", n_folds: int = 10, max_iter: int = 100):
     """elastic-net logistic regression, lambda = argmin CV deviance (``lambda.min``).
 
     ``train`` must carry ``fold_col`` (see ``split.fold_column``).
-    Returns (fitted model on all train rows, CV table (reg_param, cv_deviance)).
+    Returns (fitted model on all train rows, CV table (alpha, reg_param, cv_deviance)).
     """
-    data = design_matrix(train, features)
-    lams = lambda_path(lambda_max(train, features, label, weight, alpha), n_lambda)
-    lr = LogisticRegression(featuresCol="features", labelCol=label, elasticNetParam=alpha,
-                            maxIter=max_iter, standardization=True, family="binomial")
-    if weight:
-        lr.setWeightCol(weight)
-    grid = ParamGridBuilder().addGrid(lr.regParam, lams).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid,
-                        evaluator=DevianceEvaluator(label, weightCol=weight),
-                        foldCol=fold_col, numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
-    fitted = cv.fit(data)
-    spark = train.sparkSession
-    table = spark.createDataFrame([(float(l), float(m)) for l, m in zip(lams, fitted.avgMetrics)],
-                                  "reg_param double, cv_deviance double")
-    return fitted.bestModel, table
+    table = penalty_path_cv(train, features, label, weight, [alpha], n_lambda, fold_col, n_folds)
+    return fit_logistic(train, features, label, weight, alpha, best_penalties(table)[alpha], max_iter), table
 
 
 def score_logistic(model, df: DataFrame, features: Sequence[str], out: str = "score") -> DataFrame:
@@ -107,8 +193,12 @@ def score_logistic(model, df: DataFrame, features: Sequence[str], out: str = "sc
 
 def odds_ratios(model, features: Sequence[str]) -> DataFrame:
     """exp(beta) of non-zero coefficients, largest first (intercept excluded)."""
-    spark = SparkSession.getActiveSession()
-    rows = [(f, float(b), float(math.exp(b))) for f, b in zip(features, model.coefficients.toArray()) if b != 0.0]
+    return ranked_odds(SparkSession.getActiveSession(), features, model.coefficients.toArray())
+
+
+def ranked_odds(spark: SparkSession, features: Sequence[str], coefficients: Sequence[float]) -> DataFrame:
+    """(feature, coefficient, odds_ratio, rank) of the coefficients that are not zero."""
+    rows = [(f, float(b), float(math.exp(b))) for f, b in zip(features, coefficients) if b != 0.0]
     df = spark.createDataFrame(rows, "feature string, coefficient double, odds_ratio double")
     w = Window.partitionBy(F.lit(0)).orderBy(F.col("odds_ratio").desc(), F.col("feature"))
     return df.withColumn("rank", F.row_number().over(w).cast("long"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from propensity.functions.columns import categorical_columns, numeric_columns, unpivot_long
-from propensity.functions.cumulative import DEFAULT_ROWS_PER_BUCKET, order_statistics
+from propensity.functions.cumulative import histogram_statistics, order_statistics
 
 
 # ------------------------------------------------------------------ B1, B2
@@ -65,11 +65,11 @@ def duplicate_rows(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame
     """Rows that are a 2nd+ occurrence of their ``key``.
 
     Occurrence order within a key is the ascending order of the remaining
-    columns (Spark rows have no position). No window over the key: the first
-    row of each key is found by an aggregation (``min`` of a struct, partially
-    aggregated, so a hot key costs nothing extra), every other row is kept by
-    a join on the key (AQE splits a skewed key), and exact copies of the first
-    row are re-emitted ``copies - 1`` times from their own count.
+    columns (Spark rows have no position); null keys are equal. The table is
+    read once: identical rows are counted (partially before the shuffle), the
+    first of each key is an aggregation over those, and each distinct row is
+    emitted as often as it occurs, the first one once less. No window over a
+    key; AQE splits a skewed key in the join.
     """
     key = list(key or df.columns)
     rest = [c for c in df.columns if c not in key]
@@ -77,16 +77,16 @@ def duplicate_rows(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame
         g = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         return (g.withColumn("_rep", F.explode(F.sequence(F.lit(2), F.col("_n"))))
                  .select(*df.columns))
+    # identical rows become one, with their number: the only pass over the table
+    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     rs = F.struct(*[F.col(c) for c in rest])
-    first = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(rs).alias("_first"))
-               .where("_n > 1").drop("_n"))
-    j = df.join(first, key, "inner").withColumn("_is_first", rs.eqNullSafe(F.col("_first")))
-    others = j.where(~F.col("_is_first")).select(*df.columns)
-    firsts = (j.where(F.col("_is_first")).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-               .where("_n > 1")
-               .withColumn("_rep", F.explode(F.sequence(F.lit(2), F.col("_n"))))
-               .select(*df.columns))
-    return others.unionByName(firsts)
+    first = (g.groupBy(*key).agg(F.sum("_n").alias("_all"), F.min(rs).alias("_first"))
+              .where("_all > 1").drop("_all"))
+    match = [F.col(f"g.{c}").eqNullSafe(F.col(f"f.{c}")) for c in key]
+    j = g.alias("g").join(first.alias("f"), match, "inner").select("g.*", "_first")
+    copies = F.col("_n") - F.when(rs.eqNullSafe(F.col("_first")), 1).otherwise(0)
+    return (j.withColumn("_copies", copies).where("_copies > 0")
+             .withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*df.columns))
 
 
 def duplicate_values(dups: DataFrame, numeric: Sequence[str]) -> DataFrame:
@@ -94,18 +94,39 @@ def duplicate_values(dups: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
     Long form (feature, value, n) instead of one comma-joined string per
     column: a column can have millions of distinct values, and one string per
-    column would funnel them through one task. ``format_value_list`` builds
-    the reference's text for small results.
+    column would funnel them through one task.
     """
-    long = unpivot_long(dups, [], numeric, "feature", "value", cast="double")
-    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    h = typed_histogram(dups, numeric)
+    return h.where("not is_null").groupBy("feature", "value").agg(F.sum("n").cast("long").alias("n")).unionByName(
+        h.where("is_null").select("feature", F.lit(None).cast("double").alias("value"), F.col("n").cast("long").alias("n")))
 
 
-def format_value_list(values: DataFrame) -> DataFrame:
-    """Comma-joined sorted distinct values per feature (small inputs only)."""
-    return (values.groupBy("feature")
-            .agg(F.concat_ws(", ", F.array_sort(F.collect_list(F.col("value").cast("string"))))
-                 .alias("unique_values")))
+def typed_histogram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, exact, value, is_null, n): rows per distinct value of each numeric column.
+
+    Columns are unpivoted by type and told apart in their own type: integers as
+    bigint, decimals as they are, so values that a double cannot tell apart stay
+    apart. ``exact`` is the value as text where a double may lose digits (integers
+    and decimals), else null; ``value`` is its double.
+    """
+    kinds: dict[str, list[str]] = {}
+    for c in cols:
+        t = df.schema[c].dataType
+        kind = ("bigint" if isinstance(t, T.IntegralType) else t.simpleString() if isinstance(t, T.DecimalType)
+                else "double")
+        kinds.setdefault(kind, []).append(c)
+    out = None
+    for kind, names in kinds.items():
+        long = unpivot_long(df, [], names, "feature", "value", cast=kind)
+        h = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        exact = F.col("value").cast("string") if kind != "double" else F.lit(None).cast("string")
+        h = h.select("feature", exact.alias("exact"), F.col("value").cast("double").alias("value"),
+                     F.col("value").cast("decimal(38,18)").alias("_order") if kind.startswith("decimal")
+                     else F.col("value").cast("decimal(38,0)").alias("_order") if kind == "bigint"
+                     else F.lit(None).cast("decimal(38,0)").alias("_order"),
+                     F.col("value").isNull().alias("is_null"), "n")
+        out = h if out is None else out.unionByName(h)
+    return out
 
 
 def frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -117,42 +138,48 @@ def frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------------ B7-B9 summaries
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Per numeric column: type, missing, distinct (a null counts as one value), min, max."""
+    """Per numeric column: type, missing, distinct (a null counts as one value), min, max.
+
+    ``min_exact`` / ``max_exact`` hold the extremes of integers and decimals as
+    text, digit for digit; for floating-point columns they are null.
+    """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    long = unpivot_long(df, [], cols, "feature", "value", cast="double")
     if approx:
+        long = unpivot_long(df, [], cols, "feature", "value", cast="double")
         agg = long.groupBy("feature").agg(
             F.count_if(F.col("value").isNull()).alias("n_missing"),
             F.approx_count_distinct("value").alias("_nd"),
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+            F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+            F.lit(None).cast("string").alias("min_exact"), F.lit(None).cast("string").alias("max_exact"))
     else:
-        # two-stage distinct: (feature, value) histogram, then per feature
-        h = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_c"))
+        # two-stage distinct: (feature, value) histogram in the column's own type, then per feature
+        h = typed_histogram(df, cols)
         agg = h.groupBy("feature").agg(
-            F.sum(F.when(F.col("value").isNull(), F.col("_c")).otherwise(0)).alias("n_missing"),
-            F.count("value").alias("_nd"),
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+            F.sum(F.when(F.col("is_null"), F.col("n")).otherwise(0)).alias("n_missing"),
+            F.count_if(~F.col("is_null")).alias("_nd"),
+            F.min("value").alias("min_value"), F.max("value").alias("max_value"),
+            F.min_by("exact", "_order").alias("min_exact"), F.max_by("exact", "_order").alias("max_exact"))
     tmap = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return agg.select(
         "feature", F.element_at(tmap, F.col("feature")).alias("type"),
         F.col("n_missing").cast("long").alias("n_missing"),
         (F.col("_nd") + F.when(F.col("n_missing") > 0, 1).otherwise(0)).cast("long").alias("n_unique"),
-        "min_value", "max_value")
+        "min_value", "max_value", "min_exact", "max_exact")
 
 
 def _top_level(freq: DataFrame, exclude: DataFrame | None = None, suffix: str = "1") -> DataFrame:
     """Most frequent non-null level per feature (count desc, then smallest level).
 
-    Two aggregations joined through a one-row-per-feature broadcast table, so
+    Two aggregations joined through a table of one row per feature, so
     a column with millions of levels is still spread over many tasks (a
     window per feature would put all of its levels in one task).
     ``exclude``: (feature, level) rows to leave out (for the runner-up).
     """
     f = freq.where(F.col("level").isNotNull())
     if exclude is not None:
-        f = f.join(F.broadcast(exclude), ["feature", "level"], "left_anti")   # one row per feature
+        f = f.join(exclude, ["feature", "level"], "left_anti")
     best = f.groupBy("feature").agg(F.max("n").alias("_nmax"))
-    return (f.join(F.broadcast(best), "feature").where(F.col("n") == F.col("_nmax"))
+    return (f.join(best, "feature").where(F.col("n") == F.col("_nmax"))
              .groupBy("feature").agg(F.min("level").alias(f"top{suffix}"), F.first("_nmax").alias(f"_n{suffix}")))
 
 
@@ -221,8 +248,7 @@ def histogram(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
     else:
         nb = F.when(F.col("_n") <= 1, F.lit(1)).otherwise(F.length(F.bin(F.col("_n") - 1)) + 1)
     st = st.withColumn("_nb", nb.cast("int"))
-    # st: one row per (group, feature) -> broadcast
-    j = long.join(F.broadcast(st), gk)
+    j = long.join(st, gk)
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_nb")),
                 F.col("_nb") - 1))
@@ -238,106 +264,31 @@ def histogram(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
                     F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
-def pretty_breaks(lo: float, hi: float, n: int, min_n: int = 1, shrink: float = 0.75,
-                  high_u: float = 1.5) -> list[float]:
-    """R's ``pretty()`` boundaries for [lo, hi] with about ``n`` intervals (1, 2, 5 x 10^k steps)."""
-    import math
-    eps = 2.220446049250313e-16   # fixed value: double machine epsilon
-    h, h5 = high_u, 0.5 + 1.5 * high_u
-    dx = hi - lo
-    if dx == 0 and hi == 0:
-        cell, small = 1.0, True
-    else:
-        cell = max(abs(lo), abs(hi))
-        u = 1 + ((1 / (1 + h)) if h5 >= 1.5 * h + 0.5 else (1.5 / (1 + h5)))
-        u *= max(1, n) * eps
-        small = dx < cell * u * 3
-    if small:
-        if cell > 10:
-            cell = 9 + cell / 10
-        cell *= shrink
-        if min_n > 1:
-            cell /= min_n
-    else:
-        cell = dx
-        if n > 1:
-            cell /= n
-    base = 10.0 ** math.floor(math.log10(cell))
-    unit = base
-    if 2 * base - cell < h * (cell - unit):
-        unit = 2 * base
-        if 5 * base - cell < h5 * (cell - unit):
-            unit = 5 * base
-            if 10 * base - cell < h * (cell - unit):
-                unit = 10 * base
-    r_eps = 1e-10
-    ns, nu = math.floor(lo / unit + r_eps), math.ceil(hi / unit - r_eps)
-    while ns * unit > lo + r_eps * unit:
-        ns -= 1
-    while nu * unit < hi - r_eps * unit:
-        nu += 1
-    k = int(0.5 + nu - ns)
-    if k < min_n:
-        k = min_n - k
-        if ns >= 0:
-            nu += k // 2
-            ns -= k // 2 + k % 2
-        else:
-            ns -= k // 2
-            nu += k // 2 + k % 2
-    return [(ns + i) * unit for i in range(int(round(nu - ns)) + 1)]
-
-
-def histogram_r(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """B10 with R's ``hist()`` defaults: Sturges class count, ``pretty()`` breaks, right-closed bins.
-
-    Per column one small aggregation gives (n, min, max); breaks are computed
-    on the driver (a few numbers per column) and each value finds its bin by
-    counting the breaks below it, a JVM array expression. Bins are (a, b],
-    the first one [a, b].
-    """
-    long = unpivot_long(df, [], cols, "feature", "value", cast="double").where(F.col("value").isNotNull())
-    stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
-                                        F.max("value").alias("hi")).collect()   # one row per column
-    brk = {}
-    for r in stats:
-        nclass = 1 if r.n <= 1 else (r.n - 1).bit_length() + 1
-        brk[r.feature] = pretty_breaks(float(r.lo), float(r.hi), nclass, 1)
-    bmap = F.create_map(*[x for f, b in brk.items() for x in (F.lit(f), F.array(*[F.lit(v) for v in b]))])
-    arr = F.element_at(bmap, F.col("feature"))
-    idx = F.greatest(F.size(F.filter(arr, lambda b: b < F.col("value"))) - 1, F.lit(0))
-    cnt = long.groupBy("feature", idx.cast("long").alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    spark = df.sparkSession
-    allb = spark.createDataFrame([(f, i, b[i], b[i + 1]) for f, b in brk.items() for i in range(len(b) - 1)],
-                                 "feature string, bin long, lower double, upper double")
-    return allb.join(cnt, ["feature", "bin"], "left").select(
-        "feature", "bin", "lower", "upper", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-
-
 # ------------------------------------------------------------------ B11, B13 box plots
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
-                  coef: float = 1.5, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+                  coef: float = 1.5, n_ranges: int | None = None,
                   approx_accuracy: int | None = None) -> DataFrame:
     """Tukey five numbers, 1.5-IQR whiskers and outlier count.
 
     Hinges follow R's ``boxplot.stats``/``fivenum``: with n values and
     m = floor((n+3)/2)/2 the lower hinge is the mean of the floor(m)-th and
     ceil(m)-th smallest values (1-based), the median likewise at (n+1)/2.
-    Order statistics come from a distributed histogram, never a global sort.
+    Everything follows from one (feature, value, count) histogram, the only
+    pass over the rows; order statistics need no global sort.
     ``approx_accuracy`` switches the hinges to ``percentile_approx`` quartiles
     (one pass, bounded memory per group; not Tukey hinges) for very large tables.
     """
     ids = [group_col] if group_col else []
     gk = ids + ["feature"]
     long = unpivot_long(df, ids, cols, "feature", "value", cast="double").where(F.col("value").isNotNull())
-    st = long.groupBy(*gk).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("ymin"),
-                               F.max("value").alias("ymax"))
+    hist = long.groupBy(*gk, F.col("value").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    st = hist.groupBy(*gk).agg(F.sum("_c").alias("_n"), F.min("_v").alias("ymin"), F.max("_v").alias("ymax"))
     if approx_accuracy:
         q = long.groupBy(*gk).agg(F.percentile_approx("value", [0.25, 0.5, 0.75], approx_accuracy).alias("_q"))
         five = q.select(*gk, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("med"), F.col("_q")[2].alias("q3")) \
             .join(st, gk)
-        return _whiskers(long, five, gk, coef)
+        return _whiskers(hist, five, gk, coef)
     n = F.col("_n")
     m = F.floor((n + 3) / 2) / 2
     pos = {"q1": m, "med": (n + 1) / 2, "q3": n + 1 - m}
@@ -346,29 +297,28 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], group_col: str | None = No
     ] + [
         F.struct(F.lit(k + "_hi").alias("key"), (F.ceil(p) - 1).cast("long").alias("k")) for k, p in pos.items()
     ])).alias("_r")).select(*gk, "_r.key", "_r.k")
-    xs = order_statistics(long, gk, "value", ranks, rows_per_bucket)
+    xs = histogram_statistics(hist, gk, ranks, n_ranges)
     piv = xs.groupBy(*gk).agg(*[
         ((F.max(F.when(F.col("key") == k, F.col("x"))) + F.max(F.when(F.col("key") == k + "_hi", F.col("x"))))
          / 2).alias(k) for k in pos])
-    five = piv.join(st, gk)
-    return _whiskers(long, five, gk, coef)
+    return _whiskers(hist, piv.join(st, gk), gk, coef)
 
 
-def _whiskers(long: DataFrame, five: DataFrame, gk: list, coef: float) -> DataFrame:
-    """1.5-IQR whiskers and outlier count: one pass joined to the per-group hinges (broadcast)."""
+def _whiskers(hist: DataFrame, five: DataFrame, gk: list, coef: float) -> DataFrame:
+    """1.5-IQR whiskers and outlier count, from the histogram and the hinges."""
     iqr = F.col("q3") - F.col("q1")
     five = five.withColumn("_lf", F.col("q1") - coef * iqr).withColumn("_uf", F.col("q3") + coef * iqr)
-    # five: one row per (group, feature) -> broadcast for the whisker pass
-    w = long.join(F.broadcast(five.select(*gk, "_lf", "_uf")), gk).groupBy(*gk).agg(
-        F.min(F.when(F.col("value") >= F.col("_lf"), F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(F.col("value") <= F.col("_uf"), F.col("value"))).alias("whisker_hi"),
-        F.count_if((F.col("value") < F.col("_lf")) | (F.col("value") > F.col("_uf"))).cast("long").alias("n_out"))
+    out = (F.col("_v") < F.col("_lf")) | (F.col("_v") > F.col("_uf"))
+    w = hist.join(five.select(*gk, "_lf", "_uf"), gk).groupBy(*gk).agg(
+        F.min(F.when(F.col("_v") >= F.col("_lf"), F.col("_v"))).alias("whisker_lo"),
+        F.max(F.when(F.col("_v") <= F.col("_uf"), F.col("_v"))).alias("whisker_hi"),
+        F.sum(F.when(out, F.col("_c")).otherwise(0)).cast("long").alias("n_out"))
     return five.join(w, gk).select(*gk, F.col("_n").cast("long").alias("n"), "ymin", "whisker_lo", "q1",
                                    "med", "q3", "whisker_hi", "ymax", "n_out")
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              group_col: str | None = None, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+              group_col: str | None = None, n_ranges: int | None = None) -> DataFrame:
     """Exact type-7 quantiles (linear interpolation, = R default, DuckDB quantile_cont)."""
     ids = [group_col] if group_col else []
     gk = ids + ["feature"]
@@ -380,7 +330,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         parts += [F.struct(F.lit(f"p{i}_lo").alias("key"), F.floor(h).cast("long").alias("k")),
                   F.struct(F.lit(f"p{i}_hi").alias("key"), F.ceil(h).cast("long").alias("k"))]
     ranks = st.select(*gk, F.explode(F.array(*parts)).alias("_r")).select(*gk, "_r.key", "_r.k")
-    xs = order_statistics(long, gk, "value", ranks, rows_per_bucket)
+    xs = order_statistics(long, gk, "value", ranks, n_ranges)
     piv = xs.groupBy(*gk).pivot("key", [f"p{i}_{s}" for i in range(len(probs)) for s in ("lo", "hi")]).agg(F.first("x"))
     out = piv.join(st, gk)
     sel = []
@@ -458,14 +408,13 @@ def near_zero_variance(df: DataFrame, cols: Sequence[str], freq_cut: float = 95
     percentUnique <= unique_cut) or zeroVar. The top-2 counts come from two
     aggregations over the (feature, value) histogram, not a window over it.
     """
-    long = unpivot_long(df, [], cols, "feature", "value", cast="double")
-    n_rows = F.count(F.lit(1))
-    h = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(n_rows.alias("_c"))
+    full = typed_histogram(df, cols).select("feature", "is_null", F.col("n").alias("_c"))
+    h = full.where("not is_null")
     s1 = h.groupBy("feature").agg(F.max("_c").alias("_n1"), F.count(F.lit(1)).alias("_nd"))
-    h2 = h.join(F.broadcast(s1), "feature").groupBy("feature").agg(   # s1: one row per column
+    h2 = h.join(s1, "feature").groupBy("feature").agg(
         F.count_if(F.col("_c") == F.col("_n1")).alias("_k1"),
         F.max(F.when(F.col("_c") < F.col("_n1"), F.col("_c"))).alias("_n2"))
-    tot = long.groupBy("feature").agg(n_rows.alias("_n"))
+    tot = full.groupBy("feature").agg(F.sum("_c").alias("_n"))
     j = s1.join(h2, "feature").join(tot, "feature")
     n2 = F.when(F.col("_k1") >= 2, F.col("_n1")).otherwise(F.col("_n2"))
     fr = F.when(F.col("_nd") <= 1, F.lit(0.0)).otherwise(F.col("_n1") / n2)

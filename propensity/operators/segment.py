@@ -1,6 +1,7 @@
 """Dimension reduction and segmentation.
 
-PCA and k-means are Spark ML (distributed covariance / Lloyd iterations).
+PCA is Spark ML (distributed covariance). K-means runs all of its restarts in
+one job per Lloyd iteration; a task sends back one row per centre.
 FastICA is written as an iteration of single aggregations over the
 whitened rows: each step sums E[z g(w'z)] and E[g'(w'z)] -- 6 numbers for
 two components -- and the 2x2 update happens on the driver. Assignment to
@@ -11,11 +12,13 @@ are group-bys.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +26,6 @@ from propensity.operators.features import design_matrix
 
 
 def array_to_vector_df(df: DataFrame, col: str, out: str = "features") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
     return df.withColumn(out, array_to_vector(F.col(col).cast("array<double>")))
 
 
@@ -89,11 +91,10 @@ def fast_ica(df: DataFrame, cols: Sequence[str] | None = None, n_comp: int = 2,
     Returns (scores with ic1..icK, unmixing matrix).
     """
     sc, pca, cdata = fit_pca(df, cols, n_comp, vector_col)
-    n = cdata.count()
     ev = np.array(pca.explainedVariance.toArray())
     # eigenvalues of the sample covariance: proportion x total variance
-    tot = cdata.select(vector_to_array("cfeatures").alias("a")).select(
-        F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x).alias("ss")).agg(F.sum("ss")).first()[0]
+    n, tot = cdata.select(vector_to_array("cfeatures").alias("a")).select(
+        F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x).alias("ss")).agg(F.count("*"), F.sum("ss")).first()
     lam = ev * (tot / (n - 1))   # explainedVariance is eigenvalue / trace
     scale = 1.0 / np.sqrt(np.maximum(lam, 1e-300))
     z = pca.transform(cdata).withColumn("_pc", vector_to_array("pcs")) \
@@ -115,6 +116,7 @@ def fast_ica(df: DataFrame, cols: Sequence[str] | None = None, n_comp: int = 2,
         W = W1
         if lim < tol:
             break
+    z.unpersist()
     # components are defined up to sign: make each row's largest absolute weight positive
     W = W * np.where(W[np.arange(n_comp), np.abs(W).argmax(axis=1)] < 0, -1.0, 1.0)[:, None]
     scores = z.select(*keep, *[sum((zc[j] * float(W[i, j]) for j in range(n_comp)), F.lit(0.0)).alias(f"ic{i + 1}")
@@ -129,22 +131,101 @@ def _sym_decorrelate(W: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ E5-E7 k-means
 
-def kmeans_best(data: DataFrame, k: int, n_start: int = 5, max_iter: int = 20, seed: int = 1,
-                features_col: str = "features"):
+@dataclass
+class Clusters:
+    """Centres of a k-means run and its within-cluster sum of squares."""
+
+    centres: np.ndarray
+    cost: float
+
+    def assign(self, data: DataFrame, features_col: str = "features", out: str = "prediction") -> DataFrame:
+        x = vector_to_array(features_col)
+        return assign_nearest(data, x, dict(enumerate(self.centres.tolist())), out).drop("dist")
+
+
+#: Rows among which the starts of k-means are drawn.
+START_POOL = 2_000
+
+
+def _spread(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k rows of ``pool``, each drawn with the squared distance to those before it as weight."""
+    picked = [int(rng.integers(len(pool)))]
+    gap = ((pool - pool[picked[0]]) ** 2).sum(1)
+    while len(picked) < k:
+        total = gap.sum()
+        picked.append(int(rng.choice(len(pool), p=gap / total)) if total > 0 else int(rng.integers(len(pool))))
+        gap = np.minimum(gap, ((pool - pool[picked[-1]]) ** 2).sum(1))
+    return pool[picked]
+
+
+def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int = 20, seed: int = 1,
+                features_col: str = "features") -> dict[int, Clusters]:
+    """The best of ``n_start`` k-means runs (Lloyd) for each k, all runs at once.
+
+    Every iteration is one job: each task sums its rows by nearest centre for
+    all runs together and sends one row per centre, so 25 starts cost hardly
+    more passes than one. Starts are spread by distance (k-means++) over a
+    bounded pool of rows in a seeded hash order; every iteration runs over all
+    rows. A centre that loses all of its rows stays where it is.
+    """
+    rows = data.select(vector_to_array(features_col).alias("x"))
+    pool = np.array([r.x for r in rows.orderBy(F.xxhash64("x", F.lit(seed))).limit(START_POOL).collect()])
+    if not len(pool):
+        return {}
+    rng = np.random.default_rng(seed)
+    runs = [k for k in ks for _ in range(n_start)]
+    centres = np.concatenate([_spread(pool, k, rng) for k in runs])
+    edges = np.concatenate([[0], np.cumsum(runs)])
+    p = centres.shape[1]
+    names = [f"s{j}" for j in range(p)]
+
+    def step(centres: np.ndarray):
+        """Per centre: rows, their sums, and the squared distance to it."""
+
+        def sums(batches):
+            n, s, d = np.zeros(len(centres)), np.zeros((len(centres), p)), np.zeros(len(centres))
+            for batch in batches:
+                flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                for x in np.array_split(flat.reshape(-1, p), max(1, len(flat) // p // 4096)):
+                    gap = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)
+                    for a, b in zip(edges, edges[1:]):
+                        near = gap[:, a:b].argmin(1)
+                        np.add.at(n, a + near, 1)
+                        np.add.at(d, a + near, np.maximum(gap[np.arange(len(x)), a + near], 0))
+                        np.add.at(s, a + near, x)
+            yield pa.RecordBatch.from_pydict({"c": pa.array(np.arange(len(centres))), "n": pa.array(n), "d": pa.array(d),
+                                              **{m: pa.array(s[:, j]) for j, m in enumerate(names)}})
+
+        found = rows.mapInArrow(sums, "c long, n double, d double, " + ", ".join(f"{m} double" for m in names))
+        total = found.groupBy("c").agg(*[F.sum(m).alias(m) for m in ("n", "d", *names)]).orderBy("c").toPandas()
+        return total["n"].to_numpy(), total[names].to_numpy(), total["d"].to_numpy()
+
+    for _ in range(max_iter):
+        n, s, d = step(centres)
+        moved = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], centres)
+        still = np.allclose(moved, centres, rtol=0, atol=1e-9)
+        centres = moved
+        if still:
+            break
+    d = step(centres)[2]
+    out: dict[int, Clusters] = {}
+    for k, a, b in zip(runs, edges, edges[1:]):
+        if k not in out or d[a:b].sum() < out[k].cost:
+            out[k] = Clusters(centres[a:b], float(d[a:b].sum()))
+    return out
+
+
+def kmeans_best(data: DataFrame, k: int, n_start: int = 25, max_iter: int = 20, seed: int = 1,
+                features_col: str = "features") -> Clusters:
     """E5: best of ``n_start`` k-means runs (least within-cluster sum of squares)."""
-    best = None
-    for i in range(n_start):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col, initMode="k-means||").fit(data)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    return kmeans_runs(data, [k], n_start, max_iter, seed, features_col)[k]
 
 
 def relabel_clusters(model, data: DataFrame, features_col: str = "features") -> tuple[DataFrame, dict]:
     """Cluster ids by descending size, then first centre coordinate (ids are otherwise arbitrary)."""
-    pred = model.transform(data)
+    pred = model.assign(data, features_col)
     sizes = {r[0]: r[1] for r in pred.groupBy("prediction").count().collect()}   # k rows
-    centers = model.clusterCenters()
+    centers = model.centres
     order = sorted(sizes, key=lambda c: (-sizes[c], float(centers[c][0])))
     mapping = {old: new + 1 for new, old in enumerate(order)}
     m = F.create_map(*[x for o, nw in mapping.items() for x in (F.lit(o), F.lit(nw))])
@@ -152,13 +233,13 @@ def relabel_clusters(model, data: DataFrame, features_col: str = "features") ->
 
 
 def wss_k1(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """E7, k = 1: total sum of squares = sum_j n * var_pop(x_j) (Spark's KMeans rejects k = 1)."""
+    """E7, k = 1: total sum of squares = sum_j n * var_pop(x_j)."""
     return df.agg(F.count(F.lit(1)).cast("long").alias("n"),
                   sum((F.var_pop(F.col(c).cast("double")) * F.count(F.lit(1)) for c in cols), F.lit(0.0))
                   .alias("wss"))
 
 
-def elbow(data: DataFrame, k_max: int = 10, n_start: int = 3, seed: int = 1,
+def elbow(data: DataFrame, k_max: int = 10, n_start: int = 20, seed: int = 1,
           features_col: str = "features") -> DataFrame:
     """Within-cluster sum of squares for k = 1..k_max."""
     arr = data.select(vector_to_array(features_col).alias("a"))
@@ -166,10 +247,8 @@ def elbow(data: DataFrame, k_max: int = 10, n_start: int = 3, seed: int = 1,
     p = len(first)
     cols = [F.col("a")[i].alias(f"x{i}") for i in range(p)]
     w1 = wss_k1(arr.select(*cols), [f"x{i}" for i in range(p)]).first()["wss"]
-    rows = [(1, float(w1))]
-    for k in range(2, k_max + 1):
-        m = kmeans_best(data, k, n_start, seed=seed, features_col=features_col)
-        rows.append((k, float(m.summary.trainingCost)))
+    runs = kmeans_runs(data, range(2, k_max + 1), n_start, seed=seed, features_col=features_col)
+    rows = [(1, float(w1))] + [(k, c.cost) for k, c in sorted(runs.items())]
     return data.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
@@ -194,21 +273,22 @@ def assign_nearest(df: DataFrame, x: Column, centres: dict, out: str = "cluster"
 
 
 def class_centres(df: DataFrame, x: str, label: str) -> dict:
-    """Mean vector per class: posexplode + group-by (k x p rows back to the driver)."""
-    rows = (df.select(label, F.posexplode(F.col(x).cast("array<double>")).alias("i", "v"))
-            .groupBy(label, "i").agg(F.avg("v").alias("m")).collect())
-    out: dict = {}
-    for r in rows:
-        out.setdefault(r[label], {})[r["i"]] = r["m"]
-    return {c: [d[i] for i in range(len(d))] for c, d in out.items()}
+    """Mean vector per class (one row per class back to the driver)."""
+    vec = array_to_vector(F.col(x).cast("array<double>"))
+    rows = df.groupBy(label).agg(Summarizer.mean(vec).alias("m")).collect()
+    return {r[0]: r["m"].toArray().tolist() for r in rows}
 
 
 def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Counts per (row, col) with zero cells filled, and row proportions."""
+    """Counts per (row, col) with zero cells filled, and row proportions.
+
+    One pass over the rows; every row level meets every column level because
+    that is the table asked for.
+    """
     c = df.groupBy(row, col).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    col_levels = [r[0] for r in df.select(col).distinct().collect()]   # levels: bounded
-    rows = df.select(row).distinct()
-    full = rows.select(row, F.explode(F.array(*[F.lit(v) for v in sorted(col_levels)])).alias(col))
+    rows = c.select(row).distinct().withColumn("_k", F.lit(0))
+    cols = c.select(col).distinct().withColumn("_k", F.lit(0))
+    full = rows.join(cols, "_k").drop("_k")
     j = full.join(c, [row, col], "left").select(row, col, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     tot = F.sum("n").over(Window.partitionBy(row))
     return j.withColumn("share", F.when(tot != 0, F.col("n") / tot))

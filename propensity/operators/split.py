@@ -74,8 +74,7 @@ def sample_balanced(df: DataFrame, label: str, order_col: str, ratio: float = 1.
     pos = spark.createDataFrame([(c, "cut", s - 1) for c, s in sizes.items() if s > 0],
                                 f"{label} {df.schema[label].dataType.simpleString()}, key string, k long")
     cuts = order_statistics(df.select(label, order_col), [label], order_col, pos)
-    # one row per class
-    return (df.join(F.broadcast(cuts.select(label, F.col("x").alias("_cut"))), label, "inner")
+    return (df.join(cuts.select(label, F.col("x").alias("_cut")), label, "inner")
               .where(F.col(order_col) <= F.col("_cut")).drop("_cut"))
 
 

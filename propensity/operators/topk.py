@@ -54,7 +54,7 @@ def arg_extremes(df: DataFrame, group_cols: Sequence[str], value: str, key: str)
     """
     g = list(group_cols)
     ext = df.groupBy(*g).agg(F.max(value).alias("max_" + value), F.min(value).alias("min_" + value))
-    j = df.join(F.broadcast(ext), g)   # one row per group
+    j = df.join(ext, g)
     return j.groupBy(*g, "max_" + value, "min_" + value).agg(
         F.min(F.when(F.col(value) == F.col("max_" + value), F.col(key))).alias("argmax_id"),
         F.min(F.when(F.col(value) == F.col("min_" + value), F.col(key))).alias("argmin_id"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensity.sources.io import read_table
+from propensity.sources.io import bind_columns, read_table
 
 # Fixed values shared with the oracle SQL.
 TEST_START_DAY = "2024-01-22"          # V: visits on/after this day are the test period
@@ -60,7 +60,7 @@ def visits(spark: SparkSession, base: str) -> DataFrame:
          .when(F.col("day") == first_day, F.lit("New_Visitor"))
          .otherwise(F.lit("Returning_Visitor")).alias("visitor"))
     cust = read_table(spark, base, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
-    j = g.join(cust, g.user_id == cust.c_custkey, "inner")
+    j = g.join(cust, g.user_id == cust.c_custkey, "left")
     return j.select(
         F.concat_ws("_", F.col("user_id").cast("string"), F.col("day").cast("string")).alias("visit_id"),
         "user_id", "day",
@@ -79,7 +79,7 @@ def documents(spark: SparkSession, base: str) -> DataFrame:
     """Fixture D: labelled documents with whole-text statistics."""
     lab = read_table(spark, base, "labels", ["doc_id", "quality", "toxic"])
     doc = read_table(spark, base, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
-    j = lab.join(doc, "doc_id", "inner")
+    j = bind_columns(lab, doc, "doc_id")
     words = F.regexp_extract_all("text", F.lit(_WORD), 1)
     nw = F.size(words)
     nc = F.length("text")

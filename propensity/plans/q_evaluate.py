@@ -7,15 +7,13 @@ evaluated by the same operators in the model queries and in ``entry``.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from propensity.functions.columns import clean_name, isin_safe
+from propensity.functions.cumulative import running_totals
 from propensity.operators import evaluate as EV
 from propensity.operators import topk as TK
-from propensity.operators.models.generative import fit_gaussian_nb, fit_lda
 from propensity.plans import fixtures as FX
-from propensity.plans.q_features import visit_artifact
 from propensity.plans.registry import register
 from propensity.plans.sql import VISITS, rounded, with_
 
@@ -78,7 +76,8 @@ conf AS (SELECT s.model, any_value(t.threshold) AS threshold,
                 count(*) FILTER (WHERE s.score >= t.threshold AND s.label = 1) AS tp,
                 count(*) FILTER (WHERE s.score >= t.threshold AND s.label <> 1) AS fp,
                 count(*) FILTER (WHERE NOT (s.score >= t.threshold) AND s.label <> 1) AS tn,
-                count(*) FILTER (WHERE NOT (s.score >= t.threshold) AND s.label = 1) AS fn
+                count(*) FILTER (WHERE NOT (s.score >= t.threshold) AND s.label = 1) AS fn,
+                count(*) FILTER (WHERE s.score IS NULL OR isnan(s.score) OR s.label IS NULL) AS n_unscored
          FROM st s JOIN thr t ON s.model = t.model GROUP BY s.model),
 cd AS (SELECT model, threshold, CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(tn AS DOUBLE) AS tn,
               CAST(fn AS DOUBLE) AS fn FROM conf),
@@ -280,7 +279,7 @@ FROM rauc r JOIN pauc p ON r.mp = p.mp"""), ["roc_auc", "pr_auc"]))
 def eval_by_split(spark, base):
     """ROC-AUC and PR-AUC per model and split, never mixed."""
     s = scored_visits(spark, base).withColumnRenamed("period", "split")
-    return EV.roc_auc(s, ["model", "split"]).join(EV.pr_auc(s, ["model", "split"]), ["model", "split"])
+    return EV.curve_areas(s, ["model", "split"])
 
 
 # ------------------------------------------------------------------ H
@@ -330,11 +329,20 @@ SELECT l_orderkey, l_linenumber,
        sqrt(l_extendedprice) AS sqrt_p, CAST(floor(l_quantity / 7) AS BIGINT) AS floor_q, pow(l_discount, 2) AS sq_d,
        CAST(l_linenumber AS VARCHAR) || '-' || l_returnflag || l_linestatus AS code,
        regexp_replace(l_returnflag || '.' || l_linestatus, '\\..*$', '') AS before_dot,
-       coalesce(nullif(l_tax, 0.0), -1.0) AS tax_or_neg
-FROM lineitem""", ["log1p_q", "exp_d", "abs_t", "sqrt_p", "sq_d", "tax_or_neg"]))
+       coalesce(nullif(l_tax, 0.0), -1.0) AS tax_or_neg,
+       round_even(l_extendedprice / 1000, 1) AS bround_p,
+       printf('%s:%d', l_returnflag, CAST(l_linenumber AS BIGINT)) AS label_text,
+       CASE WHEN isnan(l_discount / nullif(l_tax, 0.0)) THEN 1 ELSE 0 END AS nan_ratio,
+       CASE WHEN nullif(l_tax, 0.0) IS NULL THEN 1 ELSE 0 END AS null_ratio,
+       CAST(len(range(1, CAST(l_linenumber AS BIGINT) + 1)) AS INTEGER) AS seq_n,
+       l_discount * l_discount + l_tax * l_tax AS sum_sq,
+       l_quantity * 2 + l_discount * 3 AS dot_23
+FROM lineitem""", ["log1p_q", "exp_d", "abs_t", "sqrt_p", "sq_d", "tax_or_neg", "bround_p", "sum_sq", "dot_23"]))
 def fn_scalar_pack(spark, base):
-    """2.9: the reference's scalar functions in one projection over lineitem."""
+    """2.9: the reference's row-wise scalar functions in one projection over lineitem."""
     li = FX.lineitem(spark, base)
+    tax = F.nullif(F.col("l_tax"), F.lit(0.0))
+    add = lambda a, b: a + b
     return li.select(
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_r"),
@@ -344,36 +352,48 @@ def fn_scalar_pack(spark, base):
         F.floor(F.col("l_quantity") / 7).cast("long").alias("floor_q"), F.pow("l_discount", 2).alias("sq_d"),
         F.concat_ws("", F.col("l_linenumber").cast("string"), F.lit("-"), "l_returnflag", "l_linestatus").alias("code"),
         clean_name(F.concat_ws(".", "l_returnflag", "l_linestatus")).alias("before_dot"),
-        F.coalesce(F.nullif(F.col("l_tax"), F.lit(0.0)), F.lit(-1.0)).alias("tax_or_neg"))
-
-
-# ------------------------------------------------------------------ flagship (entry)
-
-def model_scores(spark, base):
-    """Visits -> artifact -> NB + LDA fitted on train -> scores for train and test."""
-    v, art = visit_artifact(spark, base)
-    # persisted: scored twice (train for thresholds, test for the comparison), and a
-    # materialised input keeps the model expressions from re-inlining the preparation
-    prep = art.transform(v).persist(StorageLevel.MEMORY_AND_DISK)
-    train = prep.where(F.col("period") == "train")
-    nb = fit_gaussian_nb(train, art.feature_names())
-    lda = fit_lda(train, list(FX.V_NUMERIC) + ["isReturningVisitor"])
-    keep = ["visit_id", "period", "label"]
-    nb_s = prep.select(*keep, F.lit("naive_bayes").alias("model"), nb.posterior().alias("score"))
-    lda_s = prep.select(*keep, F.lit("lda").alias("model"), lda.posterior().alias("score"))
-    return nb_s.unionByName(lda_s)
-
-
-def flagship_comparison(spark, base):
-    """Youden thresholds chosen on train scores, models compared and ranked on test."""
-    # scores feed several curve passes: materialise once instead of re-scoring in each
-    s = model_scores(spark, base).persist(StorageLevel.MEMORY_AND_DISK)
-    thr = EV.youden(s.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
-    cmp = EV.compare_models(s.where(F.col("period") == "test"), thr)
-    return EV.rank_models(cmp)
-
-
-@register("flagship_compare")
-def flagship_compare(spark, base):
-    """Flagship: NB and LDA on prepared visits, Youden thresholds from train, ranked on test."""
-    return flagship_comparison(spark, base)
+        F.coalesce(tax, F.lit(-1.0)).alias("tax_or_neg"),
+        F.bround(F.col("l_extendedprice") / 1000, 1).alias("bround_p"),
+        F.format_string("%s:%d", "l_returnflag", F.col("l_linenumber").cast("long")).alias("label_text"),
+        F.when(F.isnan(F.col("l_discount") / tax), 1).otherwise(0).alias("nan_ratio"),
+        F.when(F.isnull(tax), 1).otherwise(0).alias("null_ratio"),
+        F.size(F.sequence(F.lit(1).cast("long"), F.col("l_linenumber").cast("long"))).alias("seq_n"),
+        F.aggregate(F.transform(F.array("l_discount", "l_tax"), lambda x: x * x), F.lit(0.0), add).alias("sum_sq"),
+        F.aggregate(F.zip_with(F.array("l_quantity", "l_discount"), F.array(F.lit(2.0), F.lit(3.0)), lambda a, b: a * b),
+                    F.lit(0.0), add).alias("dot_23"))
+
+
+@register("fn_series_pack", rounded("""
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n, count(DISTINCT o_custkey) AS n_cust FROM orders GROUP BY 1)
+SELECT CAST(day AS VARCHAR) AS day, n, n_cust, lag(n, 1, 0) OVER (ORDER BY day) AS prev_n,
+       n - lag(n, 1, 0) OVER (ORDER BY day) AS diff_n, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS cum_n FROM d""", []))
+def fn_series_pack(spark, base):
+    """2.9: distinct count, lag, difference and cumulative sum, on orders by day."""
+    o = FX.orders(spark, base)
+    daily = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("n_cust"))
+    # days are numbered by a distributed running count; yesterday's row is found by that number
+    cum = running_totals(daily.withColumn("one", F.lit(1)), "day", ["one", "n"])
+    before = cum.select((F.col("one_cum") + 1).alias("one_cum"), F.col("n").alias("prev_n"))
+    prev = F.coalesce("prev_n", F.lit(0))
+    return cum.join(before, "one_cum", "left").select(
+        F.col("day").cast("string").alias("day"), "n", "n_cust", prev.alias("prev_n"), (F.col("n") - prev).alias("diff_n"),
+        F.col("n_cum").cast("long").alias("cum_n"))
+
+
+# ------------------------------------------------------------------ G8 with soft labels
+
+@register("eval_pr_curve_weighted", rounded(with_(SCORED, """
+soft AS (SELECT model, score, label, 1 + length(visit_id) % 3 AS w FROM st),
+sh AS (SELECT model, score, sum(CASE WHEN label = 1 THEN CAST(w AS DOUBLE) ELSE 0.0 END) AS pos,
+              sum(CASE WHEN label = 1 THEN 0.0 ELSE CAST(w AS DOUBLE) END) AS neg FROM soft GROUP BY model, score),
+roc AS (SELECT model, score AS threshold,
+          sum(pos) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+          sum(neg) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+          sum(pos) OVER (PARTITION BY model) AS P FROM sh)""", body="""
+SELECT model, threshold, CASE WHEN P <> 0 THEN tp / P END AS recall,
+       CASE WHEN tp + fp <> 0 THEN tp / (tp + fp) END AS precision FROM roc"""), ["threshold", "recall", "precision"]))
+def eval_pr_curve_weighted(spark, base):
+    """G8 with row weights: precision and recall by mass instead of counts."""
+    s = test_scores(spark, base).withColumn("w", F.lit(1) + F.length("visit_id") % 3)
+    return EV.pr_points(s, ["model"], weight="w")

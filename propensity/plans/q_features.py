@@ -9,6 +9,7 @@ from propensity.functions.columns import safe_div
 from propensity.operators import features as FE
 from propensity.operators.artifact import PrepSpec, fit_artifact
 from propensity.plans import fixtures as FX
+from propensity.plans.q_split import visit_key
 from propensity.plans.registry import register
 from propensity.plans.sql import DOCS, ORDERS, VISITS, rounded, with_
 
@@ -18,9 +19,12 @@ V_CATS = ["nation", "segment", "weekend"]
 
 
 def visit_artifact(spark, base, spec: PrepSpec = V_SPEC):
-    """Visits (persisted: the fit reads them twice and the caller applies the artifact to them) + artifact."""
-    v = FX.visits(spark, base).persist(StorageLevel.MEMORY_AND_DISK)
-    return v, fit_artifact(v.where(F.col("period") == "train"), spec)
+    """Visits and the artifact fitted on their train rows (cached only while the fit reads them twice)."""
+    v = visit_key(FX.visits(spark, base))
+    train = v.where(F.col("period") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    art = fit_artifact(train, spec)
+    train.unpersist()
+    return v, art
 
 
 # ------------------------------------------------------------------ SQL: the artifact fit on train
@@ -45,7 +49,7 @@ art_keep AS (SELECT level FROM art_share WHERE share >= 0.05 AND level IS NOT NU
 lumped AS (SELECT visit_id, period,
                   CASE WHEN nation IN (SELECT level FROM art_keep) THEN nation ELSE 'Other' END AS nation,
                   segment, CAST(weekend AS VARCHAR) AS weekend FROM visits),
-art_levels AS (SELECT DISTINCT 'nation' AS col, nation AS level FROM lumped WHERE period = 'train'
+art_levels AS (SELECT 'nation' AS col, level FROM art_keep UNION SELECT 'nation', 'Other'
                UNION SELECT DISTINCT 'segment', segment FROM lumped WHERE period = 'train' AND segment IS NOT NULL
                UNION SELECT DISTINCT 'weekend', weekend FROM lumped WHERE period = 'train'),
 art_dummies AS (SELECT col, level FROM (
@@ -76,12 +80,12 @@ def src_features_target(spark, base):
 # ------------------------------------------------------------------ D1, D2, D4
 
 @register("feat_prob_impute", rounded(with_(VISITS, ART_SQL, body=f"""
-SELECT visit_id, visitor, {_IMPUTE_SQL} AS isReturningVisitor FROM visits, art_p"""), ["isReturningVisitor"]))
+SELECT visit_id, visitor, {_IMPUTE_SQL} AS is_returning FROM visits, art_p"""), ["is_returning"]))
 def feat_prob_impute(spark, base):
     """Visitor type -> 1 / 0 / P(returning) fitted on train."""
     v = FX.visits(spark, base)
     p = FE.fit_prob_returning(v.where(F.col("period") == "train"), "visitor")
-    return v.select("visit_id", "visitor", FE.prob_impute("visitor", p).alias("isReturningVisitor"))
+    return v.select("visit_id", "visitor", FE.prob_impute("visitor", p).alias("is_returning"))
 
 
 @register("feat_quarter", with_(ORDERS, body="""
@@ -117,6 +121,8 @@ def feat_lump_apply(spark, base):
 SELECT l.visit_id, d.col || '_' || d.level AS dummy,
        CASE WHEN (CASE d.col WHEN 'nation' THEN l.nation WHEN 'segment' THEN l.segment ELSE l.weekend END) IS NULL
             THEN NULL
+            WHEN (CASE d.col WHEN 'nation' THEN l.nation WHEN 'segment' THEN l.segment ELSE l.weekend END)
+                 NOT IN (SELECT a.level FROM art_levels a WHERE a.col = d.col) THEN NULL
             WHEN (CASE d.col WHEN 'nation' THEN l.nation WHEN 'segment' THEN l.segment ELSE l.weekend END) = d.level
             THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS value
 FROM lumped l JOIN art_dummies d ON TRUE"""), ["value"]))
@@ -195,12 +201,12 @@ def feat_collinear(spark, base):
 # ------------------------------------------------------------------ D13, D14, A7
 
 @register("feat_apply_artifact", rounded(with_(VISITS, ART_SQL, body=f"""
-SELECT visit_id, period, {_Z_SQL}, {_IMPUTE_SQL} AS isReturningVisitor, CAST(label AS DOUBLE) AS label
-FROM visits, art_num, art_p"""), FX.V_NUMERIC + ["isReturningVisitor", "label"]))
+SELECT visit_id, period, {_Z_SQL}, {_IMPUTE_SQL} AS is_returning, CAST(label AS DOUBLE) AS label
+FROM visits, art_num, art_p"""), FX.V_NUMERIC + ["is_returning", "label"]))
 def feat_apply_artifact(spark, base):
     """The train-fitted artifact applied to every visit (numeric part; dummies in feat_onehot)."""
     v, art = visit_artifact(spark, base)
-    return art.transform(v).select("visit_id", "period", *FX.V_NUMERIC, "isReturningVisitor", "label")
+    return art.transform(v).select("visit_id", "period", *FX.V_NUMERIC, "is_returning", "label")
 
 
 @register("artifact_bundle", rounded(with_(VISITS, ART_SQL, body=f"""

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from dataclasses import replace
+from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.operators import evaluate as EV
+from propensity.operators import features as FE
 from propensity.operators import split as S
+from propensity.operators.artifact import fit_artifact
 from propensity.operators.models import explain as X
 from propensity.operators.models import generative as G
 from propensity.operators.models import linear as LIN
@@ -15,39 +22,52 @@ from propensity.operators.models import trees as TR
 from propensity.operators import profile as P
 from propensity.functions.cumulative import running_totals
 from propensity.plans import fixtures as FX
-from propensity.plans.q_evaluate import SCORED, _CMP_SQL, _compare
-from propensity.plans.q_features import ART_SQL, _IMPUTE_SQL, _Z_SQL, visit_artifact
+from propensity.plans.q_evaluate import SCORED, _CMP_COLS, _CMP_SQL, _compare, _roc_sql
+from propensity.plans.q_features import ART_SQL, COLLINEAR, V_SPEC, _IMPUTE_SQL, _Z_SQL, visit_artifact
 from propensity.plans.q_split import FOLD_PRIME, visit_key
 from propensity.plans.registry import register
 from propensity.plans.sql import ORDERS, VISITS, rounded, with_
-from propensity.session import right_size
+from propensity.session import checkpoint_dir
+from propensity.sources import io as IO
 
-NB_F = FX.V_NUMERIC + ["isReturningVisitor"]
+NB_F = FX.V_NUMERIC + ["is_returning"]
 LDA_F = ["prd", "prd_value"]
 N_FOLDS = 5
-LR_LAMBDAS = 8       # driver-facing path length (the operator takes any)
-LR_MAX_ITER = 50
-
-
-def prepared(spark, base, with_weights=True):
-    """Prepared visits (artifact fitted on train), fold ids and balanced weights.
-
-    Persisted: every CV fit re-reads it, and the persisted plan keeps model
-    expressions from re-inlining the preparation.
-    """
-    v, art = visit_artifact(spark, base)
-    prep = art.transform(visit_key(v)).join(
-        visit_key(v).select("visit_id", S.fold_column("vkey", N_FOLDS, FOLD_PRIME).alias("fold")), "visit_id")
-    train_counts = S.class_counts(prep.where(F.col("period") == "train"), "label")
-    if with_weights:
-        n, k = sum(train_counts.values()), len(train_counts)
-        w = None
-        for c, nc in train_counts.items():
-            t = F.lit(n / (k * nc))
-            w = F.when(F.col("label") == F.lit(c), t) if w is None else w.when(F.col("label") == F.lit(c), t)
-        prep = prep.withColumn("weight", w)
-    prep = right_size(prep, 2 * sum(train_counts.values())).persist(StorageLevel.MEMORY_AND_DISK)
-    return prep, art.feature_names()
+LR_FOLDS = 10
+LR_LAMBDAS = 100
+N_TREES = 500
+TUNING_TREES = 500
+#: The order of the prepared columns that models keep besides the features.
+KEEP = ["visit_id", "period", "vkey", "role"]
+
+
+def with_roles(v):
+    """C2 on visits: the train weeks before the last one to fit, the last one to validate on."""
+    week = F.concat(F.lit("w"), F.floor(F.datediff("day", F.lit("2024-01-01").cast("date")) / 7).cast("string"))
+    return S.temporal_holdout(v.withColumn("week", week), "period", "week", ["w0", "w1"], ["w2"])
+
+
+def apply_with_folds(v, art):
+    """The artifact applied, fold ids as projections of the key, balanced class weights as a literal."""
+    prep = art.transform(with_roles(v)).withColumns({
+        "fold": S.fold_column("vkey", N_FOLDS, FOLD_PRIME), "fold10": S.fold_column("vkey", LR_FOLDS, FOLD_PRIME)})
+    counts = S.class_counts(prep.where(F.col("period") == "train"), "label")
+    total = sum(counts.values())
+    weight = F.lit(None).cast("double")
+    for c, n in counts.items():
+        weight = F.when(F.col("label") == F.lit(c), F.lit(total / (len(counts) * n))).otherwise(weight)
+    return prep.withColumn("weight", weight)
+
+
+@contextmanager
+def prepared(spark, base):
+    """Prepared visits (artifact fitted on train), cached while the models of a query are fitted on them."""
+    v, art = visit_artifact(spark, base, replace(V_SPEC, keep=KEEP))
+    prep = apply_with_folds(v, art).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield prep, art.feature_names()
+    finally:
+        prep.unpersist()
 
 
 def _train(prep):
@@ -61,7 +81,7 @@ def _test(prep):
 # ------------------------------------------------------------------ SQL: prepared visits, NB, LDA
 
 VPREP = f"""
-vprep AS (SELECT visit_id, period, {_Z_SQL}, {_IMPUTE_SQL} AS isReturningVisitor, CAST(label AS DOUBLE) AS label
+vprep AS (SELECT visit_id, period, {_Z_SQL}, {_IMPUTE_SQL} AS is_returning, CAST(label AS DOUBLE) AS label
           FROM visits, art_num, art_p)"""
 
 NB_SQL = f"""
@@ -175,20 +195,20 @@ def lda_projection(spark, base):
 
 @register("pd_lda", rounded(with_(VISITS, ART_SQL, VPREP, LDA_SQL, """
 tr AS (SELECT * FROM vprep WHERE period = 'train'),
-gs AS (SELECT min(prd) AS lo, max(prd) AS hi, least(20, count(DISTINCT prd)) AS k FROM tr),
+gs AS (SELECT min(prd) AS lo, max(prd) AS hi, least(51, count(DISTINCT prd)) AS k FROM tr),
 grid AS (SELECT CASE WHEN gs.k > 1 THEN gs.lo + (gs.hi - gs.lo) * i / (gs.k - 1) ELSE gs.lo END AS g
-         FROM gs, range(0, 20) t(i) WHERE i < gs.k),
+         FROM gs, range(0, 51) t(i) WHERE i < gs.k),
 sc AS (SELECT grid.g, 1 / (1 + exp(-(l.c + grid.g * l.b1 + tr.prd_value * l.b2))) AS p FROM tr, grid, lfin l)""",
     body="""
 SELECT 'prd' AS feature, g AS value,
        avg(0.5 * (ln(greatest(p, 2.220446049250313e-16)) - ln(greatest(1.0 - p, 2.220446049250313e-16)))) AS pd
 FROM sc GROUP BY g"""), ["value", "pd"]))
 def pd_lda(spark, base):
-    """F22 with a closed-form model: partial dependence of the two-feature LDA on 'prd' (20-point grid)."""
+    """F22 with a closed-form model: partial dependence of the two-feature LDA on 'prd' (51-point grid)."""
     prep = _visit_prep(spark, base)
     tr = _train(prep)
     lda = G.fit_lda(tr, LDA_F)
-    return X.partial_dependence(lambda d: d.withColumn("score", lda.posterior()), tr, LDA_F, ["prd"], n_grid=20)
+    return X.partial_dependence(lambda d: d.withColumn("score", lda.posterior()), tr, LDA_F, ["prd"], n_grid=51)
 
 
 @register("stable_iteration", with_(ORDERS, """
@@ -224,109 +244,173 @@ def model_pick(spark, base):
     return TR.model_pick(_compare(spark, base), "views", "value")
 
 
-# ------------------------------------------------------------------ F1-F3 (rows-only: iterative fits)
+# ------------------------------------------------------------------ flagship (entry)
+
+def model_scores(spark, base):
+    """Visits -> artifact -> naive Bayes and two-feature LDA fitted on train -> scores for train and test."""
+    prep = _visit_prep(spark, base)
+    models = {"naive_bayes": G.fit_gaussian_nb(_train(prep), NB_F), "lda": G.fit_lda(_train(prep), LDA_F)}
+    return reduce(DataFrame.unionByName, [
+        prep.select("visit_id", "period", "label", F.lit(n).alias("model"), m.posterior().alias("score"))
+        for n, m in models.items()])
+
+
+def flagship_comparison(spark, base):
+    """Youden thresholds chosen on train scores, models compared and ranked on test."""
+    s = model_scores(spark, base)
+    thr = EV.youden(s.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
+    return EV.rank_models(EV.compare_models(s.where(F.col("period") == "test"), thr))
+
 
-def _logistic(spark, base, alpha=0.5):
-    prep, feats = prepared(spark, base)
-    model, cv = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=LR_LAMBDAS,
-                                    fold_col="fold", parallelism=8, max_iter=LR_MAX_ITER)
-    return prep, feats, model, cv
+_TRAIN_ROC = _roc_sql("strain").replace("sh AS (", "tsh AS (").replace("FROM sh)", "FROM tsh)").replace("roc AS (", "troc AS (")
+
+
+@register("flagship_compare", rounded(with_(VISITS, ART_SQL, VPREP, NB_SQL, NB_SCORE_SQL, LDA_SQL, """
+scored AS (SELECT n.visit_id, n.period, v.label, 'naive_bayes' AS model, n.score FROM nbscore n JOIN vprep v ON n.visit_id = v.visit_id
+           UNION ALL SELECT v.visit_id, v.period, v.label, 'lda', 1 / (1 + exp(-(l.c + v.prd * l.b1 + v.prd_value * l.b2)))
+           FROM vprep v, lfin l),
+st AS (SELECT * FROM scored WHERE period = 'test'), strain AS (SELECT * FROM scored WHERE period = 'train')""",
+    _TRAIN_ROC, """
+tj AS (SELECT *, tp / P + (N - fp) / N - 1 AS j FROM troc),
+tb AS (SELECT model, max(j) AS bj FROM tj GROUP BY model),
+ts AS (SELECT t.model, min(t.threshold) AS s FROM tj t JOIN tb ON t.model = tb.model AND t.j = tb.bj GROUP BY t.model),
+thr AS (SELECT ts.model, CASE WHEN max(t.threshold) FILTER (WHERE t.threshold < ts.s) IS NULL THEN CAST('-inf' AS DOUBLE)
+                              ELSE (ts.s + max(t.threshold) FILTER (WHERE t.threshold < ts.s)) / 2 END AS threshold
+        FROM ts JOIN tj t ON t.model = ts.model GROUP BY ts.model, ts.s)""", _CMP_SQL, body="SELECT * FROM ranked"), _CMP_COLS))
+def flagship_compare(spark, base):
+    """Flagship: NB and LDA on prepared visits, Youden thresholds from train, ranked on test."""
+    return flagship_comparison(spark, base)
+
+
+# ------------------------------------------------------------------ F1-F3
+
+def _logistic(prep, feats, alpha=0.5):
+    return LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, LR_LAMBDAS, "fold10", LR_FOLDS)
+
+
+def _scored(model, prep, feats):
+    return TR.score_model(model, prep, feats).select("visit_id", "period", "label", "score")
 
 
 @register("logreg_scores")
 def logreg_scores(spark, base):
     """F1: weighted elastic-net logistic regression (alpha 0.5, CV lambda) scores on all visits."""
-    prep, feats, model, _ = _logistic(spark, base)
-    return LIN.score_logistic(model, prep, feats).select("visit_id", "period", "label", "score")
+    with prepared(spark, base) as (prep, feats):
+        model, _ = _logistic(prep, feats)
+    return _scored(model, prep, feats)
 
 
 @register("logreg_cv_path")
 def logreg_cv_path(spark, base):
-    """the lambda path with its cross-validated deviance."""
-    return _logistic(spark, base)[3]
+    """the lambda path (100 penalties, 10 folds) with its cross-validated deviance."""
+    with prepared(spark, base) as (prep, feats):
+        return _logistic(prep, feats)[1]
 
 
 @register("penalty_comparison")
 def penalty_comparison(spark, base):
     """ridge / elastic net / lasso: accuracy, kappa (Youden threshold on train, '>'), test AUC."""
-    prep, feats = prepared(spark, base)
-    rows = None
-    for name, alpha in (("Ridge", 0.0), ("ElasticNet", 0.5), ("Lasso", 1.0)):
-        model, _ = LIN.fit_logistic_cv(_train(prep), feats, "label", "weight", alpha, n_lambda=LR_LAMBDAS,
-                                       fold_col="fold", parallelism=8, max_iter=LR_MAX_ITER)
-        sc = LIN.score_logistic(model, prep, feats).withColumn("model", F.lit(name))
-        thr = EV.youden(sc.where(F.col("period") == "train"), ["model"]).select("model", "threshold")
-        te = sc.where(F.col("period") == "test")
-        m = EV.metrics(EV.confusion(te, thr, ["model"], inclusive=False), ["model"])
-        auc = EV.roc_auc(te, ["model"])
-        r = m.join(auc, "model").select("model", F.lit(alpha).alias("alpha"), "accuracy", "kappa",
-                                        F.col("roc_auc").alias("auc"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    names = {0.0: "Ridge", 0.5: "ElasticNet", 1.0: "Lasso"}
+    with prepared(spark, base) as (prep, feats):
+        table = LIN.penalty_path_cv(_train(prep), feats, "label", "weight", list(names), LR_LAMBDAS, "fold10", LR_FOLDS)
+        models = {a: LIN.fit_logistic(_train(prep), feats, "label", "weight", a, lam)
+                  for a, lam in LIN.best_penalties(table).items()}
+    sc = reduce(DataFrame.unionByName, [
+        _scored(m, prep, feats).withColumn("model", F.lit(names[a])).withColumn("alpha", F.lit(a)) for a, m in models.items()])
+    thr = EV.youden(sc.where(F.col("period") == "train"), ["model", "alpha"]).select("model", "alpha", "threshold")
+    te = sc.where(F.col("period") == "test")
+    m = EV.metrics(EV.confusion(te, thr, ["model", "alpha"], inclusive=False), ["model", "alpha"])
+    return m.join(EV.roc_auc(te, ["model", "alpha"]), ["model", "alpha"]).select(
+        "model", "alpha", "accuracy", "kappa", F.col("roc_auc").alias("auc"))
 
 
 @register("odds_ratios")
 def odds_ratios(spark, base):
     """odds ratios of the non-zero coefficients, top 10 and bottom 5."""
-    prep, feats, model, _ = _logistic(spark, base)
+    with prepared(spark, base) as (prep, feats):
+        model, _ = _logistic(prep, feats)
     return LIN.odds_head_tail(LIN.odds_ratios(model, feats), 10, 5)
 
 
+@register("odds_rank", rounded(with_(VISITS, ART_SQL, VPREP, LDA_SQL, """
+b AS (SELECT 'prd' AS feature, b1 AS coefficient FROM lfin UNION ALL SELECT 'prd_value', b2 FROM lfin)""", body="""
+SELECT feature, coefficient, exp(coefficient) AS odds_ratio,
+       CAST(row_number() OVER (ORDER BY exp(coefficient) DESC, feature) AS BIGINT) AS rank FROM b WHERE coefficient <> 0"""),
+    ["coefficient", "odds_ratio"]))
+def odds_rank(spark, base):
+    """F3 on closed-form coefficients: the log-odds weights of the two-feature discriminant, as ranked odds ratios."""
+    lda = G.fit_lda(_train(_visit_prep(spark, base)), LDA_F)
+    return LIN.ranked_odds(spark, lda.features, lda.coef)
+
+
 # ------------------------------------------------------------------ F4, F5
 
 @register("tree_scores")
 def tree_scores(spark, base):
     """weighted CART pruned by CV, scores on all visits."""
-    prep, feats = prepared(spark, base)
-    model, _ = TR.fit_tree_cv(_train(prep), feats, "label", "weight")
-    return TR.score_model(model, prep, feats).select("visit_id", "period", "label", "score")
+    with prepared(spark, base) as (prep, feats):
+        model, _ = TR.fit_tree_cv(_train(prep), feats, "label", "weight")
+    return _scored(model, prep, feats)
 
 
 @register("tree_prune_path")
 def tree_prune_path(spark, base):
     """cross-validated weighted error per complexity setting."""
-    prep, feats = prepared(spark, base)
-    return TR.fit_tree_cv(_train(prep), feats, "label", "weight")[1]
+    with prepared(spark, base) as (prep, feats):
+        return TR.fit_tree_cv(_train(prep), feats, "label", "weight")[1]
 
 
 # ------------------------------------------------------------------ F10-F14
 
-def _forest(prep, feats, **kw):
-    return TR.fit_forest(_train(prep), feats, "label", "weight", num_trees=kw.get("num_trees", 20), seed=42)
+def _forest(prep, feats, num_trees=N_TREES):
+    return TR.fit_forest(_train(prep), feats, "label", "weight", num_trees=num_trees, seed=42)
 
 
 @register("forest_scores")
 def forest_scores(spark, base):
-    """balanced-weight random forest (20 trees, mtry floor(sqrt p)), scores on all visits."""
-    prep, feats = prepared(spark, base)
-    return TR.score_model(_forest(prep, feats), prep, feats).select("visit_id", "period", "label", "score")
+    """balanced-weight random forest (500 trees, mtry floor(sqrt p)), scores on all visits."""
+    with prepared(spark, base) as (prep, feats):
+        model = _forest(prep, feats)
+    return _scored(model, prep, feats)
 
 
 @register("oof_scores")
 def oof_scores(spark, base):
     """out-of-fold forest scores on train visits (stand-in for OOB votes)."""
-    prep, feats = prepared(spark, base)
-    fit = lambda d: TR.fit_forest(d, feats, "label", "weight", num_trees=20, seed=42)
-    return TR.out_of_fold_scores(_train(prep), feats, fit, "fold", N_FOLDS).select("visit_id", "label", "score")
+    with prepared(spark, base) as (prep, feats):
+        fit = lambda d: TR.fit_forest(d, feats, "label", "weight", num_trees=N_TREES, seed=42)
+        return TR.out_of_fold_scores(_train(prep), feats, fit, "fold", N_FOLDS).select("visit_id", "label", "score")
 
 
 @register("forest_stability")
 def forest_stability(spark, base):
-    """F12 on a forest: error by number of trees (test visits) and the stable tree count."""
-    prep, feats = prepared(spark, base)
-    path = TR.tree_error_path(_forest(prep, feats), _test(prep), feats)
-    stable = TR.stable_iteration(path, "n_trees", "error", 0.0005, 50).first()["stable_n"]   # one number
-    return path.withColumn("stable_n", F.lit(stable).cast("long"))
+    """F12 on a forest: error by number of trees (800, test visits) and the stable tree count (else 800)."""
+    with prepared(spark, base) as (prep, feats):
+        path = TR.tree_error_path(_forest(prep, feats, 800), _test(prep), feats)
+    stable = TR.stable_iteration(path, "n_trees", "error", 0.0005, 50, fallback=800)      # one row
+    return path.withColumn("_k", F.lit(0)).join(stable.withColumn("_k", F.lit(0)), "_k").drop("_k")
 
 
 @register("forest_tuning")
 def forest_tuning(spark, base):
-    """F13 + F14: coordinate search on out-of-fold PR-AUC; the sensitivity table."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    tr = _train(prep)
-    tr = tr.withColumn("fold", F.col("fold") % 2)
-    return TR.forest_tuning(tr, feats, "label", "fold", k=2, num_trees=10,
-                            mtry_grid=[2, 4], node_grid=(1, 20), ratios=(1.0, 2.0))
+    """F13 + F14: coordinate search on out-of-fold PR-AUC over the full grids; the sensitivity table."""
+    with prepared(spark, base) as (prep, feats):
+        return TR.forest_tuning(_train(prep), feats, "label", "fold", k=N_FOLDS, num_trees=TUNING_TREES)
+
+
+@register("forest_decision")
+def forest_decision(spark, base):
+    """F19 on real models: the default forest or the tuned one, by test PR-AUC, ties to the default."""
+    with prepared(spark, base) as (prep, feats):
+        tr = _train(prep)
+        best = TR.tuned_parameters(TR.forest_tuning(tr, feats, "label", "fold", k=N_FOLDS, num_trees=TUNING_TREES))
+        counts = S.class_counts(tr, "label")
+        own = TR.ratio_weights(tr, "label", counts.get(1.0, 0), counts.get(0.0, 0), best["ratio"])
+        models = {"default": _forest(prep, feats),
+                  "tuned": TR.fit_forest(own, feats, "label", "_w", N_TREES, best["mtry"], best["nodesize"], seed=42)}
+    scores = reduce(DataFrame.unionByName, [
+        _scored(m, _test(prep), feats).withColumn("model", F.lit(n)) for n, m in models.items()])
+    return TR.model_pick(EV.pr_auc(scores, ["model"]), "default", "tuned")
 
 
 # ------------------------------------------------------------------ F15-F18
@@ -338,96 +422,143 @@ def _scale_pos(prep):
 @register("boost_scores")
 def boost_scores(spark, base):
     """gradient-boosted trees (30 rounds, positive-class weight), scores on all visits."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    tr = _scale_pos(_train(prep))
-    m = TR.fit_boost(tr, feats, "label", "weight", max_iter=30, step_size=0.3, max_depth=6)
-    return TR.score_model(m, prep, feats).select("visit_id", "period", "label", "score")
+    with prepared(spark, base) as (prep, feats):
+        m = TR.fit_boost(_scale_pos(_train(prep)), feats, "label", "weight", max_iter=30, step_size=0.3, max_depth=6)
+    return _scored(m, prep, feats)
 
 
 @register("boost_tuning")
 def boost_tuning(spark, base):
-    """F16: 5 random + 10 guided trials on a fold hold-out, by PR-AUC."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    tr = _train(prep)
-    space = {**TR.BOOST_SPACE, "max_iter": (5, 15)}
-    return TR.boost_tuning(tr.where(F.col("fold") != 0), tr.where(F.col("fold") == 0), feats, "label",
-                           n_init=5, n_iter=5, space=space)
-
-
-@register("boost_final")
-def boost_final(spark, base):
-    """the boosted model refit on all train visits with the best hold-out trial's parameters."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    tr = _train(prep)
-    space = {**TR.BOOST_SPACE, "max_iter": (5, 15)}
-    trials = TR.boost_tuning(tr.where(F.col("fold") != 0), tr.where(F.col("fold") == 0), feats, "label",
-                             n_init=3, n_iter=3, space=space)
-    best = trials.where(F.col("rank") == 1).first()   # one row
-    m = TR.fit_boost(_scale_pos(tr), feats, "label", "weight", max_iter=best.max_iter, step_size=best.step_size,
-                     max_depth=best.max_depth, min_leaf=best.min_leaf, min_gain=best.min_gain,
-                     subsampling=best.subsampling)
-    return TR.score_model(m, prep, feats).select("visit_id", "period", "label", "score")
+    """F16: 5 random + 10 guided trials on the temporal hold-out, by PR-AUC, each stopped early."""
+    with prepared(spark, base) as (prep, feats):
+        return TR.boost_tuning(_train(prep), "role", feats, "label")
 
 
 @register("boost_rounds")
 def boost_rounds(spark, base):
-    """boosting rounds chosen by 5-fold CV log-loss with patience."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    return TR.boost_rounds(_train(prep), feats, "label", None, "fold", N_FOLDS, max_rounds=40, patience=10,
-                           step_size=0.1, max_depth=4)
+    """boosting rounds (300 at most) chosen by 5-fold CV log-loss with a patience of 30."""
+    with prepared(spark, base) as (prep, feats):
+        return TR.boost_rounds(_train(prep), feats, "label", None, "fold", N_FOLDS, step_size=0.1, max_depth=4)
+
 
+@register("boost_final")
+def boost_final(spark, base):
+    """refit on all train visits with the best trial's parameters and the rounds that CV chooses for them;
+    every visit's score and its class at the threshold of G10 on train."""
+    with prepared(spark, base) as (prep, feats):
+        tr = _scale_pos(_train(prep))
+        best = TR.best_trial(TR.boost_tuning(_train(prep), "role", feats, "label"))
+        path = TR.boost_rounds(tr, feats, "label", "weight", "fold", N_FOLDS, **best)
+        rounds = path.where("chosen = 1").first()["round"]      # one row
+        m = TR.fit_boost(tr, feats, "label", "weight", max_iter=rounds, **best)
+    scores = _scored(m, prep, feats).withColumn("model", F.lit("boost"))
+    grid = EV.threshold_grid(scores.where(F.col("period") == "train"), ["model"]).where("best = 1")
+    return scores.join(grid.select("model", "threshold"), "model").select(
+        "visit_id", "period", "label", "score", "threshold", EV.classify("score", "threshold", False).alias("pred"))
+
+
+# ------------------------------------------------------------------ F20: six models from saved packets
+
+RATIO_NUM = [c for c in FX.V_NUMERIC if c not in ("adm", "adm_value", "err_rate")] + ["adm_avg"]
+
+
+def own_preparation(spark, base):
+    """Visits for the linear and closed-form models: near-constant columns (train) and collinear ones dropped,
+    a count and its value replaced by their ratio, then an artifact of their own."""
+    v = with_roles(visit_key(FX.visits(spark, base)))
+    treated = FE.collinearity_treatment(v, **COLLINEAR)
+    train = treated.where(F.col("period") == "train")
+    flat = {r["feature"] for r in P.near_zero_variance(train, RATIO_NUM).where("nzv = 1").collect()}
+    spec = replace(V_SPEC, numeric=[c for c in RATIO_NUM if c not in flat], keep=KEEP)
+    art = fit_artifact(train, spec)
+    return apply_with_folds(treated, art), art
+
+
+def train_packets(spark, base, path):
+    """Fit the six models, each on its own preparation, choose each threshold on train, save the packets."""
+    own, art = own_preparation(spark, base)
+    own, feats = own.persist(StorageLevel.MEMORY_AND_DISK), art.feature_names()
+    plain = art.spec.numeric + ["is_returning"]        # no dummies: the discriminant needs full rank
+    fitted = {"naive_bayes": (G.fit_gaussian_nb(_train(own), feats), own, feats, "own"),
+              "lda": (G.fit_lda(_train(own), plain), own, plain, "own"),
+              "logistic": (_logistic(own, feats)[0], own, feats, "own")}
+    with prepared(spark, base) as (prep, all_feats):
+        tr = _train(prep)
+        boost = TR.fit_boost(_scale_pos(tr), all_feats, "label", "weight", max_iter=30)
+        fitted |= {"cart": (TR.fit_tree_cv(tr, all_feats, "label", "weight")[0], prep, all_feats, "all"),
+                   "forest": (_forest(prep, all_feats), prep, all_feats, "all"), "boost": (boost, prep, all_feats, "all")}
+        scores = reduce(DataFrame.unionByName, [
+            _packet_scores(name, m, _train(d), f) for name, (m, d, f, _) in fitted.items()])
+        thresholds = {r["model"]: r["threshold"] for r in EV.youden(scores, ["model"]).collect()}      # six rows
+    own.unpersist()
+    for name, (m, _, f, preparation) in fitted.items():
+        IO.save_packet(m, path, name, thresholds[name], {"features": f, "preparation": preparation})
+
+
+def _packet_scores(name, model, df, feats):
+    s = model.transform(df) if hasattr(model, "posterior") else TR.score_model(model, df, feats)
+    return s.select("visit_id", F.lit(name).alias("model"), "score", "label")
+
+
+MODEL_NAMES = ["naive_bayes", "lda", "logistic", "cart", "forest", "boost"]
+
+
+def score_packets(spark, base, path):
+    """every packet's score of the test visits: (visit_id, model, score, label, threshold)."""
+    packets = IO.load_packets(spark, path, MODEL_NAMES)
+    v, art = visit_artifact(spark, base, replace(V_SPEC, keep=KEEP))
+    inputs = {"all": art.transform(with_roles(v)), "own": own_preparation(spark, base)[0]}
+    return reduce(DataFrame.unionByName, [
+        _packet_scores(n, p["model"], _test(inputs[p["params"]["preparation"]]), p["params"]["features"])
+        .withColumn("threshold", F.lit(p["threshold"])) for n, p in packets.items()])
+
+
+def _packet_path(spark):
+    return f"{checkpoint_dir(spark).rstrip('/')}/packets-{uuid.uuid4().hex}"
 
-# ------------------------------------------------------------------ F20-F23
 
 @register("score_all_models")
 def score_all_models(spark, base):
-    """every model scored on the test visits, long form (visit, model, score, label)."""
-    prep, feats = prepared(spark, base)
-    tr, te = _train(prep), _test(prep)
-    models = {
-        "naive_bayes": ("expr", G.fit_gaussian_nb(tr, feats).posterior()),
-        "lda": ("expr", G.fit_lda(tr, list(FX.V_NUMERIC) + ["isReturningVisitor"]).posterior()),
-    }
-    out = None
-    for name, (_, expr) in models.items():
-        s = te.select("visit_id", F.lit(name).alias("model"), expr.alias("score"), "label")
-        out = s if out is None else out.unionByName(s)
-    lr, _ = LIN.fit_logistic_cv(tr, feats, "label", "weight", 0.5, n_lambda=LR_LAMBDAS, fold_col="fold",
-                                parallelism=8, max_iter=LR_MAX_ITER)
-    ml = {"logistic": lr, "cart": TR.fit_tree_cv(tr, feats, "label", "weight")[0],
-          "forest": _forest(prep, feats),
-          "boost": TR.fit_boost(_scale_pos(tr), feats, "label", "weight", max_iter=30)}
-    for name, m in ml.items():
-        s = TR.score_model(m, te, feats).select("visit_id", F.lit(name).alias("model"), "score", "label")
-        out = out.unionByName(s)
-    return out
+    """every model scored on the test visits from its saved packet, long form, with its threshold."""
+    path = _packet_path(spark)
+    train_packets(spark, base, path)
+    return score_packets(spark, base, path)
 
 
+@register("final_comparison")
+def final_comparison(spark, base):
+    """The six models, loaded from packets, at their own thresholds, compared and ranked on the test visits."""
+    path = _packet_path(spark)
+    train_packets(spark, base, path)
+    scores = score_packets(spark, base, path)
+    thresholds = scores.select("model", "threshold").distinct()
+    return EV.rank_models(EV.compare_models(scores.drop("threshold"), thresholds))
+
+
+# ------------------------------------------------------------------ F21-F23
+
 @register("permutation_importance")
 def permutation_importance(spark, base):
     """accuracy drop when one feature is permuted (forest, test visits), top 10."""
-    prep, feats = prepared(spark, base)
-    forest = _forest(prep, feats)
-    imp = X.permutation_importance(forest, _test(prep), feats, "visit_id", "label", seed=7)
+    with prepared(spark, base) as (prep, feats):
+        imp = X.permutation_importance(_forest(prep, feats), _test(prep), feats, "visit_id", "label", seed=7)
     return imp.orderBy(F.col("importance").desc(), "feature").limit(10)
 
 
 @register("partial_dependence")
 def partial_dependence(spark, base):
-    """partial dependence (half log-odds) of the 3 most important features, 20-point grids."""
-    prep, feats = prepared(spark, base)
-    forest = _forest(prep, feats)
-    tr = _train(prep)
-    imp = X.permutation_importance(forest, tr, feats, "visit_id", "label", seed=7)
-    top = [r.feature for r in imp.orderBy(F.col("importance").desc(), "feature").limit(3).collect()]
-    return X.partial_dependence(forest, tr, feats, top, n_grid=20)
+    """partial dependence (half log-odds) of the 3 most important features, 51-point grids."""
+    with prepared(spark, base) as (prep, feats):
+        forest, tr = _forest(prep, feats), _train(prep)
+        imp = X.permutation_importance(forest, tr, feats, "visit_id", "label", seed=7)
+        top = [r.feature for r in imp.orderBy(F.col("importance").desc(), "feature").limit(3).collect()]
+        return X.partial_dependence(forest, tr, feats, top, n_grid=51)
 
 
 @register("shap_summary")
 def shap_summary(spark, base):
     """mean |SHAP| per feature of the boosted model (TreeSHAP), top 10."""
-    prep, feats = prepared(spark, base, with_weights=False)
-    tr = _scale_pos(_train(prep))
-    m = TR.fit_boost(tr, feats, "label", "weight", max_iter=30, max_depth=4)
+    with prepared(spark, base) as (prep, feats):
+        m = TR.fit_boost(_scale_pos(_train(prep)), feats, "label", "weight", max_iter=30, max_depth=4)
     contrib = X.tree_shap(m, _test(prep), feats, "visit_id")
     return X.shap_summary(contrib, feats).orderBy(F.col("mean_abs_shap").desc(), "feature").limit(10)

@@ -124,13 +124,29 @@ _TYPES_SQL = "CASE feature WHEN 'l_linenumber' THEN 'int' ELSE 'double' END"
 @register("prof_numeric_summary", rounded(f"""
 SELECT feature, {_TYPES_SQL} AS type, count(*) FILTER (WHERE value IS NULL) AS n_missing,
        count(DISTINCT value) + CASE WHEN count(*) FILTER (WHERE value IS NULL) > 0 THEN 1 ELSE 0 END AS n_unique,
-       min(value) AS min_value, max(value) AS max_value
+       min(value) AS min_value, max(value) AS max_value,
+       CASE WHEN feature = 'l_linenumber' THEN CAST(CAST(min(value) AS BIGINT) AS VARCHAR) END AS min_exact,
+       CASE WHEN feature = 'l_linenumber' THEN CAST(CAST(max(value) AS BIGINT) AS VARCHAR) END AS max_exact
 FROM {_sql_num_long('lineitem', L_SUMMARY_NUM)} GROUP BY feature""", ["min_value", "max_value"]))
 def prof_numeric_summary(spark, base):
     """Numeric summary of lineitem."""
     return P.numeric_summary(FX.lineitem(spark, base), L_SUMMARY_NUM)
 
 
+@register("prof_key_summary", "\n UNION ALL ".join(f"""
+SELECT '{c}' AS feature, 'bigint' AS type, count(*) FILTER (WHERE v IS NULL) AS n_missing,
+       count(DISTINCT v) + CASE WHEN count(*) FILTER (WHERE v IS NULL) > 0 THEN 1 ELSE 0 END AS n_unique,
+       CAST(min(v) AS DOUBLE) AS min_value, CAST(max(v) AS DOUBLE) AS max_value,
+       CAST(min(v) AS VARCHAR) AS min_exact, CAST(max(v) AS VARCHAR) AS max_exact
+FROM (SELECT {e} AS v FROM lineitem)""" for c, e in (("l_orderkey", "CAST(l_orderkey AS BIGINT)"),
+                                                     ("wide_key", "9007199254740992 + CAST(l_partkey AS BIGINT)"))))
+def prof_key_summary(spark, base):
+    """B7 on keys: order keys, and part keys beyond 2^53, which doubles would merge."""
+    li = FX.lineitem(spark, base).select(F.col("l_orderkey").cast("long").alias("l_orderkey"),
+                                         (F.lit(2**53) + F.col("l_partkey").cast("long")).alias("wide_key"))
+    return P.numeric_summary(li, ["l_orderkey", "wide_key"])
+
+
 @register("prof_categorical_summary", f"""
 WITH f AS (SELECT feature, level, count(*) AS n FROM {_sql_cat_long('lineitem', L_CAT)} GROUP BY ALL),
 t AS (SELECT feature, level AS top_level FROM (
@@ -191,45 +207,6 @@ def prof_histogram(spark, base):
     return P.histogram(FX.lineitem(spark, base), L_NUM)
 
 
-_PRETTY_SQL = f"""
-WITH lg AS (SELECT * FROM {_sql_num_long('lineitem', L_NUM)} WHERE value IS NOT NULL),
-s AS (SELECT feature, count(*) AS n, min(value) AS lo, max(value) AS hi FROM lg GROUP BY feature),
-s1 AS (SELECT *, CASE WHEN n <= 1 THEN 1 ELSE CAST(ceil(log2(n)) AS INTEGER) + 1 END AS nc,
-              greatest(abs(lo), abs(hi)) AS mx FROM s),
-s2 AS (SELECT *, (hi - lo = 0 AND hi = 0)
-                 OR (hi - lo) < mx * ((1 + 1 / (1 + 1.5)) * greatest(1, nc) * 2.220446049250313e-16) * 3 AS small FROM s1),
-s3 AS (SELECT *, CASE WHEN hi - lo = 0 AND hi = 0 THEN 0.75
-                      WHEN small THEN (CASE WHEN mx > 10 THEN 9 + mx / 10 ELSE mx END) * 0.75
-                      WHEN nc > 1 THEN (hi - lo) / nc ELSE hi - lo END AS cell FROM s2),
-s4 AS (SELECT *, pow(10.0, floor(log10(cell))) AS base FROM s3),
-s5 AS (SELECT *, CASE WHEN NOT (2 * base - cell < 1.5 * (cell - base)) THEN base
-                      WHEN NOT (5 * base - cell < 2.75 * (cell - 2 * base)) THEN 2 * base
-                      WHEN NOT (10 * base - cell < 1.5 * (cell - 5 * base)) THEN 5 * base
-                      ELSE 10 * base END AS unit FROM s4),
-s6 AS (SELECT *, CAST(floor(lo / unit + 1e-10) AS BIGINT) AS ns0, CAST(ceil(hi / unit - 1e-10) AS BIGINT) AS nu0 FROM s5),
-s7 AS (SELECT *, CASE WHEN ns0 * unit > lo + 1e-10 * unit THEN ns0 - 1 ELSE ns0 END AS ns1,
-                 CASE WHEN nu0 * unit < hi - 1e-10 * unit THEN nu0 + 1 ELSE nu0 END AS nu1 FROM s6),
-s8 AS (SELECT *, CASE WHEN nu1 - ns1 < 1 AND ns1 >= 0 THEN ns1 - 1 ELSE ns1 END AS ns,
-                 CASE WHEN nu1 - ns1 < 1 AND ns1 < 0 THEN nu1 + 1 ELSE nu1 END AS nu FROM s7),
-b AS (SELECT feature, i - ns AS bin, i * unit AS lower, (i + 1) * unit AS upper
-      FROM s8, range(ns, nu) t(i)),
-lgv AS (SELECT feature, value, count(*) AS m FROM lg GROUP BY ALL),
-c AS (SELECT v.feature, v.value, any_value(v.m) AS m,
-             greatest(count(*) FILTER (WHERE br.i * s8.unit < v.value) - 1, 0) AS bin
-      FROM lgv v JOIN s8 ON v.feature = s8.feature
-      JOIN (SELECT feature, unnest(range(ns, nu + 1)) AS i FROM s8) br ON br.feature = v.feature
-      GROUP BY v.feature, v.value),
-cc AS (SELECT feature, bin, sum(m) AS n FROM c GROUP BY ALL)
-SELECT b.feature, CAST(b.bin AS BIGINT) AS bin, b.lower, b.upper, CAST(coalesce(cc.n, 0) AS BIGINT) AS n
-FROM b LEFT JOIN cc ON b.feature = cc.feature AND b.bin = cc.bin"""
-
-
-@register("prof_histogram_r", rounded(_PRETTY_SQL, ["lower", "upper"]))
-def prof_histogram_r(spark, base):
-    """B10 with R's hist() defaults: Sturges count, pretty() breaks, right-closed bins."""
-    return P.histogram_r(FX.lineitem(spark, base), L_NUM)
-
-
 @register("prof_boxplot", rounded(with_(_sql_box(_sql_num_long("lineitem", L_NUM), ["feature"]),
                                         body=_sql_box_select(["feature"])), _BOX_COLS))
 def prof_boxplot(spark, base):
@@ -252,9 +229,8 @@ VISITOR_LEVELS = ["New_Visitor", "Other", "Returning_Visitor"]
 
 
 @register("prof_conversion_rate", rounded(with_(VISITS, f"""
-t AS (SELECT * FROM visits WHERE period = 'test'),
 agg AS (SELECT feature, level, count(*) AS n, CAST(sum(label) AS BIGINT) AS n_pos
-        FROM {_sql_cat_long('t', _V_CONV_COLS, ['label'])} GROUP BY ALL),
+        FROM {_sql_cat_long('visits', _V_CONV_COLS, ['label'])} GROUP BY ALL),
 decl AS (SELECT 'visitor' AS feature, unnest(['New_Visitor', 'Other', 'Returning_Visitor']) AS level),
 allr AS (SELECT * FROM agg
          UNION ALL SELECT d.feature, d.level, 0, 0 FROM decl d
@@ -262,9 +238,8 @@ allr AS (SELECT * FROM agg
 SELECT feature, level, CAST(n AS BIGINT) AS n, CAST(n_pos AS BIGINT) AS n_pos,
        CASE WHEN n = 0 THEN 0.0 ELSE 100.0 * n_pos / n END AS conversion_pct FROM allr"""), ["conversion_pct"]))
 def prof_conversion_rate(spark, base):
-    """Conversion percent per level on test-period visits; empty declared levels give 0."""
-    v = FX.visits(spark, base).where(F.col("period") == "test")
-    return P.conversion_rate(v, _V_CONV_COLS, "label", levels={"visitor": VISITOR_LEVELS})
+    """Conversion percent per level over all visits, before any split; empty declared levels give 0."""
+    return P.conversion_rate(FX.visits(spark, base), _V_CONV_COLS, "label", levels={"visitor": VISITOR_LEVELS})
 
 
 # ------------------------------------------------------------------ B15, B16
@@ -286,16 +261,19 @@ def prof_corr_matrix(spark, base):
     return P.correlation_matrix(FX.lineitem(spark, base), L_NUM)
 
 
-_ORDER_SQL = "CASE {c} " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(L_NUM)) + " END"
+_V_CORR = ["prd", "prd_value", "adm", "adm_value"]
+
+
+def _sql_high_corr(src, cols):
+    return "\n UNION ALL ".join(f"SELECT '{x}' AS var1, '{y}' AS var2, corr({x}, {y}) AS r FROM {src}"
+                                for i, x in enumerate(cols) for y in cols[i + 1:])
 
 
-@register("prof_high_corr_pairs", rounded(f"""
-SELECT * FROM ({_sql_corr(L_NUM)}) m
-WHERE abs(r) > 0.4 AND r <> 1.0 AND {_ORDER_SQL.format(c='var1')} < {_ORDER_SQL.format(c='var2')}""", ["r"]))
+@register("prof_high_corr_pairs", rounded(with_(VISITS, body=f"""
+SELECT * FROM ({_sql_high_corr('visits', _V_CORR)}) m WHERE abs(r) > 0.4 AND r <> 1.0"""), ["r"]))
 def prof_high_corr_pairs(spark, base):
-    """Pairs with |r| > 0.4, each once."""
-    li = FX.lineitem(spark, base)
-    return P.high_correlations(P.correlation_matrix(li, L_NUM), L_NUM, 0.4)
+    """Pairs of visit numerics with |r| > 0.4 (a count and its value go together), each once."""
+    return P.high_correlations(P.correlation_matrix(FX.visits(spark, base), _V_CORR), _V_CORR, 0.4)
 
 
 # ------------------------------------------------------------------ B17-B19
@@ -308,11 +286,12 @@ def prof_class_balance(spark, base):
     return P.class_balance(FX.documents(spark, base), "quality")
 
 
-_NZV_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice"]
+_NZV_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_extendedprice", "bulk", "one"]
+_NZV_SQL = "(SELECT *, CASE WHEN l_orderkey % 97 = 0 THEN 1 ELSE 0 END AS bulk, 1 AS one FROM lineitem)"
 
 
 @register("prof_nzv", rounded(f"""
-WITH lg AS {_sql_num_long('lineitem', _NZV_COLS)},
+WITH lg AS {_sql_num_long(_NZV_SQL, _NZV_COLS)},
 h AS (SELECT feature, value, count(*) AS c FROM lg WHERE value IS NOT NULL GROUP BY ALL),
 s1 AS (SELECT feature, max(c) AS n1, count(*) AS nd FROM h GROUP BY feature),
 h2 AS (SELECT h.feature, count(*) FILTER (WHERE h.c = s1.n1) AS k1, max(CASE WHEN h.c < s1.n1 THEN h.c END) AS n2
@@ -326,8 +305,9 @@ SELECT feature, fr AS freq_ratio, pu AS percent_unique, CASE WHEN nd <= 1 THEN 1
        CASE WHEN (fr > 19 AND pu <= 10) OR nd <= 1 THEN 1 ELSE 0 END AS nzv FROM j""",
     ["freq_ratio", "percent_unique"]))
 def prof_nzv(spark, base):
-    """Near-zero-variance screen over lineitem columns."""
-    return P.near_zero_variance(FX.lineitem(spark, base), _NZV_COLS)
+    """Near-zero-variance screen over lineitem columns, a rare flag and a constant among them."""
+    li = FX.lineitem(spark, base).withColumn("bulk", (F.col("l_orderkey") % 97 == 0).cast("int")).withColumn("one", F.lit(1))
+    return P.near_zero_variance(li, _NZV_COLS)
 
 
 @register("split_shares", rounded(with_(ORDERS, body="""

@@ -78,10 +78,10 @@ def _visit_vectors(spark, base):
 
 @register("kmeans_clusters")
 def kmeans_clusters(spark, base):
-    """E5: k-means (k = 3, best of 5 starts) on prepared visit numerics; ids by size."""
+    """E5: k-means (k = 3, best of 25 starts) on prepared visit numerics; ids by size."""
     data = _visit_vectors(spark, base).where(F.col("period") == "train").cache()
-    model = SG.kmeans_best(data, 3, n_start=5, seed=1)
-    out, _ = SG.relabel_clusters(model, data)
+    out, _ = SG.relabel_clusters(SG.kmeans_best(data, 3, n_start=25, seed=1), data)
+    data.unpersist()
     return out.select("visit_id", "cluster", "label")
 
 
@@ -90,8 +90,8 @@ def kmeans_ica(spark, base):
     """K-means (k = 3) on the two ICA components of the embeddings."""
     scores, _ = SG.fast_ica(_emb(spark, base), vector_col="embedding", n_comp=2, keep=["vec_id", "label"], seed=0)
     data = scores.withColumn("features", array_to_vector(F.array("ic1", "ic2"))).cache()
-    model = SG.kmeans_best(data, 3, n_start=5, seed=1)
-    out, _ = SG.relabel_clusters(model, data)
+    out, _ = SG.relabel_clusters(SG.kmeans_best(data, 3, n_start=25, seed=1), data)
+    data.unpersist()
     return out.select("vec_id", "label", "cluster")
 
 
@@ -99,7 +99,9 @@ def kmeans_ica(spark, base):
 def kmeans_elbow(spark, base):
     """Within-cluster sum of squares for k = 1..10 (k = 1 in closed form)."""
     data = _visit_vectors(spark, base).where(F.col("period") == "train").select("features").cache()
-    return SG.elbow(data, 10, n_start=2, seed=1)
+    out = SG.elbow(data, 10, n_start=20, seed=1)
+    data.unpersist()
+    return out
 
 
 @register("wss_k1", rounded("""

@@ -33,7 +33,7 @@ visits AS (
          c.c_mktsegment AS segment,
          CASE WHEN isodow(g.day) >= 6 THEN 1 ELSE 0 END AS weekend,
          CAST(g.label AS INTEGER) AS label
-  FROM visits_g g JOIN customer c ON g.user_id = c.c_custkey)"""
+  FROM visits_g g LEFT JOIN customer c ON g.user_id = c.c_custkey)"""
 
 DOCS = r"""
 docs AS (

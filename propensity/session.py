@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -22,67 +23,51 @@ _DEFAULTS = {
 }
 
 
+def _submitted(key: str) -> bool:
+    """Whether the platform has set ``key`` already (spark-submit, pyspark-shell or a running gateway)."""
+    given = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    option = {"spark.driver.memory": "--driver-memory", "spark.master": "--master"}.get(key, key)
+    if key in given or option in given:
+        return True
+    return "PYSPARK_GATEWAY_PORT" in os.environ and SparkConf().contains(key)
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "propensity", extra: dict | None = None) -> SparkSession:
-    """Return the active session or build a local one (tests, bench)."""
+    """Return the active session or build one; defaults fill only what the platform has not set."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     b = SparkSession.builder.appName(app_name)
+    wanted = {**_DEFAULTS, "spark.driver.memory": os.environ.get("PROPENSITY_DRIVER_MEMORY", "16g")}
     if master:
-        b = b.master(master)
-    for k, v in _DEFAULTS.items():
-        b = b.config(k, v)
+        wanted["spark.master"] = master
     if shuffle_partitions:
-        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", os.environ.get("PROPENSITY_DRIVER_MEMORY", "16g"))
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in wanted.items():
+        if not _submitted(k):
+            b = b.config(k, v)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder.
+    """The shared checkpoint folder, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset -- local tests -- a scratch folder is created and registered.
+    Only a local session (one machine, as in tests) may go without the setting
+    and then gets a scratch folder; on a cluster its absence is an error.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return spark.sparkContext.getCheckpointDir() or conf
-    local = tempfile.mkdtemp(prefix="propensity-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss); never ``localCheckpoint``."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-ROWS_PER_PARTITION = 1_000_000
-
-
-def right_size(df, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
-    """Partition count sized to the data: ceil(rows / rows_per_partition).
-
-    Iterative fits (one Spark job per optimizer step) pay a per-task cost on
-    every step, so a reused training table should have as many partitions as
-    its size needs -- few for small data, many (one per ~1M rows) at scale.
-    """
-    import math
-    want = max(1, math.ceil(n_rows / rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    if want < have:
-        return df.coalesce(want)
-    if want > have:
-        return df.repartition(want)
-    return df
+    conf = sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        conf = tempfile.mkdtemp(prefix="propensity-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf

@@ -1,21 +1,30 @@
 """Sources and sinks.
 
 Reads are lazy parquet/CSV scans with an explicit column list so Catalyst
-prunes columns at the scan; writes are plain DataFrame writers. Result
-tables that are written as one CSV are small by construction (a handful of
-rows per feature or model) -- big tables are always written as parquet.
+prunes columns at the scan; writes are plain DataFrame writers.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import warnings
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
+from pyspark.ml.classification import (DecisionTreeClassificationModel, GBTClassificationModel,
+                                       LogisticRegressionModel, RandomForestClassificationModel)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from propensity.operators.models.generative import GaussianNB, LinearDiscriminant
+
+#: The kinds of model that packets may hold, by name.
+CLOSED_FORM = {c.__name__: c for c in (GaussianNB, LinearDiscriminant)}
+SPARK_ML = {c.__name__: c for c in (DecisionTreeClassificationModel, GBTClassificationModel,
+                                    LogisticRegressionModel, RandomForestClassificationModel)}
+
 
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Iterable[str] | None = None) -> DataFrame:
@@ -44,16 +53,10 @@ def bind_columns(left: DataFrame, right: DataFrame, key: str | list[str],
     return left.join(right, on=key, how=how)
 
 
-def write_result_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
-    """A4: one CSV with a header for a *small* result table.
-
-    ``coalesce(1)`` is only safe because result tables are bounded; the row
-    count is checked first so a large frame is never squeezed into one task.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"result has {n} rows; write it as parquet instead")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_result_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """A4: CSV with a header, one part per partition or at most ``files`` parts."""
+    out = df if files is None else df.coalesce(files)
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_split(df: DataFrame, path: str, partition_by: str | None = "split") -> None:
@@ -78,18 +81,22 @@ def save_packet(model, path: str, name: str, threshold: float | None,
                 params: dict | None = None) -> None:
     """A fitted Spark ML model plus its manifest (threshold, params).
 
-    ``model`` is any MLWritable (PipelineModel, LogisticRegressionModel, ...) or
-    a DataFrame of fitted parameters (closed-form models), written as parquet.
+    ``model`` is a Spark ML model of ``SPARK_ML``, a closed-form model of
+    ``CLOSED_FORM`` (saved as its parameter table, which loads as the model
+    again) or any DataFrame of parameters.
     """
-    os.makedirs(path, exist_ok=True) if "://" not in path else None
     target = os.path.join(path, name)
+    spark = SparkSession.getActiveSession()
+    kind = type(model).__name__
     if isinstance(model, DataFrame):
         model.write.mode("overwrite").parquet(os.path.join(target, "params"))
         kind = "params"
-    else:
+    elif kind in CLOSED_FORM:
+        model.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(os.path.join(target, "params"))
+    elif kind in SPARK_ML:
         model.write().overwrite().save(os.path.join(target, "model"))
-        kind = type(model).__module__ + "." + type(model).__name__
-    spark = SparkSession.getActiveSession()
+    else:
+        raise ValueError(f"a {kind} has no packet form")
     manifest = spark.createDataFrame(
         [(name, kind, threshold, json.dumps(params or {}, sort_keys=True))],
         "model string, kind string, threshold double, params string")
@@ -98,22 +105,25 @@ def save_packet(model, path: str, name: str, threshold: float | None,
 
 def load_packets(spark: SparkSession, path: str, names: Iterable[str]) -> dict:
     """Load the packets that exist; warn on missing; fail when none load."""
-    import importlib
-    import warnings
-
     out = {}
     for name in names:
         target = os.path.join(path, name)
         try:
-            man = spark.read.parquet(os.path.join(target, "manifest")).first()
-        except Exception:  # noqa: BLE001 - a missing packet is a warning, as in the reference
+            manifest = spark.read.parquet(os.path.join(target, "manifest"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":        # unreadable or broken is not missing
+                raise
             warnings.warn(f"model packet {name!r} not found under {path}")
             continue
+        man = manifest.first()
         if man.kind == "params":
             model = spark.read.parquet(os.path.join(target, "params"))
+        elif man.kind in CLOSED_FORM:
+            model = CLOSED_FORM[man.kind].from_frame(spark.read.parquet(os.path.join(target, "params")))
+        elif man.kind in SPARK_ML:
+            model = SPARK_ML[man.kind].load(os.path.join(target, "model"))
         else:
-            mod, cls = man.kind.rsplit(".", 1)
-            model = getattr(importlib.import_module(mod), cls).load(os.path.join(target, "model"))
+            raise ValueError(f"packet {name!r} holds an unknown kind: {man.kind}")
         out[name] = {"model": model, "threshold": man.threshold,
                      "params": json.loads(man.params)}
     if not out:

@@ -39,12 +39,12 @@ def numeric_pr_auc(s, y, steps=20000):
     return area
 
 
-@pytest.mark.parametrize("rpb", [10 ** 9, 2])
+@pytest.mark.parametrize("rpb", [1, 2])
 def test_auc_and_pr_auc(spark, rpb):
     df = frame(spark, SCORES, LABELS)
-    auc = EV.roc_auc(df, ["model"], rows_per_bucket=rpb).first()["roc_auc"]
+    auc = EV.roc_auc(df, ["model"], n_ranges=rpb).first()["roc_auc"]
     assert auc == pytest.approx(brute_auc(SCORES, LABELS), abs=1e-12)
-    pr = EV.pr_auc(df, ["model"], rows_per_bucket=rpb).first()["pr_auc"]
+    pr = EV.pr_auc(df, ["model"], n_ranges=rpb).first()["pr_auc"]
     assert pr == pytest.approx(numeric_pr_auc(SCORES, LABELS), abs=1e-6)
 
 
@@ -132,3 +132,12 @@ def test_mcnemar_p_value(spark):
     rep = spark.createDataFrame([("a", 3.841458820694124), ("b", 0.0), ("c", None)], "model string, mcnemar_statistic double")
     got = {r.model: r.mcnemar_p_value for r in EV.mcnemar_p_value(rep).collect()}
     assert got["a"] == pytest.approx(0.05, abs=1e-9) and got["b"] == pytest.approx(1.0) and got["c"] is None
+
+
+def test_null_and_nan_scores_count_nowhere(spark):
+    rows = [("m", 0.9, 1), ("m", 0.2, 0), ("m", None, 1), ("m", float("nan"), 0), ("m", 0.4, None)]
+    df = spark.createDataFrame(rows, "model string, score double, label int")
+    c = EV.confusion(df, 0.5).first()
+    assert (c.tp, c.fp, c.tn, c.fn, c.n_unscored) == (1, 0, 1, 0, 3)
+    assert EV.roc_points(df, ["model"]).count() == 2
+    assert [r.p for r in df.select(EV.classify("score", 0.5).alias("p")).collect()] == [1, 0, None, None, 0]

@@ -41,7 +41,7 @@ def test_result_csv_and_packets(spark, tmpdir_path):
     v, art = visit_artifact(spark, SMALL)
     prep = art.transform(v)
     nb = G.fit_gaussian_nb(prep.where("period = 'train'"), art.feature_names())
-    io.save_packet(nb.to_frame(spark), tmpdir_path, "nb", 0.42, {"kind": "gaussian"})
+    io.save_packet(nb, tmpdir_path, "nb", 0.42, {"kind": "gaussian"})
     from propensity.operators.features import design_matrix
     from pyspark.ml.classification import LogisticRegression
     lr = LogisticRegression(maxIter=5).fit(design_matrix(prep.where("period = 'train'"), ["adm", "prd"]))
@@ -50,6 +50,16 @@ def test_result_csv_and_packets(spark, tmpdir_path):
         got = io.load_packets(spark, tmpdir_path, ["nb", "logit", "missing"])
     assert set(got) == {"nb", "logit"} and got["nb"]["threshold"] == 0.42
     assert got["logit"]["model"].coefficients.size == 2
+    back = got["nb"]["model"]
+    assert back.means == nb.means and back.sds == nb.sds and back.priors == nb.priors
+    lda = G.fit_lda(prep.where("period = 'train'"), ["prd", "prd_value"])
+    again = G.LinearDiscriminant.from_frame(lda.to_frame(spark))
+    assert again == lda
+    with pytest.raises(ValueError):
+        io.save_packet("text", tmpdir_path, "odd", 0.5)
+    os.makedirs(os.path.join(tmpdir_path, "broken", "manifest"))
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|schema"):
+        io.load_packets(spark, tmpdir_path, ["broken"])
     with pytest.raises(RuntimeError):
         io.load_packets(spark, tmpdir_path, ["nothing"])
 

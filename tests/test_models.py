@@ -79,7 +79,7 @@ def auc_of(scored):
 
 def test_logistic_cv_learns_signal(spark, planted):
     tr, te = planted.where("split = 'train'"), planted.where("split = 'test'")
-    model, cv = LIN.fit_logistic_cv(tr, FEATS, "label", "weight", 0.5, n_lambda=5, max_iter=50, parallelism=4)
+    model, cv = LIN.fit_logistic_cv(tr, FEATS, "label", "weight", 0.5, n_lambda=5, n_folds=5)
     assert cv.count() == 5
     assert auc_of(LIN.score_logistic(model, te, FEATS)) > 0.8
     odds = LIN.odds_ratios(model, FEATS).collect()
@@ -97,6 +97,34 @@ def test_tree_forest_boost_beat_chance(spark, planted):
     assert auc_of(TR.score_model(gbt, te, FEATS)) > 0.75
     err = TR.tree_error_path(rf, te, FEATS).toPandas()
     assert list(err["n_trees"]) == list(range(1, 11))
+    whole = TR.score_model(rf, te, FEATS).toPandas()
+    votes = np.mean([t.transform(design_matrix(te, FEATS)).select("prediction").toPandas()["prediction"]
+                     for t in rf.trees], axis=0)
+    want = ((votes > 0.5) != (whole["label"] > 0.5)).mean()
+    assert err["error"].iloc[-1] == pytest.approx(want)
+
+
+def test_penalty_path_equals_one_fit_at_a_time(spark, planted):
+    """The batched Newton fits against Spark ML's on one fold and penalty."""
+    tr = planted.where("split = 'train'")
+    table = LIN.penalty_path_cv(tr, FEATS, "label", "weight", [0.0, 0.5, 1.0], 4, "fold", 5).toPandas()
+    assert len(table) == 12
+    for alpha in (0.0, 0.5, 1.0):
+        row = table[table.alpha == alpha].iloc[2]
+        dev = []
+        for f in range(5):
+            m = LIN.fit_logistic(tr.where(F.col("fold") != f), FEATS, "label", "weight", alpha, row.reg_param, 500)
+            p = LIN.score_logistic(m, tr.where(F.col("fold") == f), FEATS).toPandas()
+            ll = -2 * (p.label * np.log(p.score) + (1 - p.label) * np.log(1 - p.score))
+            dev.append((p.weight * ll).sum() / p.weight.sum())
+        assert row.cv_deviance == pytest.approx(np.mean(dev), rel=5e-3)
+
+
+def test_first_penalty_zeroes_every_coefficient(spark, planted):
+    tr = planted.where("split = 'train'")
+    lam = LIN.lambda_max(tr, FEATS, "label", "weight", 0.5)
+    at = lambda k: np.abs(LIN.fit_logistic(tr, FEATS, "label", "weight", 0.5, lam * k, 300).coefficients.toArray()).max()
+    assert at(1.02) < 1e-3 < at(0.8)
 
 
 def test_out_of_fold_scores_cover_train(spark, planted):
@@ -134,3 +162,43 @@ def test_model_pick(spark):
                                 "model string, pr_auc double")
     assert TR.model_pick(cmp, "rf", "rf_tuned").first().picked == "rf"
     assert TR.model_pick(cmp, "gb", "gb_tuned").first().picked == "gb_tuned"
+
+
+def test_boost_search_uses_the_later_period_and_stops_early(spark, planted):
+    tr = planted.where("split = 'train'").withColumn("role", F.when(F.col("id") % 5 == 0, "validate").when(
+        F.col("id") % 5 == 1, "unused").otherwise("fit"))
+    trials = TR.boost_tuning(tr, "role", FEATS, n_init=2, n_iter=1, max_rounds=6).toPandas()
+    assert len(trials) == 3 and trials["rounds"].between(1, 6).all() and sorted(trials["rank"]) == [1, 2, 3]
+    best = TR.best_trial(TR.boost_tuning(tr, "role", FEATS, n_init=1, n_iter=0, max_rounds=3))
+    assert set(best) == set(TR.BOOST_SPACE)
+    path = TR.boost_rounds(tr, FEATS, k=2, fold_col="fold", max_rounds=8, patience=3, max_depth=3).toPandas()
+    assert path["chosen"].sum() == 1 and len(path) <= 8
+
+
+def test_six_models_from_saved_packets(spark, tmp_path, monkeypatch):
+    from propensity.plans import q_models as Q
+    from tests.conftest import SMALL
+    monkeypatch.setattr(Q, "N_TREES", 10)
+    monkeypatch.setattr(Q._forest, "__defaults__", (10,))
+    monkeypatch.setattr(Q, "LR_LAMBDAS", 6)
+    path = str(tmp_path / "packets")
+    Q.train_packets(spark, SMALL, path)
+    s = Q.score_packets(spark, SMALL, path)
+    ranked = EV.rank_models(EV.compare_models(s.drop("threshold"), s.select("model", "threshold").distinct())).toPandas()
+    assert sorted(ranked["model"]) == sorted(Q.MODEL_NAMES) and sorted(ranked["rank"]) == [1, 2, 3, 4, 5, 6]
+    # the closed-form rows follow from the tables alone
+    own, art = Q.own_preparation(spark, SMALL)
+    tr = own.where("period = 'train'").toPandas()
+    te = own.where("period = 'test'").toPandas()
+    feats = art.feature_names()
+    L = []
+    for c in (0.0, 1.0):
+        x = tr[tr.label == c][feats]
+        sd = x.std(ddof=1).where(lambda v: v > 0, 0.001)
+        z = (te[feats] - x.mean()) / sd
+        dens = np.exp(-0.5 * z * z) / (sd * math.sqrt(2 * math.pi))
+        L.append(math.log((tr.label == c).mean()) + np.log(dens.where(dens > 0, 0.001)).sum(axis=1))
+    want = dict(zip(te.visit_id, 1 / (1 + np.exp(L[0] - L[1]))))
+    got = {r.visit_id: r.score for r in s.where("model = 'naive_bayes'").collect()}
+    assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in want) < 1e-8
+

@@ -113,7 +113,7 @@ def test_weights_and_sampling(spark):
 
 
 def test_artifact_forces_train_levels_on_test(spark):
-    # D3: test rows only see the train level set; unseen months fall into Q4 like the reference
+    # D3: test rows only see the train level set; a quarter that train has not seen gives nulls, not the first level
     train = spark.createDataFrame([(i, ["Mar", "May", "Aug"][i % 3], 1.0, i % 2) for i in range(30)],
                                   "id int, m string, v double, label int")
     test = spark.createDataFrame([(100, "Nov", 1.0, 0), (101, "Dec", 2.0, 1), (102, "Mar", 3.0, 0)],
@@ -122,7 +122,7 @@ def test_artifact_forces_train_levels_on_test(spark):
     art = fit_artifact(train, spec)
     assert art.onehot_levels["quarter"] == ["Q1", "Q2", "Q3"]
     out = {r.id: (r.quarter_Q2, r.quarter_Q3) for r in art.transform(test).collect()}
-    assert out == {100: (0.0, 0.0), 101: (0.0, 0.0), 102: (0.0, 0.0)}
+    assert out == {100: (None, None), 101: (None, None), 102: (0.0, 0.0)}
     assert art.feature_names() == ["v", "quarter_Q2", "quarter_Q3"]
 
 
@@ -165,12 +165,41 @@ def test_correlation_pairs(spark):
     assert pairs == [("a", "b")]
 
 
-def test_pretty_breaks_and_r_histogram(spark):
-    # known R results: pretty(c(0,100)), pretty(c(0.5,9.7)), hist(1:100)$breaks
-    assert P.pretty_breaks(0, 100, 5) == [0, 20, 40, 60, 80, 100]
-    assert P.pretty_breaks(0.5, 9.7, 5) == [0, 2, 4, 6, 8, 10]
-    assert P.pretty_breaks(1, 100, 8) == [float(x) for x in range(0, 101, 10)]
-    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
-    h = P.histogram_r(df, ["x"]).toPandas().sort_values("bin")
-    # right-closed bins (0,10], (10,20], ... -> ten values each
-    assert list(h["n"]) == [10] * 10 and h["lower"].iloc[0] == 0.0 and h["upper"].iloc[-1] == 100.0
+def test_wide_integers_stay_apart(spark):
+    df = spark.createDataFrame([(2**53 + i,) for i in range(3)] + [(None,)], "k long")
+    r = P.numeric_summary(df, ["k"]).first()
+    assert (r.n_unique, r.n_missing, r.min_exact, r.max_exact) == (4, 1, str(2**53), str(2**53 + 2))
+    assert P.near_zero_variance(df, ["k"]).first().percent_unique == 75.0
+    from decimal import Decimal
+    dec = spark.createDataFrame([(Decimal("1.10"),), (Decimal("1.11"),)], "d decimal(20,2)")
+    r = P.numeric_summary(dec, ["d"]).first()
+    assert (r.n_unique, r.min_exact, r.max_exact) == (2, "1.10", "1.11")
+
+
+def test_many_rare_levels_fit(spark):
+    df = spark.range(300_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('r', id) END AS c", "1.0 AS x")
+    from propensity.operators.artifact import PrepSpec, fit_artifact
+    art = fit_artifact(df, PrepSpec(numeric=["x"], lump=["c"]))
+    assert art.keep_levels == {"c": ["hot"]} and art.onehot_levels == {"c": ["Other", "hot"]}
+
+
+def test_unseen_levels_are_other_or_null(spark):
+    from propensity.operators.artifact import PrepSpec, fit_artifact
+    train = spark.createDataFrame([("a", "p", 1.0), ("b", "q", 2.0)] * 9, "l string, o string, x double")
+    art = fit_artifact(train, PrepSpec(numeric=["x"], lump=["l"], onehot=["o"]))
+    new = spark.createDataFrame([("z", "z", 1.0), ("a", "p", 1.0)], "l string, o string, x double")
+    rows = [r.asDict() for r in art.transform(new).collect()]
+    assert art.onehot_levels == {"l": ["Other", "a", "b"], "o": ["p", "q"]}
+    assert rows[0]["o_q"] is None and rows[0]["l_a"] == rows[0]["l_b"] == 0.0       # 'Other', the first level
+    assert rows[1]["o_q"] == 0.0 and rows[1]["l_a"] == 1.0
+
+
+def test_column_types(spark):
+    df = spark.createDataFrame([(1, "a", True)], "n int, s string, b boolean")
+    assert P.split_column_types(df) == (["n"], ["s", "b"])
+
+
+def test_duplicates_keep_null_keys_and_copies(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (7, 3), (8, 4), (8, 4)], "k int, v int")
+    got = sorted((str(r.k), r.v) for r in P.duplicate_rows(df, ["k"]).collect())
+    assert got == [("8", 4), ("None", 1), ("None", 2)]
