@@ -7,8 +7,9 @@ place of every document in them. Expansion lengths give random access: a range
 of a document's tokens is decoded without what comes before it.
 
 The first rounds run over the shard's distinct chunks, weighted by how often
-each occurs (a pair inside a chunk occurs as often as the chunk does); the last
-rounds run over the documents themselves.
+each occurs (a pair inside a chunk occurs as often as the chunk does), the
+others over the documents themselves; both go on until no pair occurs MIN_COUNT
+times.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 stored as often as they are given; documents without doc_id come first; an
@@ -33,8 +34,6 @@ from propensity.llm.common import doc_text, map_arrow, saved
 END_ID = 0
 SHARD_BYTES = 8 << 20
 PART_BYTES = 16 << 20
-CHUNK_ROUNDS = 4
-TEXT_ROUNDS = 1
 MIN_COUNT = 16
 
 #: The columns of a store. Binary columns hold little-endian arrays.
@@ -61,34 +60,88 @@ class Grammar:
         out[rule] = self.lengths[symbols[rule] - self.vocabulary]
         return out
 
-    def replace(self, symbols: np.ndarray, joins: np.ndarray, weight: np.ndarray | None, min_count: int):
-        """One round. ``joins``: the symbol and the next may form a pair. (symbols, which of the old ones stay)."""
-        stay = np.ones(len(symbols), dtype=bool)
-        at = np.flatnonzero(joins)
-        if not len(at):
-            return symbols, stay
+    def replace(self, symbols: np.ndarray, last: np.ndarray, weight: np.ndarray | None, min_count: int):
+        """Rounds until no pair occurs ``min_count`` times. ``last``: the symbol and the next form no pair.
+
+        (symbols, which of the old places stay). A pair's rank is its count, then a hash of the pair: of two that
+        overlap the higher wins, everywhere alike, so that equal counts do not wait for each other. A pair that is too
+        rare never becomes frequent again, since new symbols only take places away from it: each round looks only at
+        pairs that were frequent or hold a new symbol.
+        """
+        end = len(symbols)
+        sym = np.append(symbols, -1).astype(np.int32)
+        # neighbours; ``end`` stands for none
+        after, before = np.arange(1, end + 2, dtype=np.int32), np.arange(-1, end, dtype=np.int32)
+        after[end] = end
+        after[:-1][last] = end
+        before[0] = end
+        before[1:-1][last[:-1]] = end
+        stay, live = np.ones(end, dtype=bool), ~last
+        rank = np.zeros(end + 1, dtype=np.int32)                    # of the pair that begins at each place
+        pairs, sizes = [], []
         bound = self.vocabulary + len(self.rules)
-        name, keys = pd.factorize(symbols[at] * bound + symbols[at + 1])
-        count = np.bincount(name, weights=None if weight is None else weight[at])
-        rank = np.zeros(len(symbols) + 1)               # of the pair that begins at each place
-        rank[at] = np.where(count >= min_count, count, 0)[name]
-        before = np.concatenate([[0.0], rank[:-2]])
-        wins = (rank[:-1] > before) & (rank[:-1] >= rank[1:])       # the more frequent of two that overlap
-        picked = name[wins[at]]
-        used = np.bincount(picked, weights=None if weight is None else weight[at][wins[at]], minlength=len(keys))
-        made = np.flatnonzero(used >= min_count)
-        if not len(made):
-            return symbols, stay
-        new = np.full(len(keys), -1, dtype=np.int64)
-        new[made] = bound + np.arange(len(made))
-        pairs = np.stack([keys[made] // bound, keys[made] % bound], axis=1)
-        lengths = self.length(pairs[:, 0]) + self.length(pairs[:, 1])
-        self.rules, self.lengths = np.concatenate([self.rules, pairs]), np.concatenate([self.lengths, lengths])
-        put = at[wins[at] & (new[name] >= 0)]
-        symbols = symbols.copy()
-        symbols[put] = new[name[np.searchsorted(at, put)]]
-        stay[put + 1] = False
-        return symbols[stay], stay
+        lengths = np.concatenate([np.ones(self.vocabulary, dtype=np.int64), self.lengths])
+        while len(at := np.flatnonzero(live)):
+            left, right = sym[at], sym[after[at]]
+            name, keys = pd.factorize(left * np.int64(bound) + right)
+            counted = _every_other(at, left, right, before)
+            del left, right
+            count = np.bincount(name[counted], weights=None if weight is None else weight[at[counted]], minlength=len(keys))
+            often = count >= min_count
+            live[at[~often[name]]] = False
+            many = np.flatnonzero(often)
+            if not len(many):
+                break
+            order = np.zeros(len(keys), dtype=np.int32)
+            mixed = keys[many].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            order[many[np.lexsort((mixed ^ (mixed >> np.uint64(29)), count[many]))]] = np.arange(1, len(many) + 1)
+            asked = counted & often[name]
+            at, name = at[asked], name[asked]
+            mine = order[name]
+            rank[at] = mine
+            wins = (mine > rank[before[at]]) & (mine > rank[after[at]])
+            rank[at] = 0
+            at, name = at[wins], name[wins]
+            used = np.bincount(name, weights=None if weight is None else weight[at], minlength=len(keys))
+            made = np.flatnonzero(used >= min_count)        # holds the pair of the highest rank: no round is in vain
+            new = np.full(len(keys), -1, dtype=np.int64)
+            new[made] = bound + np.arange(len(made))
+            pair = np.stack([keys[made] // bound, keys[made] % bound], axis=1)
+            pairs.append(pair)
+            lengths = np.concatenate([lengths, lengths[pair[:, 0]] + lengths[pair[:, 1]]])
+            bound += len(made)
+            put = at[new[name] >= 0]
+            sym[put] = new[name[new[name] >= 0]]
+            gone = after[put]
+            stay[gone], live[gone] = False, False
+            after[put] = after[gone]
+            before[after[put]] = put
+            live[put] = after[put] < end
+            earlier = before[put]
+            live[earlier[earlier < end]] = True
+        if pairs:
+            self.rules = np.concatenate([self.rules, *pairs])
+            self.lengths = lengths[self.vocabulary:]
+        return sym[:-1][stay], stay
+
+
+def _every_other(at: np.ndarray, left: np.ndarray, right: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Which pairs count: all but every second one of a run of the same symbol, where they overlap."""
+    counted = np.ones(len(at), dtype=bool)
+    same = np.flatnonzero(left == right)
+    if len(same):
+        follows = np.zeros(len(same), dtype=bool)       # the pair before is live too, and of the same symbol
+        follows[1:] = (at[same[:-1]] == before[at[same[1:]]]) & (left[same[:-1]] == left[same[1:]])
+        step = np.arange(len(same))
+        first = np.maximum.accumulate(np.where(follows, 0, step))
+        counted[same[(step - first) % 2 == 1]] = False
+    return counted
+
+
+def _ends(n: int, ends: np.ndarray) -> np.ndarray:
+    last = np.zeros(n, dtype=bool)
+    last[ends[ends > 0] - 1] = True
+    return last
 
 
 def compress(entry: np.ndarray, per_doc: np.ndarray, ids: np.ndarray, start: np.ndarray, count: np.ndarray,
@@ -100,24 +153,19 @@ def compress(entry: np.ndarray, per_doc: np.ndarray, ids: np.ndarray, start: np.
     new = np.cumsum(often > 0) - 1
     entry, often = new[entry], often[kinds].astype(float)
     size = count[kinds]
-    symbols = ids[ragged(start[kinds], size)].astype(np.int64)
+    symbols = ids[ragged(start[kinds], size)]
     chunk = np.repeat(np.arange(len(kinds)), size)
-    for _ in range(CHUNK_ROUNDS):
-        joins = np.zeros(len(symbols), dtype=bool)
-        joins[:-1] = chunk[1:] == chunk[:-1]
-        symbols, stay = grammar.replace(symbols, joins, often[chunk], MIN_COUNT)
-        chunk = chunk[stay]
+    symbols, stay = grammar.replace(symbols, _ends(len(symbols), np.cumsum(size)), often[chunk], MIN_COUNT)
+    chunk = chunk[stay]
     size = np.bincount(chunk, minlength=len(kinds))
     got = size[entry]
     flat = symbols[ragged((np.cumsum(size) - size)[entry], got)]
     ends = np.concatenate([[0], np.cumsum(got)])[np.cumsum(per_doc)]
+    del entry, got, symbols, chunk
     flat = np.insert(flat, ends, end_id)
     ends = ends + np.arange(1, len(ends) + 1)
-    for _ in range(TEXT_ROUNDS):
-        joins = np.ones(len(flat), dtype=bool)
-        joins[ends - 1] = False
-        flat, stay = grammar.replace(flat, joins, None, MIN_COUNT)
-        ends = np.cumsum(stay)[ends - 1]
+    flat, stay = grammar.replace(flat, _ends(len(flat), ends), None, MIN_COUNT)
+    ends = np.cumsum(stay)[ends - 1]
     return grammar, flat, ends
 
 
@@ -165,18 +213,18 @@ class Shard:
         read = lambda name, kind: np.frombuffer(row[name], dtype=kind).astype(np.int64)
         self.doc_ids, self.ends = read("doc_ids", "<i8"), read("doc_ends", "<i8")
         self.symbols, self.vocabulary = read("symbols", "<u4"), row["vocabulary"]
-        rules, lengths = read("rules", "<u4"), read("lengths", "<u4")
-        while (deep := rules >= self.vocabulary).any():         # at most one pass per round of rules
-            many = np.where(deep, 2, 1)
-            pair = read("rules", "<u4").reshape(-1, 2)
-            grown = np.repeat(rules, many)
-            first = np.cumsum(many) - many
-            grown[first[deep]] = pair[rules[deep] - self.vocabulary, 0]
-            grown[first[deep] + 1] = pair[rules[deep] - self.vocabulary, 1]
-            rules = grown
-        self.table = np.concatenate([np.arange(self.vocabulary), rules])
+        pair, lengths = read("rules", "<u4").reshape(-1, 2), read("lengths", "<u4")
         self.start = np.concatenate([np.arange(self.vocabulary), self.vocabulary + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([np.ones(self.vocabulary, dtype=np.int64), lengths])
+        self.table = np.concatenate([np.arange(self.vocabulary), np.zeros(lengths.sum(), dtype=np.int64)])
+        todo = 0
+        while todo < len(pair):         # rules up to the first that needs one of them, at once
+            deep = pair[todo:].max(axis=1) >= self.vocabulary + todo
+            upto = todo + int(deep.argmax()) if deep.any() else len(pair)
+            at = self.start[self.vocabulary + todo]
+            made = self.expand(pair[todo:upto].ravel())
+            self.table[at:at + len(made)] = made
+            todo = upto
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         return self.table[ragged(self.start[symbols], self.length[symbols])]
