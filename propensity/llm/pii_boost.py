@@ -4,8 +4,11 @@ Base patterns give base spans, which always stay. High-recall generators
 propose further, overlapping spans; boosted trees over format and context
 features score each, and those above a calibrated threshold are added unless
 they overlap a base span or a better candidate. The trees learn from the data
-itself: a candidate that equals a base span is an example, one that covers part
-of a base span or breaks its kind's rules is a counter-example. Feature vectors
+itself: a candidate that equals a base span is an example, one that overlaps a
+base span or breaks its kind's rules is a counter-example. A candidate inside a
+base span of its own kind is neither. Base phones always have a country's
+prefix, so each is also an example of the formats without one and, as a part of
+a longer number, a counter-example. Feature vectors
 are counted in Spark, so the fit sees a bounded table of distinct vectors, and
 the fitted trees are applied as SQL expressions.
 
@@ -55,6 +58,11 @@ GENERATORS = (
     ("phone", False, r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])", r"\([0-9]{3}\)"),
     ("phone", False, r"(?<![0-9])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])", r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"),
 )
+#: The generators of phones without a country's prefix.
+NATIONAL = tuple(k for k, g in enumerate(GENERATORS) if g[0] == "phone" and not g[2].startswith(r"\+"))
+#: (n_chars, n_marks, brackets) of their ten digits: (269) 555-3296, (269)555-3296, 269-555-3296.
+NATIONAL_FORMATS = ((14, 4, 1), (13, 3, 1), (12, 2, 0))
+COUNTRY = r"\+[0-9]{1,3}[ .-]?$"
 KEYWORDS = {"email": "mail", "ip": "ip|host|server|address", "card": "card|visa|credit|account",
             "phone": "tel|phone|call|mobile|fax"}
 
@@ -100,10 +108,18 @@ def _valid(kind: Column, hit: Column) -> Column:
             .when(kind == "phone", n.between(10, 15)).otherwise(F.lit(True)))
 
 
+_OTHER = 4
+
+
+def _part_of_more(pre: Column, post: Column) -> Column:
+    """A number that goes on before or after: a date, an order or part number."""
+    return pre.rlike(r"([\p{L}0-9_#/=-]|[0-9]\.)$") | post.rlike(r"^[\p{L}0-9_#/=-]")
+
+
 def _class(char: Column) -> Column:
-    """0 nothing or white space, 1 sentence mark, 2 letter, 3 digit, 4 other."""
+    """0 nothing or white space, 1 sentence mark, 2 letter, 3 digit, _OTHER."""
     return (F.when((char == "") | char.rlike(r"^\s"), 0).when(char.rlike(r"^[.,;:!?]"), 1).when(char.rlike(r"^\p{L}"), 2)
-            .when(char.rlike("^[0-9]"), 3).otherwise(4))
+            .when(char.rlike("^[0-9]"), 3).otherwise(_OTHER))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -116,6 +132,11 @@ def candidates(docs: DataFrame) -> DataFrame:
              .withColumn("kind", kind).withColumn("is_base", is_base)
              .withColumn("valid", F.when(F.col("gen").isNotNull(), _valid(F.col("kind"), F.col("hit")))))
     spans = spans.where("gen is null or valid or not is_base")
+    # a number behind its country's prefix is a candidate with that prefix only
+    national = F.coalesce(F.col("gen").isin(*NATIONAL), F.lit(False))
+    spans = spans.where(~(national & F.coalesce(F.col("pre").rlike(COUNTRY), F.lit(False))))
+    spans = spans.withColumn("valid", F.when(national, F.col("valid") & ~_part_of_more(F.col("pre"), F.col("post")))
+                             .otherwise(F.col("valid")))
     words = F.lit(False)
     for name, pattern in KEYWORDS.items():
         words = F.when(F.col("kind") == name, F.lower("pre").rlike(pattern)).otherwise(words)
@@ -135,29 +156,54 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def related(spans: DataFrame) -> DataFrame:
-    """``spans`` with ``hits_base``: the span overlaps a base span that begins before or after it, or is one."""
+    """``spans`` with ``hits_base``: the span overlaps a base span that begins before or after it, or is one.
+
+    ``nested``: it lies within a base span of its own kind.
+    """
     order = Window.partitionBy("row").orderBy("start", "end", "kind")
     base_end, base_start = F.when(F.col("base") == 1, F.col("end")), F.when(F.col("base") == 1, F.col("start"))
     seen = F.max(base_end).over(order.rowsBetween(Window.unboundedPreceding, 0))
     coming = F.min(base_start).over(order.rowsBetween(0, Window.unboundedFollowing))
     hits = F.coalesce(seen > F.col("start"), F.lit(False)) | F.coalesce(coming < F.col("end"), F.lit(False))
-    return spans.withColumn("hits_base", F.when(F.col("start").isNotNull(), hits))
+    own = Window.partitionBy("row", "kind").orderBy("start", F.desc("end"))
+    around = F.max(base_end).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    nested = (F.col("base") == 0) & F.coalesce(around >= F.col("end"), F.lit(False))
+    return (spans.withColumn("hits_base", F.when(F.col("start").isNotNull(), hits))
+            .withColumn("nested", F.when(F.col("start").isNotNull(), nested)))
 
 
 # --- the model ------------------------------------------------------------------------------------------------
 
+def _national(spans: DataFrame) -> list[dict]:
+    """Base phones without their prefix, as examples, and as a part of a longer number, as counter-examples."""
+    phones = spans.where("base = 1 and kind = 'phone' and plus = 1 and n_digits > 10")
+    out = []
+    for r in phones.groupBy("before", "after", "keyword").agg(F.count("*").alias("n")).orderBy(
+            "before", "after", "keyword").collect():
+        for n_chars, n_marks, brackets in NATIONAL_FORMATS:
+            same = {"kind_no": KINDS.index("phone") + 1, "n_chars": n_chars, "n_digits": 10, "n_marks": n_marks, "plus": 0,
+                    "brackets": brackets, "keyword": r["keyword"], "n": r["n"]}
+            out.append(same | {"before": r["before"], "after": r["after"], "valid": 1, "ones": r["n"]})
+            out += [same | {"before": a, "after": b, "valid": 0, "ones": 0}
+                    for a, b in ((_OTHER, r["after"]), (r["before"], _OTHER), (_OTHER, _OTHER))]
+    return out
+
+
 def train(spans: DataFrame, max_vectors: int = MAX_VECTORS) -> tuple[FlatTrees, float] | None:
     """(trees, threshold), or None where there is nothing to learn from.
 
     A candidate that overlaps no base span and breaks no rule has no label: it
-    is what the trees are asked about. The threshold is the least at which the
+    is what the trees are asked about. One within a base span of its own kind
+    has none either: the same format alone may be personal. The threshold is the least at which the
     share of examples among vectors held out from the fit reaches MIN_PRECISION.
     """
     names = ["kind_no", *FEATURES[1:]]
-    label = F.when(F.col("base") == 1, 1).when(F.col("hits_base") | (F.col("valid") == 0), 0)
+    label = (F.when(F.col("base") == 1, 1).when(F.col("valid") == 0, 0).when(F.col("nested"), F.lit(None))
+             .when(F.col("hits_base"), 0))
     known = spans.where("start is not null").select(*names, label.alias("label")).where("label is not null")
     table = known.groupBy(*names).agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
     rows = table.orderBy(F.desc("n"), *names).limit(max_vectors).collect()
+    rows += _national(spans)
     if not rows:
         return None
     x = np.array([[r[f] for f in names] for r in rows], dtype=float)
