@@ -1,12 +1,16 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from the nearest licensed directory.
 
-Every line that holds a licence word, and every text that holds one as a whole,
-is compared as a sparse TF-IDF vector (words and pairs of words) with the
-templates. Document frequencies of the templates' terms are counted over all
-texts; a term outside the templates weighs like the rarest. A file has the
-licence of its best line. A text that is mostly a licence is a licence file: it
-speaks for its directory, and files without a licence of their own take that of
-the nearest directory above them, found by joining paths.
+Every line that holds a licence word, alone and with its neighbours (a wrapped
+header), and every text that holds one as a whole, is compared as a sparse
+TF-IDF vector (words and pairs of words) with the notices. A text is also held
+against the full licences in ``licenses/``: it is one if it contains most of its
+weight, and of several the most similar one. Document frequencies of the
+templates' terms are counted over all texts; a term outside the templates weighs
+like the rarest. A file has the licence that it contains in full, else the one
+that an SPDX line names, else that of its best line. A text that is mostly a
+licence is a licence file: it speaks for its directory, and files without a
+licence of their own take that of the nearest directory above them, found by
+joining paths.
 
 Defined results: a null or empty text has no licence of its own and may
 inherit one; a null path is the root's; of equal similarities the first licence
@@ -19,6 +23,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +36,11 @@ from propensity.llm.common import map_arrow, saved
 
 MIN_LINE = 0.6
 MIN_FILE = 0.5
+#: Share of a full licence's weight that its text must hold.
+MIN_SHARE = 0.75
+#: Lines of a wrapped header.
+WINDOW = 4
+MAX_WINDOW = 2000       # bytes
 
 #: Short notices of public licences.
 TEMPLATES = (
@@ -57,17 +68,32 @@ TEMPLATES = (
 )
 #: A line or text without one of these words is not compared. Every template holds one.
 TRIGGERS = frozenset("license licence licensed licenses copyright permission redistribution".split())
+SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]+)", re.I)
 LICENCE_NAMES = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 
-_WORDS = re.compile("[a-z0-9]+")
+_WORDS = re.compile("[A-Za-z0-9]+")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ALNUM = TB.byte_set(bytes([*range(48, 58), *range(97, 123)]))
 
 
+@cache
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """(name, text) of the full licences."""
+    return tuple((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt")))
+
+
+def spdx_name(line: str) -> str | None:
+    """The licence of an SPDX line; the first by name where it lists several."""
+    found = SPDX.search(line)
+    names = re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*", re.sub(r"\bWITH\s+\S+", " ", found.group(1))) if found else []
+    names = [re.sub(r"(-only|-or-later|\+)$", "", n) for n in names if n not in ("AND", "OR")]
+    return min((_SPDX_NAMES.get(n.lower(), n) for n in names), default=None)
+
+
 def terms(text: str) -> list[str]:
     """Words and pairs of neighbouring words."""
-    words = _WORDS.findall(text.lower())
+    words = [w.lower() for w in _WORDS.findall(text)]       # ASCII, as the counts are
     return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
@@ -78,6 +104,9 @@ def vector(text: str, idf: dict[str, float], rarest: float) -> dict[str, float]:
     return {t: v / norm for t, v in raw.items()} if norm else {}
 
 
+_SPDX_NAMES = {name.lower(): name for name, _ in (*TEMPLATES, *full_texts())}
+
+
 def _word_codes(data: np.ndarray, offsets: np.ndarray, known: dict[bytes, int]):
     """Words of a slice: starts, words per document, and the number in ``known`` of each (else -1)."""
     starts, ends, counts = TB.words(offsets, data, _ALNUM)
@@ -92,10 +121,10 @@ def _word_codes(data: np.ndarray, offsets: np.ndarray, known: dict[bytes, int]):
 
 def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
     """In how many texts each term of the templates occurs, and the number of texts. Bounded by the templates."""
-    vocabulary = sorted({t for _, text in TEMPLATES for t in terms(text)})
+    vocabulary = sorted({t for _, text in (*TEMPLATES, *full_texts()) for t in terms(text)})
     words = {w.encode(): k for k, w in enumerate(w for w in vocabulary if " " not in w)}
     n_words = len(words)
-    pair = np.full((n_words, n_words), -1, dtype=np.int64)
+    pair = np.full((n_words, n_words), -1, dtype=np.int32)
     pairs = [t for t in vocabulary if " " in t]
     for k, t in enumerate(pairs):
         a, b = t.split(" ")
@@ -129,6 +158,7 @@ def similarities(files: DataFrame, min_line: float = MIN_LINE, min_file: float =
     idf = {t: float(np.log((1 + n) / (1 + k)) + 1) for t, k in df.items()}
     rarest = float(np.log(1 + n) + 1)
     models = [(name, vector(text, idf, rarest)) for name, text in TEMPLATES]
+    full = [(name, vector(text, idf, rarest)) for name, text in full_texts()]
     words = {w.encode(): 0 for w in TRIGGERS}
 
     def best(text: str) -> tuple[float, str | None]:
@@ -136,6 +166,17 @@ def similarities(files: DataFrame, min_line: float = MIN_LINE, min_file: float =
         return min(((-sum(v * own.get(t, 0.0) for t, v in model.items()), name) for name, model in models),
                    default=(0.0, None))
 
+    def contained(text: str) -> tuple[float, str | None]:
+        """The most similar of the full licences that the text holds: (share held, name)."""
+        own = vector(text, idf, rarest)
+        found = []
+        for name, model in full:
+            both = model.keys() & own.keys()
+            share = sum(model[t] ** 2 for t in both)
+            if share >= MIN_SHARE:
+                found.append((-sum(model[t] * own[t] for t in both), name, min(share, 1.0)))
+        return (min(found)[2], min(found)[1]) if found else (0.0, None)
+
     rest = [c for c in files.columns if c != "text"]
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,17 +190,32 @@ def similarities(files: DataFrame, min_line: float = MIN_LINE, min_file: float =
                 name: list[str | None] = [None] * part.num_rows
                 score, whole = np.zeros(part.num_rows), np.zeros(part.num_rows, dtype=bool)
                 raw = data.tobytes()
-                for a, b, d in zip(ls[held].tolist(), le[held].tolist(), ld[held].tolist()):
-                    s, kind = best(raw[a:b].decode())
-                    if -s >= min_line and (-s, name[d] or "") != (score[d], kind):
-                        if -s > score[d] or (-s == score[d] and kind < (name[d] or "~")):
-                            score[d], name[d] = -s, kind
+                named: dict[int, str] = {}
+                for k in np.flatnonzero(held).tolist():
+                    d, line = int(ld[k]), raw[ls[k]:le[k]].decode()
+                    if (kind := spdx_name(line)) is not None:
+                        named[d] = min(kind, named.get(d, kind))
+                    for a in range(k, max(k - WINDOW, -1), -1):
+                        if ld[a] != d:
+                            break
+                        for b in range(k, min(a + WINDOW, len(ls))):
+                            if ld[b] != d or le[b] - ls[a] > MAX_WINDOW and a != b:
+                                break
+                            s, kind = best(raw[ls[a]:le[b]].decode())
+                            if -s >= min_line and (-s > score[d] or (-s == score[d] and kind < (name[d] or "~"))):
+                                score[d], name[d] = -s, kind
+                for d, kind in named.items():
+                    score[d], name[d] = 1.0, kind
                 for d in np.unique(ld[held]).tolist():
-                    s, kind = best(raw[offsets[d]:offsets[d + 1]].decode())
+                    text = raw[offsets[d]:offsets[d + 1]].decode()
+                    s, kind = best(text)
                     if -s >= min_file:
                         whole[d] = True
                         if name[d] is None:
                             score[d], name[d] = -s, kind
+                    share, kind = contained(text)
+                    if kind is not None:
+                        whole[d], score[d], name[d] = True, share, kind
                 yield pa.RecordBatch.from_pydict(
                     {c: part.column(c) for c in rest} | {"own_license": pa.array(name, pa.string()),
                                                          "similarity": pa.array(np.round(score, 6)),
