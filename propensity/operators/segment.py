@@ -143,19 +143,59 @@ class Clusters:
         return assign_nearest(data, x, dict(enumerate(self.centres.tolist())), out).drop("dist")
 
 
-#: Rows among which the starts of k-means are drawn.
-START_POOL = 2_000
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """Numbers between 0 and 1 from 64-bit hashes."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((h ^ (h >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0 ** -53 + 2.0 ** -54
 
 
-def _spread(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k rows of ``pool``, each drawn with the squared distance to those before it as weight."""
-    picked = [int(rng.integers(len(pool)))]
-    gap = ((pool - pool[picked[0]]) ** 2).sum(1)
-    while len(picked) < k:
-        total = gap.sum()
-        picked.append(int(rng.choice(len(pool), p=gap / total)) if total > 0 else int(rng.integers(len(pool))))
-        gap = np.minimum(gap, ((pool - pool[picked[-1]]) ** 2).sum(1))
-    return pool[picked]
+def _spread(rows: DataFrame, runs: Sequence[int], seed: int) -> list[np.ndarray]:
+    """The starts of all runs (k of each): k-means++ over all rows, every centre one job for all runs together.
+
+    Each distinct vector draws a waiting time with its number of rows times the
+    squared distance to the run's centres so far as rate, made from its hash; the
+    first one is the next centre. So copies count as often as they are there,
+    and the draw depends neither on partitions nor on the table's size.
+    """
+    each = rows.groupBy("x").agg(F.count(F.lit(1)).alias("w")).withColumn("h", F.xxhash64("x", F.lit(seed))).persist()
+    starts: list[list] = [[] for _ in runs]
+    for no in range(max(runs)):
+        open_runs = [i for i, k in enumerate(runs) if k > no]
+        known = np.array([starts[i] for i in open_runs])        # open runs x centres so far x columns
+        salt = np.array([(i * 1_000_003 + no + 1) * 0x9E3779B97F4A7C15 % 2 ** 64 for i in open_runs], dtype=np.uint64)
+
+        def first(batches, no=no, open_runs=open_runs, known=known, salt=salt):
+            time, place = np.full(len(open_runs), np.inf), [None] * len(open_runs)
+            for batch in batches:
+                flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+                x = flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 0))
+                w, h = batch.column("w").to_numpy().astype(float), batch.column("h").to_numpy().view(np.uint64)
+                for lo in range(0, len(x), 1024):
+                    part = x[lo:lo + 1024]
+                    gap = np.ones((len(part), len(open_runs)))
+                    for c in range(no):
+                        far = sum((part[:, j, None] - known[:, c, j]) ** 2 for j in range(part.shape[1]))
+                        gap = far if c == 0 else np.minimum(gap, far)
+                    with np.errstate(divide="ignore"):
+                        wait = -np.log(_mixed(h[lo:lo + 1024, None] ^ salt)) / (w[lo:lo + 1024, None] * gap)
+                    at = wait.argmin(0)
+                    for i, t in enumerate(wait[at, np.arange(len(at))].tolist()):
+                        if t < time[i]:
+                            time[i], place[i] = t, part[at[i]].tolist()
+            got = [k for k, x in enumerate(place) if x is not None]
+            yield pa.RecordBatch.from_pydict({
+                "run": pa.array([open_runs[k] for k in got], pa.int64()), "t": pa.array(time[got], pa.float64()),
+                "x": pa.array([place[k] for k in got], pa.list_(pa.float64()))})
+
+        found = each.mapInArrow(first, "run long, t double, x array<double>")
+        drawn = {r["run"]: r["m"]["x"] for r in found.groupBy("run").agg(F.min(F.struct("t", "x")).alias("m")).collect()}
+        if not no and not drawn:
+            break
+        for i in open_runs:         # fewer distinct vectors than centres: the first one again
+            starts[i].append(drawn.get(i) or starts[i][0])
+    each.unpersist()
+    return [np.array(s) for s in starts if s]
 
 
 def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int = 20, seed: int = 1,
@@ -164,17 +204,15 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
 
     Every iteration is one job: each task sums its rows by nearest centre for
     all runs together and sends one row per centre, so 25 starts cost hardly
-    more passes than one. Starts are spread by distance (k-means++) over a
-    bounded pool of rows in a seeded hash order; every iteration runs over all
-    rows. A centre that loses all of its rows stays where it is.
+    more passes than one. Starts are spread by distance (k-means++) over all
+    rows, and every iteration runs over all rows. A centre that loses all of its rows stays where it is.
     """
     rows = data.select(vector_to_array(features_col).alias("x"))
-    pool = np.array([r.x for r in rows.orderBy(F.xxhash64("x", F.lit(seed))).limit(START_POOL).collect()])
-    if not len(pool):
-        return {}
-    rng = np.random.default_rng(seed)
     runs = [k for k in ks for _ in range(n_start)]
-    centres = np.concatenate([_spread(pool, k, rng) for k in runs])
+    starts = _spread(rows, runs, seed)
+    if not starts:
+        return {}
+    centres = np.concatenate(starts)
     edges = np.concatenate([[0], np.cumsum(runs)])
     p = centres.shape[1]
     names = [f"s{j}" for j in range(p)]
