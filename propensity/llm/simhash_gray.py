@@ -70,16 +70,17 @@ def fingerprints(offsets: np.ndarray, data: np.ndarray, width: int = SHINGLE_WOR
     return out
 
 
-def simhash(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and the fingerprint as a signed 64-bit integer."""
+def simhash(docs: DataFrame, width: int = SHINGLE_WORDS, *keep: str) -> DataFrame:
+    """doc_id, the fingerprint as a signed 64-bit integer, and ``keep`` (long columns)."""
 
     def hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for part in TB.slices(batch):
                 got = fingerprints(*TB.utf8(part.column("text")), width)
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(got.view(np.int64))})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(got.view(np.int64)),
+                                                      **{c: part.column(c) for c in keep}})
 
-    return map_arrow(doc_text(docs), hashed, "doc_id long, fp long")
+    return map_arrow(doc_text(docs, *keep), hashed, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keep)))
 
 
 def hex64(value: Column) -> Column:
@@ -247,14 +248,19 @@ def stars(edges: DataFrame) -> DataFrame:
             return edges
 
 
-def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``fps`` (doc_id, fp) with component_id: the smallest doc_id reachable over links of ``max_bits`` bits."""
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """fp, rep (its smallest doc_id) and root (a fingerprint that stands for the component) of every fingerprint."""
     nodes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
     n_parts = max(1, -(-nodes.count() // (LEAF * 64)))
     leaves, levels = numbered(saved(leaf_groups(nodes, n_parts), "leaves"))
     root = stars(links(surviving_pairs(leaves, levels, max_bits), leaves, max_bits))
-    labelled = nodes.join(root.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
+    return nodes.join(root.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
+def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fps`` (doc_id, fp) with component_id: the smallest doc_id reachable over links of ``max_bits`` bits."""
+    labelled = _rooted(fps, max_bits)
     low = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
     return fps.join(labelled.join(low, "root").select("fp", "component_id"), "fp")   # AQE splits a hot fp
 
@@ -268,12 +274,18 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
 def representatives(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component: the one with the smallest doc_id (of repeated rows, one).
 
+    Rows that share a doc_id but have different texts are documents of their own.
     A document without doc_id goes by a number made from its text, larger than
     any doc_id below 2^62, so it stays only if no document with one is near.
     """
     top = 1 << 62
     stand_in = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(top - 1)).bitwiseOR(F.lit(top))
     keyed = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    found = near_duplicates(keyed.select(F.col("_near_id").alias("doc_id"), "text"), width, max_bits)
-    firsts = found.select(F.col("component_id").alias("_near_id")).distinct()
-    return keyed.join(firsts, "_near_id", "left_semi").dropDuplicates(["_near_id"]).select(*docs.columns)
+    keyed = keyed.withColumn("_near_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    given = keyed.select(F.col("_near_id").alias("doc_id"), "text", "_near_text")
+    fps = saved(simhash(given, width, "_near_text"), "simhash")
+    roots = _rooted(fps.select("doc_id", "fp"), max_bits).select("fp", "root")
+    firsts = fps.join(roots, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "_near_text")).alias("first")).select(
+        F.col("first.doc_id").alias("_near_id"), F.col("first._near_text").alias("_near_text"))
+    key = ["_near_id", "_near_text"]
+    return keyed.join(firsts, key, "left_semi").dropDuplicates(key).select(*docs.columns)
