@@ -64,8 +64,44 @@ def op10_bestfit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.lexical_search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Every score of every document that shares a term with an item.
+OP11_SQL = """
+WITH words AS (
+    SELECT rowid_ AS d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS rowid_, doc_id, text FROM documents)),
+tf AS (SELECT d, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM words GROUP BY d, term),
+lengths AS (SELECT d, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY d),
+totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, totals GROUP BY term),
+asked AS (SELECT q, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS q, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)
+    GROUP BY q, item_id, term),
+scored AS (
+    SELECT q, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+           CAST(sum(times * w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN lengths USING (d), totals GROUP BY q, d),
+places AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM places WHERE rank <= 20"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_cws_fingerprint, op3_word_bpe, op4_simhash_gray, op5_piece_count,
-                               op6_repair_tokens, op7_license_scan, op8_pii_boost, op9_line_rules, op10_bestfit_pack)}
+                               op6_repair_tokens, op7_license_scan, op8_pii_boost, op9_line_rules, op10_bestfit_pack, op11_lexical_search,
+                               op13_whitening)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL}
