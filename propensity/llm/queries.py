@@ -94,6 +94,11 @@ places AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM places WHERE rank <= 20"""
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from propensity.llm.site_style_tree import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from propensity.llm.whitening import whiten
     return whiten(table(spark, sf_dir, "embeddings"))
@@ -102,6 +107,6 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_cws_fingerprint, op3_word_bpe, op4_simhash_gray, op5_piece_count,
                                op6_repair_tokens, op7_license_scan, op8_pii_boost, op9_line_rules, op10_bestfit_pack, op11_lexical_search,
-                               op13_whitening)}
+                               op12_html_extraction, op13_whitening)}
 
 ORACLES: dict[str, str] = {"op11_lexical_search": OP11_SQL}
