@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -71,3 +73,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="propensity-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package when it is not installed there."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a fresh table in the shared folder, read back: a lost executor costs a re-read."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/propensity-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
