@@ -15,10 +15,14 @@ from propensity.operators import evaluate as EV
 from propensity.operators import features as FE
 from propensity.operators import split as S
 from propensity.operators.artifact import fit_artifact
+from propensity.operators.models import bagging as BG
+from propensity.operators.models import boosting as BO
 from propensity.operators.models import explain as X
 from propensity.operators.models import generative as G
 from propensity.operators.models import linear as LIN
+from propensity.operators.models import pruning as PR
 from propensity.operators.models import trees as TR
+from propensity.operators.models.binned import binned_table, fit_bins
 from propensity.operators import profile as P
 from propensity.functions.cumulative import running_totals
 from propensity.plans import fixtures as FX
@@ -36,8 +40,6 @@ N_FOLDS = 5
 LR_FOLDS = 10
 LR_LAMBDAS = 100
 N_TREES = 500
-#: Trees of a fit inside the forest search: 75 fits of 500 trees take over ten minutes on one machine.
-TUNING_TREES = 50
 #: The order of the prepared columns that models keep besides the features.
 KEEP = ["visit_id", "period", "vkey", "role"]
 
@@ -290,7 +292,8 @@ def _logistic(prep, feats, alpha=0.5):
 
 
 def _scored(model, prep, feats):
-    return TR.score_model(model, prep, feats).select("visit_id", "period", "label", "score")
+    rows = model.score(prep) if hasattr(model, "bins") else TR.score_model(model, prep, feats)
+    return rows.select("visit_id", "period", "label", "score")
 
 
 @register("logreg_scores")
@@ -346,69 +349,84 @@ def odds_rank(spark, base):
 
 # ------------------------------------------------------------------ F4, F5
 
+def binned(prep, feats, *tags):
+    """The train visits, written once as bins; every tree model of a query is fitted on them."""
+    return binned_table(_train(prep), feats, "visit_id", "label", tags)
+
+
 @register("tree_scores")
 def tree_scores(spark, base):
-    """weighted CART pruned by CV, scores on all visits."""
+    """class-weighted CART, pruned at the penalty that 10-fold cross-validation chooses; scores of all visits."""
     with prepared(spark, base) as (prep, feats):
-        model, _ = TR.fit_tree_cv(_train(prep), feats, "label", "weight")
+        model, _ = PR.fit_cart(binned(prep, feats, "fold10"), "fold10")
     return _scored(model, prep, feats)
 
 
 @register("tree_prune_path")
 def tree_prune_path(spark, base):
-    """cross-validated weighted error per complexity setting."""
+    """the cost-complexity table: penalty, splits, relative and cross-validated error."""
     with prepared(spark, base) as (prep, feats):
-        return TR.fit_tree_cv(_train(prep), feats, "label", "weight")[1]
+        return PR.fit_cart(binned(prep, feats, "fold10"), "fold10")[1]
 
 
 # ------------------------------------------------------------------ F10-F14
 
 def _forest(prep, feats, num_trees=N_TREES):
-    return TR.fit_forest(_train(prep), feats, "label", "weight", num_trees=num_trees, seed=42)
+    return BG.fit_forest(binned(prep, feats), num_trees, seed=42)
 
 
 @register("forest_scores")
 def forest_scores(spark, base):
-    """balanced-weight random forest (500 trees, mtry floor(sqrt p)), scores on all visits."""
+    """random forest (500 full trees, mtry floor(sqrt p)) with a balanced draw per tree, scores on all visits."""
     with prepared(spark, base) as (prep, feats):
         model = _forest(prep, feats)
     return _scored(model, prep, feats)
 
 
+@register("oob_scores")
+def oob_scores(spark, base):
+    """out-of-bag votes of the forest for the train visits."""
+    with prepared(spark, base) as (prep, feats):
+        table = binned(prep, feats)
+    return BG.oob_votes(table, [BG.fit_forest(table, N_TREES, seed=42)], "visit_id").drop("forest")
+
+
 @register("oof_scores")
 def oof_scores(spark, base):
-    """out-of-fold forest scores on train visits (stand-in for OOB votes)."""
+    """Out-of-fold scores of forests on train visits: the check on F11's out-of-bag votes."""
     with prepared(spark, base) as (prep, feats):
-        fit = lambda d: TR.fit_forest(d, feats, "label", "weight", num_trees=N_TREES, seed=42)
-        return TR.out_of_fold_scores(_train(prep), feats, fit, "fold", N_FOLDS).select("visit_id", "label", "score")
+        tr = _train(prep)
+        bins, parts = fit_bins(tr, feats), []
+        for f in range(N_FOLDS):
+            rest = binned_table(tr.where(F.col("fold") != f), feats, "visit_id", "label", bins=bins)
+            parts.append(BG.fit_forest(rest, N_TREES, seed=42).score(tr.where(F.col("fold") == f)).select("visit_id", "label", "score"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("forest_stability")
 def forest_stability(spark, base):
-    """F12 on a forest: error by number of trees (800, test visits) and the stable tree count (else 800)."""
+    """F12 on a forest: out-of-bag error by number of trees (800) and the stable tree count (else 800)."""
     with prepared(spark, base) as (prep, feats):
-        path = TR.tree_error_path(_forest(prep, feats, 800), _test(prep), feats)
+        table = binned(prep, feats)
+    path = BG.oob_error_path(table, BG.fit_forest(table, 800, seed=42))
     stable = TR.stable_iteration(path, "n_trees", "error", 0.0005, 50, fallback=800)      # one row
     return path.withColumn("_k", F.lit(0)).join(stable.withColumn("_k", F.lit(0)), "_k").drop("_k")
 
 
 @register("forest_tuning")
 def forest_tuning(spark, base):
-    """F13 + F14: coordinate search on out-of-fold PR-AUC over the full grids; the sensitivity table."""
+    """F13 + F14: coordinate search on out-of-bag PR-AUC over the full grids, 500 trees a setting; the sensitivity table."""
     with prepared(spark, base) as (prep, feats):
-        return TR.forest_tuning(_train(prep), feats, "label", "fold", k=N_FOLDS, num_trees=TUNING_TREES)
+        return BG.forest_search(binned(prep, feats), N_TREES)
 
 
 @register("forest_decision")
 def forest_decision(spark, base):
     """F19 on real models: the default forest or the tuned one, by test PR-AUC, ties to the default."""
     with prepared(spark, base) as (prep, feats):
-        tr = _train(prep)
-        best = TR.tuned_parameters(TR.forest_tuning(tr, feats, "label", "fold", k=N_FOLDS, num_trees=TUNING_TREES))
-        counts = S.class_counts(tr, "label")
-        own = TR.ratio_weights(tr, "label", counts.get(1.0, 0), counts.get(0.0, 0), best["ratio"])
-        models = {"default": _forest(prep, feats),
-                  "tuned": TR.fit_forest(own, feats, "label", "_w", N_TREES, best["mtry"], best["nodesize"], seed=42)}
+        table = binned(prep, feats)
+        best = BG.tuned_parameters(BG.forest_search(table, N_TREES))
+        models = dict(zip(("default", "tuned"), BG.fit_forests(table, [{}, best], N_TREES, seed=42)))
     scores = reduce(DataFrame.unionByName, [
         _scored(m, _test(prep), feats).withColumn("model", F.lit(n)) for n, m in models.items()])
     return TR.model_pick(EV.pr_auc(scores, ["model"]), "default", "tuned")
@@ -420,26 +438,44 @@ def _scale_pos(prep):
     return S.scale_pos_weight(prep.drop("weight"), "label", 1.0, "weight")
 
 
+def _positive_weight(table):
+    """Rows of class 0 over rows of class 1."""
+    n0, n1 = (int(n) for n in table.totals)
+    return n0 / n1 if n1 else 1.0
+
+
+def _with_role(prep):
+    """The period roles as numbers: 0 to fit on, 1 to validate on, null otherwise."""
+    role = F.when(F.col("role") == "fit", 0).when(F.col("role") == "validate", 1)
+    return prep.withColumn("role", role)
+
+
+def _default_booster(table):
+    return BO.fit_booster(table, BO.Params(scale_pos=_positive_weight(table)), 30)
+
+
 @register("boost_scores")
 def boost_scores(spark, base):
-    """gradient-boosted trees (30 rounds, positive-class weight), scores on all visits."""
+    """gradient-boosted trees (30 rounds, L2 10, L1 1, positive-class weight), scores on all visits."""
     with prepared(spark, base) as (prep, feats):
-        m = TR.fit_boost(_scale_pos(_train(prep)), feats, "label", "weight", max_iter=30, step_size=0.3, max_depth=6)
+        m = _default_booster(binned(prep, feats))
     return _scored(m, prep, feats)
 
 
 @register("boost_tuning")
 def boost_tuning(spark, base):
-    """F16: 5 random + 10 guided trials on the temporal hold-out, by PR-AUC, each stopped early."""
+    """F16: 5 spread + 10 guided trials within the reference's bounds, on the temporal hold-out by PR-AUC, patience 10."""
     with prepared(spark, base) as (prep, feats):
-        return TR.boost_tuning(_train(prep), "role", feats, "label")
+        return BO.boost_search(binned(_with_role(prep), feats, "role"), "role")
 
 
 @register("boost_rounds")
 def boost_rounds(spark, base):
-    """boosting rounds (300 at most) chosen by 5-fold CV log-loss with a patience of 30."""
+    """boosting rounds (300 at most) by 5-fold cross-validated PR-AUC with a patience of 30."""
     with prepared(spark, base) as (prep, feats):
-        return TR.boost_rounds(_train(prep), feats, "label", None, "fold", N_FOLDS, step_size=0.1, max_depth=4)
+        table = binned(prep, feats, "fold")
+    params = BO.Params(max_depth=4, eta=0.1, scale_pos=_positive_weight(table))
+    return BO.cv_rounds(table, params, "fold", range(N_FOLDS))
 
 
 @register("boost_final")
@@ -447,11 +483,10 @@ def boost_final(spark, base):
     """refit on all train visits with the best trial's parameters and the rounds that CV chooses for them;
     every visit's score and its class at the threshold of G10 on train."""
     with prepared(spark, base) as (prep, feats):
-        tr = _scale_pos(_train(prep))
-        best = TR.best_trial(TR.boost_tuning(_train(prep), "role", feats, "label"))
-        path = TR.boost_rounds(tr, feats, "label", "weight", "fold", N_FOLDS, **best)
-        rounds = path.where("chosen = 1").first()["round"]      # one row
-        m = TR.fit_boost(tr, feats, "label", "weight", max_iter=rounds, **best)
+        table = binned(_with_role(prep), feats, "role", "fold")
+        best = replace(BO.best_params(BO.boost_search(table, "role")), scale_pos=_positive_weight(table))
+        rounds = BO.cv_rounds(table, best, "fold", range(N_FOLDS)).where("chosen = 1").first()["round"]      # one row
+        m = BO.fit_booster(table, best, rounds)
     scores = _scored(m, prep, feats).withColumn("model", F.lit("boost"))
     grid = EV.threshold_grid(scores.where(F.col("period") == "train"), ["model"]).where("best = 1")
     return scores.join(grid.select("model", "threshold"), "model").select(
@@ -484,10 +519,10 @@ def train_packets(spark, base, path):
               "lda": (G.fit_lda(_train(own), plain), own, plain, "own"),
               "logistic": (_logistic(own, feats)[0], own, feats, "own")}
     with prepared(spark, base) as (prep, all_feats):
-        tr = _train(prep)
-        boost = TR.fit_boost(_scale_pos(tr), all_feats, "label", "weight", max_iter=30)
-        fitted |= {"cart": (TR.fit_tree_cv(tr, all_feats, "label", "weight")[0], prep, all_feats, "all"),
-                   "forest": (_forest(prep, all_feats), prep, all_feats, "all"), "boost": (boost, prep, all_feats, "all")}
+        table = binned(prep, all_feats, "fold10")
+        fitted |= {"cart": (PR.fit_cart(table, "fold10")[0], prep, all_feats, "all"),
+                   "forest": (BG.fit_forest(table, N_TREES, seed=42), prep, all_feats, "all"),
+                   "boost": (_default_booster(table), prep, all_feats, "all")}
         scores = reduce(DataFrame.unionByName, [
             _packet_scores(name, m, _train(d), f) for name, (m, d, f, _) in fitted.items()])
         thresholds = {r["model"]: r["threshold"] for r in EV.youden(scores, ["model"]).collect()}      # six rows
@@ -497,7 +532,10 @@ def train_packets(spark, base, path):
 
 
 def _packet_scores(name, model, df, feats):
-    s = model.transform(df) if hasattr(model, "posterior") else TR.score_model(model, df, feats)
+    if hasattr(model, "bins"):
+        s = model.score(df)
+    else:
+        s = model.transform(df) if hasattr(model, "posterior") else TR.score_model(model, df, feats)
     return s.select("visit_id", F.lit(name).alias("model"), "score", "label")
 
 
@@ -540,20 +578,22 @@ def final_comparison(spark, base):
 
 @register("permutation_importance")
 def permutation_importance(spark, base):
-    """accuracy drop when one feature is permuted (forest, test visits), top 10."""
+    """mean loss of out-of-bag accuracy by permuted feature, over its standard error (default forest), top 10."""
     with prepared(spark, base) as (prep, feats):
-        imp = X.permutation_importance(_forest(prep, feats), _test(prep), feats, "visit_id", "label", seed=7)
+        table = binned(prep, feats)
+    imp = BG.oob_importance(table, BG.fit_forest(table, N_TREES, seed=42), seed=7)
     return imp.orderBy(F.col("importance").desc(), "feature").limit(10)
 
 
 @register("partial_dependence")
 def partial_dependence(spark, base):
-    """partial dependence (half log-odds) of the 3 most important features, 51-point grids."""
+    """partial dependence (half log-odds) of the 3 most important features of the default forest, 51-point grids."""
     with prepared(spark, base) as (prep, feats):
-        forest, tr = _forest(prep, feats), _train(prep)
-        imp = X.permutation_importance(forest, tr, feats, "visit_id", "label", seed=7)
+        table = binned(prep, feats)
+        forest = BG.fit_forest(table, N_TREES, seed=42)
+        imp = BG.oob_importance(table, forest, seed=7)
         top = [r.feature for r in imp.orderBy(F.col("importance").desc(), "feature").limit(3).collect()]
-        return X.partial_dependence(forest, tr, feats, top, n_grid=51)
+        return BG.partial_dependence(table, forest, _train(prep), top, n_grid=51)
 
 
 @register("shap_summary")

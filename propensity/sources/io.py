@@ -18,12 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from propensity.operators.models.bagging import Forest
+from propensity.operators.models.boosting import Booster
 from propensity.operators.models.generative import GaussianNB, LinearDiscriminant
+from propensity.operators.models.pruning import PrunedTree
 
 #: The kinds of model that packets may hold, by name.
 CLOSED_FORM = {c.__name__: c for c in (GaussianNB, LinearDiscriminant)}
 SPARK_ML = {c.__name__: c for c in (DecisionTreeClassificationModel, GBTClassificationModel,
                                     LogisticRegressionModel, RandomForestClassificationModel)}
+#: Models with ``save(spark, path)`` and ``load(spark, path)`` of their own.
+OWN_FORM = {c.__name__: c for c in (Booster, Forest, PrunedTree)}
 
 
 def read_table(spark: SparkSession, base: str, name: str,
@@ -81,7 +86,7 @@ def save_packet(model, path: str, name: str, threshold: float | None,
                 params: dict | None = None) -> None:
     """A fitted Spark ML model plus its manifest (threshold, params).
 
-    ``model`` is a Spark ML model of ``SPARK_ML``, a closed-form model of
+    ``model`` is a Spark ML model of ``SPARK_ML``, a tree model of ``OWN_FORM``, a closed-form model of
     ``CLOSED_FORM`` (saved as its parameter table, which loads as the model
     again) or any DataFrame of parameters.
     """
@@ -93,6 +98,8 @@ def save_packet(model, path: str, name: str, threshold: float | None,
         kind = "params"
     elif kind in CLOSED_FORM:
         model.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(os.path.join(target, "params"))
+    elif kind in OWN_FORM:
+        model.save(spark, os.path.join(target, "params"))
     elif kind in SPARK_ML:
         model.write().overwrite().save(os.path.join(target, "model"))
     else:
@@ -120,6 +127,8 @@ def load_packets(spark: SparkSession, path: str, names: Iterable[str]) -> dict:
             model = spark.read.parquet(os.path.join(target, "params"))
         elif man.kind in CLOSED_FORM:
             model = CLOSED_FORM[man.kind].from_frame(spark.read.parquet(os.path.join(target, "params")))
+        elif man.kind in OWN_FORM:
+            model = OWN_FORM[man.kind].load(spark, os.path.join(target, "params"))
         elif man.kind in SPARK_ML:
             model = SPARK_ML[man.kind].load(os.path.join(target, "model"))
         else:

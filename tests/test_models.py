@@ -179,7 +179,6 @@ def test_six_models_from_saved_packets(spark, tmp_path, monkeypatch):
     from propensity.plans import q_models as Q
     from tests.conftest import SMALL
     monkeypatch.setattr(Q, "N_TREES", 10)
-    monkeypatch.setattr(Q._forest, "__defaults__", (10,))
     monkeypatch.setattr(Q, "LR_LAMBDAS", 6)
     path = str(tmp_path / "packets")
     Q.train_packets(spark, SMALL, path)
