@@ -156,18 +156,18 @@ def oob_votes(table: Table, forests: Sequence[Forest], key: str = "key") -> Data
     schema = T.StructType([T.StructField("forest", T.IntegerType()), T.StructField(key, key_type), T.StructField("label", T.DoubleType()),
                            T.StructField("votes", T.LongType()), T.StructField("trees", T.LongType()),
                            T.StructField("score", T.DoubleType())])
-    told = [f.trees.votes_of() for f in forests]
+    told = [(f.trees.votes_of(), f.trees.lean()) for f in forests]
+    unlike = list({id(f.draws): f.draws for f in forests}.values())
+    drawn_by = [next(i for i, d in enumerate(unlike) if d is f.draws) for f in forests]
 
     def run(block: Block):
-        seen: dict[int, np.ndarray] = {}
-        for number, forest in enumerate(forests):
-            if id(forest.draws) not in seen:
-                seen[id(forest.draws)] = forest.draws.counts(block)
-            counts = seen[id(forest.draws)]
+        drawn = [d.counts(block) for d in unlike]
+        for number, (vote, grown) in enumerate(told):
+            counts = drawn[drawn_by[number]]
             votes, trees = np.zeros(len(block.y), np.int64), np.zeros(len(block.y), np.int64)
-            for t in range(len(forest.trees)):
+            for t in range(len(grown)):
                 rows = np.flatnonzero(counts[t] == 0)
-                votes[rows] += told[number][forest.trees.leaf(block.x[rows], t)]
+                votes[rows] += vote[grown.leaf(block.x[rows], t)]
                 trees[rows] += 1
             with np.errstate(invalid="ignore", divide="ignore"):
                 score = votes / trees
@@ -180,16 +180,16 @@ def oob_votes(table: Table, forests: Sequence[Forest], key: str = "key") -> Data
 
 def oob_error_path(table: Table, forest: Forest) -> DataFrame:
     """out-of-bag error of the first n trees, n = 1..T (rows that all of them have seen are left out)."""
-    told, total = forest.trees.votes_of(), len(forest.trees)
+    told, total, grown, draws = forest.trees.votes_of(), len(forest.trees), forest.trees.lean(), forest.draws
 
     def run(blocks):
         wrong, rows_ = np.zeros(total, np.int64), np.zeros(total, np.int64)
         for block in blocks:
-            counts = forest.draws.counts(block)
+            counts = draws.counts(block)
             votes, trees = np.zeros(len(block.y), np.int64), np.zeros(len(block.y), np.int64)
             for t in range(total):
                 rows = np.flatnonzero(counts[t] == 0)
-                votes[rows] += told[forest.trees.leaf(block.x[rows], t)]
+                votes[rows] += told[grown.leaf(block.x[rows], t)]
                 trees[rows] += 1
                 known = trees > 0
                 wrong[t] += int((((2 * votes > trees) != (block.y == 1)) & known).sum())
@@ -211,23 +211,25 @@ def oob_importance(table: Table, forest: Forest, seed: int = 7) -> DataFrame:
     number of trees); without variance it is ``raw``.
     """
     told, total, p = forest.trees.votes_of(), len(forest.trees), len(table.bins.features)
+    grown, draws = forest.trees.lean(), forest.draws
     ends = np.append(forest.trees.roots[1:], len(forest.trees.feature))
     uses = [np.unique(forest.trees.feature[a:b][forest.trees.feature[a:b] >= 0]) for a, b in zip(forest.trees.roots, ends)]
 
     def run(blocks):
         lost, seen = np.zeros((total, p), np.int64), np.zeros(total, np.int64)
         for block in blocks:
-            counts = forest.draws.counts(block)
+            counts = draws.counts(block)
             for t in range(total):
                 rows = np.flatnonzero(counts[t] == 0)
                 x, y = block.x[rows], block.y[rows]
-                right = int((told[forest.trees.leaf(x, t)] == y).sum())
+                right = int((told[grown.leaf(x, t)] == y).sum())
                 seen[t] += len(rows)
                 rng = np.random.Generator(np.random.PCG64([seed, block.number, t]))
-                for f in uses[t]:
-                    other = x.copy()
-                    other[:, f] = x[rng.permutation(len(rows)), f]
-                    lost[t, f] += right - int((told[forest.trees.leaf(other, t)] == y).sum())
+                other = np.tile(x, (len(uses[t]), 1))        # a copy per feature, all in one walk down the tree
+                for i, f in enumerate(uses[t]):
+                    other[i * len(rows):(i + 1) * len(rows), f] = x[rng.permutation(len(rows)), f]
+                hits = (told[grown.leaf(other, t)].reshape(len(uses[t]), len(rows)) == y).sum(axis=1)
+                lost[t, uses[t]] += right - hits
         yield pa.RecordBatch.from_pydict({
             "tree": pa.array(np.repeat(np.arange(total, dtype=np.int32), p)), "f": pa.array(np.tile(np.arange(p, dtype=np.int32), total)),
             "lost": lost.ravel(), "n": np.repeat(seen, p)})
@@ -250,7 +252,7 @@ def partial_dependence(table: Table, forest: Forest, df: DataFrame, targets: Seq
     least and the greatest value in ``df``. No row is copied: where a tree splits
     on the feature, a row goes both ways, each with its stretch of the grid.
     """
-    told = forest.trees.votes_of().astype(np.int64)
+    told, trees = forest.trees.votes_of(), forest.trees.lean()
     ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in targets
                     for n, f in (("a", F.min), ("b", F.max), ("n", F.count_distinct))]).first()
     grids = {c: np.linspace(ends[f"a_{c}"], ends[f"b_{c}"], min(n_grid, ends[f"n_{c}"])) for c in targets if ends[f"n_{c}"]}
@@ -267,7 +269,7 @@ def partial_dependence(table: Table, forest: Forest, df: DataFrame, targets: Seq
         for block in blocks:
             n += len(block.y)
             for c in grids:
-                share = grid_votes(forest.trees, told, block.x, at[c], codes[c]) / len(forest.trees)
+                share = grid_votes(trees, told, block.x, at[c], codes[c]) / len(trees)
                 sums[c] += (0.5 * (np.log(np.maximum(share, EPS)) - np.log(np.maximum(1 - share, EPS)))).sum(axis=0)
         for number, (c, s) in enumerate(sums.items()):
             yield pa.RecordBatch.from_pydict({"f": pa.array([number] * len(s), pa.int32()), "i": pa.array(np.arange(len(s), dtype=np.int32)),
@@ -282,28 +284,31 @@ def partial_dependence(table: Table, forest: Forest, df: DataFrame, targets: Seq
 
 def grid_votes(trees: Trees, told: np.ndarray, x: np.ndarray, feature: int, codes: np.ndarray) -> np.ndarray:
     """rows x grid votes for class 1 with ``feature`` set to each of the ascending ``codes``."""
-    change = np.zeros((len(x), len(codes) + 1), dtype=np.int64)
-    every = np.arange(len(x))
+    wide, width, flat = len(codes) + 1, x.shape[1], np.ascontiguousarray(x).ravel()
+    change = np.zeros(len(x) * wide, dtype=np.int64)
+    every, place = np.arange(len(x)), np.searchsorted(codes, np.arange(256), side="right")       # grid values up to a cut
     for t in range(len(trees)):
+        starts, stops = [every[:0]], [every[:0]]
         row, node = every, np.full(len(x), trees.roots[t])
         low, high = np.zeros(len(x), np.int64), np.full(len(x), len(codes), np.int64)
         while len(row):
             f = trees.feature[node]
             done = f < 0
             if done.any():
-                vote = told[node[done]]
-                np.add.at(change, (row[done], low[done]), vote)
-                np.add.at(change, (row[done], high[done]), -vote)
+                yes = np.flatnonzero(done)[told[node[done]] > 0]
+                starts.append(row[yes] * wide + low[yes])
+                stops.append(row[yes] * wide + high[yes])
                 row, node, low, high, f = (v[~done] for v in (row, node, low, high, f))
             own = f == feature
-            go = np.where(own, 0, x[row, f] > trees.cut[node])
-            where = np.where(own, np.clip(np.searchsorted(codes, trees.cut[node], side="right"), low, high), high)
+            go = np.where(own, 0, flat[row * width + f] > trees.cut[node])
+            where = np.where(own, np.clip(place[trees.cut[node]], low, high), high)
             split = own & (where < high)                     # the rest of the grid goes right
             row_r, node_r, low_r, high_r = row[split], trees.left[node[split]] + 1, where[split], high[split]
             keep = ~own | (where > low)
             row, node, low, high = (np.concatenate([v[keep], r]) for v, r in (
                 (row, row_r), (trees.left[node] + go, node_r), (low, low_r), (np.where(own, where, high), high_r)))
-    return np.cumsum(change, axis=1)[:, :-1]
+        change += np.bincount(np.concatenate(starts), minlength=len(change)) - np.bincount(np.concatenate(stops), minlength=len(change))
+    return np.cumsum(change.reshape(len(x), wide), axis=1)[:, :-1]
 
 
 # ------------------------------------------------------------------ F13, F14

@@ -27,11 +27,11 @@ from pyspark.sql import types as T
 from propensity.functions.cumulative import running_totals
 from propensity.session import ship, written
 
-MAX_BINS = 64
+MAX_BINS = 32
 BLOCK_ROWS = 1024
 #: Bytes of nodes that a scoring pass sends to the tasks; a larger model is scored in passes.
 PASS_BYTES = 128 << 20
-NODE_BYTES = 34
+NODE_BYTES = 8
 
 
 @dataclass(frozen=True)
@@ -129,10 +129,10 @@ def read_blocks(batches, p: int, tags: Sequence[str]) -> Iterator[Block]:
             yield Block(row.column("block")[0].as_py(), x, y, own, row.column("keys").flatten())
 
 
-def parallelism(df: DataFrame, items: int) -> int:
-    """Tasks for ``items`` equal pieces of work."""
+def parallelism(df: DataFrame, items: int, waves: int = 1) -> int:
+    """Tasks for ``items`` pieces of work, ``waves`` for each core."""
     spark = df.sparkSession
-    wanted = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = max(waves * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return max(1, min(items, wanted))
 
 
@@ -163,7 +163,7 @@ def binned_table(df: DataFrame, features: Sequence[str], key: str, label: str =
                *[pa.array([t.column(f"t{i}").fill_null(-1).to_numpy().astype(np.int32).tobytes()], pa.binary()) for i in range(len(names))]]
         return pa.Table.from_arrays(out, names=schema.names)
 
-    dealt = rows.repartition(parallelism(df, n_blocks), "block")
+    dealt = rows.repartitionByRange(parallelism(df, n_blocks), "block")
     blocks = written(dealt.groupBy("block").applyInArrow(pack, schema), "binned")
     table = Table(blocks, bins, np.zeros((n_blocks, 2), dtype=np.int64), tuple(tags))
 
@@ -186,7 +186,7 @@ def tree_sums(df: DataFrame, trees, values: np.ndarray, bins: Bins, out: str) ->
     for number in np.unique(passes):
         which = np.flatnonzero(passes == number)
         mine = np.concatenate([values[trees.roots[t]:ends[t]] for t in which])
-        df = _one_pass(df, trees.subset(which), mine, bins, out)
+        df = _one_pass(df, trees.subset(which).lean(), mine.astype(np.uint8) if (mine == mine.astype(np.uint8)).all() else mine, bins, out)
     return df
 
 

@@ -4,10 +4,12 @@ Second-order boosting of the logistic loss with leaf penalties: L1 (``l1``), L2
 (``l2``), a least gain per split (``gamma``, applied from the leaves up after a
 tree is grown), a least hessian per leaf, row and column shares per round.
 
-Many boosters (trials, folds) grow in the same jobs: a job per level of a round
-adds up gradient histograms (booster x node x feature x bin) within a task, then
-in Spark; the driver sees only those sums, whose size depends on the models'
-shape and not on the rows, and picks the splits. Gradients are summed as integers
+Many boosters (trials, folds) grow in the same jobs. Nodes with more than
+``LOCAL_ROWS`` rows are split level by level: tasks add up gradient histograms
+(booster x node x feature x bin), Spark adds up the tasks; the driver sees only
+those sums, whose size depends on the models' shape and not on the rows, and
+picks the splits. The rows of a smaller node go to one task, which grows the
+subtree from the same sums. Gradients are summed as integers
 (multiples of 2^-26), so sums, splits and trees are the same for any
 partitioning. Row shares are drawn per block and round.
 
@@ -38,6 +40,7 @@ from propensity.operators.models.grower import Trees
 from propensity.session import ship, written
 
 SAVE_ROUNDS = 20
+LOCAL_ROWS = 100_000
 SCORE_BINS = 4096
 _UNIT = float(1 << 26)
 _TOO_SMALL = 1e-6
@@ -150,26 +153,35 @@ def drawn_rows(p: Params, round_: int, block: int, n: int) -> np.ndarray:
 
 
 class _Tree:
-    """A tree of this round: nodes with their sums, open ones in the order of their histograms."""
+    """A tree of this round: nodes with their sums and rows, wide open ones in the order of their histograms, small open ones."""
 
-    def __init__(self, p: Params):
-        self.p, self.feature, self.cut, self.left, self.gain = p, [-1], [0], [0], [0.0]
-        self.g, self.h, self.level = [0.0], [0.0], [0]
-        self.depth = 0
+    def __init__(self, p: Params, rows: int, local_rows: int):
+        self.p, self.local_rows, self.depth = p, local_rows, 0
+        self.feature, self.cut, self.left, self.gain, self.g, self.h = [-1], [0], [0], [0.0], [0.0], [0.0]
+        self.level, self.small = ([0], []) if rows > local_rows else ([], [(0, 0)])
 
-    def split(self, found) -> None:
-        """The open nodes' best splits; children are the next level."""
-        nxt = []
-        for node, f, c, gain, lg, lh in zip(self.level, *found):
+    def split(self, found, rows: np.ndarray) -> None:
+        """The wide nodes' best splits; ``rows``: nodes x features x bins counts. Children are the next level or small."""
+        nxt, self.depth = [], self.depth + 1
+        for i, (node, f, c, gain, lg, lh) in enumerate(zip(self.level, *found)):
             if gain <= 0:
                 continue
             self.feature[node], self.cut[node], self.left[node], self.gain[node] = int(f), int(c), len(self.feature), float(gain)
-            for g, h in ((lg, lh), (self.g[node] - lg, self.h[node] - lh)):
-                nxt.append(len(self.feature))
+            left = int(rows[i, f, :c + 1].sum())
+            for g, h, n in ((lg, lh, left), (self.g[node] - lg, self.h[node] - lh, int(rows[i, f].sum()) - left)):
+                if self.depth < self.p.max_depth:
+                    nxt.append(len(self.feature)) if n > self.local_rows else self.small.append((len(self.feature), self.depth))
                 for store, v in zip((self.feature, self.cut, self.left, self.gain, self.g, self.h), (-1, 0, 0, 0.0, float(g), float(h))):
                     store.append(v)
-        self.depth += 1
-        self.level = nxt if self.depth < self.p.max_depth else []
+        self.level = nxt
+
+    def graft(self, node: int, arrays: Sequence[np.ndarray]) -> None:
+        """A subtree (feature, cut, left, gain, g, h) in place of an open node."""
+        base = len(self.feature) - 1
+        for store, a in zip((self.feature, self.cut, self.left, self.gain, self.g, self.h), arrays):
+            a = a + base if store is self.left else a
+            store[node] = a[0].item()
+            store.extend(a[1:].tolist())
 
     def finished(self) -> tuple[np.ndarray, ...]:
         """Pruned by gamma from the leaves up, with leaf values."""
@@ -182,6 +194,32 @@ class _Tree:
         return (np.array(self.feature, np.int32), np.array(self.cut, np.int32), np.array(self.left, np.int64), value)
 
 
+def grow_rows(x: np.ndarray, g: np.ndarray, h: np.ndarray, p: Params, depth: int, allowed: np.ndarray, width: int):
+    """A subtree from rows in memory, in the form that ``_Tree.graft`` takes."""
+    t = _Tree(replace(p, max_depth=p.max_depth - depth), 1, 0)
+    t.g[0], t.h[0] = float(g.sum()) / _UNIT, float(h.sum()) / _UNIT
+    n = x.shape[1]
+    rows, slot = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
+    while t.level and t.p.max_depth > 0:
+        size = len(t.level)
+        cell = ((slot[:, None] * n + np.arange(n)) * width + x[rows]).ravel()
+        shape, cells = (size, n, width), size * n * width
+        gs, hs = (np.bincount(cell, np.repeat(v[rows].astype(float), n), cells).reshape(shape) / _UNIT for v in (g, h))
+        level = np.array(t.level)
+        t.split(best_gains(gs, hs, allowed, t.p), np.bincount(cell, minlength=cells).reshape(shape))
+        place = np.full(len(t.feature), -1, dtype=np.int64)
+        place[t.level] = np.arange(len(t.level))
+        f, cut, left = (np.array(a)[level][slot] for a in (t.feature, t.cut, t.left))
+        kept = f >= 0
+        rows, f, cut, left = rows[kept], f[kept], cut[kept], left[kept]
+        slot = place[left + (x[rows, f] > cut)]
+        rows, slot = rows[slot >= 0], slot[slot >= 0]
+    return [np.array(a, k) for a, k in zip((t.feature, t.cut, t.left, t.gain, t.g, t.h), _GROWN)]
+
+
+_GROWN = (np.int32, np.int32, np.int64, np.float64, np.float64, np.float64)
+
+
 def _margin_of(margin: np.ndarray, x: np.ndarray, trees: Sequence[tuple]) -> np.ndarray:
     for feature, cut, left, value in trees:
         node = np.zeros(len(x), dtype=np.int64)
@@ -240,74 +278,129 @@ class Boosting:
 
         self.blocks, self.saved = written(self._map(run, schema), "margins"), self.rounds
 
-    def _sums(self, trees: dict[int, _Tree], first: bool) -> tuple[dict[int, np.ndarray], dict[int, dict]]:
-        """Histograms of the open nodes (booster: nodes x features x bins x (g, h)), and held-out sums if ``first``."""
-        p, width, round_ = len(self.table.bins.features), self.table.bins.width, self.rounds_now
-        tag, specs = self.tag, self.specs
+    def _rows(self, trees: dict[int, _Tree], first: bool):
+        """A function over a block: per booster the rows on open nodes (node place, codes, g, h), and held-out sums if ``first``."""
+        tag, specs, round_ = self.tag, self.specs, self.rounds_now
         held = {k for k in self.active if specs[k].held is not None and first and len(self.history[k]) < len(self.boosters[k].trees)}
-        at = {k: (np.array(t.feature, np.int32), np.array(t.cut, np.int32), np.array(t.left, np.int64),
-                  np.arange(len(t.feature), dtype=float), {n: i for i, n in enumerate(t.level)}, t.p) for k, t in trees.items()}
+        at = {k: (np.array(t.feature, np.int32), np.array(t.cut, np.int32), np.array(t.left, np.int64), np.arange(len(t.feature), dtype=float),
+                  t.level or [n for n, _ in t.small], t.p) for k, t in trees.items()}
+
+        def of(block: Block, margins):
+            tags = block.tags[tag] if tag else None
+            for k in sorted(set(at) | held):
+                with np.errstate(over="ignore"):
+                    prob = 1 / (1 + np.exp(-margins[k]()))
+                seen = own = None
+                if k in held:
+                    here = np.isin(tags, list(specs[k].held))
+                    score = np.minimum((prob[here] * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
+                    y = block.y[here]
+                    sure = np.clip(np.where(y == 1, prob[here], 1 - prob[here]), 1e-16, 1)
+                    loss = int(np.rint(-np.log(sure) * _UNIT).astype(np.int64).sum())
+                    seen = np.stack([np.append(np.bincount(score[y == 0], minlength=SCORE_BINS), loss),
+                                     np.append(np.bincount(score[y == 1], minlength=SCORE_BINS), len(y))]).astype(np.int64)
+                if k in at:
+                    feature, cut, left, number, places, params = at[k]
+                    mine = np.ones(len(block.y), bool) if specs[k].train is None else np.isin(tags, list(specs[k].train))
+                    rows = np.flatnonzero(mine & drawn_rows(params, round_, block.number, len(block.y)))
+                    node = _margin_of(np.zeros(len(rows)), block.x[rows], [(feature, cut, left, number)]).astype(np.int64)
+                    slot = np.full(len(feature), -1, np.int64)
+                    slot[places] = np.arange(len(places))
+                    rows, node = rows[slot[node] >= 0], slot[node[slot[node] >= 0]]
+                    w = np.where(block.y[rows] == 1, params.scale_pos, 1.0)
+                    pr = prob[rows]
+                    own = (node, block.x[rows], np.rint((pr - block.y[rows]) * w * _UNIT),
+                           np.rint(np.maximum(pr * (1 - pr), 1e-16) * w * _UNIT))
+                yield k, own, seen
+
+        return of, held
+
+    def _sums(self, trees: dict[int, _Tree], first: bool) -> tuple[dict[int, np.ndarray], dict[int, dict]]:
+        """Histograms of the wide nodes (booster: (g, h, rows) x nodes x features x bins), and held-out measures if ``first``."""
+        p, width = len(self.table.bins.features), self.table.bins.width
+        of, held = self._rows(trees, first)
+        sizes = {k: len(t.level) * p * width for k, t in trees.items()}
 
         def run(rows):
-            total = {k: np.zeros((2, len(v[4]) * p * width), np.int64) for k, v in at.items()}
-            seen = {k: np.zeros((2, SCORE_BINS + 1), np.int64) for k in held}
+            total = {k: np.zeros((3, size), np.int64) for k, size in sizes.items()}
+            seen = {k: np.zeros((3, SCORE_BINS + 1), np.int64) for k in held}
             for _, block, margins in rows:
-                tags = block.tags[tag] if tag else None
-                for k in set(at) | held:
-                    margin = margins[k]()
-                    with np.errstate(over="ignore"):
-                        prob = 1 / (1 + np.exp(-margin))
-                    if k in held:
-                        here = np.isin(tags, list(specs[k].held))
-                        score = np.minimum((prob[here] * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
-                        y = block.y[here]
-                        seen[k][0, :-1] += np.bincount(score[y == 0], minlength=SCORE_BINS)
-                        seen[k][1, :-1] += np.bincount(score[y == 1], minlength=SCORE_BINS)
-                        sure = np.clip(np.where(y == 1, prob[here], 1 - prob[here]), 1e-16, 1)
-                        seen[k][0, -1] += int(np.rint(-np.log(sure) * _UNIT).astype(np.int64).sum())
-                        seen[k][1, -1] += len(y)
-                    if k not in at:
-                        continue
-                    feature, cut, left, number, place, params = at[k]
-                    mine = np.ones(len(block.y), bool) if specs[k].train is None else np.isin(tags, list(specs[k].train))
-                    mine &= drawn_rows(params, round_, block.number, len(block.y))
-                    own = np.flatnonzero(mine)
-                    node = _margin_of(np.zeros(len(own)), block.x[own], [(feature, cut, left, number)]).astype(np.int64)
-                    slot = np.full(len(feature), -1, np.int64)
-                    slot[list(place)] = list(place.values())
-                    own, node = own[slot[node] >= 0], slot[node[slot[node] >= 0]]
-                    w = np.where(block.y[own] == 1, params.scale_pos, 1.0)
-                    pr = prob[own]
-                    g = np.rint((pr - block.y[own]) * w * _UNIT)
-                    h = np.rint(np.maximum(pr * (1 - pr), 1e-16) * w * _UNIT)
-                    cell = ((node[:, None] * p + np.arange(p)) * width + block.x[own]).ravel()
-                    size = total[k].shape[1]
-                    total[k][0] += np.bincount(cell, np.repeat(g, p), size).astype(np.int64)
-                    total[k][1] += np.bincount(cell, np.repeat(h, p), size).astype(np.int64)
+                for k, own, measured in of(block, margins):
+                    if measured is not None:
+                        seen[k][:2] += measured
+                    if own is not None:
+                        node, x, g, h = own
+                        cell = ((node[:, None] * p + np.arange(p)) * width + x).ravel()
+                        for i, v in enumerate((np.repeat(g, p), np.repeat(h, p), None)):
+                            total[k][i] += np.bincount(cell, v, sizes[k]).astype(np.int64)
             for kind, sums in ((0, total), (1, seen)):
                 for k, s in sums.items():
                     cells = np.flatnonzero(s.any(axis=0))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(cells), kind, np.int32)), pa.array(np.full(len(cells), k, np.int32)),
-                        pa.array(cells.astype(np.int32)), pa.array(s[0, cells]), pa.array(s[1, cells])], names=["kind", "k", "cell", "a", "b"])
-
-        got = self._map(run, "kind int, k int, cell int, a long, b long").groupBy("kind", "k", "cell").agg(
-            F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()
-        kind, k_, cell, a, b = (got.column(c).to_numpy() for c in ("kind", "k", "cell", "a", "b"))
-        out, measured = {}, {}
-        for k, v in at.items():
-            flat = np.zeros((2, len(v[4]) * p * width), np.int64)
-            rows = (kind == 0) & (k_ == k)
-            flat[0, cell[rows]], flat[1, cell[rows]] = a[rows], b[rows]
-            out[k] = flat.reshape(2, len(v[4]), p, width)
-        for k in held:
-            flat = np.zeros((2, SCORE_BINS + 1), np.int64)
-            rows = (kind == 1) & (k_ == k)
-            flat[0, cell[rows]], flat[1, cell[rows]] = a[rows], b[rows]
-            n = int(flat[1, -1])
-            measured[k] = {"pr_auc": histogram_pr_auc(flat[1, :-1], flat[0, :-1]),
-                           "log_loss": float(flat[0, -1]) / _UNIT / n if n else None}
-        return out, measured
+                        pa.array(cells.astype(np.int32)), *[pa.array(v[cells]) for v in s]], names=["kind", "k", "cell", "a", "b", "c"])
+
+        got = self._map(run, "kind int, k int, cell int, a long, b long, c long").groupBy("kind", "k", "cell").agg(
+            *[F.sum(c).alias(c) for c in "abc"]).toArrow()
+        kind, k_, cell, *sums = (got.column(c).to_numpy() for c in ("kind", "k", "cell", *"abc"))
+
+        def of_one(which: int, k: int, size: int) -> np.ndarray:
+            flat, rows = np.zeros((3, size), np.int64), (kind == which) & (k_ == k)
+            for i in range(3):
+                flat[i, cell[rows]] = sums[i][rows]
+            return flat
+
+        out = {k: of_one(0, k, size).reshape(3, -1, p, width) for k, size in sizes.items()}
+        return out, {k: measures(*of_one(1, k, SCORE_BINS + 1)[:2]) for k in held}
+
+    def _finish(self, trees: dict[int, _Tree], first: bool) -> dict[int, dict]:
+        """The small nodes' subtrees, each grown by one task from its rows; held-out measures if ``first``."""
+        width, n_features, round_ = self.table.bins.width, len(self.table.bins.features), self.rounds_now
+        of, held = self._rows(trees, first)
+        groups, base = [], {}
+        for k, t in trees.items():
+            base[k] = len(groups)
+            groups += [(k, node, depth, t.p, drawn_features(t.p, round_, n_features)) for node, depth in t.small]
+
+        def send(rows):
+            for _, block, margins in rows:
+                out = []
+                for k, own, measured in of(block, margins):
+                    if measured is not None:
+                        out.append((-1 - k, b"", measured[0].tobytes(), measured[1].tobytes()))
+                    if own is not None:
+                        node, x, g, h = own
+                        for place in np.unique(node):
+                            mine = node == place
+                            out.append((base[k] + int(place), x[mine].tobytes(), g[mine].astype(np.int64).tobytes(),
+                                        h[mine].astype(np.int64).tobytes()))
+                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names=["grp", *"xab"])
+
+        def finish(t: pa.Table) -> pa.Table:
+            grp = t.column("grp")[0].as_py()
+            a, b = ([np.frombuffer(v, np.int64) for v in t.column(c).to_pylist()] for c in "ab")
+            if grp < 0:
+                arrays = [np.sum(a, axis=0), np.sum(b, axis=0)] + [np.zeros(0)] * 4
+            else:
+                _, _, depth, params, allowed = groups[grp]
+                x = np.concatenate([np.frombuffer(v, np.uint8) for v in t.column("x").to_pylist()]).reshape(-1, n_features)
+                arrays = grow_rows(x, np.concatenate(a), np.concatenate(b), params, depth, allowed, width)
+            return pa.Table.from_arrays([pa.array([grp], pa.int32()), *[pa.array([v.tobytes()], pa.binary()) for v in arrays]],
+                                        names=["grp", *"abcdef"])
+
+        done = self._map(send, "grp int, x binary, a binary, b binary").groupBy("grp").applyInArrow(
+            finish, "grp int, " + ", ".join(f"{c} binary" for c in "abcdef"))
+        measured = {}
+        for r in done.collect():                             # a row per small node and per held-out part
+            if r["grp"] < 0:
+                measured[-1 - r["grp"]] = measures(*(np.frombuffer(r[c], np.int64) for c in "ab"))
+            else:
+                k, node, *_ = groups[r["grp"]]
+                trees[k].graft(node, [np.frombuffer(r[c], kind) for c, kind in zip("abcdef", _GROWN)])
+        for t in trees.values():
+            t.small = []
+        return measured
 
     def run(self, rounds: int, patience: int | None = None, measure: str = "pr_auc") -> "Boosting":
         """Up to ``rounds`` more rounds; a booster with held-out rows stops when ``patience`` rounds bring nothing better."""
@@ -317,31 +410,37 @@ class Boosting:
             more = self.rounds_now < goal
             if self.rounds_now - self.saved >= SAVE_ROUNDS:
                 self.save()
-            trees = {k: _Tree(self.specs[k].params) for k in self.active} if more else {}
-            sums, measured = self._sums(trees, True)
-            for k, m in measured.items():
-                self.history[k].append(m)
-                if patience and len(self.history[k]) - self.best_round(k, measure) >= patience:
-                    self.active.remove(k)
-                    trees.pop(k, None)
+            trees = {k: _Tree(self.specs[k].params, int(self.table.totals.sum()), LOCAL_ROWS) for k in self.active} if more else {}
+            first = True
+            while first or any(t.level for t in trees.values()):
+                wide = {k: t for k, t in trees.items() if t.level}
+                if not wide and trees:
+                    break
+                sums, measured = self._sums(wide, first)
+                first = False
+                self._measured(measured, trees, patience, measure)
+                for k, t in wide.items():
+                    if k in trees:
+                        g, h = sums[k][:2].astype(float) / _UNIT
+                        if t.depth == 0:
+                            t.g[0], t.h[0] = float(g[0, 0].sum()), float(h[0, 0].sum())
+                        t.split(best_gains(g, h, drawn_features(t.p, self.rounds_now, g.shape[1]), t.p), sums[k][2])
+            if any(t.small for t in trees.values()):
+                self._measured(self._finish({k: t for k, t in trees.items() if t.small}, first), trees, patience, measure)
+            for k, t in trees.items():
+                self.boosters[k].trees.append(t.finished())
             if not more:
                 break
-            while trees:
-                done = []
-                for k, t in trees.items():
-                    g, h = sums[k].astype(float) / _UNIT
-                    if t.depth == 0:
-                        t.g[0], t.h[0] = float(g[0, 0].sum()), float(h[0, 0].sum())
-                    allowed = drawn_features(t.p, self.rounds_now, g.shape[1])
-                    t.split(best_gains(g, h, allowed, t.p))
-                    if not t.level:
-                        done.append(k)
-                for k in done:
-                    self.boosters[k].trees.append(trees.pop(k).finished())
-                if trees:
-                    sums = self._sums(trees, False)[0]
         return self
 
+    def _measured(self, measured: dict[int, dict], trees: dict[int, _Tree], patience: int | None, measure: str) -> None:
+        """Notes the held-out measures; a booster that has run out of patience stops, and its tree of this round is dropped."""
+        for k, m in measured.items():
+            self.history[k].append(m)
+            if patience and len(self.history[k]) - self.best_round(k, measure) >= patience:
+                self.active.remove(k)
+                trees.pop(k, None)
+
     resume = run
 
     def best_round(self, k: int, measure: str = "pr_auc") -> int:
@@ -350,6 +449,12 @@ class Boosting:
         return int(np.argmin(values) if measure == "log_loss" else np.argmax(values)) + 1 if values else 0
 
 
+def measures(neg: np.ndarray, pos: np.ndarray) -> dict:
+    """PR-AUC and log-loss from score classes; the last entries are the summed loss and the rows."""
+    n = int(pos[-1])
+    return {"pr_auc": histogram_pr_auc(pos[:-1], neg[:-1]), "log_loss": float(neg[-1]) / _UNIT / n if n else None}
+
+
 def histogram_pr_auc(pos: np.ndarray, neg: np.ndarray) -> float | None:
     """Area under the precision-recall curve (the integral of G7) over score classes, ascending."""
     tp, fp = np.cumsum(pos[::-1]).astype(float), np.cumsum(neg[::-1]).astype(float)

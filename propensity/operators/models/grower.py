@@ -81,6 +81,11 @@ class Trees:
     def __len__(self) -> int:
         return len(self.roots)
 
+    def lean(self) -> "Trees":
+        """What rows need to find their leaves, in few bytes: no counts."""
+        none = np.zeros(0, np.uint8)
+        return Trees(self.roots, self.feature.astype(np.int16), self.cut.astype(np.uint8), self.left.astype(np.int32), none, none, none)
+
     def subset(self, which: Sequence[int]) -> "Trees":
         """The trees at these positions, on their own; a tree's nodes stand together."""
         ends = np.append(self.roots[1:], len(self.feature))
@@ -93,14 +98,17 @@ class Trees:
 
     def leaf(self, x: np.ndarray, tree: int) -> np.ndarray:
         """The leaf of each row of codes in one tree."""
-        node = np.full(len(x), self.roots[tree], dtype=np.int64)
-        rows = np.arange(len(x))
+        out = np.full(len(x), self.roots[tree], dtype=np.int64)
+        width, flat = x.shape[1], np.ascontiguousarray(x).ravel()
+        rows, at = np.arange(len(x)), out.copy()
         while len(rows):
-            f = self.feature[node[rows]]
-            rows, f = rows[f >= 0], f[f >= 0]
-            at = node[rows]
-            node[rows] = self.left[at] + (x[rows, f] > self.cut[at])
-        return node
+            f = self.feature[at]
+            inner = f >= 0
+            if not inner.all():
+                out[rows[~inner]] = at[~inner]
+                rows, at, f = rows[inner], at[inner], f[inner]
+            at = self.left[at] + (flat[rows * width + f] > self.cut[at])
+        return out
 
     def votes_of(self, weights: tuple[float, float] = (1.0, 1.0)) -> np.ndarray:
         """Each node's class; ties go by a hash of tree and path."""
@@ -123,13 +131,14 @@ def best_splits(h0: np.ndarray, h1: np.ndarray, rules: Rules):
     l0, l1 = l0[:, :, :-1], l1[:, :, :-1]
     r0, r1 = t0 - l0, t1 - l1
     w0, w1 = rules.weights
-    ok = (l0 + l1 >= rules.min_leaf) & (r0 + r1 >= rules.min_leaf)
+    nl, nr = l0 + l1, r0 + r1
+    a0, a1, b0, b1 = (l0, l1, r0, r1) if w0 == w1 == 1 else (w0 * l0, w1 * l1, w0 * r0, w1 * r1)
+    a, b = a0 + a1, b0 + b1
+    t0, t1 = w0 * t0, w1 * t1
     with np.errstate(divide="ignore", invalid="ignore"):
-        a0, a1, b0, b1 = w0 * l0, w1 * l1, w0 * r0, w1 * r1
-        whole = a0 + a1 + b0 + b1
-        gain = (a0 * a0 + a1 * a1) / (a0 + a1) + (b0 * b0 + b1 * b1) / (b0 + b1) \
-            - ((a0 + b0) ** 2 + (a1 + b1) ** 2) / whole
-        gain = np.where(ok & (gain > 1e-9 * whole), gain, -1.0)
+        gain = (a0 * a0 + a1 * a1) / a + (b0 * b0 + b1 * b1) / b - (t0 * t0 + t1 * t1) / (t0 + t1)
+    # an empty side gives NaN, which no comparison lets through
+    gain = np.where((nl >= rules.min_leaf) & (nr >= rules.min_leaf) & (gain > 1e-9 * (t0 + t1)), gain, -1.0)
     flat = gain.reshape(len(h0), -1)
     if not flat.shape[1]:
         none = np.zeros(len(h0), dtype=np.int64)
@@ -234,6 +243,7 @@ class _Growing:
     n0: list = field(default_factory=list)
     n1: list = field(default_factory=list)
     tie: list = field(default_factory=list)
+    whole: list | None = None                               # all arrays of a tree that one task has grown
     open: dict = field(default_factory=dict)                # node: (hash, depth)
 
     def add(self, n0: int, n1: int, h: np.uint64, depth: int) -> int:
@@ -258,6 +268,9 @@ class _Growing:
     def graft(self, node: int, arrays: list[np.ndarray]) -> None:
         """The subtree in place of the open node."""
         self.open.pop(node)
+        if node == 0 and len(self.feature) == 1:
+            self.whole = arrays
+            return
         feature, cut, left, n0, n1, tie = arrays
         base = len(self.feature) - 1                         # number 0 of the subtree is the node itself
         self.feature[node], self.cut[node] = int(feature[0]), int(cut[0])
@@ -287,12 +300,12 @@ def grow(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int]], loc
         for a in range(0, len(wide), step):
             _split_wide(table, draws, trees, wide[a:a + step])
     _finish(table, draws, trees)
-    sizes = [len(t.feature) for t in trees]
+    nodes = [t.whole or [t.feature, t.cut, t.left, t.n0, t.n1, t.tie] for t in trees]
+    sizes = [len(n[0]) for n in nodes]
     roots = np.cumsum([0] + sizes)[:-1].astype(np.int64)
-    join = lambda name, kind: np.concatenate([np.array(getattr(t, name), dtype=kind) for t in trees]) if trees else np.zeros(0, kind)
-    left = np.concatenate([np.array(t.left, dtype=np.int64) + r for t, r in zip(trees, roots)]) if trees else np.zeros(0, np.int64)
-    return Trees(roots, join("feature", np.int32), join("cut", np.int32), left, join("n0", np.int64), join("n1", np.int64),
-                 join("tie", np.uint8))
+    join = lambda i, kind: np.concatenate([np.asarray(n[i], dtype=kind) for n in nodes]) if nodes else np.zeros(0, kind)
+    left = join(2, np.int64) + np.repeat(roots, sizes)
+    return Trees(roots, join(0, np.int32), join(1, np.int32), left, join(3, np.int64), join(4, np.int64), join(5, np.uint8))
 
 
 def _split_wide(table: Table, draws: Draws, trees: list[_Growing], wide: list[tuple[int, int]]) -> None:
@@ -391,7 +404,7 @@ def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> None:
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_SUBTREE)
 
     sent = table.map(send, "grp int, block int, x binary, y binary, m binary")
-    dealt = sent.repartition(parallelism(sent, len(members)), "grp")
+    dealt = sent.repartition(parallelism(sent, len(members), 4), "grp")
     done = dealt.groupBy("grp").applyInArrow(finish, "tree int, node int, feature binary, cut binary, left binary, n0 binary, n1 binary, "
                                               "tie binary")
     total = sum(len(t.feature) for t in trees)

@@ -104,6 +104,19 @@ def test_boosters_grown_together_equal_boosters_grown_alone(table):
     assert parts.history[0] == together.history[0]
 
 
+@pytest.mark.parametrize("local", [0, 400])
+def test_histogram_jobs_and_local_subtrees_give_the_same_trees(table, monkeypatch, local):
+    specs = [BO.Spec(BO.Params(max_depth=4, gamma=1.0, subsample=0.8), frozenset({0, 1, 2, 3}) - {f}, frozenset([f])) for f in (0, 1)]
+    here = BO.Boosting(table, specs, "fold").run(3)
+    monkeypatch.setattr(BO, "LOCAL_ROWS", local)
+    spread = BO.Boosting(table, specs, "fold").run(3)
+    x = np.random.default_rng(0).integers(0, 32, size=(4000, len(FEATS))).astype(np.uint8)
+    for a, b in zip(here.boosters, spread.boosters):
+        for s, t in zip(a.trees, b.trees):
+            assert (BO._margin_of(np.zeros(len(x)), x, [s]) == BO._margin_of(np.zeros(len(x)), x, [t])).all() and len(s[0]) == len(t[0])
+    assert here.history == spread.history and len(here.history[0]) == 3
+
+
 def test_held_out_measures(planted, table):
     spec = BO.Spec(BO.Params(max_depth=3), frozenset([0, 1, 2]), frozenset([3]))
     run = BO.Boosting(table, [spec], "fold").run(6)
