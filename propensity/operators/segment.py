@@ -131,16 +131,26 @@ def _sym_decorrelate(W: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ E5-E7 k-means
 
+def is_point(x: Column) -> Column:
+    """Whether an array is there and all of its entries are finite numbers."""
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return F.coalesce(x.isNotNull() & fine, F.lit(False))
+
+
 @dataclass
 class Clusters:
-    """Centres of a k-means run and its within-cluster sum of squares."""
+    """Centres of a k-means run and its within-cluster sum of squares (no centres: nothing to fit on)."""
 
     centres: np.ndarray
     cost: float
 
     def assign(self, data: DataFrame, features_col: str = "features", out: str = "prediction") -> DataFrame:
+        """The nearest centre's number; null for a row that is no point, and without centres."""
         x = vector_to_array(features_col)
-        return assign_nearest(data, x, dict(enumerate(self.centres.tolist())), out).drop("dist")
+        if not len(self.centres):
+            return data.withColumn(out, F.lit(None).cast("int"))
+        near = assign_nearest(data, x, dict(enumerate(self.centres.tolist())), out).drop("dist")
+        return near.withColumn(out, F.when(is_point(x), F.col(out)))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -206,15 +216,19 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
     all runs together and sends one row per centre, so 25 starts cost hardly
     more passes than one. Starts are spread by distance (k-means++) over all
     rows, and every iteration runs over all rows. A centre that loses all of its rows stays where it is.
+    Rows with a null, NaN or infinite entry take no part; without rows there is no result. Distances are taken from
+    the rows' mean, and costs from differences, so that points far from the origin lose no digits.
     """
-    rows = data.select(vector_to_array(features_col).alias("x"))
+    rows = data.select(vector_to_array(features_col).alias("x")).where(is_point(F.col("x")))
     runs = [k for k in ks for _ in range(n_start)]
     starts = _spread(rows, runs, seed)
     if not starts:
         return {}
-    centres = np.concatenate(starts)
+    p = starts[0].shape[1]
+    middle = rows.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]).first()
+    shift = np.array([middle[f"m{j}"] for j in range(p)])
+    centres = np.concatenate(starts) - shift
     edges = np.concatenate([[0], np.cumsum(runs)])
-    p = centres.shape[1]
     names = [f"s{j}" for j in range(p)]
 
     def step(centres: np.ndarray):
@@ -224,12 +238,12 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
             n, s, d = np.zeros(len(centres)), np.zeros((len(centres), p)), np.zeros(len(centres))
             for batch in batches:
                 flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-                for x in np.array_split(flat.reshape(-1, p), max(1, len(flat) // p // 4096)):
+                for x in np.array_split(flat.reshape(-1, p) - shift, max(1, len(flat) // p // 4096)):
                     gap = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)
                     for a, b in zip(edges, edges[1:]):
                         near = gap[:, a:b].argmin(1)
                         np.add.at(n, a + near, 1)
-                        np.add.at(d, a + near, np.maximum(gap[np.arange(len(x)), a + near], 0))
+                        np.add.at(d, a + near, ((x - centres[a + near]) ** 2).sum(1))
                         np.add.at(s, a + near, x)
             yield pa.RecordBatch.from_pydict({"c": pa.array(np.arange(len(centres))), "n": pa.array(n), "d": pa.array(d),
                                               **{m: pa.array(s[:, j]) for j, m in enumerate(names)}})
@@ -249,20 +263,22 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
     out: dict[int, Clusters] = {}
     for k, a, b in zip(runs, edges, edges[1:]):
         if k not in out or d[a:b].sum() < out[k].cost:
-            out[k] = Clusters(centres[a:b], float(d[a:b].sum()))
+            out[k] = Clusters(centres[a:b] + shift, float(d[a:b].sum()))
     return out
 
 
 def kmeans_best(data: DataFrame, k: int, n_start: int = 25, max_iter: int = 20, seed: int = 1,
                 features_col: str = "features") -> Clusters:
-    """E5: best of ``n_start`` k-means runs (least within-cluster sum of squares)."""
-    return kmeans_runs(data, [k], n_start, max_iter, seed, features_col)[k]
+    """E5: best of ``n_start`` k-means runs (least within-cluster sum of squares); no centres without rows."""
+    return kmeans_runs(data, [k], n_start, max_iter, seed, features_col).get(k) or Clusters(np.zeros((0, 0)), 0.0)
 
 
 def relabel_clusters(model, data: DataFrame, features_col: str = "features") -> tuple[DataFrame, dict]:
     """Cluster ids by descending size, then first centre coordinate (ids are otherwise arbitrary)."""
     pred = model.assign(data, features_col)
-    sizes = {r[0]: r[1] for r in pred.groupBy("prediction").count().collect()}   # k rows
+    sizes = {r[0]: r[1] for r in pred.where("prediction IS NOT NULL").groupBy("prediction").count().collect()}   # k rows
+    if not sizes:
+        return pred.withColumn("cluster", F.lit(None).cast("int")).drop("prediction"), {}
     centers = model.centres
     order = sorted(sizes, key=lambda c: (-sizes[c], float(centers[c][0])))
     mapping = {old: new + 1 for new, old in enumerate(order)}
@@ -279,10 +295,12 @@ def wss_k1(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def elbow(data: DataFrame, k_max: int = 10, n_start: int = 20, seed: int = 1,
           features_col: str = "features") -> DataFrame:
-    """Within-cluster sum of squares for k = 1..k_max."""
-    arr = data.select(vector_to_array(features_col).alias("a"))
-    first = arr.first()["a"]
-    p = len(first)
+    """Within-cluster sum of squares for k = 1..k_max; an empty table without rows."""
+    arr = data.select(vector_to_array(features_col).alias("a")).where(is_point(F.col("a")))
+    first = arr.first()
+    if first is None:
+        return data.sparkSession.createDataFrame([], "k int, wss double")
+    p = len(first["a"])
     cols = [F.col("a")[i].alias(f"x{i}") for i in range(p)]
     w1 = wss_k1(arr.select(*cols), [f"x{i}" for i in range(p)]).first()["wss"]
     runs = kmeans_runs(data, range(2, k_max + 1), n_start, seed=seed, features_col=features_col)

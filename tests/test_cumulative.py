@@ -75,3 +75,19 @@ def test_boxplot_approx_path_close_to_exact(spark):
     f = fivenum(x)
     assert abs(a.med - f[2]) < 0.01 and abs(a.q1 - f[1]) < 0.01 and abs(a.q3 - f[3]) < 0.01
     assert a.n == 5001 and a.ymin == x.min()
+
+
+def test_carriers_do_not_grow_with_the_groups(spark):
+    """Rows sent between ranges: the histogram and at most one carrier per pair of ranges."""
+    n, groups, ranges = 4000, 900, 12
+    hist = spark.range(n).select((F.col("id") % groups).alias("g"), F.col("id").alias("v"), F.lit(1.0).alias("c"))
+    out = running_totals(hist, "v", ["c"], ["g"], n_ranges=ranges)
+    got = out.toPandas().sort_values(["g", "v"])
+    assert (got["c_cum"] == got.groupby("g").cumcount() + 1).all() and len(got) == n
+    plan = out._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while "Generate" not in node.nodeName():
+        node = node.children().apply(0)
+    from pyspark.sql import DataFrame
+    sent = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, node), spark).count()
+    assert n <= sent <= n + ranges * (ranges - 1) // 2

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from propensity.operators import segment as SG
@@ -75,3 +75,39 @@ def test_crosstab_and_profile(spark):
     raw = spark.createDataFrame([(1, 1, 10.0), (2, 0, 20.0), (3, 0, 5.0)], "k int, label int, v double")
     prof = {r.cluster: r for r in SG.cluster_profile(a, raw, "k", ["v"]).collect()}
     assert prof[1].v == 15.0 and prof[1].positive_rate == 0.5 and prof[2].n == 1
+
+
+def points(spark, rows):
+    return spark.createDataFrame(list(enumerate(rows)), "id long, x array<double>").select("id", array_to_vector("x").alias("features"))
+
+
+@pytest.mark.parametrize("offset, scale", [(0.0, 1.0), (1e8, 1.0), (-3e6, 1e-3), (5.0, 1e6)])
+def test_kmeans_off_the_origin(spark, offset, scale):
+    """Three groups 3 apart, moved and scaled: the same clusters, and the cost is the sum of the assigned distances."""
+    rng = np.random.default_rng(2)
+    base = np.concatenate([rng.normal(c, 0.1, size=(40, 2)) for c in (0.0, 3.0, 6.0)])
+    x = base * scale + offset
+    got = SG.kmeans_best(points(spark, x.tolist()), 3, n_start=6)
+    want = ((base.reshape(3, 40, 2) - base.reshape(3, 40, 2).mean(axis=1, keepdims=True)) ** 2).sum() * scale ** 2
+    assert got.cost == pytest.approx(want, rel=1e-4)
+    centres = sorted(((got.centres - offset) / scale).mean(axis=1))
+    assert np.allclose(centres, [0, 3, 6], atol=0.1)
+    df = points(spark, x.tolist())
+    near = SG.assign_nearest(df, vector_to_array("features"), dict(enumerate(got.centres.tolist())), "c")
+    total = near.agg(F.sum("dist")).first()[0]
+    assert got.cost == pytest.approx(total if near.where("dist > 0").count() else 0.0, rel=1e-4)
+
+
+def test_kmeans_with_rows_that_are_no_points_and_without_rows(spark):
+    good = [[0.0, 0.0], [0.1, 0.0], [9.0, 9.0], [9.1, 9.0]]
+    df = points(spark, good + [[float("nan"), 1.0], [float("inf"), 0.0]])
+    got = SG.kmeans_best(df, 2, n_start=4)
+    assert got.cost == pytest.approx(0.01) and np.isfinite(got.centres).all()
+    named, _ = SG.relabel_clusters(got, df)
+    told = {r["id"]: r["cluster"] for r in named.collect()}
+    assert told[0] == told[1] != told[2] == told[3] and told[4] is None and told[5] is None
+    none = points(spark, [])
+    empty = SG.kmeans_best(none, 3)
+    assert len(empty.centres) == 0 and empty.cost == 0.0 and SG.elbow(none).count() == 0
+    assert SG.relabel_clusters(empty, none)[0].columns == ["id", "features", "cluster"]
+    assert SG.elbow(df, k_max=3, n_start=2).count() == 3
