@@ -1,15 +1,14 @@
 """Best-fit packing of token pieces into sequences of a fixed length.
 
-Bulk-synchronous: pieces are ranked by length, longest first, and gaps (room
-left in open sequences) by capacity. A round takes one length class; a sweep
-finds the successor of the class among the gaps, the tightest first, and the
-i-th piece of the class takes the i-th place there, so no two pieces claim the
-same room. Gaps shrink, what found no gap opens sequences, and the next round
-follows. Pieces of equal length are interchangeable, and so are gaps of equal
-capacity, so a round's state is runs of ranks over at most ``limit`` lengths:
-bounded by ``limit``, whatever the number of documents. Counting, ranking and
-the placement of every piece (a successor search by length and rank) are
-distributed.
+Pieces of equal length are interchangeable, and so are gaps (room left in open
+sequences) of equal capacity. So the sweep runs over the histogram of lengths,
+on the driver and one length class after the other, longest first: the class's
+pieces go to the tightest gaps that hold them, and what finds no gap opens
+sequences. Its state is runs of ranks over at most ``limit`` lengths, whatever
+the number of documents, and its time grows with ``limit`` squared. This stands
+in for distributed sweeps with conflicts resolved by rank. Counting the lengths,
+ranking the pieces of a length and placing every piece (a successor search by
+length and rank) are distributed.
 
 Defined results: a null or empty text is one piece that holds the end id;
 repeated rows are packed as often as they are given; an empty table gives an
@@ -142,7 +141,7 @@ def ranked(cut: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     buckets = max(1, -(-sum(counts.values()) // BUCKET_ROWS))
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     sizes = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
     shift = sizes.select("length", "bucket", before.alias("before"))

@@ -74,8 +74,8 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.rest: dict[bytes, int] = {}        # chunk without its leading space -> entry
-        self.first: dict[bytes, int] = {}       # chunk at the start of a text or line -> entry
+        self.rest: dict[str, int] = {}          # chunk without its leading space -> entry
+        self.first: dict[str, int] = {}         # chunk at the start of a text or line -> entry
         self.store = Store()
         each = self._encoded([chr(b) for b in b"\n" + MARKS])
         places = self.store.add(np.concatenate(each), np.array([len(x) for x in each]))
@@ -102,16 +102,19 @@ class ChunkEncoder:
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate([*ids, none]).astype(np.int32), np.concatenate([*counts, none])
 
-    def _learn(self, known: dict[bytes, int], new: list[bytes], prefix: str) -> None:
-        words = [w.decode() for w in new]
-        edge = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], dtype=bool)
-        plain = [k for k, w in enumerate(words) if not edge[k] and "\t" not in w]
-        known.update(zip([new[k] for k in plain], self.store.add(*self._chunks([prefix + words[k] for k in plain]))))
-        odd = [k for k, w in enumerate(words) if edge[k] or "\t" in w]
+    def _learn(self, known: dict[str, int], new: list[str], prefix: str) -> None:
+        # strip() hands back the word itself where there is nothing to strip
+        odd = [w for w in new if not w or w.strip() is not w or "\t" in w]
         if odd:
-            each = self._encoded([prefix + words[k] for k in odd])
-            known.update(zip([new[k] for k in odd],
-                             self.store.add(np.concatenate(each), np.array([len(x) for x in each]), edge[odd])))
+            apart = set(odd)
+            plain = [w for w in new if w not in apart]
+        else:
+            plain = new
+        known.update(zip(plain, self.store.add(*self._chunks([prefix + w for w in plain] if prefix else plain))))
+        if odd:
+            each = self._encoded([prefix + w for w in odd])
+            edge = np.array([not w or w.strip() is not w for w in odd], dtype=bool)
+            known.update(zip(odd, self.store.add(np.concatenate(each), np.array([len(x) for x in each]), edge)))
 
     def entries(self, column: pa.Array):
         """(entry of every chunk, chunks per text, ids of the store, first id and number of ids of each entry)."""
@@ -129,7 +132,7 @@ class ChunkEncoder:
         keep[end[marked] - 1] = False
         ends = np.concatenate([[0], np.cumsum(size - marked)])
         coded = TB.strings(ends, data[keep]).dictionary_encode()
-        kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        kinds, code = coded.dictionary.cast(pa.large_string()).to_pylist(), coded.indices.to_numpy()
         head = np.ones(len(start), dtype=bool)
         head[1:] = doc[1:] != doc[:-1]
         broken, spaced = np.zeros(len(start), dtype=bool), np.zeros(len(start), dtype=bool)

@@ -83,14 +83,11 @@ def _features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """Statistics and label of the rows learnt from: held-out ids never, at most ``max_labelled``."""
+    """Statistics and label of the rows learnt from: held-out ids never, the ``max_labelled`` first in the order of a hash of the id."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("label").alias("label")))
-    cells = 1 << 20
-    share = min(1.0, max_labelled / max(known.count(), 1))
-    sample = (known.where(F.pmod(F.xxhash64("doc_id"), F.lit(cells)) < int(share * cells)).limit(max_labelled)
-              if share < 1 else known)
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     chosen = doc_text(docs).join(F.broadcast(sample), "doc_id")     # max_labelled rows of 12 bytes
     return map_arrow(chosen.select("label", "text"), _features,
                      "label int, " + ", ".join(f"{f} double" for f in FEATURES))

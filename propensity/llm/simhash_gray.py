@@ -280,12 +280,14 @@ def representatives(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     """
     top = 1 << 62
     stand_in = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(top - 1)).bitwiseOR(F.lit(top))
-    keyed = docs.withColumn("_near_id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    keyed = keyed.withColumn("_near_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    given = keyed.select(F.col("_near_id").alias("doc_id"), "text", "_near_text")
+    # the given columns go along as one, so that none of theirs can be taken for one of ours
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("_near_id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_near_text"))
+    given = keyed.select(F.col("_near_id").alias("doc_id"), F.col("row.text").alias("text"), "_near_text")
     fps = saved(simhash(given, width, "_near_text"), "simhash")
     roots = _rooted(fps.select("doc_id", "fp"), max_bits).select("fp", "root")
     firsts = fps.join(roots, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "_near_text")).alias("first")).select(
         F.col("first.doc_id").alias("_near_id"), F.col("first._near_text").alias("_near_text"))
     key = ["_near_id", "_near_text"]
-    return keyed.join(firsts, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    return keyed.join(firsts, key, "left_semi").dropDuplicates(key).select("row.*")

@@ -57,3 +57,9 @@ def test_trees_fit_a_step():
     y = ((x[:, 1] > 0.4) & (x[:, 2] < 0.7)).astype(float)
     model = fit(x, y, n_trees=30, depth=3)
     assert ((model.score(x) > 0.5) == y).mean() > 0.99
+
+
+def test_the_bounded_sample_does_not_depend_on_the_order_of_labels(spark, small):
+    known = labels(spark, "sf0.001")
+    some = [sorted(map(tuple, Q.training_rows(small, df, 30).collect())) for df in (known, known.orderBy(F.desc("doc_id")).repartition(5))]
+    assert some[0] == some[1] and len(some[0]) == 30
