@@ -46,9 +46,9 @@ def test_bins_are_quantile_classes_and_do_not_depend_on_partitions(planted, tabl
     assert all((a == b).all() for a, b in zip(again.cuts, table.bins.cuts))
     whole = planted.toPandas()
     values = np.unique(whole["x5"])
-    assert len(values) <= 64 and np.allclose(table.bins.cuts[5], (values[1:] + values[:-1]) / 2)
+    assert len(values) <= BN.MAX_BINS and np.allclose(table.bins.cuts[5], (values[1:] + values[:-1]) / 2)
     sizes = np.bincount(table.bins.codes(whole[FEATS].to_numpy())[:, 0])
-    assert len(sizes) == 64 and sizes.max() <= 2 * len(whole) / 64
+    assert len(sizes) == BN.MAX_BINS and sizes.max() <= 2 * len(whole) / BN.MAX_BINS
     other = BN.binned_table(planted.repartition(11), FEATS, "id", block_rows=300)
     for a, b in zip(blocks_of(table), blocks_of(other)):
         assert (a.x == b.x).all() and (a.y == b.y).all() and a.keys == b.keys
@@ -113,7 +113,7 @@ def test_a_tree_equals_a_plain_recursion(rules):
 def test_histogram_jobs_and_local_subtrees_give_the_same_forest(table, monkeypatch):
     settings = [{"mtry": 2, "nodesize": 5}, {"mtry": 3, "nodesize": 1}]
     here = BG.fit_forests(table, settings, 3, seed=1)
-    monkeypatch.setattr(GR, "JOB_CELLS", 4 * 6 * 64)
+    monkeypatch.setattr(GR, "JOB_CELLS", 4 * 6 * BN.MAX_BINS)
     spread = BG.fit_forests(table, settings, 3, seed=1, local_rows=150)
     x = np.concatenate([b.x for b in blocks_of(table)])
     for a, b in zip(here, spread):
