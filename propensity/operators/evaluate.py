@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propensity.functions.binomial import binomial_upper_tail, exact_interval
 from propensity.functions.cumulative import running_totals
 
 METRICS = ["accuracy", "kappa", "sensitivity", "specificity", "precision", "f1", "balanced_accuracy"]
@@ -252,6 +253,20 @@ def report(conf: DataFrame, group_cols: Sequence[str] = ("model",)) -> DataFrame
         _div(F.pow(F.abs(fp - fn) - yates, 2), fp + fn).alias("mcnemar_statistic"))
 
 
+def accuracy_interval(conf: DataFrame, group_cols: Sequence[str] = ("model",), confidence: float = 0.95) -> DataFrame:
+    """Accuracy with its exact binomial interval, and P(at least so many right) at the no-information rate.
+
+    A group without rows has null bounds and a null p-value.
+    """
+    tp, fp, tn, fn = (F.col(c).cast("double") for c in ("tp", "fp", "tn", "fn"))
+    counts = conf.select(*group_cols, "threshold", (tp + tn).alias("right"), (tp + fp + tn + fn).alias("n"),
+                         _div(F.greatest(tp + fn, tn + fp), tp + fp + tn + fn).alias("no_information_rate"))
+    low, high = exact_interval("right", "n", confidence)
+    return counts.select(*group_cols, "threshold", _div(F.col("right"), F.col("n")).alias("accuracy"),
+                         low.alias("accuracy_low"), high.alias("accuracy_high"), "no_information_rate",
+                         binomial_upper_tail("right", "n", "no_information_rate").alias("accuracy_p_value"))
+
+
 def threshold_grid(scored: DataFrame, group_cols: Sequence[str] = ("model",), score: str = "score",
                    label: str = "label", start: float = 0.10, stop: float = 0.70, step: float = 0.01,
                    strict: bool = True) -> DataFrame:

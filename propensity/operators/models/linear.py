@@ -1,8 +1,9 @@
 """Penalised logistic regression.
 
 The lambda path starts at the smallest penalty that zeroes every coefficient
-and is log-spaced down to 1e-4 of it. Cross-validation fits all folds and
-penalties together, one job per Newton step; the final fit is Spark ML's.
+and is log-spaced down to 1e-4 of it. Cross-validation fits all folds together and
+the penalties of a path in two passes, one job per Newton step; the final fit
+is Spark ML's.
 """
 
 from __future__ import annotations
@@ -82,79 +83,166 @@ def _descend(grad: np.ndarray, hess: np.ndarray, beta: np.ndarray, lam: np.ndarr
     return new
 
 
-def penalty_path_cv(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = None,
-                    alphas: Sequence[float] = (0.5,), n_lambda: int = 100, fold_col: str = "fold", n_folds: int = 10,
-                    max_iter: int = 25, tol: float = 1e-6) -> DataFrame:
-    """Cross-validated deviance of elastic-net logistic regression: (alpha, reg_param, cv_deviance).
+#: A screened feature joins a fit's curvature sums once its slope is within this share of its penalty.
+NEAR_PENALTY = 0.9
+
+
+def _blocks(batch, mean: np.ndarray, sd: np.ndarray, fits: int):
+    """Standardised features behind a one, labels, weights and folds, in blocks that suit so many fits."""
+    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean))
+    x = np.concatenate([np.ones((len(x), 1)), (x - mean) / sd], axis=1)
+    y, w, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "f"))
+    size = max(1, 4_000_000 // fits)
+    for a in range(0, len(x), size):
+        yield x[a:a + size], y[a:a + size, None], w[a:a + size, None], f[a:a + size, None]
 
-    All alphas, folds and penalties are fitted together. A Newton step is one
-    job: every task sums gradients and Hessians of all fits over its rows, and
-    the small penalised quadratic problems are solved on the driver, whose data
-    are bounded by fits x features^2. One more job reads the held-out deviance.
+
+class _PathFits:
+    """Sums over ``rows`` (y, w, f, x) for many fits at once, merged in at most ``tasks`` tasks.
+
+    A fit is one fold left out at one (alpha, lambda). What a task sends is bounded by the fits still running and
+    their active features, and the number of tasks by ``tasks``: not by the rows, nor by the partitions they come in.
     """
-    feats = list(features)
-    m = weighted_moments(train, feats, label, weight)
-    paths = {a: lambda_path(lambda_max(train, feats, label, weight, a, m), n_lambda) for a in alphas}
-    alpha, lam, fold = (np.array(v) for v in zip(*[(a, v, f) for a in alphas for v in paths[a] for f in range(n_folds)]))
-    q = len(feats) + 1
-    up = np.triu_indices(q)
-    sd = np.where(m["sd"] > 0, m["sd"], np.inf)
-    rows = train.select(F.col(label).cast("double").alias("y"),
-                        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
-                        F.col(fold_col).cast("int").alias("f"), F.array(*[F.col(x).cast("double") for x in feats]).alias("x"))
-    width = q + len(up[0]) + 1
 
-    def parts(batch):
-        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, q - 1)
-        x = np.concatenate([np.ones((len(x), 1)), (x - m["mean"]) / sd], axis=1)
-        y, w, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "f"))
-        size = max(1, 4_000_000 // len(lam))
-        for a in range(0, len(x), size):
-            yield x[a:a + size], y[a:a + size, None], w[a:a + size, None], f[a:a + size, None]
+    def __init__(self, rows: DataFrame, mean: np.ndarray, sd: np.ndarray, tasks: int):
+        self.rows, self.mean, self.sd = rows.coalesce(tasks), mean, sd
+        self.q = len(mean) + 1
+        self.up = np.triu_indices(self.q)
 
-    def job(beta: np.ndarray, held: bool) -> np.ndarray:
-        """Sums per fit: gradient, Hessian (upper part) and weight of its rows; or deviance and weight of the held out."""
+    def _sum(self, sums, shape: tuple[int, int]) -> np.ndarray:
+        got = self.rows.mapInArrow(sums, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+        out = np.zeros(shape[0] * shape[1])
+        out[got["at"].to_numpy()] = got["v"].to_numpy()
+        return out.reshape(shape)
+
+    def step(self, beta: np.ndarray, fold: np.ndarray, active: np.ndarray):
+        """Mean gradient (all features) and mean Hessian (active features only) of each fit at ``beta``."""
+        q, (a, b), m, mean, sd = self.q, self.up, len(fold), self.mean, self.sd
+        sent = np.concatenate([np.ones((m, q), bool), active[:, a] & active[:, b], np.ones((m, 1), bool)], axis=1)
+        at = np.flatnonzero(sent.ravel())
+        used = np.flatnonzero(sent[:, q:-1].any(axis=0))        # products that some fit asks for
 
         def sums(batches):
-            out = np.zeros((len(lam), 2 if held else width))
+            out = np.zeros(sent.shape)
             for batch in batches:
-                for x, y, w, f in parts(batch):
+                for x, y, w, f in _blocks(batch, mean, sd, m):
                     prob = 1 / (1 + np.exp(-np.clip(x @ beta.T, -35, 35)))
-                    own = w * ((f == fold) if held else (f != fold))
-                    if held:
-                        p = np.clip(prob, 1e-15, 1 - 1e-15)
-                        out[:, 0] += (-2 * own * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum(0)
-                    else:
-                        out[:, :q] += (own * (prob - y)).T @ x
-                        curve = own * np.maximum(prob * (1 - prob), 1e-5)
-                        out[:, q:-1] += curve.T @ (x[:, up[0]] * x[:, up[1]])
+                    own = w * (f != fold)
+                    out[:, :q] += (own * (prob - y)).T @ x
+                    curve = own * np.maximum(prob * (1 - prob), 1e-5)
+                    out[:, q + used] += curve.T @ (x[:, a[used]] * x[:, b[used]])
                     out[:, -1] += own.sum(0)
-            at = np.arange(out.size)
-            yield pa.RecordBatch.from_pydict({"at": pa.array(at), "v": pa.array(out.ravel())})
+            yield pa.RecordBatch.from_pydict({"at": pa.array(at), "v": pa.array(out.ravel()[at])})
 
-        got = rows.mapInArrow(sums, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
-        out = np.zeros(len(lam) * (2 if held else width))
-        out[got["at"].to_numpy()] = got["v"].to_numpy()
-        return out.reshape(len(lam), -1)
+        got = self._sum(sums, sent.shape)
+        total = np.maximum(got[:, -1:], 1e-12)
+        hess = np.zeros((m, q, q))
+        hess[:, a, b] = got[:, q:-1] / total
+        hess[:, b, a] = hess[:, a, b]
+        return got[:, :q] / total, hess
+
+    def deviance(self, beta: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        """Mean deviance of each fit on the fold it has left out."""
+        mean, sd = self.mean, self.sd
 
-    beta = np.zeros((len(lam), q))
+        def sums(batches):
+            out = np.zeros((len(fold), 2))
+            for batch in batches:
+                for x, y, w, f in _blocks(batch, mean, sd, len(fold)):
+                    p = np.clip(1 / (1 + np.exp(-np.clip(x @ beta.T, -35, 35))), 1e-15, 1 - 1e-15)
+                    own = w * (f == fold)
+                    out[:, 0] += (-2 * own * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum(0)
+                    out[:, 1] += own.sum(0)
+            yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(out.size)), "v": pa.array(out.ravel())})
+
+        got = self._sum(sums, (len(fold), 2))
+        return got[:, 0] / np.maximum(got[:, 1], 1e-12)
+
+    def solve(self, beta: np.ndarray, fold: np.ndarray, lam: np.ndarray, alpha: np.ndarray, max_iter: int,
+              tol: float) -> np.ndarray:
+        """Newton steps from ``beta``; a fit leaves once it moves less than ``tol`` and no screened feature wants in."""
+        beta = beta.copy()
+        active = np.concatenate([np.ones((len(beta), 1), bool), beta[:, 1:] != 0], axis=1)
+        on = np.arange(len(beta))
+        for _ in range(max_iter):
+            grad, hess = self.step(beta[on], fold[on], active[on])
+            was, bound = active[on], (lam[on] * alpha[on])[:, None]
+            held = np.where(was, 1.0, 0.0)
+            # a screened feature keeps its zero: no slope, no curvature, no step
+            new = _descend(grad * held, hess, beta[on], lam[on], alpha[on])
+            new = np.where(was, new, 0.0)
+            late = ~was[:, 1:] & (np.abs(grad[:, 1:]) > bound * (1 + 1e-9))
+            moved = np.abs(new - beta[on]).max(axis=1)
+            beta[on] = new
+            near = np.abs(grad[:, 1:]) > bound * NEAR_PENALTY
+            active[on, 1:] = (new[:, 1:] != 0) | near
+            on = on[(moved >= tol) | late.any(axis=1)]
+            if not len(on):
+                break
+        return beta
+
+
+def _between(knots: np.ndarray, n: int) -> np.ndarray:
+    """Rows 0..n-1 with ``knots`` (row, column...) at every ``WARM_EVERY``-th, in a straight line between them."""
+    place = np.arange(n) / WARM_EVERY
+    low = np.minimum(place.astype(int), len(knots) - 1)
+    high = np.minimum(low + 1, len(knots) - 1)
+    share = (place - low).reshape(-1, *[1] * (knots.ndim - 1))
+    return knots[low] * (1 - share) + knots[high] * share
+
+
+#: Every so many penalties of a path one is fitted first; the rest start from a line between their neighbours.
+WARM_EVERY = 8
+
+
+def penalty_path_cv(train: DataFrame, features: Sequence[str], label: str = "label", weight: str | None = None,
+                    alphas: Sequence[float] = (0.5,), n_lambda: int = 100, fold_col: str = "fold", n_folds: int = 10,
+                    max_iter: int = 25, tol: float = 1e-6, tasks: int | None = None) -> DataFrame:
+    """Cross-validated deviance of elastic-net logistic regression: (alpha, reg_param, cv_deviance).
+
+    All alphas and folds are fitted together, the penalties of a path in two
+    passes: every ``WARM_EVERY``-th from zero, then the others from a line
+    between their fitted neighbours. A Newton step is one job: every task sums
+    the gradients of the fits still running and the curvature of their active
+    features, and the small penalised quadratic problems are solved on the
+    driver, whose data are bounded by fits x features^2. A feature is screened
+    while its slope stays below its penalty; a fit only ends when none of its
+    screened features breaks that (the optimality check). Rows are read in at
+    most ``tasks`` tasks (default: the session's parallelism), so a step's
+    shuffle does not grow with the partitions of ``train``. One more job reads
+    the held-out deviance.
+    """
+    feats = list(features)
+    m = weighted_moments(train, feats, label, weight)
+    paths = {a: lambda_path(lambda_max(train, feats, label, weight, a, m), n_lambda) for a in alphas}
+    if tasks is None:
+        spark = train.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = train.select(F.col(label).cast("double").alias("y"),
+                        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
+                        F.col(fold_col).cast("int").alias("f"), F.array(*[F.col(x).cast("double") for x in feats]).alias("x"))
+    fits = _PathFits(rows, m["mean"], np.where(m["sd"] > 0, m["sd"], np.inf), tasks)
+    steps = len(next(iter(paths.values())))
+    lam = np.array([paths[a] for a in alphas]).T[:, :, None] * np.ones(n_folds)       # penalty, alpha, fold
+    alpha = np.broadcast_to(np.array(alphas, dtype=float)[None, :, None], lam.shape)
+    fold = np.broadcast_to(np.arange(n_folds), lam.shape)
+    beta = np.zeros((*lam.shape, fits.q))
     start = min(max(m["label"], 1e-9), 1 - 1e-9)
-    beta[:, 0] = math.log(start / (1 - start))
-    for _ in range(max_iter):
-        got = job(beta, False)
-        total = np.maximum(got[:, -1:], 1e-12)
-        hess = np.zeros((len(lam), q, q))
-        hess[:, up[0], up[1]] = got[:, q:-1] / total
-        hess[:, up[1], up[0]] = hess[:, up[0], up[1]]
-        new = _descend(got[:, :q] / total, hess, beta, lam, alpha)
-        shift, beta = float(np.abs(new - beta).max()), new
-        if shift < tol:
-            break
-    dev = job(beta, True)
-    mean = (dev[:, 0] / np.maximum(dev[:, 1], 1e-12)).reshape(-1, n_folds).mean(1)
-    keys = [(float(a), float(v)) for a in alphas for v in paths[a]]
-    return train.sparkSession.createDataFrame([(*k, float(d)) for k, d in zip(keys, mean)],
-                                              "alpha double, reg_param double, cv_deviance double")
+    beta[..., 0] = math.log(start / (1 - start))
+
+    def solve(at: np.ndarray) -> None:
+        got = fits.solve(beta[at].reshape(-1, fits.q), fold[at].ravel(), lam[at].ravel(), alpha[at].ravel(), max_iter, tol)
+        beta[at] = got.reshape(beta[at].shape)
+
+    knots = np.arange(0, steps, WARM_EVERY)
+    solve(knots)
+    rest = np.setdiff1d(np.arange(steps), knots)
+    if len(rest):
+        beta[rest] = _between(beta[knots], steps)[rest]
+        solve(rest)
+    mean = fits.deviance(beta.reshape(-1, fits.q), fold.ravel()).reshape(lam.shape).mean(axis=2)
+    out = [(float(a), float(v), float(mean[k, i])) for i, a in enumerate(alphas) for k, v in enumerate(paths[a])]
+    return train.sparkSession.createDataFrame(out, "alpha double, reg_param double, cv_deviance double")
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str, weight: str | None, alpha: float,

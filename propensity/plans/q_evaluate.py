@@ -141,6 +141,34 @@ def eval_report(spark, base):
     return EV.report(EV.confusion(test_scores(spark, base), thresholds_frame(spark)))
 
 
+def _binomial_tail_sql(k: str, n: str, p: str) -> str:
+    """P(X >= k), term by term."""
+    return (f"list_sum(list_transform(range({k}, {n} + 1), lambda i: exp(lgamma({n} + 1) - lgamma(i + 1) - lgamma({n} - i + 1)"
+            f" + i * ln({p}) + ({n} - i) * ln(1 - {p}))))")
+
+
+@register("eval_accuracy_interval", rounded(with_(SCORED, _CONF_SQL, """
+counts AS (SELECT model, threshold, CAST(tp + tn AS BIGINT) AS k, CAST(tp + fp + tn + fn AS BIGINT) AS n,
+                  greatest(tp + fn, tn + fp) / (tp + fp + tn + fn) AS nir FROM cd),
+bounds AS (SELECT model, k, n, 0 AS step, CAST(0 AS DOUBLE) AS l0, CAST(1 AS DOUBLE) AS l1,
+                  CAST(0 AS DOUBLE) AS h0, CAST(1 AS DOUBLE) AS h1 FROM counts
+  UNION ALL
+  SELECT model, k, n, step + 1, CASE WHEN lt < 0.025 THEN (l0 + l1) / 2 ELSE l0 END,
+         CASE WHEN lt < 0.025 THEN l1 ELSE (l0 + l1) / 2 END, CASE WHEN ht < 0.975 THEN (h0 + h1) / 2 ELSE h0 END,
+         CASE WHEN ht < 0.975 THEN h1 ELSE (h0 + h1) / 2 END
+  FROM (SELECT *, """ + _binomial_tail_sql("k", "n", "((l0 + l1) / 2)") + """ AS lt,
+               coalesce(""" + _binomial_tail_sql("(k + 1)", "n", "((h0 + h1) / 2)") + """, 0) AS ht
+        FROM bounds WHERE step < 40))""", body="""
+SELECT c.model, c.threshold, c.k / c.n AS accuracy, CASE WHEN c.k = 0 THEN 0.0 ELSE (l0 + l1) / 2 END AS accuracy_low,
+       CASE WHEN c.k = c.n THEN 1.0 ELSE (h0 + h1) / 2 END AS accuracy_high, nir AS no_information_rate,
+       CASE WHEN nir >= 1 THEN 1.0 ELSE """ + _binomial_tail_sql("c.k", "c.n", "nir") + """ END AS accuracy_p_value
+FROM counts c JOIN bounds b ON c.model = b.model WHERE b.step = 40""").replace("WITH ", "WITH RECURSIVE ", 1),
+    ["threshold", "accuracy", "accuracy_low", "accuracy_high", "no_information_rate", "accuracy_p_value"]))
+def eval_accuracy_interval(spark, base):
+    """Accuracy, its exact 95 % interval, and its p-value against the no-information rate."""
+    return EV.accuracy_interval(EV.confusion(test_scores(spark, base), thresholds_frame(spark)))
+
+
 # ------------------------------------------------------------------ G5-G10
 
 @register("eval_roc_curve", rounded(with_(SCORED, _roc_sql(), body="""

@@ -201,3 +201,34 @@ def test_six_models_from_saved_packets(spark, tmp_path, monkeypatch):
     got = {r.visit_id: r.score for r in s.where("model = 'naive_bayes'").collect()}
     assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in want) < 1e-8
 
+
+
+def test_warm_screened_path_meets_the_optimality_conditions(spark, planted):
+    """At every penalty the slope of a non-zero coefficient equals its penalty, and no zero one has more."""
+    tr = planted.where("split = 'train'").toPandas()
+    x = tr[FEATS].to_numpy()
+    mean = np.average(x, axis=0, weights=tr.weight)
+    sd = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=tr.weight))
+    rows = planted.where("split = 'train'").select(F.col("label").alias("y"), F.col("weight").alias("w"),
+                                                   F.col("fold").cast("int").alias("f"), F.array(*FEATS).alias("x"))
+    lmax = LIN.lambda_max(planted.where("split = 'train'"), FEATS, "label", "weight", 0.8)
+    lam = np.array(LIN.lambda_path(lmax, 12))
+    beta = LIN._PathFits(rows, mean, sd, 4).solve(np.zeros((12, 7)), np.zeros(12, int), lam, np.full(12, 0.8), 40, 1e-9)
+    z, keep = (x - mean) / sd, (tr.fold != 0).to_numpy()
+    for b, v in zip(beta, lam):
+        p = 1 / (1 + np.exp(-(b[0] + z @ b[1:])))
+        g = np.average((z * (p - tr.label.to_numpy())[:, None])[keep], axis=0, weights=tr.weight[keep])
+        g = g + v * 0.2 * b[1:]
+        on = b[1:] != 0
+        assert np.allclose(g[on], -np.sign(b[1:][on]) * v * 0.8, atol=1e-6)
+        assert (np.abs(g[~on]) <= v * 0.8 + 1e-6).all()
+    assert (beta[0, 1:] == 0).sum() >= 4 and (beta[-1, 1:] != 0).all()
+
+
+def test_penalty_path_does_not_depend_on_partitions(spark, planted):
+    tr = planted.where("split = 'train'")
+    few = LIN.penalty_path_cv(tr.coalesce(1), FEATS, "label", "weight", [0.5], 20, "fold", 5).toPandas()
+    many = LIN.penalty_path_cv(tr.repartition(60), FEATS, "label", "weight", [0.5], 20, "fold", 5, tasks=3).toPandas()
+    assert np.allclose(few.cv_deviance, many.cv_deviance, rtol=1e-6)
+    rows = tr.repartition(60).select(F.lit(0.0).alias("y"), F.lit(1.0).alias("w"), F.lit(0).alias("f"), F.array("x0").alias("x"))
+    assert LIN._PathFits(rows, np.zeros(1), np.ones(1), 3).rows.rdd.getNumPartitions() <= 3
