@@ -8,7 +8,12 @@ itself: a candidate that equals a base span is an example, one that overlaps a
 base span or breaks its kind's rules is a counter-example. A candidate inside a
 base span of its own kind is neither. Base phones always have a country's
 prefix, so each is also an example of the formats without one and, as a part of
-a longer number, a counter-example. Feature vectors
+a longer number, a counter-example. Spans that keep every rule and still are no
+personal data (an invoice number, a size, a score written like a phone number)
+come from contrast texts: formats, numbers and the context words listed below,
+combined in Spark and read by the same generators and features. Every fourth
+feature vector is held out, and each kind gets the least threshold at which the
+trees that are applied reach MIN_PRECISION on these. Feature vectors
 are counted in Spark, so the fit sees a bounded table of distinct vectors, and
 the fitted trees are applied as SQL expressions.
 
@@ -21,10 +26,10 @@ are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from propensity.llm.common import doc_text, saved
+from propensity.llm.common import saved
 from propensity.llm.hist_gbt import FlatTrees, fit
 
 KINDS = ("email", "ip", "card", "phone")
@@ -66,7 +71,33 @@ COUNTRY = r"\+[0-9]{1,3}[ .-]?$"
 KEYWORDS = {"email": "mail", "ip": "ip|host|server|address", "card": "card|visa|credit|account",
             "phone": "tel|phone|call|mobile|fax"}
 
-FEATURES = ("kind", "n_chars", "n_digits", "n_marks", "valid", "plus", "brackets", "before", "after", "keyword")
+#: Words before a number, and units after it, that speak against personal data.
+AGAINST = ("invoice|order|score|track|shipment|parcel|size|dimension|part|serial|model|version|item|ref|isbn|issn|sku|lot|batch|"
+           "ticket|case|claim|policy|code|article|section|page|chapter|grid|coordinate|range|ratio|result|goal|total|sum|amount|"
+           "price|cost|quantity|qty|count|population|distance|weight|length|width|height|speed|record|row|sample|build|release|"
+           "patch|product|catalog|room|flight|train|bus|license plate|vin|arriv|sold|open|meet")
+UNITS = r"^ ?(?:mm|cm|km|kg|lb|ml|px|dpi|points?|pieces?|units?|items?|copies|usd|eur|dollars?|euros?|[%$€£°])"
+POST_CHARS = 8
+#: Contrast texts: what stands before and after a number, and whether that makes it personal.
+PERSONAL_CONTEXTS = (("Please call ", " today."), ("My phone is ", "."), ("Tel. ", "\n"), ("Mobile: ", ", thanks"),
+                     ("Fax ", " or mail"), ("Reach me at ", " any time."), ("Anna Smith, ", "."), ("", ""), ("text ", " now"),
+                     ("and then ", " they said"), ("office (", ")"), ("contact - ", ";"),
+                     ("To order call ", "."), ("for prices phone ", " or write"))
+OTHER_CONTEXTS = (("Invoice number ", "."), ("order ", " shipped"), ("the score ", " today"), ("Tracking ", "."),
+                  ("sizes ", " mm"), ("Part ", " in stock"), ("serial ", ","), ("total of ", " units"), ("ISBN ", "."),
+                  ("Item code ", ""), ("batch: ", "; ok"), ("weight ", " kg"), ("a row of ", " points"), ("for ", " dollars"),
+                  ("product ", " new"), ("ticket ", "."), ("it was ", " km"), ("", " pieces"), ("version ", "."))
+#: Formats of ten digits a, b, c in groups of 3, 3 and 4.
+CONTRAST_FORMATS = (("(", ") ", "-"), ("(", ")", "-"), ("", "-", "-"), ("", ".", "."), ("", " ", " "))
+CONTRAST_NUMBERS = 24
+#: Addresses without the sign, and what only looks like one.
+PERSONAL_AT = ("anna.smith [at] example [dot] com", "joe(at)mail.example.org", "x_1 [at] host.net", "info (at) firm (dot) de",
+               "k99 (at) uni-1.example.edu", "first.last[at]sub.example.info", "sales [at] shop [dot] example [dot] eu")
+OTHER_AT = ("arrived (at) 10.30", "sold (at) 5.00", "meeting [at] 9.15", "open (at) 8. 30", "priced [at] 1.250", "shot (at) 24.7",
+            "measured (at) 37.5", "rows [at] 3.14.15", "closed (at) 22.00")
+
+FEATURES = ("kind", "n_chars", "n_digits", "n_marks", "valid", "plus", "brackets", "before", "after", "keyword",
+            "against", "zeros", "mark", "letters")
 
 
 # --- spans ----------------------------------------------------------------------------------------------------
@@ -79,7 +110,7 @@ def _found(number: int, pattern: str, needs: str) -> Column:
     gaps = F.split(text, pattern, -1)
     each = F.transform(hits, lambda h, i: F.struct(
         F.lit(number).alias("gen"), i.alias("no"), F.length(F.get(gaps, i)).alias("gap"), h.alias("hit"),
-        F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)).alias("pre"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("post")))
+        F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)).alias("pre"), F.left(F.get(gaps, i + 1), F.lit(POST_CHARS)).alias("post")))
     return F.when(text.rlike(needs), each).otherwise(none)
 
 
@@ -89,7 +120,8 @@ def matches(docs: DataFrame) -> DataFrame:
     all_of = F.concat(F.array(F.lit(None).cast("struct<gen:int,no:int,gap:int,hit:string,pre:string,post:string>")),
                       *[_found(k, p, needs) for k, (_, _, p, needs) in enumerate(GENERATORS)])
     hits = F.when(F.col("text").rlike(r"[0-9@]|[\[(]at[\])]"), all_of)
-    out = doc_text(docs).withColumn("row", row).select("row", "doc_id", F.explode_outer(hits).alias("m"))
+    given = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    out = given.withColumn("row", row).select("row", "doc_id", F.explode_outer(hits).alias("m"))
     return out.select("row", "doc_id", "m.*").repartition("row")
 
 
@@ -122,6 +154,12 @@ def _class(char: Column) -> Column:
             .when(char.rlike("^[0-9]"), 3).otherwise(_OTHER))
 
 
+def _mark(hit: Column) -> Column:
+    """What stands before the last group of characters: 0 nothing, 1 a space, 2 a hyphen, 3 a dot, _OTHER."""
+    mark = F.regexp_extract(hit, "([^A-Za-z0-9])[A-Za-z0-9]*$", 1)
+    return F.when(mark == "", 0).when(mark == " ", 1).when(mark == "-", 2).when(mark == ".", 3).otherwise(_OTHER)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """Spans with features: ``base`` 1 for base spans; rows without span stand for their document."""
     order = Window.partitionBy("row", "gen").orderBy("no")
@@ -147,7 +185,10 @@ def candidates(docs: DataFrame) -> DataFrame:
                 F.col("valid").cast("int").alias("valid"), F.startswith("hit", F.lit("+")).cast("int").alias("plus"),
                 F.contains("hit", F.lit("(")).cast("int").alias("brackets"),
                 _class(F.right("pre", F.lit(1))).alias("before"), _class(F.col("post")).alias("after"),
-                words.cast("int").alias("keyword")]
+                words.cast("int").alias("keyword"),
+                (F.lower("pre").rlike(rf"(?<!\p{{L}})(?:{AGAINST})(?:s|es|d|ed|ing|al|ment)?(?!\p{{L}})") | F.lower("post").rlike(UNITS)).cast("int").alias("against"),
+                F.length(F.regexp_extract(_digits(F.col("hit")), "(0*)$", 1)).alias("zeros"),
+                _mark(F.col("hit")).alias("mark"), F.least(F.length(F.regexp_extract("hit", "([A-Za-z]*)$", 1)), F.lit(8)).alias("letters")]
     spans = spans.select("row", "doc_id", "kind", "start", "end", F.col("is_base").cast("int").alias("base"), *features)
     # a candidate that several generators propose, or that is a base span, is one row
     same = ["row", "doc_id", "kind", "start", "end"]
@@ -178,54 +219,93 @@ def _national(spans: DataFrame) -> list[dict]:
     """Base phones without their prefix, as examples, and as a part of a longer number, as counter-examples."""
     phones = spans.where("base = 1 and kind = 'phone' and plus = 1 and n_digits > 10")
     out = []
-    for r in phones.groupBy("before", "after", "keyword").agg(F.count("*").alias("n")).orderBy(
-            "before", "after", "keyword").collect():
+    context = ["before", "after", "keyword", "against"]
+    for r in phones.groupBy(*context).agg(F.count("*").alias("n")).orderBy(*context).collect():
         for n_chars, n_marks, brackets in NATIONAL_FORMATS:
             same = {"kind_no": KINDS.index("phone") + 1, "n_chars": n_chars, "n_digits": 10, "n_marks": n_marks, "plus": 0,
-                    "brackets": brackets, "keyword": r["keyword"], "n": r["n"]}
-            out.append(same | {"before": r["before"], "after": r["after"], "valid": 1, "ones": r["n"]})
+                    "brackets": brackets, "keyword": r["keyword"], "against": 0, "zeros": 0, "mark": 2, "letters": 0, "n": r["n"]}
+            if not r["against"]:
+                out.append(same | {"before": r["before"], "after": r["after"], "valid": 1, "ones": r["n"]})
             out += [same | {"before": a, "after": b, "valid": 0, "ones": 0}
                     for a, b in ((_OTHER, r["after"]), (r["before"], _OTHER), (_OTHER, _OTHER))]
     return out
 
 
-def train(spans: DataFrame, max_vectors: int = MAX_VECTORS) -> tuple[FlatTrees, float] | None:
-    """(trees, threshold), or None where there is nothing to learn from.
+def contrast(spark: SparkSession) -> DataFrame:
+    """doc_id, text, personal: numbers of one format in contexts that make them personal or not, and addresses.
+
+    Bounded by the lists above; the digits are hashes of their place in them.
+    """
+    def listed(rows, name):
+        return F.explode(F.array(*[F.struct(*[F.lit(v).alias(f"v{i}") for i, v in enumerate(r)]) for r in rows])).alias(name)
+
+    where = [(*c, 1) for c in PERSONAL_CONTEXTS] + [(*c, 0) for c in OTHER_CONTEXTS]
+    grid = (spark.range(CONTRAST_NUMBERS).withColumnRenamed("id", "no").select("no", listed(where, "w"))
+            .select("no", "w", listed(CONTRAST_FORMATS, "f")))
+    number = F.lpad(F.pmod(F.xxhash64("no", "w.v0", "w.v1", "f"), F.lit(10**10)).cast("string"), 10, "0")
+    # every third number beside a word against it is a round one, as sizes and scores often are
+    even = F.concat(F.substring(number, 1, 1), F.lit("00"), F.substring(number, 4, 1), F.lit("00"), F.substring(number, 7, 1),
+                    F.lit("000"))
+    number = F.when((F.col("w.v2") == 0) & (F.col("no") % 3 == 0), even).otherwise(number)
+    text = F.concat("w.v0", "f.v0", F.substring(number, 1, 3), "f.v1", F.substring(number, 4, 3), "f.v2",
+                    F.substring(number, 7, 4), "w.v1")
+    at = spark.range(1).select(listed([(t, 1) for t in PERSONAL_AT] + [(t, 0) for t in OTHER_AT], "a"))
+    at = at.select(listed([(c,) for c in ("Write ", "It ", "mail: ", "and ")], "c"), "a")
+    texts = grid.select(text.alias("text"), F.col("w.v2").alias("personal")).unionByName(
+        at.select(F.concat("c.v0", "a.v0", F.lit(" .")).alias("text"), F.col("a.v1").alias("personal")))
+    return texts.select(F.col("personal").alias("doc_id"), "text", "personal")
+
+
+def _examples(spans: DataFrame, label: Column) -> DataFrame:
+    """Distinct feature vectors with how often they occur (n) and how often as an example (ones)."""
+    names = ["kind_no", *FEATURES[1:]]
+    known = spans.where("start is not null").select(*names, label.alias("label")).where("label is not null")
+    return known.groupBy(*names).agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
+
+
+def train(spans: DataFrame, max_vectors: int = MAX_VECTORS) -> tuple[FlatTrees, dict[str, dict]] | None:
+    """(trees, calibration by kind), or None where there is nothing to learn from.
 
     A candidate that overlaps no base span and breaks no rule has no label: it
     is what the trees are asked about. One within a base span of its own kind
-    has none either: the same format alone may be personal. The threshold is the least at which the
-    share of examples among vectors held out from the fit reaches MIN_PRECISION.
+    has none either: the same format alone may be personal. A kind's calibration
+    holds its threshold, the least at which the share of examples among vectors
+    held out from the fit reaches MIN_PRECISION, and the precision and recall
+    reached there (null where nothing of the kind was held out).
     """
     names = ["kind_no", *FEATURES[1:]]
     label = (F.when(F.col("base") == 1, 1).when(F.col("valid") == 0, 0).when(F.col("nested"), F.lit(None))
              .when(F.col("hits_base"), 0))
-    known = spans.where("start is not null").select(*names, label.alias("label")).where("label is not null")
-    table = known.groupBy(*names).agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
-    rows = table.orderBy(F.desc("n"), *names).limit(max_vectors).collect()
+    rows = _examples(spans, label).orderBy(F.desc("n"), *names).limit(max_vectors).collect()
     rows += _national(spans)
-    if not rows:
+    if not any(r["ones"] for r in rows):
         return None
+    shown = related(candidates(contrast(spans.sparkSession))).where("base = 0 and not hits_base and valid = 1")
+    rows += _examples(shown, F.col("doc_id")).orderBy(*names).collect()
     x = np.array([[r[f] for f in names] for r in rows], dtype=float)
     n, ones = np.array([r["n"] for r in rows], float), np.array([r["ones"] for r in rows], float)
-    if ones.sum() == 0 or ones.sum() == n.sum():
-        return None
     both = np.concatenate([x, x])
     y, w = np.repeat([1.0, 0.0], len(x)), np.concatenate([ones, n - ones])
     w = np.log1p(w)         # a frequent vector counts more, but not in proportion
     part = np.tile(np.arange(len(x)) % 4 == 3, 2)
-    test = part & (w > 0)
-    settings = {"n_trees": 24, "depth": 3, "rate": 0.3, "reg": 0.5, "min_hessian": 0.05}
-    probe = fit(both[~part], y[~part], w[~part], **settings)
-    threshold = 0.5
-    if test.any():
-        s = probe.score(both[test])
-        for t in np.unique(np.round(np.concatenate([[0.5], s[s >= 0.5]]), 4)):
-            hit = s >= t
-            threshold = float(t)
-            if not hit.any() or (w[test] * y[test])[hit].sum() >= MIN_PRECISION * w[test][hit].sum():
-                break
-    return fit(both, y, w, **settings), threshold
+    model = fit(both[~part], y[~part], w[~part], n_trees=48, depth=4, rate=0.3, reg=0.5, min_hessian=0.05)
+    return model, {kind: _calibrated(model, both[at], y[at], w[at]) for no, kind in enumerate(KINDS, 1)
+                   for at in [part & (w > 0) & (both[:, 0] == no)]}
+
+
+def _calibrated(model: FlatTrees, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict:
+    """Threshold, precision and recall over vectors that ``model`` has not seen."""
+    score = model.score(x)
+    out = {"threshold": 0.5, "precision": None, "recall": None}
+    for t in np.unique(np.concatenate([[0.5], np.floor(score[score >= 0.5] * 1e4) / 1e4])):
+        hit = score >= t
+        right = float((w * y)[hit].sum())
+        if not hit.any():
+            break
+        out = {"threshold": float(t), "precision": right / float(w[hit].sum()), "recall": right / max(float((w * y).sum()), 1e-12)}
+        if out["precision"] >= MIN_PRECISION:
+            break
+    return out
 
 
 def as_sql(model: FlatTrees) -> Column:
@@ -244,12 +324,15 @@ def as_sql(model: FlatTrees) -> Column:
     return total
 
 
-def selected(spans: DataFrame, model: tuple[FlatTrees, float] | None) -> DataFrame:
-    """Base spans, and the best candidate of every run of overlapping ones above the threshold."""
+def selected(spans: DataFrame, model: tuple[FlatTrees, dict[str, dict]] | None) -> DataFrame:
+    """Base spans, and the best candidate of every run of overlapping ones above its kind's threshold."""
     if model is None:
         return spans.where("start is null or base = 1")
-    trees, threshold = model
-    least = float(np.log(threshold / (1 - threshold))) if threshold < 1 else float("inf")
+    trees, kinds = model
+    least = F.lit(float("inf"))
+    for kind, found in kinds.items():
+        t = found["threshold"]
+        least = F.when(F.col("kind") == kind, F.lit(float(np.log(t / (1 - t))) if t < 1 else float("inf"))).otherwise(least)
     scored = spans.withColumn("odds", F.when(F.col("start").isNotNull(), as_sql(trees)))
     asked = (F.col("base") == 0) & ~F.col("hits_base") & (F.col("valid") == 1) & (F.col("odds") >= least)
     scored = scored.where(F.col("start").isNull() | (F.col("base") == 1) | asked)
@@ -278,7 +361,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
         *[F.sum(((F.col("kind") == k) & (F.col("base") == 1)).cast("long")).alias(f"n_{k}") for k in KINDS],
         F.collect_list(base).alias("b"), F.collect_list(F.when(F.col("start").isNotNull(), listed)).alias("a"))
     counts = [F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", *counts, F.sha2(text(F.col("b")), 256).alias("base_sha256"), text(F.col("a")).alias("spans"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), *counts, F.sha2(text(F.col("b")), 256).alias("base_sha256"), text(F.col("a")).alias("spans"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:
@@ -289,11 +372,11 @@ def redacted(docs: DataFrame) -> DataFrame:
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     given = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()])
     body = F.coalesce(F.col(names["text"]), F.lit(""))
-    key = F.xxhash64(F.coalesce(F.col(names["doc_id"]).cast("string"), F.lit("")), body)
-    # equal id and text have equal spans, so the spans are found once for each such pair
-    given = given.withColumn("_key", key)
-    pairs = given.select(F.col("_key").alias("doc_id"), body.alias("text")).dropDuplicates(["doc_id"])
-    spans = all_spans(pairs).where("start is not null")
+    # equal id and text have equal spans; 128 bits keep different ones apart, and copies with other ids apart, too
+    key = F.concat_ws(":", F.coalesce(F.col(names["doc_id"]).cast("string"), F.lit("")), body)
+    given = given.withColumn("_key", F.md5(key.cast("binary")))
+    texts = given.select(F.col("_key").alias("doc_id"), body.alias("text"))
+    spans = all_spans(texts).where("start is not null").select("doc_id", "kind", "kind_no", "start", "end").distinct()
     order = Window.partitionBy("doc_id").orderBy("start", "kind_no", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum(F.when(F.col("start") < reach, 0).otherwise(1)).over(order)
