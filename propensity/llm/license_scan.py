@@ -1,16 +1,20 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance from the nearest licensed directory.
 
-Every line that holds a licence word, alone and with its neighbours (a wrapped
-header), and every text that holds one as a whole, is compared as a sparse
-TF-IDF vector (words and pairs of words) with the notices. A text is also held
-against the full licences in ``licenses/``: it is one if it contains most of its
-weight, and of several the most similar one. Document frequencies of the
-templates' terms are counted over all texts; a term outside the templates weighs
-like the rarest. A file has the licence that it contains in full, else the one
-that an SPDX line names, else that of its best line. A text that is mostly a
-licence is a licence file: it speaks for its directory, and files without a
-licence of their own take that of the nearest directory above them, found by
-joining paths.
+Every line of every text, alone and with its neighbours (a wrapped header), is
+compared as a sparse TF-IDF vector (words and pairs of words) with the notices.
+A cosine of ``min_line`` needs ``min_line`` squared of a notice's squared
+weight, so lines that hold less of every notice need no vector; nothing else
+decides what is compared. A notice made from a licence's name counts only where
+the whole name stands. Every text is also held against the full licences in
+``licenses/``, each term counted as often as both have it: it contains one if
+it holds ``MIN_SHARE`` of its weight, and of several the one that overlaps most
+(shared weight over the weight of both). Document frequencies of the templates'
+terms are counted over all texts; a term outside the templates weighs like the
+rarest. A file has the licence that it contains in full, else the one that an
+SPDX line names, else that of its best line. A text is a licence file if a full
+licence makes up ``MIN_TEXT`` of its weight, or a notice ``MIN_NOTICE`` of it:
+it speaks for its directory, and files without a licence of their own take that
+of the nearest directory above them, found by joining paths.
 
 Defined results: a null or empty text has no licence of its own and may
 inherit one; a null path is the root's; of equal similarities the first licence
@@ -35,12 +39,13 @@ from propensity.llm import textbatch as TB
 from propensity.llm.common import map_arrow, saved
 
 MIN_LINE = 0.6
-MIN_FILE = 0.5
 #: Share of a full licence's weight that its text must hold.
 MIN_SHARE = 0.75
+#: Share of a licence file's weight that is a full licence, or a notice.
+MIN_TEXT = 0.5
+MIN_NOTICE = 0.8
 #: Lines of a wrapped header.
 WINDOW = 4
-MAX_WINDOW = 2000       # bytes
 
 #: Short notices of public licences.
 TEMPLATES = (
@@ -66,9 +71,18 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0."),
 )
-#: A line or text without one of these words is not compared. Every template holds one.
-TRIGGERS = frozenset("license licence licensed licenses copyright permission redistribution".split())
-SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\r\n]+)", re.I)
+#: How licences are called in headers, and the sentences that name them.
+FAMILIES = (("GPL", ("2", "3"), ("GPL", "GNU GPL", "GNU General Public License")),
+            ("LGPL", ("2.1", "3"), ("LGPL", "GNU LGPL", "GNU Lesser General Public License")),
+            ("Apache", ("2.0",), ("Apache", "Apache License", "Apache Software License")),
+            ("MPL", ("1.1", "2.0"), ("MPL", "Mozilla Public License")))
+VERSIONS = ("{} {}", "{} v{}", "{}, version {}", "{}, v. {}", "{}v{}")
+CALLED = (("MIT", "MIT License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+          ("CC0-1.0", "CC0 1.0"), ("CC0-1.0", "CC0 1.0 Universal"), ("CC-BY-4.0", "CC BY 4.0"),
+          ("CC-BY-NC-4.0", "CC BY-NC 4.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"))
+SENTENCES = ("{}", "Licensed under the {}", "Released under the {}", "Distributed under the terms of the {}",
+             "This program is distributed under the {}", "Use of this source is governed by the {} license")
+SPDX = re.compile(r"(?<![A-Za-z0-9])SPDX-License-Identifier:[ \t]*([^\r\n]+)", re.I)
 LICENCE_NAMES = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 
 _WORDS = re.compile("[A-Za-z0-9]+")
@@ -97,13 +111,6 @@ def terms(text: str) -> list[str]:
     return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
-def vector(text: str, idf: dict[str, float], rarest: float) -> dict[str, float]:
-    """Sparse TF-IDF vector of length 1."""
-    raw = {t: n * idf.get(t, rarest) for t, n in Counter(terms(text)).items()}
-    norm = sum(v * v for v in raw.values()) ** 0.5
-    return {t: v / norm for t, v in raw.items()} if norm else {}
-
-
 _SPDX_NAMES = {name.lower(): name for name, _ in (*TEMPLATES, *full_texts())}
 
 
@@ -119,103 +126,176 @@ def _word_codes(data: np.ndarray, offsets: np.ndarray, known: dict[bytes, int]):
     return starts, counts, number[coded.indices.to_numpy()]
 
 
-def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
-    """In how many texts each term of the templates occurs, and the number of texts. Bounded by the templates."""
-    vocabulary = sorted({t for _, text in (*TEMPLATES, *full_texts()) for t in terms(text)})
-    words = {w.encode(): k for k, w in enumerate(w for w in vocabulary if " " not in w)}
-    n_words = len(words)
-    pair = np.full((n_words, n_words), -1, dtype=np.int32)
-    pairs = [t for t in vocabulary if " " in t]
+@cache
+def notices() -> tuple[tuple[str, str, str], ...]:
+    """(name, text, what must stand whole): the templates, and every name in every sentence."""
+    called = [(f"{kind}-{v if '.' in v else v + '.0'}", form.format(family, v))
+              for kind, versions, families in FAMILIES for v in versions for family in families for form in VERSIONS]
+    return (*((name, text, "") for name, text in TEMPLATES),
+            *((name, sentence.format(c), c) for name, c in (*CALLED, *called) for sentence in SENTENCES))
+
+
+@cache
+def vocabulary() -> tuple[list[str], dict[bytes, int], np.ndarray]:
+    """The templates' terms (words, then pairs), numbers of the words, and numbers of the pairs by their words."""
+    every = sorted({t for text in ("SPDX", *(n[1] for n in notices()), *(f[1] for f in full_texts())) for t in terms(text)})
+    words = {w.encode(): k for k, w in enumerate(t for t in every if " " not in t)}
+    pairs = [t for t in every if " " in t]
+    pair = np.full((len(words), len(words)), -1, dtype=np.int32)
     for k, t in enumerate(pairs):
         a, b = t.split(" ")
-        pair[words[a.encode()], words[b.encode()]] = n_words + k
-    names = [w.decode() for w in words] + pairs
+        pair[words[a.encode()], words[b.encode()]] = len(words) + k
+    return [w.decode() for w in words] + pairs, words, pair
+
+
+def _term_codes(offsets: np.ndarray, data: np.ndarray):
+    """For every word of a slice: start, document, its number, and that of its pair with the text's next word (else -1)."""
+    _, words, pair = vocabulary()
+    starts, counts, number = _word_codes(_LOWER[data], offsets, words)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    two = np.full(len(number), -1, dtype=np.int64)
+    at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0) & (doc[:-1] == doc[1:]))
+    two[at] = pair[number[at], number[at + 1]]
+    return starts, doc, number, two
+
+
+def _counted(group: np.ndarray, number: np.ndarray, two: np.ndarray, n_terms: int):
+    """(group, term, times) of every term of the vocabulary in every group of words."""
+    key = np.concatenate([(group * n_terms + term)[term >= 0] for term in (number, two)])
+    key, times = np.unique(key, return_counts=True)
+    return key // n_terms, key % n_terms, times
+
+
+def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
+    """In how many texts each term of the templates occurs, and the number of texts. Bounded by the templates."""
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = vocabulary()[0]
         total, n = np.zeros(len(names), dtype=np.int64), 0
         for batch in rows:
             for part in TB.slices(batch):
-                offsets, data = TB.utf8(part.column("text"))
-                _, counts, number = _word_codes(_LOWER[data], offsets, words)
-                doc = np.repeat(np.arange(part.num_rows), counts)
-                on = number >= 0
-                hits = [doc[on] * len(names) + number[on]]
-                two = np.flatnonzero(on[:-1] & on[1:] & (doc[:-1] == doc[1:])) if len(doc) else np.zeros(0, np.int64)
-                both = pair[number[two], number[two + 1]]
-                hits.append(doc[two][both >= 0] * len(names) + both[both >= 0])
-                total += np.bincount(np.unique(np.concatenate(hits)) % len(names), minlength=len(names))
+                _, doc, number, two = _term_codes(*TB.utf8(part.column("text")))
+                total += np.bincount(_counted(doc, number, two, len(names))[1], minlength=len(names))
                 n += part.num_rows
         yield pa.RecordBatch.from_pydict({"term": pa.array([*names, ""]), "df": pa.array([*total.tolist(), n])})
 
     got = map_arrow(files.select("text"), count, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
     found = {r["term"]: r["df"] for r in got.collect()}      # the terms of the templates, whatever the input
-    return {t: found.get(t, 0) for t in names}, found.get("", 0)
-
-
-def similarities(files: DataFrame, min_line: float = MIN_LINE, min_file: float = MIN_FILE) -> DataFrame:
+    return {t: found.get(t, 0) for t in vocabulary()[0]}, found.get("", 0)
+
+
+class Scanner:
+    """The templates as vectors under one corpus' term weights."""
+
+    def __init__(self, df: dict[str, int], n: int, min_line: float):
+        self.names = vocabulary()[0]
+        self.at = {t: k for k, t in enumerate(self.names)}
+        self.rarest, self.min_line = float(np.log(1 + n) + 1), min_line
+        self.idf = np.array([np.log((1 + n) / (1 + df[t])) + 1 for t in self.names])
+        self.kinds = np.array([name for name, _, _ in notices()])
+        self.times = np.zeros((len(self.kinds), len(self.names)), dtype=np.int32)
+        self.must = np.zeros((len(self.kinds), len(self.names)), dtype=bool)
+        for k, (_, text, whole) in enumerate(notices()):
+            for t, c in Counter(terms(text)).items():
+                self.times[k, self.at[t]] = c
+            self.must[k, [self.at[t] for t in terms(whole)]] = True
+        raw = self.times * self.idf
+        self.models = raw / np.sqrt((raw ** 2).sum(axis=1))[:, None]
+        self.most = (self.models ** 2).max(axis=0)          # of a term's squared weight in any notice
+        self.often = self.times.max(axis=0)
+        self.full = []
+        for name, text in full_texts():
+            c = np.zeros(len(self.names))
+            for t, k in Counter(terms(text)).items():
+                c[self.at[t]] = k
+            self.full.append((name, c, float((c * self.idf).sum())))
+
+    def best(self, text: str) -> tuple[float, str | None, float]:
+        """(cosine, name, share of the text's weight) of the most similar notice; the first name of equals."""
+        own = Counter(terms(text))
+        known = [t for t in own if t in self.at]
+        at, n = np.array([self.at[t] for t in known], dtype=np.int64), np.array([own[t] for t in known], dtype=np.float64)
+        weight = n * self.idf[at]
+        beyond = [c * self.rarest for t, c in own.items() if t not in self.at]
+        norm = float(((weight ** 2).sum() + sum(b * b for b in beyond)) ** 0.5)
+        if not norm:
+            return 0.0, None, 0.0
+        score = np.round(self.models[:, at] @ weight / norm, 9)
+        score[self.must[:, at].sum(axis=1) < self.must.sum(axis=1)] = 0.0
+        k = min(np.flatnonzero(score == score.max()).tolist(), key=lambda i: self.kinds[i])
+        held = float((np.minimum(n, self.times[k, at]) * self.idf[at]).sum())
+        return float(score[k]), str(self.kinds[k]), held / float(weight.sum() + sum(beyond))
+
+    def windows(self, ls, le, ld, starts, number, two) -> Iterator[tuple[int, int]]:
+        """First and last line of every window that may reach ``min_line``; ends without a notice's term add nothing."""
+        seen = [np.where((x >= 0) & (self.most[x] > 0), x, -1) for x in (number, two)]
+        line, term, _ = _counted(np.searchsorted(ls, starts, side="right") - 1, *seen, len(self.names))
+        held = np.bincount(line, self.most[term], minlength=len(ls))
+        total = np.concatenate([[0.0], np.cumsum(held)])
+        for more in range(min(WINDOW, len(ls))):
+            a = np.arange(len(ls) - more)
+            b = a + more
+            on = (ld[a] == ld[b]) & (held[a] > 0) & (held[b] > 0) & (total[b + 1] - total[a] >= self.min_line ** 2 - 1e-6)
+            yield from zip(a[on].tolist(), b[on].tolist())
+
+    def scan(self, column: pa.Array):
+        """(names, similarities, licence files) of a slice's texts."""
+        offsets, data = TB.utf8(column)
+        n_docs, n_terms, raw = len(offsets) - 1, len(self.names), data.tobytes()
+        starts, doc, number, two = _term_codes(offsets, data)
+        ls, le, ld = TB.lines(offsets, data)
+        name: list[str | None] = [None] * n_docs
+        score, whole = np.zeros(n_docs), np.zeros(n_docs, dtype=bool)
+        seen: dict[bytes, tuple[float, str | None, float]] = {}
+        for a, b in self.windows(ls, le, ld, starts, number, two):
+            d, text = int(ld[a]), raw[ls[a]:le[b]]
+            if text not in seen:
+                seen[text] = self.best(text.decode())
+            s, kind, _ = seen[text]
+            if s >= self.min_line and (s > score[d] or (s == score[d] and kind < name[d])):
+                score[d], name[d] = s, kind
+        # texts that are little else than a notice
+        d, t, times = _counted(doc, number, two, n_terms)
+        weight = times * self.idf[t]
+        tokens = np.maximum(2 * np.bincount(doc, minlength=n_docs) - 1, 0)
+        known = np.bincount(d, weights=times, minlength=n_docs)
+        total = np.bincount(d, weights=weight, minlength=n_docs) + (tokens - known) * self.rarest
+        short = np.bincount(d, weights=np.minimum(times, self.often[t]) * self.idf[t], minlength=n_docs)
+        for k in np.flatnonzero((tokens > 0) & (short >= MIN_NOTICE * total - 1e-6)).tolist():
+            s, kind, share = self.best(raw[offsets[k]:offsets[k + 1]].decode())
+            if s >= self.min_line and share >= MIN_NOTICE:
+                whole[k] = True
+                if s > score[k]:
+                    score[k], name[k] = s, kind
+        # SPDX lines
+        named: dict[int, str] = {}
+        spdx = np.searchsorted(ls, starts[number == self.at["spdx"]], side="right") - 1
+        for k in np.unique(spdx).tolist():
+            if (kind := spdx_name(raw[ls[k]:le[k]].decode())) is not None:
+                named[int(ld[k])] = min(kind, named.get(int(ld[k]), kind))
+        for k, kind in named.items():
+            score[k], name[k] = 1.0, kind
+        # full licences
+        near = np.zeros(n_docs)
+        for kind, c, all_of in self.full:
+            both = np.bincount(d, weights=np.minimum(times, c[t]) * self.idf[t], minlength=n_docs)
+            overlap = np.round(both / (total + all_of - both), 9)
+            for k in np.flatnonzero((both >= MIN_SHARE * all_of) & (overlap > near)).tolist():
+                near[k], name[k], score[k] = overlap[k], kind, min(both[k] / all_of, 1.0)
+                whole[k] = both[k] >= MIN_TEXT * total[k]
+        return name, score, whole
+
+
+def similarities(files: DataFrame, min_line: float = MIN_LINE) -> DataFrame:
     """``files`` (path, text, others) without its text, with own_license, similarity and license_file."""
     df, n = document_frequencies(files)
-    idf = {t: float(np.log((1 + n) / (1 + k)) + 1) for t, k in df.items()}
-    rarest = float(np.log(1 + n) + 1)
-    models = [(name, vector(text, idf, rarest)) for name, text in TEMPLATES]
-    full = [(name, vector(text, idf, rarest)) for name, text in full_texts()]
-    words = {w.encode(): 0 for w in TRIGGERS}
-
-    def best(text: str) -> tuple[float, str | None]:
-        own = vector(text, idf, rarest)
-        return min(((-sum(v * own.get(t, 0.0) for t, v in model.items()), name) for name, model in models),
-                   default=(0.0, None))
-
-    def contained(text: str) -> tuple[float, str | None]:
-        """The most similar of the full licences that the text holds: (share held, name)."""
-        own = vector(text, idf, rarest)
-        found = []
-        for name, model in full:
-            both = model.keys() & own.keys()
-            share = sum(model[t] ** 2 for t in both)
-            if share >= MIN_SHARE:
-                found.append((-sum(model[t] * own[t] for t in both), name, min(share, 1.0)))
-        return (min(found)[2], min(found)[1]) if found else (0.0, None)
-
     rest = [c for c in files.columns if c != "text"]
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(df, n, min_line)
         for batch in rows:
             for part in TB.slices(batch):
-                offsets, data = TB.utf8(part.column("text"))
-                starts, _, number = _word_codes(_LOWER[data], offsets, words)
-                at = starts[number >= 0]
-                ls, le, ld = TB.lines(offsets, data)
-                held = np.searchsorted(at, le) > np.searchsorted(at, ls)
-                name: list[str | None] = [None] * part.num_rows
-                score, whole = np.zeros(part.num_rows), np.zeros(part.num_rows, dtype=bool)
-                raw = data.tobytes()
-                named: dict[int, str] = {}
-                for k in np.flatnonzero(held).tolist():
-                    d, line = int(ld[k]), raw[ls[k]:le[k]].decode()
-                    if (kind := spdx_name(line)) is not None:
-                        named[d] = min(kind, named.get(d, kind))
-                    for a in range(k, max(k - WINDOW, -1), -1):
-                        if ld[a] != d:
-                            break
-                        for b in range(k, min(a + WINDOW, len(ls))):
-                            if ld[b] != d or le[b] - ls[a] > MAX_WINDOW and a != b:
-                                break
-                            s, kind = best(raw[ls[a]:le[b]].decode())
-                            if -s >= min_line and (-s > score[d] or (-s == score[d] and kind < (name[d] or "~"))):
-                                score[d], name[d] = -s, kind
-                for d, kind in named.items():
-                    score[d], name[d] = 1.0, kind
-                for d in np.unique(ld[held]).tolist():
-                    text = raw[offsets[d]:offsets[d + 1]].decode()
-                    s, kind = best(text)
-                    if -s >= min_file:
-                        whole[d] = True
-                        if name[d] is None:
-                            score[d], name[d] = -s, kind
-                    share, kind = contained(text)
-                    if kind is not None:
-                        whole[d], score[d], name[d] = True, share, kind
+                name, score, whole = scanner.scan(part.column("text"))
                 yield pa.RecordBatch.from_pydict(
                     {c: part.column(c) for c in rest} | {"own_license": pa.array(name, pa.string()),
                                                          "similarity": pa.array(np.round(score, 6)),
