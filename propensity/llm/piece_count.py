@@ -2,10 +2,13 @@
 
 A text's pieces never reach from a character into a space behind it (checked
 when the model is read), so a text is cut before every run of spaces. The
-distinct cuts of a slice are held as one ragged array of symbols; in each step
-every sequence joins its pair of lowest rank, the first of equals, until no
-pair of any sequence has a rank. What survives is counted, and a symbol outside
-the vocabulary counts its bytes.
+distinct cuts of a slice are held as one ragged array of symbols, cut again
+between characters that no piece holds side by side; in each step every sequence
+joins its pair of lowest rank, from left to right wherever it stands, until no
+pair of any sequence has a rank. Where a join brings in a pair of no higher
+rank, what stands behind it waits for the next step, so the order is that of
+joining one by one. What survives is counted, and a symbol outside the
+vocabulary counts its bytes.
 
 Defined results: a null or empty text has no bytes and no tokens; repeated rows
 count alike; columns other than ``doc_id`` and ``text`` are ignored.
@@ -13,7 +16,6 @@ count alike; columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,6 @@ from propensity.llm.common import doc_text, map_arrow
 from propensity.llm.pair_table import NEVER, PairTable
 
 LIMIT = 4096
-#: Longer sequences are merged one by one, with a heap instead of a scan per step.
-LONG = 512
 #: Counts remembered by one worker; beyond that it starts anew, with equal results.
 MAX_CUTS = 400_000
 #: Fixed value: the character that stands for a space in pieces.
@@ -54,6 +54,9 @@ class PieceCounter:
         left, right, order, merged = (np.array(x, dtype=np.int64) for x in zip(*[(a, b, scores[r], m)
                                                                                for a, b, r, m in pairs]))
         self.table = PairTable(left, right, order, merged)
+        near = sorted({(symbols[a], symbols[b]) for p in rank for a, b in zip(p, p[1:])})
+        none = np.zeros(len(near), dtype=np.int64)
+        self.near = PairTable(*np.array(near, dtype=np.int64).reshape(-1, 2).T, none, none)    # side by side in a piece
         self.first = np.full(0x110000, -1, dtype=np.int64)          # code point -> symbol
         for s, k in symbols.items():
             if len(s) == 1:
@@ -63,51 +66,16 @@ class PieceCounter:
         self.known[[symbols[p] for p in rank]] = True
         self.cuts: dict[bytes, int] = {}
 
-    def _one(self, symbols: np.ndarray) -> np.ndarray:
-        """The surviving symbols of one long sequence: their places."""
-        n = len(symbols)
-        sym, nxt, prv = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks, merged = self.table.find(symbols[:-1], symbols[1:])
-        heap = [(r, i, sym[i], sym[i + 1], m) for i, (r, m) in enumerate(zip(ranks.tolist(), merged.tolist()))
-                if r != NEVER]
-        heapq.heapify(heap)
-        known: dict[tuple[int, int], tuple[int, int]] = {}
-        gone = [False] * n
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            j = nxt[i]
-            if gone[i] or j >= n or sym[i] != a or sym[j] != b:
-                continue
-            sym[i], gone[j], nxt[i] = m, True, nxt[j]
-            if nxt[i] < n:
-                prv[nxt[i]] = i
-            for k in (prv[i], i):
-                if k >= 0 and nxt[k] < n:
-                    pair = (sym[k], sym[nxt[k]])
-                    if pair not in known:
-                        r, new = self.table.find(np.array(pair[:1]), np.array(pair[1:]))
-                        known[pair] = int(r[0]), int(new[0])
-                    if known[pair][0] != NEVER:
-                        heapq.heappush(heap, (known[pair][0], k, *pair, known[pair][1]))
-        left = np.flatnonzero(~np.array(gone))
-        symbols[left] = np.array(sym)[left]
-        return left
-
     def count(self, points: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Tokens of each sequence of code points (``size`` of them each, none empty)."""
         n = len(size)
         symbols = self.first[points]
         weight = np.where(points < 0x80, 1, np.where(points < 0x800, 2, np.where(points < 0x10000, 3, 4)))
         total = np.zeros(n, dtype=np.int64)
-        seq = np.repeat(np.arange(n), size)
-        for k in np.flatnonzero(size > LONG).tolist():
-            at = np.flatnonzero(seq == k)
-            own = symbols[at]
-            left = self._one(own)
-            total[k] = np.where(self.known[own[left]], 1, weight[at][left]).sum()
-        if (size > LONG).any():
-            on = (size <= LONG)[seq]
-            symbols, weight, seq = symbols[on], weight[on], seq[on]
+        given = np.repeat(np.arange(n), size)
+        apart = np.ones(len(points), dtype=bool)
+        apart[1:] = (given[1:] != given[:-1]) | (self.near.find(symbols[:-1], symbols[1:])[0] == NEVER)
+        seq, given = np.cumsum(apart) - 1, given[apart]
         ranks, merged = self._pairs(symbols, seq)
         while len(symbols):
             start = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
@@ -116,13 +84,12 @@ class PieceCounter:
             on = here != NEVER
             if not on.all():        # finished sequences are counted and leave
                 out = ~on
-                total += np.bincount(seq[out], weights=np.where(self.known[symbols[out]], 1, weight[out]),
+                total += np.bincount(given[seq[out]], weights=np.where(self.known[symbols[out]], 1, weight[out]),
                                      minlength=n).astype(np.int64)
                 symbols, weight, seq, ranks, merged, here = (x[on] for x in (symbols, weight, seq, ranks, merged, here))
                 if not len(symbols):
                     break
-            hit = np.flatnonzero(ranks == here)
-            hit = hit[np.concatenate([[True], seq[hit][1:] != seq[hit][:-1]])]      # the first of each sequence
+            hit = self._joins(symbols, seq, merged, np.flatnonzero(ranks == here), here)
             symbols[hit] = merged[hit]
             stay = np.ones(len(symbols), dtype=bool)
             stay[hit + 1] = False
@@ -132,6 +99,27 @@ class PieceCounter:
             ranks[at], merged[at] = self._pairs(symbols, seq, at)
         return total
 
+    def _joins(self, symbols, seq, merged, hit, here) -> np.ndarray:
+        """Which of the places ``hit`` of lowest rank are joined in this step: those that joining one by one would take next."""
+        step = np.arange(len(hit))
+        apart = np.ones(len(hit), dtype=bool)
+        apart[1:] = np.diff(hit) != 1
+        hit = hit[(step - np.maximum.accumulate(np.where(apart, step, 0))) % 2 == 0]    # every other of overlapping places
+        if len(hit) < 2:
+            return hit
+        first = np.concatenate([[True], seq[hit][1:] != seq[hit][:-1]])
+        if first.all():
+            return hit
+        new = merged[hit]
+        left = np.where((hit > 0) & (seq[hit - 1] == seq[hit]), symbols[hit - 1], -1)
+        touches = np.flatnonzero(~first[1:] & (np.diff(hit) == 2)) + 1
+        left[touches] = new[touches - 1]
+        after = np.minimum(hit + 2, len(symbols) - 1)
+        right = np.where((hit + 2 < len(symbols)) & (seq[after] == seq[hit]), symbols[after], -1)
+        sooner = (self.table.find(left, new)[0] <= here[hit]) | (self.table.find(new, right)[0] <= here[hit])
+        before = np.cumsum(sooner) - sooner             # joins of the same sequence that let a pair go first
+        return hit[before == np.maximum.accumulate(np.where(first, before, 0))]
+
     def _pairs(self, symbols: np.ndarray, seq: np.ndarray, at: np.ndarray | None = None):
         """Rank and result of the pair that begins at each place; NEVER at a sequence's end."""
         at = np.arange(len(symbols)) if at is None else at
