@@ -30,13 +30,22 @@ MAX_SYMBOL_SHARE = 0.10
 MIN_SHOUT_WORDS = 5
 MAX_UPPER_SHARE = 0.8
 
-#: Marks that end a sentence (last byte of their UTF-8 form), item separators, stock phrases.
+#: Marks that end a sentence (last byte of their UTF-8 form), item separators, stock phrases (English, German, French, Spanish).
 TERMINAL = TB.byte_set(b".!?\"':;)]") | TB.byte_set("…。！？”’»".encode())
 BOILERPLATE = (
     "lorem ipsum", "enable javascript", "javascript is disabled", "use of cookies", "uses cookies",
     "accept cookies", "cookie policy", "privacy policy", "terms of use", "terms of service",
     "all rights reserved", "click here", "read more", "sign up for", "subscribe to our", "share this",
     "skip to content", "back to top", "follow us on", "powered by",
+    "javascript aktivieren", "verwendet cookies", "verwenden cookies", "cookies akzeptieren", "cookie-richtlinie",
+    "datenschutzerklärung", "nutzungsbedingungen", "alle rechte vorbehalten", "hier klicken", "newsletter abonnieren",
+    "zum inhalt springen", "nach oben scrollen", "folgen sie uns",
+    "activer javascript", "activez javascript", "utilise des cookies", "utilisons des cookies", "accepter les cookies",
+    "politique de confidentialité", "conditions d'utilisation", "tous droits réservés", "cliquez ici", "lire la suite",
+    "abonnez-vous à", "aller au contenu", "haut de page", "suivez-nous sur",
+    "activar javascript", "active javascript", "utiliza cookies", "utilizamos cookies", "aceptar cookies", "aceptar las cookies",
+    "política de privacidad", "condiciones de uso", "todos los derechos reservados", "haga clic aquí", "haz clic aquí",
+    "seguir leyendo", "suscríbete a", "ir al contenido", "volver arriba", "síguenos en",
 )
 _PHRASES = "(?i)" + "|".join(BOILERPLATE)
 _UPPER = TB.byte_set(bytes(range(65, 91)))

@@ -52,3 +52,20 @@ def test_clean_documents_stay(small):
     assert good.where("kept").count() == good.count() > 50
     bad = line_rules(small).join(labels.where("quality = 0"), "doc_id")
     assert bad.where("not kept").count() >= 0.6 * bad.count()
+
+
+def test_stock_phrases_of_four_languages(spark):
+    prose = "Eine Zeile Prosa, die so lang ist wie die anderen und mit einem Punkt zu Ende geht, wie es sich gehört."
+    stock = ["Diese Seite verwendet Cookies, damit alles besser geht.", "Tous droits réservés, et rien de plus à dire ici.",
+             "Haga clic aquí para ver el resto de esta misma historia.", "By using it you agree to our Terms of Service now.",
+             "POLÍTICA DE PRIVACIDAD y otras cosas que nadie lee nunca."]
+    rows = [(k, f"{prose}\n{s}\n{prose[:-1]}, zum zweiten.") for k, s in enumerate(stock)]
+    got = {r["doc_id"]: r["text"] for r in clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: f"{prose}\n{prose[:-1]}, zum zweiten." for k, _ in rows}
+
+
+def test_cleaning_odd_rows_and_clashing_names(odd, clash):
+    for df in (odd, clash):
+        out = clean_lines(df)
+        kept = Counter(r["doc_id"] for r in line_rules(df).where("kept").collect())
+        assert out.columns == df.columns and Counter(r["doc_id"] for r in out.collect()) == kept
