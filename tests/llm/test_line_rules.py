@@ -56,12 +56,13 @@ def test_clean_documents_stay(small):
 
 def test_stock_phrases_of_four_languages(spark):
     prose = "Eine Zeile Prosa, die so lang ist wie die anderen und mit einem Punkt zu Ende geht, wie es sich gehört."
+    more = "Danach folgt noch etwas ganz anderes, das niemand vorher gesagt hat und das ebenso mit einem Punkt schließt."
     stock = ["Diese Seite verwendet Cookies, damit alles besser geht.", "Tous droits réservés, et rien de plus à dire ici.",
              "Haga clic aquí para ver el resto de esta misma historia.", "By using it you agree to our Terms of Service now.",
              "POLÍTICA DE PRIVACIDAD y otras cosas que nadie lee nunca."]
-    rows = [(k, f"{prose}\n{s}\n{prose[:-1]}, zum zweiten.") for k, s in enumerate(stock)]
+    rows = [(k, f"{prose}\n{s}\n{more}") for k, s in enumerate(stock)]
     got = {r["doc_id"]: r["text"] for r in clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {k: f"{prose}\n{prose[:-1]}, zum zweiten." for k, _ in rows}
+    assert got == {k: f"{prose}\n{more}" for k, _ in rows}
 
 
 def test_cleaning_odd_rows_and_clashing_names(odd, clash):
