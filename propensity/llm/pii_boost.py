@@ -364,6 +364,20 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), *counts, F.sha2(text(F.col("b")), 256).alias("base_sha256"), text(F.col("a")).alias("spans"))
 
 
+def _merged(spans: Column) -> Column:
+    """Sorted spans (start, kind_no, end) with overlapping ones joined; of a run the first's kind stays."""
+    last = lambda acc: F.try_element_at(acc, F.lit(-1))
+
+    def add(acc: Column, s: Column) -> Column:
+        longer = F.struct(last(acc)["start"].alias("start"), last(acc)["kind_no"].alias("kind_no"),
+                          F.greatest(last(acc)["end"], s["end"]).alias("end"))
+        over = (F.size(acc) > 0) & (s["start"] < last(acc)["end"])
+        return F.when(over, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer))).otherwise(
+            F.concat(acc, F.array(s)))
+
+    return F.aggregate(spans, F.slice(spans, 1, 0), add)
+
+
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, of the first's kind.
 
@@ -376,21 +390,18 @@ def redacted(docs: DataFrame) -> DataFrame:
     key = F.concat_ws(":", F.coalesce(F.col(names["doc_id"]).cast("string"), F.lit("")), body)
     given = given.withColumn("_key", F.md5(key.cast("binary")))
     texts = given.select(F.col("_key").alias("doc_id"), body.alias("text"))
-    spans = all_spans(texts).where("start is not null").select("doc_id", "kind", "kind_no", "start", "end").distinct()
-    order = Window.partitionBy("doc_id").orderBy("start", "kind_no", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    run = F.sum(F.when(F.col("start") < reach, 0).otherwise(1)).over(order)
-    merged = (spans.withColumn("run", run).groupBy("doc_id", "run")
-              .agg(F.min(F.struct("start", "kind_no", "kind")).alias("first"), F.max("end").alias("end")))
-    lists = merged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
-        F.col("first.start").alias("start"), "end", F.col("first.kind").alias("kind")))).alias("_spans"))
-    joined = given.join(lists.withColumnRenamed("doc_id", "_key"), "_key", "left")
+    spans = all_spans(texts).where("start is not null").select("doc_id", "kind_no", F.col("start").cast("int").alias("start"),
+                                                               F.col("end").cast("int").alias("end"))
+    lists = spans.groupBy(F.col("doc_id").alias("_key")).agg(
+        _merged(F.array_sort(F.collect_set(F.struct("start", "kind_no", "end")))).alias("_spans"))
+    # the texts pass a table of the (far smaller) lists of their partition and are not sorted
+    joined = given.join(lists.hint("shuffle_hash"), "_key", "left")
     cut = lambda a, b: F.substring(body, a + 1, b - a)
-    n = F.size("_spans")
+    kind = lambda no: F.element_at(F.array(*[F.lit(k.upper()) for k in KINDS]), no.cast("int"))
     parts = F.transform(F.col("_spans"), lambda s, i: F.concat(
-        cut(F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_spans"), i - 1)["end"]).cast("int"), s["start"].cast("int")),
-        F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    tail = cut(F.get(F.col("_spans"), n - 1)["end"].cast("int"), F.length(body))
+        cut(F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_spans"), i - 1)["end"]), s["start"]),
+        F.lit("["), kind(s["kind_no"]), F.lit("]")))
+    tail = cut(F.get(F.col("_spans"), F.size("_spans") - 1)["end"], F.length(body))
     text = F.when(F.col("_spans").isNull(), F.col(names["text"])).otherwise(F.concat(F.array_join(parts, ""), tail))
     out = joined.withColumn(names["text"], text)
     if "n_chars" in names:
