@@ -145,7 +145,7 @@ def fit_artifact(train: DataFrame, spec: PrepSpec) -> Artifact:
         long = unpivot_long(staged, [], list(cat_cols), "feature", "level")
         frequent = F.col("count") >= F.lit(spec.min_share * r["n"])
         counted = long.groupBy("feature", "level").count().where(F.col("level").isNotNull())
-        for row in counted.where(~isin_safe("feature", spec.lump) | frequent).collect():
+        for row in FE.collect_levels(counted.where(~isin_safe("feature", spec.lump) | frequent)):
             (keep if row.feature in keep else levels)[row.feature].append(row.level)
         levels = {c: sorted({*keep[c], "Other"}) if c in keep else sorted(lv) for c, lv in levels.items()}
         keep = {c: sorted(lv) for c, lv in keep.items()}

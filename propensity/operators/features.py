@@ -80,10 +80,22 @@ def lump(col: str, keep: Sequence[str], other: str = "Other") -> Column:
 
 # ------------------------------------------------------------------ D5
 
-def fit_onehot_levels(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+#: Levels that the one-hot columns of a table may have together; each becomes a column.
+MAX_LEVELS = 10_000
+
+
+def collect_levels(levels: DataFrame, max_levels: int = MAX_LEVELS) -> list:
+    """Rows of ``levels``, one a level; an error (not a cut) where there are more than ``max_levels``."""
+    rows = levels.limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"more than {max_levels} levels: lump rare levels first, or leave out columns that name single rows")
+    return rows
+
+
+def fit_onehot_levels(train: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """Level lists (sorted as strings) of categorical columns on train; each level becomes a column."""
     long = unpivot_long(train, [], cols, "feature", "level", cast="string")
-    rows = long.where(F.col("level").isNotNull()).select("feature", "level").distinct().collect()
+    rows = collect_levels(long.where(F.col("level").isNotNull()).select("feature", "level").distinct(), max_levels)
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r.feature].append(r.level)

@@ -203,3 +203,19 @@ def test_duplicates_keep_null_keys_and_copies(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (7, 3), (8, 4), (8, 4)], "k int, v int")
     got = sorted((str(r.k), r.v) for r in P.duplicate_rows(df, ["k"]).collect())
     assert got == [("8", 4), ("None", 1), ("None", 2)]
+
+
+def test_arg_extremes_ties_nulls_and_groups_without_values(spark):
+    from propensity.operators.topk import arg_extremes
+    rows = [("a", 1, 5.0), ("a", 3, 9.0), ("a", 2, 9.0), ("a", 7, 5.0), ("a", 0, None), ("b", 4, None), (None, 8, 2.0)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    got = {r["g"]: tuple(r)[1:] for r in arg_extremes(df, ["g"], "v", "id").collect()}
+    assert got == {"a": (9.0, 5.0, 2, 1), "b": (None, None, None, None), None: (2.0, 2.0, 8, 8)}
+
+
+def test_too_many_levels_are_an_error_not_a_cut(spark):
+    from propensity.operators.features import fit_onehot_levels
+    df = spark.range(30).selectExpr("cast(id as string) as user", "cast(id % 3 as string) as k")
+    assert fit_onehot_levels(df, ["k"], max_levels=3) == {"k": ["0", "1", "2"]}
+    with pytest.raises(ValueError, match="levels"):
+        fit_onehot_levels(df, ["user", "k"], max_levels=29)
