@@ -179,18 +179,29 @@ def binned_table(df: DataFrame, features: Sequence[str], key: str, label: str =
 
 def tree_sums(df: DataFrame, trees, values: np.ndarray, bins: Bins, out: str) -> DataFrame:
     """``df`` with ``out``: the sum over the trees of the value of the row's leaf; in passes of bounded model size."""
-    ship(df.sparkSession)
-    df = df.drop(out).withColumn(out, F.lit(0.0))
     ends = np.append(trees.roots[1:], len(trees.feature))
-    passes = (np.cumsum(ends - trees.roots) * NODE_BYTES) // PASS_BYTES
-    for number in np.unique(passes):
-        which = np.flatnonzero(passes == number)
-        mine = np.concatenate([values[trees.roots[t]:ends[t]] for t in which])
-        df = _one_pass(df, trees.subset(which).lean(), mine.astype(np.uint8) if (mine == mine.astype(np.uint8)).all() else mine, bins, out)
+    numbers = (np.cumsum(ends - trees.roots) * NODE_BYTES) // PASS_BYTES
+
+    def passes():
+        for number in np.unique(numbers):
+            which = np.flatnonzero(numbers == number)
+            mine = np.concatenate([values[trees.roots[t]:ends[t]] for t in which])
+            yield trees.subset(which).lean(mine.astype(np.uint8) if (mine == mine.astype(np.uint8)).all() else mine)
+
+    return pass_sums(df, passes(), bins, out)
+
+
+def pass_sums(df: DataFrame, passes: Iterator, bins: Bins, out: str) -> DataFrame:
+    """``tree_sums`` of the trees that ``passes`` yields; what one pass has summed is written before the next is read."""
+    ship(df.sparkSession)
+    df, summed = df.drop(out).withColumn(out, F.lit(0.0)), False
+    for trees in passes:
+        df = _one_pass(written(df, "sums") if summed else df, trees, bins, out)
+        summed = True
     return df
 
 
-def _one_pass(df: DataFrame, trees, values: np.ndarray, bins: Bins, out: str) -> DataFrame:
+def _one_pass(df: DataFrame, trees, bins: Bins, out: str) -> DataFrame:
     names = df.columns
     rows = df.withColumn("_x", F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in bins.features]))
 
@@ -199,7 +210,7 @@ def _one_pass(df: DataFrame, trees, values: np.ndarray, bins: Bins, out: str) ->
             x = bins.codes(batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(bins.features)))
             total = batch.column(out).to_numpy(zero_copy_only=False).copy()
             for t in range(len(trees)):
-                total += values[trees.leaf(x, t)]
+                total += trees.value.take(trees.leaf(x, t))
             yield pa.RecordBatch.from_arrays([pa.array(total) if n == out else batch.column(n) for n in names], names=names)
 
     return rows.mapInArrow(run, df.schema)

@@ -6,33 +6,42 @@ histogram (node x feature x bin x class, exact integer counts): tasks add up
 their blocks, Spark adds up the tasks, the driver sees the sums of a bounded
 number of cells at a time. Smaller nodes are finished where they are: their
 rows go to one task per node (at most ``LOCAL_ROWS`` of them), which grows the
-whole subtree level by level. Both use the same counts and the same formula, so
-the trees do not depend on where the line is drawn (tested).
+whole subtree level by level from the distinct code vectors and their counts.
+Both use the same counts and the same formula, so the trees do not depend on
+where the line is drawn (tested).
 
 Splits take the greatest decrease of the (class-weighted) Gini impurity; ties
 go to the first feature, then the lowest cut. The features that a node may use
-are drawn by a hash of tree and path. A finished model is on the driver; its
-nodes are bounded by ``MAX_NODES``, beyond which growing stops with an error
-that names the settings to change.
+are drawn by a hash of tree and path. The subtrees stay in a written table
+(``StoredTrees``): the driver holds the nodes above them, and reads as many
+trees at a time as fit a pass. ``grow`` brings all nodes to the driver, for a
+few trees; they are bounded by ``MAX_NODES``, beyond which it stops with an
+error that names the settings to change.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from propensity.operators.models import binned
 from propensity.operators.models.binned import Block, Table, parallelism
 from propensity.session import written
 
-LOCAL_ROWS = 100_000
+LOCAL_ROWS = 1_500_000
 #: Histogram cells that one job sums up.
 JOB_CELLS = 2_000_000
 #: Histogram cells that a task holds while it finishes a subtree.
 TASK_CELLS = 1 << 20
+#: Cells of rows x features that a histogram counts at once.
+COUNT_CELLS = 1 << 20
+#: Levels that rows go down before those at their leaves are set aside.
+STRIDE = 4
 MAX_NODES = 50_000_000
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -81,10 +90,10 @@ class Trees:
     def __len__(self) -> int:
         return len(self.roots)
 
-    def lean(self) -> "Trees":
-        """What rows need to find their leaves, in few bytes: no counts."""
-        none = np.zeros(0, np.uint8)
-        return Trees(self.roots, self.feature.astype(np.int16), self.cut.astype(np.uint8), self.left.astype(np.int32), none, none, none)
+    def lean(self, values: np.ndarray | None = None) -> "Lean":
+        """What rows need to find their leaves, in few bytes: no counts; ``values`` of the nodes go along."""
+        return Lean(self.roots, self.feature.astype(np.int16), self.cut.astype(np.uint8), self.left.astype(np.int32),
+                    self.votes_of() if values is None else values)
 
     def subset(self, which: Sequence[int]) -> "Trees":
         """The trees at these positions, on their own; a tree's nodes stand together."""
@@ -116,6 +125,36 @@ class Trees:
         return np.where(a == b, self.tie > 0, b > a).astype(np.uint8)
 
 
+class Lean:
+    """Trees to walk down: a leaf is its own child, whatever the row, so rows need not be told apart at every level."""
+
+    def __init__(self, roots: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, value: np.ndarray):
+        leaf = feature < 0
+        self.roots, self.feature, self.value = roots, feature, value
+        self.cut = np.where(leaf, np.uint8(255), cut)
+        self.left = np.where(leaf, np.arange(len(left), dtype=left.dtype), left)
+
+    def __len__(self) -> int:
+        return len(self.roots)
+
+    def leaf(self, x: np.ndarray, tree: int, rows: np.ndarray | None = None) -> np.ndarray:
+        """The leaf of each of the ``rows`` (default: all) of codes in one tree."""
+        flat = np.ascontiguousarray(x).ravel()
+        base = (np.arange(len(x)) if rows is None else rows) * x.shape[1]
+        at = np.full(len(base), self.roots[tree], dtype=np.int64)
+        out, place = at, np.arange(len(at))
+        while len(place):
+            for _ in range(STRIDE):
+                go = flat.take(base + self.feature.take(at)) > self.cut.take(at) if len(flat) else False
+                at = self.left.take(at) + go
+            inner = self.feature.take(at) >= 0
+            left = int(np.count_nonzero(inner))
+            if 2 * left <= len(at):
+                out[place] = at
+                at, base, place = at[inner], base[inner], place[inner]
+        return out
+
+
 def features_of(hashes: np.ndarray, p: int, mtry: int | None) -> np.ndarray:
     """nodes x mtry features, ascending."""
     if mtry is None or mtry >= p:
@@ -153,29 +192,53 @@ def splittable(n0, n1, depth, rules: Rules):
     return (n0 + n1 >= max(rules.min_split, 2)) & (n0 > 0) & (n1 > 0) & (depth < rules.max_depth)
 
 
-def histograms(codes: np.ndarray, at: np.ndarray, y: np.ndarray, m: np.ndarray, nodes: int, width: int):
-    """Counts by node (``at``), slot (column of ``codes``) and bin, for each class."""
-    slots = codes.shape[1]
-    cell = ((at[:, None] * slots + np.arange(slots)) * width + codes).ravel()
-    every = np.repeat(m, slots).astype(float)
-    one = np.repeat(m * y, slots).astype(float)
-    total = np.bincount(cell, every, nodes * slots * width).reshape(nodes, slots, width)
-    h1 = np.bincount(cell, one, nodes * slots * width).reshape(nodes, slots, width)
-    return total - h1, h1
+def histograms(codes: np.ndarray, at: np.ndarray, total: np.ndarray, ones: np.ndarray, nodes: int, width: int):
+    """Counts by node (``at``), slot (column of ``codes``) and bin, for each class, of rows that stand for
+    ``total`` rows each, ``ones`` of them of class 1."""
+    slots, cells = codes.shape[1], nodes * codes.shape[1] * width
+    sums = np.zeros((2, cells))
+    step = max(1, COUNT_CELLS // max(slots, 1))
+    for a in range(0, len(codes), step):
+        cell = ((at[a:a + step, None] * slots + np.arange(slots)) * width + codes[a:a + step]).ravel()
+        for k, count in enumerate((total, ones)):
+            sums[k] += np.bincount(cell, np.repeat(count[a:a + step], slots), cells)
+    h, h1 = sums.reshape(2, nodes, slots, width)
+    return h - h1, h1
+
+
+def merged(x: np.ndarray, y: np.ndarray, m: np.ndarray):
+    """In-bag rows of equal codes as one: (codes, rows, rows of class 1). Rows in the order of a hash are compared with
+    their neighbours, so rows that differ stay apart, whatever the hash."""
+    rows = np.flatnonzero(m)
+    x, m = x[rows], m[rows].astype(float)
+    ones = m * y[rows]
+    if not len(rows) or not x.shape[1]:
+        return x, m, ones
+    mark = np.zeros(len(x), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j, factor in enumerate(mix(np.arange(x.shape[1]))):
+            mark += x[:, j] * (factor | np.uint64(1))
+    order = np.argsort(mark, kind="stable")
+    x = x[order]
+    first = np.concatenate([[0], 1 + np.flatnonzero((x[1:] != x[:-1]).any(axis=1))])
+    return x[first], np.add.reduceat(m[order], first), np.add.reduceat(ones[order], first)
 
 
 def grow_here(x: np.ndarray, y: np.ndarray, m: np.ndarray, root: np.uint64, depth: int, rules: Rules, width: int):
     """A subtree grown level by level from rows in memory: (feature, cut, left, n0, n1, tie), children numbered from 0."""
+    return grow_merged(*merged(x, y, m), root, depth, rules, width)
+
+
+def grow_merged(x: np.ndarray, total: np.ndarray, ones: np.ndarray, root: np.uint64, depth: int, rules: Rules, width: int):
+    """``grow_here`` from the distinct codes and their counts."""
     p = x.shape[1]
     out: list[list[np.ndarray]] = [[], [], [], [], [], []]
-    rows = np.flatnonzero(m)
+    rows = np.arange(len(x))
     node = np.zeros(len(rows), dtype=np.int64)
     hashes, below = np.array([root], dtype=np.uint64), 1
-    y = y.astype(np.int64)
-    m = m.astype(np.int64)
     while len(hashes):
-        n1 = np.bincount(node, m[rows] * y[rows], len(hashes)).astype(np.int64)
-        n0 = np.bincount(node, m[rows], len(hashes)).astype(np.int64) - n1
+        n1 = np.bincount(node, ones[rows], len(hashes)).astype(np.int64)
+        n0 = np.bincount(node, total[rows], len(hashes)).astype(np.int64) - n1
         feature, cut = np.full(len(hashes), -1, dtype=np.int32), np.zeros(len(hashes), dtype=np.int32)
         left = np.zeros(len(hashes), dtype=np.int64)
         tie = odd(hashes)
@@ -194,7 +257,7 @@ def grow_here(x: np.ndarray, y: np.ndarray, m: np.ndarray, root: np.uint64, dept
                 i, j = np.searchsorted(node, (a, b))
                 own, at = rows[i:j], node[i:j] - a
                 codes = np.take_along_axis(x[own], chosen[a:b][at], axis=1)
-                slot, c, found, _, _ = best_splits(*histograms(codes, at, y[own], m[own], b - a, width), rules)
+                slot, c, found, _, _ = best_splits(*histograms(codes, at, total[own], ones[own], b - a, width), rules)
                 hit = may[a:b][found]
                 feature[hit] = chosen[a:b][found, slot[found]]
                 cut[hit] = c[found]
@@ -232,7 +295,7 @@ class Draws:
 
 @dataclass
 class _Growing:
-    """A tree on the way: node arrays as lists, open nodes with hash and depth."""
+    """The top of a tree, above its subtrees: node arrays as lists, open nodes with hash and depth."""
 
     sample: int
     rules: Rules
@@ -243,7 +306,6 @@ class _Growing:
     n0: list = field(default_factory=list)
     n1: list = field(default_factory=list)
     tie: list = field(default_factory=list)
-    whole: list | None = None                               # all arrays of a tree that one task has grown
     open: dict = field(default_factory=dict)                # node: (hash, depth)
 
     def add(self, n0: int, n1: int, h: np.uint64, depth: int) -> int:
@@ -261,29 +323,92 @@ class _Growing:
         self.left[node] = self.add(l0, l1, child_hash(h, 0)[()], depth + 1)
         self.add(self.n0[node] - int(l0), self.n1[node] - int(l1), child_hash(h, 1)[()], depth + 1)
 
-    def route(self, x: np.ndarray) -> np.ndarray:
-        t = Trees(np.zeros(1, np.int64), *(np.array(a, dtype=np.int64) for a in (self.feature, self.cut, self.left, self.n0, self.n1, self.tie)))
-        return t.leaf(x, 0)
-
-    def graft(self, node: int, arrays: list[np.ndarray]) -> None:
-        """The subtree in place of the open node."""
-        self.open.pop(node)
-        if node == 0 and len(self.feature) == 1:
-            self.whole = arrays
-            return
-        feature, cut, left, n0, n1, tie = arrays
-        base = len(self.feature) - 1                         # number 0 of the subtree is the node itself
-        self.feature[node], self.cut[node] = int(feature[0]), int(cut[0])
-        self.left[node] = int(left[0]) + base
-        self.feature += feature[1:].tolist()
-        self.cut += cut[1:].tolist()
-        self.left += (left[1:] + base).tolist()
-        self.n0 += n0[1:].tolist()
-        self.n1 += n1[1:].tolist()
-        self.tie += tie[1:].tolist()
+    def top(self) -> Trees:
+        return Trees(np.zeros(1, np.int64), *(np.array(a, dtype=k) for a, k in zip(
+            (self.feature, self.cut, self.left, self.n0, self.n1, self.tie), _KINDS.values())))
+
+
+#: Node arrays of a subtree and of a top.
+_KINDS = {"feature": np.int32, "cut": np.int32, "left": np.int64, "n0": np.int64, "n1": np.int64, "tie": np.uint8}
+#: How they are written; ``vote`` is the class of a node.
+_STORED = {"feature": np.int16, "cut": np.uint8, "left": np.int32, "n0": np.int64, "n1": np.int64, "tie": np.uint8, "vote": np.uint8}
+_SUBTREE = ["tree", "node", *_STORED]
+SUBTREE_SCHEMA = "tree int, node int, " + ", ".join(f"{c} binary" for c in _STORED)
+
+
+@dataclass
+class StoredTrees:
+    """Grown trees: the nodes above the subtrees, and the table of the subtrees, of which a pass reads some trees.
+
+    A subtree's node 0 is the node of the top that it hangs on. ``shift`` is the
+    number of the first tree in the table; ``sizes`` are the trees' nodes.
+    """
+
+    tops: list[Trees]
+    subtrees: DataFrame | None
+    sizes: np.ndarray
+    shift: int = 0
+
+    def __len__(self) -> int:
+        return len(self.tops)
+
+    def view(self, start: int, stop: int) -> "StoredTrees":
+        return StoredTrees(self.tops[start:stop], self.subtrees, self.sizes[start:stop], self.shift + start)
+
+    def _read(self, start: int, stop: int, columns: Sequence[str]) -> list[list[np.ndarray]]:
+        """The node arrays of some trees, each tree numbered from 0, and their lengths."""
+        parts: list[list[tuple[int, list[np.ndarray]]]] = [[] for _ in range(start, stop)]
+        if self.subtrees is not None:
+            own = self.subtrees.where(F.col("tree").between(self.shift + start, self.shift + stop - 1))
+            for batch in own.select("tree", "node", *columns).toArrow().to_batches():
+                for i, (tree, node) in enumerate(zip(batch.column("tree").to_pylist(), batch.column("node").to_pylist())):
+                    arrays = [np.frombuffer(batch.column(c)[i].as_buffer(), _STORED[c]) for c in columns]
+                    parts[tree - self.shift - start].append((node, arrays))
+        out = []
+        for top, grafts in zip(self.tops[start:stop], parts):
+            given = {c: (top.votes_of() if c == "vote" else getattr(top, c)).astype(_STORED[c]) for c in columns}
+            pieces = {c: [given[c]] for c in columns}
+            base = len(top.feature) - 1
+            for node, arrays in sorted(grafts, key=lambda g: g[0]):
+                for c, a in zip(columns, arrays):
+                    if c == "left":
+                        a = a + np.where(arrays[columns.index("feature")] >= 0, base, 0).astype(a.dtype)
+                    given[c][node] = a[0]
+                    pieces[c].append(a[1:])
+                base += len(arrays[0]) - 1
+            out.append([np.concatenate(pieces[c]) for c in columns])
+        return out
+
+    def _joined(self, start: int, stop: int, columns: Sequence[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        trees = self._read(start, stop, columns)
+        sizes = [len(t[0]) for t in trees]
+        roots = np.cumsum([0] + sizes)[:-1].astype(np.int64)
+        out = [np.concatenate([t[i] for t in trees]) if trees else np.zeros(0, _STORED[c]) for i, c in enumerate(columns)]
+        at = columns.index("left")
+        out[at] = out[at] + np.repeat(roots, sizes).astype(np.int64 if sum(sizes) > 2 ** 31 - 1 else out[at].dtype)
+        return roots, out
+
+    def passes(self) -> Iterator[tuple[int, Lean]]:
+        """(number of the first tree, the trees of a pass with their votes); a pass is bounded unless it is one tree."""
+        numbers = (np.cumsum(self.sizes) * binned.NODE_BYTES) // binned.PASS_BYTES
+        starts = [i for i in range(len(self)) if not i or numbers[i] != numbers[i - 1]]
+        for start, stop in zip(starts, [*starts[1:], len(self)]):
+            yield start, Lean(*(lambda roots, a: (roots, *a))(*self._joined(start, stop, ["feature", "cut", "left", "vote"])))
+
+    def whole(self) -> Trees:
+        """All nodes on the driver."""
+        if self.sizes.sum() > MAX_NODES:
+            raise MemoryError(f"the model has more than {MAX_NODES} nodes: raise min_split or min_leaf, lower max_depth or the sample sizes")
+        roots, arrays = self._joined(0, len(self), list(_KINDS))
+        return Trees(roots, *(a.astype(k) for a, k in zip(arrays, _KINDS.values())))
 
 
 def grow(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int]], local_rows: int = LOCAL_ROWS) -> Trees:
+    """One tree per (sample, rules, seed) of ``plan``, all nodes on the driver."""
+    return grow_stored(table, draws, plan, local_rows).whole()
+
+
+def grow_stored(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int]], local_rows: int = LOCAL_ROWS) -> StoredTrees:
     """One tree per (sample, rules, seed) of ``plan``."""
     totals = draws.totals()
     trees = []
@@ -299,61 +424,68 @@ def grow(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int]], loc
         step = max(1, JOB_CELLS // cells)
         for a in range(0, len(wide), step):
             _split_wide(table, draws, trees, wide[a:a + step])
-    _finish(table, draws, trees)
-    nodes = [t.whole or [t.feature, t.cut, t.left, t.n0, t.n1, t.tie] for t in trees]
-    sizes = [len(n[0]) for n in nodes]
-    roots = np.cumsum([0] + sizes)[:-1].astype(np.int64)
-    join = lambda i, kind: np.concatenate([np.asarray(n[i], dtype=kind) for n in nodes]) if nodes else np.zeros(0, kind)
-    left = join(2, np.int64) + np.repeat(roots, sizes)
-    return Trees(roots, join(0, np.int32), join(1, np.int32), left, join(3, np.int64), join(4, np.int64), join(5, np.uint8))
+    subtrees = _finish(table, draws, trees)
+    sizes = np.array([len(t.feature) for t in trees], dtype=np.int64)
+    if subtrees is not None:
+        for r in subtrees.groupBy("tree").agg(F.sum(F.length("tie") - 1).alias("n")).collect():       # a byte a node
+            sizes[r["tree"]] += r["n"]
+    return StoredTrees([t.top() for t in trees], subtrees, sizes)
 
 
 def _split_wide(table: Table, draws: Draws, trees: list[_Growing], wide: list[tuple[int, int]]) -> None:
     """Histograms of these nodes in one job; each is split or becomes a leaf."""
     p, width = len(table.bins.features), table.bins.width
-    mine: dict[int, list[tuple[int, int, np.ndarray]]] = {}
-    for number, (i, node) in enumerate(wide):
-        chosen = features_of(np.array([trees[i].open[node][0]]), p, trees[i].rules.mtry)[0]
-        mine.setdefault(i, []).append((number, node, np.array(chosen)))
-    at = {i: trees[i] for i in mine}
+    nodes_of: dict[int, list[int]] = {}
+    for i, node in wide:
+        nodes_of.setdefault(i, []).append(node)
+    first, rank, chosen, tops, samples, number = {}, {}, {}, {}, {}, 0
+    for i, nodes in nodes_of.items():
+        first[i], number = number, number + len(nodes)
+        rank[i] = np.full(len(trees[i].feature), -1, dtype=np.int64)
+        rank[i][nodes] = np.arange(len(nodes))
+        chosen[i] = np.array(features_of(np.array([trees[i].open[n][0] for n in nodes]), p, trees[i].rules.mtry))
+        tops[i], samples[i] = trees[i].top().lean(), trees[i].sample
 
     def run(blocks):
         held: dict[int, np.ndarray] = {}
         for block in blocks:
             counts = draws.counts(block)
-            for i, nodes in mine.items():
-                m = counts[at[i].sample]
-                where = at[i].route(block.x)
-                for number, node, chosen in nodes:
-                    rows = np.flatnonzero((where == node) & (m > 0))
-                    if not len(rows):
-                        continue
-                    h0, h1 = histograms(block.x[rows][:, chosen], np.zeros(len(rows), np.int64), block.y[rows].astype(np.int64),
-                                        m[rows].astype(np.int64), 1, width)
-                    got = np.stack([h0[0], h1[0]]).astype(np.int64)
-                    held[number] = held[number] + got if number in held else got
-        for number, h in held.items():
-            flat = h.reshape(2, -1)
-            cell = np.flatnonzero(flat.any(axis=0))
-            yield pa.RecordBatch.from_pydict({"node": pa.array(np.full(len(cell), number, np.int32)),
-                                              "cell": pa.array(cell.astype(np.int32)), "n0": flat[0, cell], "n1": flat[1, cell]})
+            for i in tops:
+                m = counts[samples[i]]
+                rows = np.flatnonzero(m)
+                at = rank[i][tops[i].leaf(block.x, 0, rows)]
+                rows, at = rows[at >= 0], at[at >= 0]
+                if len(rows):
+                    m = m[rows].astype(float)
+                    codes = np.take_along_axis(block.x[rows], chosen[i][at], axis=1)
+                    got = np.stack(histograms(codes, at, m, m * block.y[rows], len(chosen[i]), width))
+                    held[i] = held[i] + got if i in held else got
+        for i, h in held.items():
+            for k in range(h.shape[1]):
+                flat = h[:, k].reshape(2, -1).astype(np.int64)
+                cell = np.flatnonzero(flat.any(axis=0))
+                yield pa.RecordBatch.from_pydict({"node": pa.array(np.full(len(cell), first[i] + k, np.int32)),
+                                                  "cell": pa.array(cell.astype(np.int32)), "n0": flat[0, cell], "n1": flat[1, cell]})
 
     sums = table.map_task(run, "node int, cell int, n0 long, n1 long").groupBy("node", "cell").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     node, cell, n0, n1 = (sums.column(c).to_numpy() for c in ("node", "cell", "n0", "n1"))
-    for number, (i, which) in enumerate(wide):
-        chosen = next(c for k, _, c in mine[i] if k == number)
-        h = np.zeros((2, len(chosen) * width))
-        rows = node == number
-        h[0, cell[rows]], h[1, cell[rows]] = n0[rows], n1[rows]
-        slot, cut, found, l0, l1 = best_splits(*h.reshape(2, 1, len(chosen), width), trees[i].rules)
-        if found[0]:
-            trees[i].split(which, chosen[slot[0]], cut[0], l0[0], l1[0])
-        else:
-            trees[i].open.pop(which)
-
-
-def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> None:
+    order = np.argsort(node, kind="stable")
+    node, cell, n0, n1 = node[order], cell[order], n0[order], n1[order]
+    for i, nodes in nodes_of.items():
+        for k, which in enumerate(nodes):
+            a, b = np.searchsorted(node, (first[i] + k, first[i] + k + 1))
+            slots = chosen[i].shape[1]
+            h = np.zeros((2, slots * width))
+            h[0, cell[a:b]], h[1, cell[a:b]] = n0[a:b], n1[a:b]
+            slot, cut, found, l0, l1 = best_splits(*h.reshape(2, 1, slots, width), trees[i].rules)
+            if found[0]:
+                trees[i].split(which, chosen[i][k][slot[0]], cut[0], l0[0], l1[0])
+            else:
+                trees[i].open.pop(which)
+
+
+def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> DataFrame | None:
     """Every open node's rows go to a task of their own, which grows the subtree; trees that share a root's rows share the task."""
     groups: dict[tuple, int] = {}
     members: list[list[tuple[int, int]]] = []
@@ -365,13 +497,13 @@ def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> None:
                 members.append([])
             members[groups[name]].append((i, node))
     if not members:
-        return
+        return None
     whole = {name[0]: g for name, g in groups.items() if len(name) == 1}
-    parts: dict[int, list[tuple[int, int]]] = {}
+    group_of: dict[int, np.ndarray] = {}
     for name, g in groups.items():
         if len(name) == 3:
-            parts.setdefault(name[1], []).append((name[2], g))
-    routed = {i: trees[i] for i in parts}
+            group_of.setdefault(name[1], np.full(len(trees[name[1]].feature), -1, dtype=np.int32))[name[2]] = g
+    routed = {i: (trees[i].sample, trees[i].top().lean()) for i in group_of}
     width = table.bins.width
     jobs = [[(i, node, *trees[i].open[node], trees[i].rules) for i, node in group] for group in members]
 
@@ -379,12 +511,16 @@ def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> None:
         counts = draws.counts(block)
         out = []
         for sample, g in whole.items():
-            out.append((g, np.flatnonzero(counts[sample]), counts[sample]))
-        for i, nodes in parts.items():
-            m = counts[routed[i].sample]
-            where = routed[i].route(block.x)
-            out += [(g, np.flatnonzero((where == node) & (m > 0)), m) for node, g in nodes]
-        out = [(g, rows, m) for g, rows, m in out if len(rows)]
+            rows = np.flatnonzero(counts[sample])
+            if len(rows):
+                out.append((g, rows, counts[sample]))
+        for i, (sample, top) in routed.items():
+            rows = np.flatnonzero(counts[sample])
+            own = group_of[i][top.leaf(block.x, 0, rows)]
+            order = np.argsort(own, kind="stable")
+            rows, own = rows[order], own[order]
+            ends = np.append(np.flatnonzero(np.diff(own)) + 1, len(own))
+            out += [(int(own[a]), rows[a:b], counts[sample]) for a, b in zip(np.append(0, ends[:-1]), ends) if b > a and own[a] >= 0]
         yield pa.RecordBatch.from_arrays([
             pa.array([g for g, _, _ in out], pa.int32()), pa.array([block.number] * len(out), pa.int32()),
             pa.array([block.x[rows].tobytes() for _, rows, _ in out], pa.binary()),
@@ -397,24 +533,16 @@ def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> None:
         y = np.concatenate([np.frombuffer(v, np.uint8) for v in t.column("y").to_pylist()])
         x = np.concatenate([np.frombuffer(v, np.uint8) for v in t.column("x").to_pylist()]).reshape(len(y), -1)
         m = np.concatenate([np.frombuffer(v, np.int32) for v in t.column("m").to_pylist()])
+        group, rows = t.column("grp")[0].as_py(), merged(x, y, m)
+        del t, x, y, m
         out = []
-        for i, node, h, depth, rules in jobs[t.column("grp")[0].as_py()]:
-            out.append((i, node, *[a.tobytes() for a in grow_here(x, y, m, h, depth, rules, width)]))
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        for i, node, h, depth, rules in jobs[group]:
+            tree = Trees(np.zeros(1, np.int64), *grow_merged(*rows, h, depth, rules, width))
+            arrays = {c: tree.votes_of() if c == "vote" else getattr(tree, c) for c in _STORED}
+            out.append((i, node, *[arrays[c].astype(k).tobytes() for c, k in _STORED.items()]))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * len(_STORED)]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_SUBTREE)
 
     sent = table.map(send, "grp int, block int, x binary, y binary, m binary")
     dealt = sent.repartition(parallelism(sent, len(members), 4), "grp")
-    done = dealt.groupBy("grp").applyInArrow(finish, "tree int, node int, feature binary, cut binary, left binary, n0 binary, n1 binary, "
-                                              "tie binary")
-    total = sum(len(t.feature) for t in trees)
-    kinds = (np.int32, np.int32, np.int64, np.int64, np.int64, np.uint8)
-    for r in written(done, "subtrees").toLocalIterator():
-        arrays = [np.frombuffer(r[c], k) for c, k in zip(_SUBTREE[2:], kinds)]
-        total += len(arrays[0])
-        if total > MAX_NODES:
-            raise MemoryError(f"the model has more than {MAX_NODES} nodes: raise min_split or min_leaf, lower max_depth or the sample sizes")
-        trees[r["tree"]].graft(r["node"], arrays)
-
-
-_SUBTREE = ["tree", "node", "feature", "cut", "left", "n0", "n1", "tie"]
+    return written(dealt.groupBy("grp").applyInArrow(finish, SUBTREE_SCHEMA), "subtrees")

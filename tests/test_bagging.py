@@ -212,3 +212,38 @@ def test_partial_dependence_equals_rows_set_to_each_value(planted, table, forest
         share = np.mean([told[some.trees.leaf(codes, t)] for t in range(12)], axis=0)
         want = 0.5 * (np.log(np.maximum(share, BG.EPS)) - np.log(np.maximum(1 - share, BG.EPS)))
         assert r["pd"] == pytest.approx(want.mean(), abs=1e-9)
+
+
+def test_a_forest_in_several_passes_equals_one_pass(planted, table, forest, monkeypatch):
+    some = BG.Forest(forest.nodes.view(3, 20), forest.bins, forest.draws)
+    few = BG.BalancedDraws(17, forest.draws.sizes, forest.draws.seed, forest.draws.block_rows)
+    some.draws = few
+    def everything():
+        votes = {r["key"]: (r["votes"], r["trees"], r["score"]) for r in BG.oob_votes(table, [some, some]).where("forest = 1").collect()}
+        path = [(r["n_trees"], r["error"]) for r in BG.oob_error_path(table, some).collect()]
+        lost = {r["feature"]: r["raw"] for r in BG.oob_importance(table, some).collect()}
+        pd = {(r["feature"], r["value"]): r["pd"] for r in BG.partial_dependence(table, some, planted, ["x1"], n_grid=5).collect()}
+        return votes, path, lost, pd
+    want = everything()
+    monkeypatch.setattr(BN, "PASS_BYTES", BN.NODE_BYTES * int(some.nodes.sizes.sum()) // 3)
+    assert len(list(some.nodes.passes())) > 2
+    got = everything()
+    assert got[0] == want[0] and got[1] == want[1]
+    for a, b in zip(got[2:], want[2:]):
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
+
+
+def test_the_nodes_of_a_forest_stay_off_the_driver(table):
+    forest = BG.fit_forest(table, 4, seed=3)
+    assert all(len(top.feature) == 1 for top in forest.nodes.tops) and forest.nodes.sizes.min() > 20
+    assert forest.nodes.sizes.sum() == len(forest.trees.feature)
+
+
+def test_equal_rows_are_merged_whatever_their_hash(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, y, m = rng.integers(0, 3, (500, 4)).astype(np.uint8), rng.integers(0, 2, 500).astype(np.uint8), rng.integers(0, 4, 500)
+    want = GR.grow_here(x, y, m, GR.mix(2)[()], 0, GR.Rules(mtry=2), 3)
+    codes, rows, ones = GR.merged(x, y, m)
+    assert len(codes) <= 81 and rows.sum() == m.sum() and ones.sum() == (m * y).sum()
+    monkeypatch.setattr(GR, "merged", lambda x, y, m: (x[m > 0], m[m > 0].astype(float), (m * y)[m > 0].astype(float)))
+    assert all((a == b).all() for a, b in zip(want, GR.grow_here(x, y, m, GR.mix(2)[()], 0, GR.Rules(mtry=2), 3)))
