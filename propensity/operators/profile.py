@@ -248,7 +248,8 @@ def histogram(df: DataFrame, cols: Sequence[str], group_col: str | None = None,
     else:
         nb = F.when(F.col("_n") <= 1, F.lit(1)).otherwise(F.length(F.bin(F.col("_n") - 1)) + 1)
     st = st.withColumn("_nb", nb.cast("int"))
-    j = long.join(st, gk)
+    # without groups one row a column: sent to the rows, which would otherwise all meet in one task a column
+    j = long.join(st if ids else F.broadcast(st), gk)
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_nb")),
                 F.col("_nb") - 1))

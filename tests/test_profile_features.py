@@ -219,3 +219,14 @@ def test_too_many_levels_are_an_error_not_a_cut(spark):
     assert fit_onehot_levels(df, ["k"], max_levels=3) == {"k": ["0", "1", "2"]}
     with pytest.raises(ValueError, match="levels"):
         fit_onehot_levels(df, ["user", "k"], max_levels=29)
+
+
+def test_histogram_sends_the_bounds_to_the_rows(spark):
+    df = spark.range(0, 3000, 1, 4).select((F.col("id") % 97).cast("double").alias("a"), F.col("id").cast("double").alias("b"))
+    assert P.histogram(df, ["a", "b"]).toPandas().groupby("feature")["n"].sum().to_dict() == {"a": 3000, "b": 3000}
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")         # no guess from the size
+    try:
+        assert "BroadcastHashJoin [feature" in P.histogram(df, ["a", "b"])._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
