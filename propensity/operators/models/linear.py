@@ -87,14 +87,18 @@ def _descend(grad: np.ndarray, hess: np.ndarray, beta: np.ndarray, lam: np.ndarr
 NEAR_PENALTY = 0.9
 
 
+#: Cells of rows x fits that a task holds at once; a Newton step keeps several arrays of them.
+BLOCK_CELLS = 400_000
+
+
 def _blocks(batch, mean: np.ndarray, sd: np.ndarray, fits: int):
     """Standardised features behind a one, labels, weights and folds, in blocks that suit so many fits."""
-    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean))
-    x = np.concatenate([np.ones((len(x), 1)), (x - mean) / sd], axis=1)
+    raw = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(mean))
     y, w, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "f"))
-    size = max(1, 4_000_000 // fits)
-    for a in range(0, len(x), size):
-        yield x[a:a + size], y[a:a + size, None], w[a:a + size, None], f[a:a + size, None]
+    size = max(1, BLOCK_CELLS // fits)
+    for a in range(0, len(raw), size):
+        x = np.concatenate([np.ones((len(raw[a:a + size]), 1)), (raw[a:a + size] - mean) / sd], axis=1)
+        yield x, y[a:a + size, None], w[a:a + size, None], f[a:a + size, None]
 
 
 class _PathFits:

@@ -232,3 +232,12 @@ def test_penalty_path_does_not_depend_on_partitions(spark, planted):
     assert np.allclose(few.cv_deviance, many.cv_deviance, rtol=1e-6)
     rows = tr.repartition(60).select(F.lit(0.0).alias("y"), F.lit(1.0).alias("w"), F.lit(0).alias("f"), F.array("x0").alias("x"))
     assert LIN._PathFits(rows, np.zeros(1), np.ones(1), 3).rows.rdd.getNumPartitions() <= 3
+
+
+def test_newton_blocks_are_bounded_by_fits():
+    import pyarrow as pa
+    n, fits = 10_000, 2610
+    batch = pa.RecordBatch.from_pydict({"x": pa.array([[float(i), 1.0] for i in range(n)]), "y": np.zeros(n), "w": np.ones(n),
+                                        "f": np.zeros(n, np.int32)})
+    sizes = [len(y) for _, y, _, _ in LIN._blocks(batch, np.zeros(2), np.ones(2), fits)]
+    assert sum(sizes) == n and max(sizes) * fits <= 500_000
