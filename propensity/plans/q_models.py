@@ -31,7 +31,7 @@ from propensity.plans.q_features import ART_SQL, COLLINEAR, V_SPEC, _IMPUTE_SQL,
 from propensity.plans.q_split import FOLD_PRIME, visit_key
 from propensity.plans.registry import register
 from propensity.plans.sql import ORDERS, VISITS, rounded, with_
-from propensity.session import checkpoint_dir
+from propensity.session import checkpoint_dir, written
 from propensity.sources import io as IO
 
 NB_F = FX.V_NUMERIC + ["is_returning"]
@@ -569,7 +569,7 @@ def final_comparison(spark, base):
     """The six models, loaded from packets, at their own thresholds, compared and ranked on the test visits."""
     path = _packet_path(spark)
     train_packets(spark, base, path)
-    scores = score_packets(spark, base, path)
+    scores = written(score_packets(spark, base, path), "scores")         # read more than once: the models score once
     thresholds = scores.select("model", "threshold").distinct()
     return EV.rank_models(EV.compare_models(scores.drop("threshold"), thresholds))
 

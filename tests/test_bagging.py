@@ -247,3 +247,11 @@ def test_equal_rows_are_merged_whatever_their_hash(monkeypatch):
     assert len(codes) <= 81 and rows.sum() == m.sum() and ones.sum() == (m * y).sum()
     monkeypatch.setattr(GR, "merged", lambda x, y, m: (x[m > 0], m[m > 0].astype(float), (m * y)[m > 0].astype(float)))
     assert all((a == b).all() for a, b in zip(want, GR.grow_here(x, y, m, GR.mix(2)[()], 0, GR.Rules(mtry=2), 3)))
+
+
+def test_a_saved_forest_is_a_row_per_subtree(spark, forest, tmp_path):
+    forest.save(spark, str(tmp_path / "f"))
+    saved = spark.read.parquet(str(tmp_path / "f" / "subtrees"))
+    assert saved.count() == saved.select("tree").distinct().count() == len(forest.nodes)
+    longest = saved.selectExpr("max(length(feature)) AS n").first()["n"]
+    assert longest == 2 * forest.nodes.sizes.max() < forest.nodes.sizes.sum() // 10
