@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propensity.operators.features import design_matrix
+from propensity.session import ship
 
 
 def positive_score(df: DataFrame, prob_col: str = "probability", out: str = "score") -> DataFrame:
@@ -216,6 +217,7 @@ def penalty_path_cv(train: DataFrame, features: Sequence[str], label: str = "lab
     shuffle does not grow with the partitions of ``train``. One more job reads
     the held-out deviance.
     """
+    ship(train.sparkSession)
     feats = list(features)
     m = weighted_moments(train, feats, label, weight)
     paths = {a: lambda_path(lambda_max(train, feats, label, weight, a, m), n_lambda) for a in alphas}
