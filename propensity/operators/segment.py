@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propensity.operators.features import design_matrix
+from propensity.session import ship
 
 
 def array_to_vector_df(df: DataFrame, col: str, out: str = "features") -> DataFrame:
@@ -166,8 +167,12 @@ def _spread(rows: DataFrame, runs: Sequence[int], seed: int) -> list[np.ndarray]
     Each distinct vector draws a waiting time with its number of rows times the
     squared distance to the run's centres so far as rate, made from its hash; the
     first one is the next centre. So copies count as often as they are there,
-    and the draw depends neither on partitions nor on the table's size.
+    and the draw depends neither on partitions nor on the table's size. Distances
+    are taken only for vectors that could still be first: a waiting time is at
+    least 1 - u over the rate, for its number u, and no distance to the nearest
+    centre exceeds that to one centre and on to the farthest of the others.
     """
+    ship(rows.sparkSession)
     each = rows.groupBy("x").agg(F.count(F.lit(1)).alias("w")).withColumn("h", F.xxhash64("x", F.lit(seed))).persist()
     starts: list[list] = [[] for _ in runs]
     for no in range(max(runs)):
@@ -177,22 +182,26 @@ def _spread(rows: DataFrame, runs: Sequence[int], seed: int) -> list[np.ndarray]
 
         def first(batches, no=no, open_runs=open_runs, known=known, salt=salt):
             time, place = np.full(len(open_runs), np.inf), [None] * len(open_runs)
+            reach = np.sqrt(((known - known[0, 0]) ** 2).sum(-1)).max() if no else 0.0
             for batch in batches:
                 flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
                 x = flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 0))
                 w, h = batch.column("w").to_numpy().astype(float), batch.column("h").to_numpy().view(np.uint64)
-                for lo in range(0, len(x), 1024):
-                    part = x[lo:lo + 1024]
-                    gap = np.ones((len(part), len(open_runs)))
-                    for c in range(no):
-                        far = sum((part[:, j, None] - known[:, c, j]) ** 2 for j in range(part.shape[1]))
-                        gap = far if c == 0 else np.minimum(gap, far)
-                    with np.errstate(divide="ignore"):
-                        wait = -np.log(_mixed(h[lo:lo + 1024, None] ^ salt)) / (w[lo:lo + 1024, None] * gap)
-                    at = wait.argmin(0)
-                    for i, t in enumerate(wait[at, np.arange(len(at))].tolist()):
-                        if t < time[i]:
-                            time[i], place[i] = t, part[at[i]].tolist()
+                ends = [0, *range(64, len(x), 512), len(x)]         # a few first: then there are times to beat
+                for lo, hi in zip(ends, ends[1:]):
+                    part, u = x[lo:hi], _mixed(h[lo:hi, None] ^ salt)
+                    with np.errstate(all="ignore"):
+                        most = w[lo:hi] * ((np.sqrt(((part - known[0, 0]) ** 2).sum(1)) + reach) ** 2 if no else 1.0) * (1 + 1e-6)
+                        r, run = np.nonzero(1 - u <= time * most[:, None])
+                        gap = np.ones(len(r))
+                        for c in range(no):
+                            far = sum((part[r, j] - known[run, c, j]) ** 2 for j in range(part.shape[1]))
+                            gap = far if c == 0 else np.minimum(gap, far)
+                        wait = -np.log(u[r, run]) / (w[lo + r] * gap)
+                    order = np.argsort(wait, kind="stable")
+                    for i, at in zip(*np.unique(run[order], return_index=True)):
+                        if wait[order[at]] < time[i]:
+                            time[i], place[i] = wait[order[at]], part[r[order[at]]].tolist()
             got = [k for k, x in enumerate(place) if x is not None]
             yield pa.RecordBatch.from_pydict({
                 "run": pa.array([open_runs[k] for k in got], pa.int64()), "t": pa.array(time[got], pa.float64()),
@@ -215,7 +224,8 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
     Every iteration is one job: each task sums its rows by nearest centre for
     all runs together and sends one row per centre, so 25 starts cost hardly
     more passes than one. Starts are spread by distance (k-means++) over all
-    rows, and every iteration runs over all rows. A centre that loses all of its rows stays where it is.
+    rows, and every iteration runs over all rows, for the runs whose centres still move.
+    A centre that loses all of its rows stays where it is.
     Rows with a null, NaN or infinite entry take no part; without rows there is no result. Distances are taken from
     the rows' mean, and costs from differences, so that points far from the origin lose no digits.
     """
@@ -227,43 +237,62 @@ def kmeans_runs(data: DataFrame, ks: Sequence[int], n_start: int, max_iter: int
     p = starts[0].shape[1]
     middle = rows.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]).first()
     shift = np.array([middle[f"m{j}"] for j in range(p)])
-    centres = np.concatenate(starts) - shift
-    edges = np.concatenate([[0], np.cumsum(runs)])
+    centres = [start - shift for start in starts]
     names = [f"s{j}" for j in range(p)]
+    ship(data.sparkSession)
 
-    def step(centres: np.ndarray):
-        """Per centre: rows, their sums, and the squared distance to it."""
+    def step(open_runs: Sequence[int], cost: bool = False) -> dict[int, np.ndarray]:
+        """Per run and centre: rows and their sums; for ``cost`` the squared distances to it instead of the sums."""
+        groups = [[i for i in open_runs if runs[i] == k] for k in sorted({runs[i] for i in open_runs})]
+        known = [np.stack([centres[i] for i in group]) for group in groups]        # runs x centres x columns
+        edges = np.cumsum([0] + [c.shape[0] * c.shape[1] for c in known])
 
         def sums(batches):
-            n, s, d = np.zeros(len(centres)), np.zeros((len(centres), p)), np.zeros(len(centres))
+            total = np.zeros((edges[-1], 1 + (1 if cost else p)))
             for batch in batches:
                 flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-                for x in np.array_split(flat.reshape(-1, p) - shift, max(1, len(flat) // p // 4096)):
-                    gap = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)
-                    for a, b in zip(edges, edges[1:]):
-                        near = gap[:, a:b].argmin(1)
-                        np.add.at(n, a + near, 1)
-                        np.add.at(d, a + near, ((x - centres[a + near]) ** 2).sum(1))
-                        np.add.at(s, a + near, x)
-            yield pa.RecordBatch.from_pydict({"c": pa.array(np.arange(len(centres))), "n": pa.array(n), "d": pa.array(d),
-                                              **{m: pa.array(s[:, j]) for j, m in enumerate(names)}})
-
-        found = rows.mapInArrow(sums, "c long, n double, d double, " + ", ".join(f"{m} double" for m in names))
-        total = found.groupBy("c").agg(*[F.sum(m).alias(m) for m in ("n", "d", *names)]).orderBy("c").toPandas()
-        return total["n"].to_numpy(), total[names].to_numpy(), total["d"].to_numpy()
-
+                for x in np.array_split(flat.reshape(-1, p) - shift, max(1, len(flat) // p // 512)):
+                    own = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+                    for a, b, c in zip(edges, edges[1:], known):
+                        flat_c = c.reshape(-1, p)
+                        gap = flat_c @ (2 * x).T
+                        np.subtract((x * x).sum(1), gap, out=gap)
+                        gap += (flat_c * flat_c).sum(1)[:, None]
+                        gap = gap.reshape(*c.shape[:2], len(x))
+                        near = gap == gap.min(axis=1)[:, None]
+                        if np.count_nonzero(near) > len(c) * len(x):        # several as near: the first one
+                            near &= np.cumsum(near, axis=1) == 1
+                        near = near.reshape(-1, len(x)).astype(float)
+                        if cost:
+                            far = sum((x[:, j] - flat_c[:, j, None]) ** 2 for j in range(p))
+                            total[a:b] += np.stack([near.sum(1), (near * far).sum(1)], axis=1)
+                        else:
+                            total[a:b] += near @ own
+            yield pa.RecordBatch.from_pydict({"c": pa.array(np.arange(len(total))), "n": pa.array(total[:, 0]),
+                                              **{m: pa.array(total[:, 1 + j]) for j, m in enumerate(given)}})
+
+        given = ["d"] if cost else names
+        found = rows.mapInArrow(sums, "c long, n double, " + ", ".join(f"{m} double" for m in given))
+        total = found.groupBy("c").agg(*[F.sum(m).alias(m) for m in ("n", *given)]).orderBy("c").toPandas()[["n", *given]].to_numpy()
+        each = [part for a, b, c in zip(edges, edges[1:], known) for part in total[a:b].reshape(len(c), c.shape[1], -1)]
+        return dict(zip([i for group in groups for i in group], each))
+
+    moving = list(range(len(runs)))
     for _ in range(max_iter):
-        n, s, d = step(centres)
-        moved = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], centres)
-        still = np.allclose(moved, centres, rtol=0, atol=1e-9)
-        centres = moved
-        if still:
+        for i, got in step(moving).items():
+            n, s = got[:, :1], got[:, 1:]
+            moved = np.where(n > 0, s / np.maximum(n, 1), centres[i])
+            if np.allclose(moved, centres[i], rtol=0, atol=1e-9):
+                moving.remove(i)
+            centres[i] = moved
+        if not moving:
             break
-    d = step(centres)[2]
+    costs = step(range(len(runs)), cost=True)
     out: dict[int, Clusters] = {}
-    for k, a, b in zip(runs, edges, edges[1:]):
-        if k not in out or d[a:b].sum() < out[k].cost:
-            out[k] = Clusters(centres[a:b] + shift, float(d[a:b].sum()))
+    for i, k in enumerate(runs):
+        cost = float(costs[i][:, 1].sum())
+        if k not in out or cost < out[k].cost:
+            out[k] = Clusters(centres[i] + shift, cost)
     return out
 
 
