@@ -4,12 +4,14 @@ Second-order boosting of the logistic loss with leaf penalties: L1 (``l1``), L2
 (``l2``), a least gain per split (``gamma``, applied from the leaves up after a
 tree is grown), a least hessian per leaf, row and column shares per round.
 
-Many boosters (trials, folds) grow in the same jobs. Nodes with more than
-``LOCAL_ROWS`` rows are split level by level: tasks add up gradient histograms
+Many boosters (trials, folds) grow in the same jobs. A tree on more than
+``LOCAL_ROWS`` rows is split level by level: tasks add up gradient histograms
 (booster x node x feature x bin), Spark adds up the tasks; the driver sees only
 those sums, whose size depends on the models' shape and not on the rows, and
-picks the splits. The rows of a smaller node go to one task, which grows the
-subtree from the same sums. Gradients are summed as integers
+picks the splits. Of two siblings only the one with fewer rows is summed, the
+other is the parent less that one. The rows of a smaller tree, or of a node with
+no more rows in a tree of more than ``SPREAD_DEPTH`` levels, go to one task, which
+grows the subtree from the same sums. Gradients are summed as integers
 (multiples of 2^-26), so sums, splits and trees are the same for any
 partitioning. Row shares are drawn per block and round.
 
@@ -35,12 +37,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from propensity.operators.models.binned import Bins, Block, Table, read_blocks, tree_sums
+from propensity.operators.models.binned import Bins, Table, tree_sums
 from propensity.operators.models.grower import Trees
 from propensity.session import ship, written
 
 SAVE_ROUNDS = 20
 LOCAL_ROWS = 100_000
+#: Trees of at most so many levels keep the small nodes of a wide tree with the others: no rows are sent.
+SPREAD_DEPTH = 8
+#: Blocks that a task holds as columns at once.
+CHUNK_BLOCKS = 32
+#: Levels and nodes up to which a tree is applied to whole columns, split by split.
+COLUMN_LEVELS, COLUMN_NODES = 8, 255
 SCORE_BINS = 4096
 _UNIT = float(1 << 26)
 _TOO_SMALL = 1e-6
@@ -159,20 +167,37 @@ class _Tree:
         self.p, self.local_rows, self.depth = p, local_rows, 0
         self.feature, self.cut, self.left, self.gain, self.g, self.h = [-1], [0], [0], [0.0], [0.0], [0.0]
         self.level, self.small = ([0], []) if rows > local_rows else ([], [(0, 0)])
+        self.spread = rows > local_rows and p.max_depth <= SPREAD_DEPTH
+        self.rest: dict[int, tuple[int, np.ndarray]] = {}       # a node of the level: its sibling there, their parent's sums
 
-    def split(self, found, rows: np.ndarray) -> None:
+    def asked(self) -> list[int]:
+        """The nodes of the level whose sums no sibling gives."""
+        return [n for n in self.level if n not in self.rest]
+
+    def whole(self, sums: np.ndarray) -> np.ndarray:
+        """Sums (3 x nodes x features x bins) of the level from those of the nodes asked for."""
+        known = {n: sums[:, i] for i, n in enumerate(self.asked())}
+        known |= {n: parent - known[other] for n, (other, parent) in self.rest.items()}
+        return np.stack([known[n] for n in self.level], axis=1)
+
+    def split(self, found, rows: np.ndarray, sums: np.ndarray | None = None) -> None:
         """The wide nodes' best splits; ``rows``: nodes x features x bins counts. Children are the next level or small."""
-        nxt, self.depth = [], self.depth + 1
+        nxt, self.depth, self.rest = [], self.depth + 1, {}
         for i, (node, f, c, gain, lg, lh) in enumerate(zip(self.level, *found)):
             if gain <= 0:
                 continue
             self.feature[node], self.cut[node], self.left[node], self.gain[node] = int(f), int(c), len(self.feature), float(gain)
-            left = int(rows[i, f, :c + 1].sum())
-            for g, h, n in ((lg, lh, left), (self.g[node] - lg, self.h[node] - lh, int(rows[i, f].sum()) - left)):
+            left, first = int(rows[i, f, :c + 1].sum()), len(self.feature)
+            right = int(rows[i, f].sum()) - left
+            for g, h, n in ((lg, lh, left), (self.g[node] - lg, self.h[node] - lh, right)):
                 if self.depth < self.p.max_depth:
-                    nxt.append(len(self.feature)) if n > self.local_rows else self.small.append((len(self.feature), self.depth))
+                    wide = self.spread or n > self.local_rows
+                    nxt.append(len(self.feature)) if wide else self.small.append((len(self.feature), self.depth))
                 for store, v in zip((self.feature, self.cut, self.left, self.gain, self.g, self.h), (-1, 0, 0, 0.0, float(g), float(h))):
                     store.append(v)
+            if sums is not None and nxt[-2:] == [first, first + 1]:
+                less, more = (first, first + 1) if left <= right else (first + 1, first)
+                self.rest[more] = less, sums[:, i]
         self.level = nxt
 
     def graft(self, node: int, arrays: Sequence[np.ndarray]) -> None:
@@ -233,6 +258,76 @@ def _margin_of(margin: np.ndarray, x: np.ndarray, trees: Sequence[tuple]) -> np.
     return margin
 
 
+def _tagged(tags: np.ndarray, values) -> np.ndarray:
+    return np.logical_or.reduce([tags == v for v in values]) if values else np.zeros(len(tags), bool)
+
+
+class _Chunk:
+    """Some blocks in a task as columns, with the margins of all boosters as saved."""
+
+    def __init__(self, part: pa.RecordBatch, p: int, tags: Sequence[str], n: int, two: np.ndarray):
+        ys = [np.frombuffer(v, np.uint8) for v in part.column("y").to_pylist()]
+        self.numbers, self.sizes, self.y = part.column("block").to_pylist(), [len(y) for y in ys], np.concatenate(ys)
+        self.columns = np.concatenate([np.frombuffer(v, np.uint8).reshape(-1, p) for v in part.column("x").to_pylist()]).T.copy()
+        self.tags = {t: np.concatenate([np.frombuffer(v, np.int32) for v in part.column(f"tag_{t}").to_pylist()]) for t in tags}
+        self.start = np.concatenate([np.frombuffer(v, float).reshape(n, -1) for v in part.column("margin").to_pylist()], axis=1) \
+            if "margin" in part.schema.names else np.zeros((n, len(self.y)))
+        self._two, self._ones, self._above = two, None, {}
+
+    def ones(self) -> np.ndarray:
+        """The features of two bins, as numbers to multiply with."""
+        if self._ones is None:
+            self._ones = self.columns[self._two].astype(float)
+        return self._ones
+
+    def above(self, feature: int, cut: int) -> np.ndarray:
+        """Which rows are above the cut, a bit each; trees share most of their cuts."""
+        if (feature, cut) not in self._above:
+            self._above[feature, cut] = np.packbits(self.columns[feature] > cut)
+        return self._above[feature, cut]
+
+    def leaf_values(self, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """The value of every row's leaf: bit d of a row's way says whether it goes right at level d (0 below its leaf)."""
+        f, c, to, planes, ends, open_ = feature.tolist(), cut.tolist(), left.tolist(), [], {}, [(0, None, 0, 0)]
+        if len(f) > COLUMN_NODES:
+            return _margin_of(np.zeros(len(self.y)), self.columns.T, [(feature, cut, left, value)])
+        while open_:
+            node, here, level, way = open_.pop()
+            if f[node] < 0:
+                ends[way] = node
+                continue
+            if level == COLUMN_LEVELS:
+                return _margin_of(np.zeros(len(self.y)), self.columns.T, [(feature, cut, left, value)])
+            right = self.above(f[node], c[node])
+            right = right if here is None else here & right
+            if level == len(planes):
+                planes.append(right)
+            else:
+                planes[level] = planes[level] | right
+            open_ += [(to[node] + 1, right, level + 1, way | 1 << level),
+                      (to[node], ~right if here is None else here ^ right, level + 1, way)]
+        if not planes:
+            return np.full(len(self.y), value[0])
+        bits = np.unpackbits(np.stack(planes), axis=1, count=len(self.y))
+        ways = bits[0]
+        for level in range(1, len(bits)):
+            ways |= bits[level] << level
+        table = np.zeros(1 << len(planes), value.dtype)
+        table[list(ends)] = value[list(ends.values())]
+        return table.take(ways)
+
+    def margin(self, k: int, trees: Sequence[tuple]) -> np.ndarray:
+        out = self.start[k].copy()
+        for tree in trees:
+            out += self.leaf_values(*tree)
+        return out
+
+    def drawn(self, p: Params, round_: int) -> np.ndarray:
+        if p.subsample >= 1:
+            return np.ones(len(self.y), bool)
+        return np.concatenate([drawn_rows(p, round_, b, n) for b, n in zip(self.numbers, self.sizes)])
+
+
 class Boosting:
     """Boosters that grow together on one table; ``tag`` names the integer column that ``Spec.train`` and ``held`` speak of."""
 
@@ -242,27 +337,28 @@ class Boosting:
         self.history: list[list[dict]] = [[] for _ in specs]
         self.active = list(range(len(specs)))
         self.blocks, self.saved = table.blocks, 0
+        self.two = np.array([j for j, c in enumerate(table.bins.cuts) if len(c) == 1], np.int64)
 
     @property
     def rounds(self) -> int:
         return max((len(b.trees) for b in self.boosters), default=0)
 
-    def _map(self, fn: Callable, schema) -> DataFrame:
-        """``fn`` over (block, margins of all boosters) of a task."""
-        names, p, n = self.table.tags, len(self.table.bins.features), len(self.specs)
+    def _map(self, fn: Callable, schema, keep: Sequence[str] = ()) -> DataFrame:
+        """``fn`` over (blocks with the columns ``keep`` besides, their chunk, margins of all boosters) of a task."""
+        names, p, n, two = self.table.tags, len(self.table.bins.features), len(self.specs), self.two
         since = [b.trees[self.saved:] for b in self.boosters]
-        has = "margin" in self.blocks.columns
+        used = ["block", "x", "y", *[f"tag_{t}" for t in names], *(["margin"] if "margin" in self.blocks.columns else [])]
         ship(self.table.spark)
 
         def rows(batches):
             for batch in batches:
-                for i in range(batch.num_rows):
-                    row = batch.slice(i, 1)
-                    block = next(read_blocks([row], p, names))
-                    start = np.frombuffer(row.column("margin")[0].as_py(), float).reshape(n, -1) if has else np.zeros((n, len(block.y)))
-                    yield row, block, [lambda s=s, k=k: _margin_of(s, block.x, since[k]) for k, s in enumerate(start)]
+                for lo in range(0, batch.num_rows, CHUNK_BLOCKS):
+                    part = batch.slice(lo, CHUNK_BLOCKS)
+                    chunk = _Chunk(part, p, names, n, two)
+                    yield part, chunk, [lambda k=k, chunk=chunk: chunk.margin(k, since[k]) for k in range(n)]
 
-        return self.blocks.mapInArrow(lambda batches: fn(rows(batches)), schema)
+        blocks = self.blocks.select(*used, *[c for c in keep if c not in used])
+        return blocks.mapInArrow(lambda batches: fn(rows(batches)), schema)
 
     def save(self) -> None:
         """Writes the blocks with the margins so far."""
@@ -271,70 +367,84 @@ class Boosting:
         plain = self.table.blocks.columns
 
         def run(rows):
-            for row, _, margins in rows:
-                got = np.stack([m() for m in margins]) if margins else np.zeros((0, 0))
-                yield pa.RecordBatch.from_arrays([*[row.column(c) for c in plain], pa.array([got.tobytes()], pa.binary())],
-                                                 names=[*plain, "margin"])
+            for part, chunk, margins in rows:
+                got = np.stack([m() for m in margins]) if margins else np.zeros((0, len(chunk.y)))
+                ends = np.cumsum(chunk.sizes)
+                own = [got[:, end - n:end].tobytes() for end, n in zip(ends, chunk.sizes)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in plain], pa.array(own, pa.binary())], names=[*plain, "margin"])
 
-        self.blocks, self.saved = written(self._map(run, schema), "margins"), self.rounds
+        self.blocks, self.saved = written(self._map(run, schema, plain), "margins"), self.rounds
 
     def _rows(self, trees: dict[int, _Tree], first: bool):
-        """A function over a block: per booster the rows on open nodes (node place, codes, g, h), and held-out sums if ``first``."""
+        """A function over a chunk: per booster the rows on open nodes (node place, rows, g, h), and held-out sums if ``first``."""
         tag, specs, round_ = self.tag, self.specs, self.rounds_now
         held = {k for k in self.active if specs[k].held is not None and first and len(self.history[k]) < len(self.boosters[k].trees)}
-        at = {k: (np.array(t.feature, np.int32), np.array(t.cut, np.int32), np.array(t.left, np.int64), np.arange(len(t.feature), dtype=float),
-                  t.level or [n for n, _ in t.small], t.p) for k, t in trees.items()}
+        at = {k: (np.array(t.feature, np.int32), np.array(t.cut, np.int32), np.array(t.left, np.int64),
+                  t.asked() if t.level else [n for n, _ in t.small], t.p) for k, t in trees.items()}
 
-        def of(block: Block, margins):
-            tags = block.tags[tag] if tag else None
+        def of(chunk: _Chunk, margins):
+            tags = chunk.tags[tag] if tag else None
             for k in sorted(set(at) | held):
                 with np.errstate(over="ignore"):
                     prob = 1 / (1 + np.exp(-margins[k]()))
                 seen = own = None
                 if k in held:
-                    here = np.isin(tags, list(specs[k].held))
+                    here = _tagged(tags, specs[k].held)
                     score = np.minimum((prob[here] * SCORE_BINS).astype(np.int64), SCORE_BINS - 1)
-                    y = block.y[here]
+                    y = chunk.y[here]
                     sure = np.clip(np.where(y == 1, prob[here], 1 - prob[here]), 1e-16, 1)
                     loss = int(np.rint(-np.log(sure) * _UNIT).astype(np.int64).sum())
                     seen = np.stack([np.append(np.bincount(score[y == 0], minlength=SCORE_BINS), loss),
                                      np.append(np.bincount(score[y == 1], minlength=SCORE_BINS), len(y))]).astype(np.int64)
                 if k in at:
-                    feature, cut, left, number, places, params = at[k]
-                    mine = np.ones(len(block.y), bool) if specs[k].train is None else np.isin(tags, list(specs[k].train))
-                    rows = np.flatnonzero(mine & drawn_rows(params, round_, block.number, len(block.y)))
-                    node = _margin_of(np.zeros(len(rows)), block.x[rows], [(feature, cut, left, number)]).astype(np.int64)
+                    feature, cut, left, places, params = at[k]
                     slot = np.full(len(feature), -1, np.int64)
                     slot[places] = np.arange(len(places))
-                    rows, node = rows[slot[node] >= 0], slot[node[slot[node] >= 0]]
-                    w = np.where(block.y[rows] == 1, params.scale_pos, 1.0)
-                    pr = prob[rows]
-                    own = (node, block.x[rows], np.rint((pr - block.y[rows]) * w * _UNIT),
-                           np.rint(np.maximum(pr * (1 - pr), 1e-16) * w * _UNIT))
+                    node = chunk.leaf_values(feature, cut, left, slot).astype(np.int64)
+                    mine = (node >= 0) & chunk.drawn(params, round_)
+                    if specs[k].train is not None:
+                        mine &= _tagged(tags, specs[k].train)
+                    rows = np.flatnonzero(mine)
+                    y, pr = chunk.y[rows], prob[rows]
+                    w = np.where(y == 1, params.scale_pos, 1.0)
+                    own = (node[rows], rows, np.rint((pr - y) * w * _UNIT), np.rint(np.maximum(pr * (1 - pr), 1e-16) * w * _UNIT))
                 yield k, own, seen
 
         return of, held
 
     def _sums(self, trees: dict[int, _Tree], first: bool) -> tuple[dict[int, np.ndarray], dict[int, dict]]:
-        """Histograms of the wide nodes (booster: (g, h, rows) x nodes x features x bins), and held-out measures if ``first``."""
-        p, width = len(self.table.bins.features), self.table.bins.width
+        """Histograms of the wide nodes (booster: (g, h, rows) x nodes x features x bins, of the features drawn for the round),
+        and held-out measures if ``first``."""
+        p, width, two = len(self.table.bins.features), self.table.bins.width, self.two
         of, held = self._rows(trees, first)
-        sizes = {k: len(t.level) * p * width for k, t in trees.items()}
+        nodes = {k: len(t.asked()) for k, t in trees.items()}
+        more = {k: np.setdiff1d(np.flatnonzero(drawn_features(t.p, self.rounds_now, p)), two) for k, t in trees.items()}
 
         def run(rows):
-            total = {k: np.zeros((3, size), np.int64) for k, size in sizes.items()}
+            total = {k: np.zeros((3, n, p, width), np.int64) for k, n in nodes.items()}
             seen = {k: np.zeros((3, SCORE_BINS + 1), np.int64) for k in held}
-            for _, block, margins in rows:
-                for k, own, measured in of(block, margins):
+            for _, chunk, margins in rows:
+                for k, own, measured in of(chunk, margins):
                     if measured is not None:
                         seen[k][:2] += measured
                     if own is not None:
-                        node, x, g, h = own
-                        cell = ((node[:, None] * p + np.arange(p)) * width + x).ravel()
-                        for i, v in enumerate((np.repeat(g, p), np.repeat(h, p), None)):
-                            total[k][i] += np.bincount(cell, v, sizes[k]).astype(np.int64)
+                        node, at, g, h = own
+                        if len(two):                        # of two bins: the upper one by a product, the lower one is the rest
+                            parts = np.zeros((3, nodes[k], len(chunk.y)))
+                            for i, v in enumerate((g, h, 1.0)):
+                                parts[i, node, at] = v
+                            upper = parts.reshape(-1, len(chunk.y)) @ chunk.ones().T
+                            upper = upper.astype(np.int64).reshape(3, nodes[k], -1)
+                            total[k][:, :, two, 0] += parts.sum(axis=2).astype(np.int64)[:, :, None] - upper
+                            total[k][:, :, two, 1] += upper
+                        base, cells = node * width, nodes[k] * width
+                        for j in more[k]:
+                            cell = base + chunk.columns[j][at]
+                            for i, v in enumerate((g, h, None)):
+                                total[k][i, :, j] += np.bincount(cell, v, cells).astype(np.int64).reshape(-1, width)
             for kind, sums in ((0, total), (1, seen)):
                 for k, s in sums.items():
+                    s = s.reshape(3, -1)
                     cells = np.flatnonzero(s.any(axis=0))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(cells), kind, np.int32)), pa.array(np.full(len(cells), k, np.int32)),
@@ -350,7 +460,7 @@ class Boosting:
                 flat[i, cell[rows]] = sums[i][rows]
             return flat
 
-        out = {k: of_one(0, k, size).reshape(3, -1, p, width) for k, size in sizes.items()}
+        out = {k: t.whole(of_one(0, k, nodes[k] * p * width).reshape(3, -1, p, width)) for k, t in trees.items()}
         return out, {k: measures(*of_one(1, k, SCORE_BINS + 1)[:2]) for k in held}
 
     def _finish(self, trees: dict[int, _Tree], first: bool) -> dict[int, dict]:
@@ -363,13 +473,14 @@ class Boosting:
             groups += [(k, node, depth, t.p, drawn_features(t.p, round_, n_features)) for node, depth in t.small]
 
         def send(rows):
-            for _, block, margins in rows:
+            for _, chunk, margins in rows:
                 out = []
-                for k, own, measured in of(block, margins):
+                for k, own, measured in of(chunk, margins):
                     if measured is not None:
                         out.append((-1 - k, b"", measured[0].tobytes(), measured[1].tobytes()))
                     if own is not None:
-                        node, x, g, h = own
+                        node, at, g, h = own
+                        x = chunk.columns.T[at]
                         for place in np.unique(node):
                             mine = node == place
                             out.append((base[k] + int(place), x[mine].tobytes(), g[mine].astype(np.int64).tobytes(),
@@ -422,9 +533,10 @@ class Boosting:
                 for k, t in wide.items():
                     if k in trees:
                         g, h = sums[k][:2].astype(float) / _UNIT
+                        allowed = drawn_features(t.p, self.rounds_now, g.shape[1])
                         if t.depth == 0:
-                            t.g[0], t.h[0] = float(g[0, 0].sum()), float(h[0, 0].sum())
-                        t.split(best_gains(g, h, drawn_features(t.p, self.rounds_now, g.shape[1]), t.p), sums[k][2])
+                            t.g[0], t.h[0] = (float(v[0, allowed.argmax()].sum()) for v in (g, h))
+                        t.split(best_gains(g, h, allowed, t.p), sums[k][2], sums[k])
             if any(t.small for t in trees.values()):
                 self._measured(self._finish({k: t for k, t in trees.items() if t.small}, first), trees, patience, measure)
             for k, t in trees.items():

@@ -175,3 +175,51 @@ def test_no_rows_and_one_class(spark, planted):
     assert b.score(planted).where("score <> 0.5").count() == 0
     one = BO.fit_booster(BN.binned_table(planted.where("label = 0"), FEATS, "id"), BO.Params(), 2)
     assert one.score(planted).where("score < 0.5").count() == planted.count()
+
+
+def random_tree(rng, depth, stop):
+    feature, cut, left, open_ = [-1], [0], [0], [(0, 0)]
+    while open_:
+        node, level = open_.pop()
+        if level < depth and (level == 0 or rng.random() > stop):
+            feature[node], cut[node], left[node] = int(rng.integers(0, len(FEATS))), int(rng.integers(0, 31)), len(feature)
+            open_ += [(len(feature), level + 1), (len(feature) + 1, level + 1)]
+            feature, cut, left = feature + [-1, -1], cut + [0, 0], left + [0, 0]
+    return np.array(feature, np.int32), np.array(cut, np.int32), np.array(left, np.int64), rng.normal(size=len(feature))
+
+
+@pytest.mark.parametrize("depth, stop", [(0, 0.0), (1, 0.0), (4, 0.0), (6, 0.3), (8, 0.0), (11, 0.4)])
+def test_trees_applied_to_columns_equal_trees_applied_to_rows(depth, stop):
+    import pyarrow as pa
+    rng = np.random.default_rng(depth)
+    x = [rng.integers(0, 32, size=(n, len(FEATS))).astype(np.uint8) for n in (301, 40, 1)]
+    part = pa.RecordBatch.from_pydict({"block": [4, 5, 9], "x": [v.tobytes() for v in x], "y": [bytes(len(v)) for v in x]})
+    chunk = BO._Chunk(part, len(FEATS), (), 2, np.zeros(0, np.int64))
+    trees = [random_tree(rng, depth, stop) for _ in range(3)]
+    assert np.array_equal(chunk.margin(1, trees), BO._margin_of(np.zeros(342), np.concatenate(x), trees))
+    p = BO.Params(subsample=0.5)
+    assert np.array_equal(chunk.drawn(p, 3), np.concatenate([BO.drawn_rows(p, 3, b, len(v)) for b, v in zip((4, 5, 9), x)]))
+
+
+def test_small_nodes_of_a_wide_tree_send_no_rows_and_siblings_are_summed_once(planted, monkeypatch):
+    with_two = planted.withColumn("x4", (F.col("x4") > 0.2).cast("double"))              # a feature of two bins
+    table = BN.binned_table(with_two, FEATS, "id", tags=["fold"], block_rows=300)
+    specs = [BO.Spec(BO.Params(max_depth=4, gamma=1.0, subsample=0.8, colsample=0.7, l2=0.5), frozenset({0, 1, 2, 3}) - {f}, frozenset([f]))
+             for f in (0, 1)]
+    here = BO.Boosting(table, specs, "fold").run(3)                                      # whole trees by one task each
+    monkeypatch.setattr(BO, "LOCAL_ROWS", 400)
+    asked, sums, finish, sent = [], BO.Boosting._sums, BO.Boosting._finish, []
+    monkeypatch.setattr(BO.Boosting, "_sums", lambda self, trees, first: asked.extend(
+        (len(t.asked()), len(t.level)) for t in trees.values()) or sums(self, trees, first))
+    monkeypatch.setattr(BO.Boosting, "_finish", lambda self, trees, first: sent.append(1) or finish(self, trees, first))
+    spread = BO.Boosting(table, specs, "fold").run(3)
+    assert not sent and all(a <= max(1, (n + 1) // 2) for a, n in asked if n % 2 == 0) and max(n for _, n in asked) >= 4
+    monkeypatch.setattr(BO, "SPREAD_DEPTH", 0)
+    mixed = BO.Boosting(table, specs, "fold").run(3)
+    assert sent
+    x = np.random.default_rng(0).integers(0, 32, size=(4000, len(FEATS))).astype(np.uint8)
+    for a, b, c in zip(here.boosters, spread.boosters, mixed.boosters):
+        for s, t, u in zip(a.trees, b.trees, c.trees):
+            want = BO._margin_of(np.zeros(len(x)), x, [s])
+            assert (want == BO._margin_of(np.zeros(len(x)), x, [t])).all() and (want == BO._margin_of(np.zeros(len(x)), x, [u])).all()
+    assert here.history == spread.history == mixed.history
