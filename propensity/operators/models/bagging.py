@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from propensity.operators import evaluate as EV
 from propensity.operators.models import binned
 from propensity.operators.models.binned import Bins, Block, Table, binned_table, pass_sums, read_blocks
-from propensity.operators.models.grower import SUBTREE_SCHEMA, Draws, Lean, Rules, StoredTrees, Trees, grow_stored
+from propensity.operators.models.grower import _SUBTREE, SUBTREE_SCHEMA, Draws, Lean, Rules, StoredTrees, Told, Trees, grow_stored
 from propensity.session import ship, written
 
 EPS = 2.220446049250313e-16   # fixed value: machine epsilon used for log(0)
@@ -121,7 +121,7 @@ class Forest:
         spark.createDataFrame(tops, _TOP_SCHEMA).write.mode("overwrite").parquet(f"{path}/tops")
         first, last = self.nodes.shift, self.nodes.shift + len(self.nodes) - 1
         subtrees = spark.createDataFrame([], SUBTREE_SCHEMA) if self.nodes.subtrees is None \
-            else self.nodes.subtrees.where(F.col("tree").between(first, last))
+            else self.nodes.subtrees.where(F.col("tree").between(first, last)).select(_SUBTREE)
         subtrees.write.mode("overwrite").parquet(f"{path}/subtrees")
 
     @staticmethod
@@ -142,12 +142,29 @@ _TOP = {"feature": np.int32, "cut": np.int32, "left": np.int64, "n0": np.int64,
 _TOP_SCHEMA = "tree int, nodes long, " + ", ".join(f"{c} binary" for c in _TOP)
 
 
-def passes_of(forests: Sequence[Forest]) -> Iterator[list[tuple[int, int, Lean]]]:
-    """Bounded lots of (number of the forest, its first tree of the lot, trees)."""
+def voters(table: Table, forest: Forest) -> Iterator[tuple[int, Lean | Told]]:
+    """``passes`` of a forest to vote on the table's rows: by their codes, if the trees were grown from the table's codes."""
+    codes = forest.nodes.codes
+    return forest.nodes.told() if codes is not None and codes is table._distinct[1] else forest.nodes.passes()
+
+
+def votes_on(grown: Lean | Told, x: np.ndarray, unseen: np.ndarray) -> np.ndarray:
+    """trees x rows: the trees' votes on rows they have not seen, 0 on others."""
+    if isinstance(grown, Told):
+        return grown.of(x) & unseen
+    out = np.zeros(unseen.shape, dtype=np.uint8)
+    for t in range(len(grown)):
+        rows = np.flatnonzero(unseen[t])
+        out[t, rows] = grown.value.take(grown.leaf(x, t, rows))
+    return out
+
+
+def passes_of(table: Table, forests: Sequence[Forest]) -> Iterator[list[tuple[int, int, Lean | Told]]]:
+    """Bounded lots of (number of the forest, its first tree of the lot, voters on the table's rows)."""
     lot, size = [], 0
     for number, forest in enumerate(forests):
-        for first, trees in forest.nodes.passes():
-            more = len(trees.feature) * binned.NODE_BYTES
+        for first, trees in voters(table, forest):
+            more = trees.bits.nbytes if isinstance(trees, Told) else len(trees.feature) * binned.NODE_BYTES
             if lot and size + more > binned.PASS_BYTES:
                 yield lot
                 lot, size = [], 0
@@ -223,22 +240,21 @@ def oob_votes(table: Table, forests: Sequence[Forest], key: str = "key") -> Data
         numbers = list(dict.fromkeys(number for number, _, _ in lot))
 
         def run(block: Block):
-            drawn = {i: unlike[i].counts(block) for i in {drawn_by[number] for number in numbers}}
+            unseen = {i: unlike[i].counts(block) == 0 for i in {drawn_by[number] for number in numbers}}
             n = len(block.y)
             for number in numbers:
                 votes, trees = np.zeros(n, np.int64), np.zeros(n, np.int64)
                 for _, first, grown in (part for part in lot if part[0] == number):
-                    for t in range(len(grown)):
-                        rows = np.flatnonzero(drawn[drawn_by[number]][first + t] == 0)
-                        votes[rows] += grown.value.take(grown.leaf(block.x, t, rows))
-                        trees[rows] += 1
+                    own = unseen[drawn_by[number]][first:first + len(grown)]
+                    votes += votes_on(grown, block.x, own).sum(axis=0, dtype=np.int64)
+                    trees += own.sum(axis=0)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, number, np.int32)), block.keys, pa.array(block.y.astype(float)), pa.array(votes), pa.array(trees),
                     pa.array(np.full(n, block.number, np.int32)), pa.array(np.arange(n, dtype=np.int32))], names=schema.names)
 
         return table.map(run, schema)
 
-    got, several = over_passes(passes_of(forests), one)
+    got, several = over_passes(passes_of(table, forests), one)
     if several:
         got = got.groupBy("forest", "_block", "_row").agg(F.first(key).alias(key), F.first("label").alias("label"),
                                                           F.sum("votes").alias("votes"), F.sum("trees").alias("trees"))
@@ -251,28 +267,25 @@ def oob_error_path(table: Table, forest: Forest) -> DataFrame:
 
     Passes after the first start from the votes that the earlier trees have left (two numbers a row, in a table by block).
     """
-    draws, lots = forest.draws, forest.nodes.passes()
+    draws, lots = forest.draws, voters(table, forest)
     parts, before = [], None
     names, p = table.tags, len(table.bins.features)
 
-    def one(first: int, grown: Lean, source: DataFrame):
+    def one(first: int, grown: Lean | Told, source: DataFrame):
         def run(batches):
             for batch in batches:
                 held = batch.column("votes") if "votes" in batch.schema.names else None
                 for i, block in enumerate(read_blocks([batch], p, names)):
-                    counts, n = draws.counts(block), len(block.y)
+                    unseen, n = draws.counts(block)[first:first + len(grown)] == 0, len(block.y)
                     votes, trees = np.zeros((2, n), np.int32) if held is None else \
-                        np.frombuffer(held[i].as_py(), np.int32).reshape(2, n).copy()
-                    wrong, rows_ = np.zeros(len(grown), np.int64), np.zeros(len(grown), np.int64)
-                    for t in range(len(grown)):
-                        rows = np.flatnonzero(counts[first + t] == 0)
-                        votes[rows] += grown.value.take(grown.leaf(block.x, t, rows))
-                        trees[rows] += 1
-                        known = trees > 0
-                        wrong[t] = np.count_nonzero(((2 * votes > trees) != (block.y == 1)) & known)
-                        rows_[t] = np.count_nonzero(known)
+                        np.frombuffer(held[i].as_py(), np.int32).reshape(2, n)
+                    votes = votes + np.cumsum(votes_on(grown, block.x, unseen), axis=0, dtype=np.int32)      # after each tree
+                    trees = trees + np.cumsum(unseen, axis=0, dtype=np.int32)
+                    known = trees > 0
+                    wrong = np.count_nonzero(((2 * votes > trees) != (block.y == 1)) & known, axis=1)
+                    rows_ = np.count_nonzero(known, axis=1)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([block.number], pa.int32()), pa.array([np.stack([votes, trees]).astype(np.int32).tobytes()], pa.binary()),
+                        pa.array([block.number], pa.int32()), pa.array([np.stack([votes[-1], trees[-1]]).tobytes()], pa.binary()),
                         pa.array([wrong.tolist()], pa.list_(pa.int64())), pa.array([rows_.tolist()], pa.list_(pa.int64()))],
                         names=["block", "votes", "wrong", "rows"])
 

@@ -16,7 +16,7 @@ left out. A null or NaN value is below every other.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,59 @@ BLOCK_ROWS = 1024
 #: Bytes of nodes that a scoring pass sends to the tasks; a larger model is scored in passes.
 PASS_BYTES = 128 << 20
 NODE_BYTES = 8
+#: Rows that a scoring task holds to score those of equal codes once.
+LOT_ROWS = 1 << 17
+#: Bytes of a table's distinct codes that the driver and a task hold.
+CODE_BYTES = 64 << 20
+
+_C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def mix(x) -> np.ndarray:
+    """A 64-bit hash of integers."""
+    with np.errstate(over="ignore"):
+        x = np.asarray(x, dtype=np.uint64) + _C1
+        x = (x ^ (x >> np.uint64(30))) * _C2
+        x = (x ^ (x >> np.uint64(27))) * _C3
+        return x ^ (x >> np.uint64(31))
+
+
+def marks_of(x: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of codes."""
+    mark = np.zeros(len(x), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j, factor in enumerate(mix(np.arange(x.shape[1]))):
+            mark += x[:, j] * (factor | np.uint64(1))
+    return mark
+
+
+def distinct_rows(x: np.ndarray) -> np.ndarray:
+    """Rows in the order of their hash, without those that equal the one before them; none that differs is lost."""
+    x = x[np.argsort(marks_of(x), kind="stable")]
+    return x[np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)])] if len(x) else x
+
+
+def one_of_each(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that stand for all rows of equal codes, and which of them stands for each row."""
+    _, first, place = np.unique(marks_of(x), return_index=True, return_inverse=True)
+    if (x[first][place] != x).any():                            # two codes of one hash
+        return np.arange(len(x)), np.arange(len(x))
+    return first, place
+
+
+@dataclass(frozen=True, eq=False)
+class Codes:
+    """The distinct code vectors of a table, ascending by a hash that is another for each of them."""
+
+    x: np.ndarray
+    marks: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.marks)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """The place of each row's codes, which must be among them."""
+        return np.searchsorted(self.marks, marks_of(x))
 
 
 @dataclass(frozen=True)
@@ -92,6 +145,7 @@ class Table:
     bins: Bins
     counts: np.ndarray
     tags: tuple[str, ...]
+    _distinct: tuple[int, Codes | None] = field(default=(-1, None), repr=False)
 
     @property
     def spark(self):
@@ -101,6 +155,40 @@ class Table:
     def totals(self) -> np.ndarray:
         return self.counts.sum(axis=0)
 
+    def distinct(self, most: int) -> Codes | None:
+        """The distinct codes, or None where there are more than ``most`` of them or than ``CODE_BYTES`` hold."""
+        p = len(self.bins.features)
+        most = min(most, CODE_BYTES // max(p, 1))
+        asked, codes = self._distinct
+        if codes is None and asked < most:
+            codes = self._find_distinct(most) if p else None
+            self._distinct = most, codes
+        return codes if codes is not None and len(codes) <= most else None
+
+    def _find_distinct(self, most: int) -> Codes | None:
+        p = len(self.bins.features)
+
+        def run(blocks):
+            held, waiting, n = np.zeros((0, p), np.uint8), [], 0
+            for block in blocks:
+                waiting.append(block.x)
+                n += len(block.x)
+                if n > max(len(held), 1 << 16):
+                    held, waiting, n = distinct_rows(np.concatenate([held, *waiting])), [], 0
+                    if len(np.unique(marks_of(held))) > most:        # enough to know that there are too many
+                        break
+            held = distinct_rows(np.concatenate([held, *waiting]))
+            yield pa.RecordBatch.from_pydict({"x": pa.array([r.tobytes() for r in held], pa.binary())})
+
+        got = self.map_task(run, "x binary").distinct().limit(most + 1).toArrow().column("x")
+        if not 0 < len(got) <= most:
+            return None
+        x = np.frombuffer(b"".join(got.to_pylist()), np.uint8).reshape(-1, p)
+        marks = marks_of(x)
+        order = np.argsort(marks, kind="stable")
+        x, marks = x[order], marks[order]
+        return Codes(x, marks) if (marks[1:] > marks[:-1]).all() else None      # two codes of one hash: not told apart
+
     def map(self, fn: Callable[[Block], Iterator[pa.RecordBatch]], schema) -> DataFrame:
         """``fn`` over every block."""
         names, p = self.tags, len(self.bins.features)
@@ -205,12 +293,29 @@ def _one_pass(df: DataFrame, trees, bins: Bins, out: str) -> DataFrame:
     names = df.columns
     rows = df.withColumn("_x", F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for f in bins.features]))
 
+    def scored(lot: list[pa.RecordBatch]):
+        x = np.concatenate([bins.codes(b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(bins.features)))
+                            for b in lot])
+        total = np.concatenate([b.column(out).to_numpy(zero_copy_only=False) for b in lot])
+        whole = trees.value.dtype.kind in "ui"                  # sums in any order are the same
+        first, place = one_of_each(x) if whole or not total.any() else (np.arange(len(x)), np.arange(len(x)))
+        x, sums = x[first], np.zeros(len(first)) if whole else total[first]
+        for t in range(len(trees)):
+            sums += trees.value.take(trees.leaf(x, t))
+        total, a = total + sums[place] if whole else sums[place], 0
+        for b in lot:
+            yield pa.RecordBatch.from_arrays([pa.array(total[a:a + b.num_rows]) if n == out else b.column(n) for n in names], names=names)
+            a += b.num_rows
+
     def run(batches):
+        lot, n = [], 0
         for batch in batches:
-            x = bins.codes(batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(bins.features)))
-            total = batch.column(out).to_numpy(zero_copy_only=False).copy()
-            for t in range(len(trees)):
-                total += trees.value.take(trees.leaf(x, t))
-            yield pa.RecordBatch.from_arrays([pa.array(total) if n == out else batch.column(n) for n in names], names=names)
+            lot.append(batch)
+            n += batch.num_rows
+            if n >= LOT_ROWS:
+                yield from scored(lot)
+                lot, n = [], 0
+        if n:
+            yield from scored(lot)
 
     return rows.mapInArrow(run, df.schema)

@@ -17,6 +17,12 @@ are drawn by a hash of tree and path. The subtrees stay in a written table
 trees at a time as fit a pass. ``grow`` brings all nodes to the driver, for a
 few trees; they are bounded by ``MAX_NODES``, beyond which it stops with an
 error that names the settings to change.
+
+A table with at most ``LOCAL_ROWS`` distinct codes sends no rows: tasks add up
+how often each of the codes is in each sample, and a task grows whole trees
+from these sums, however many rows are in them. With a tree goes its vote on
+each of the codes, a bit each (``Told``), so that the table's own rows need not
+walk down the trees again.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propensity.operators.models import binned
-from propensity.operators.models.binned import Block, Table, parallelism
+from propensity.operators.models.binned import Block, Codes, Table, marks_of, mix, parallelism
 from propensity.session import written
 
 LOCAL_ROWS = 1_500_000
@@ -40,21 +46,15 @@ JOB_CELLS = 2_000_000
 TASK_CELLS = 1 << 20
 #: Cells of rows x features that a histogram counts at once.
 COUNT_CELLS = 1 << 20
+#: Counts below this, and those of class 1 as often again, are exact in one float.
+PACKED = 2.0 ** 26
 #: Levels that rows go down before those at their leaves are set aside.
 STRIDE = 4
 MAX_NODES = 50_000_000
-
-_C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix(x) -> np.ndarray:
-    """A 64-bit hash of integers."""
-    with np.errstate(over="ignore"):
-        x = np.asarray(x, dtype=np.uint64) + _C1
-        x = (x ^ (x >> np.uint64(30))) * _C2
-        x = (x ^ (x >> np.uint64(27))) * _C3
-        return x ^ (x >> np.uint64(31))
-
+#: Samples x rows that a task adds up by their codes before it sends the sums.
+LOT_CELLS = 64 << 20
+#: Samples x codes x classes that a task holds while it adds up what was sent to it.
+GROUP_CELLS = 16 << 20
 
 def child_hash(parent: np.ndarray, side: int) -> np.ndarray:
     return mix(parent ^ np.uint64(0x5851F42D4C957F2D + side))
@@ -155,6 +155,20 @@ class Lean:
         return out
 
 
+class Told:
+    """The votes of some trees on each of a table's distinct codes: codes x trees, a bit each."""
+
+    def __init__(self, codes: Codes, bits: np.ndarray, trees: int):
+        self.marks, self.bits, self.trees = codes.marks, bits, trees
+
+    def __len__(self) -> int:
+        return self.trees
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """trees x rows: the votes on rows of codes."""
+        return np.unpackbits(self.bits[np.searchsorted(self.marks, marks_of(x))], axis=1, count=self.trees).T
+
+
 def features_of(hashes: np.ndarray, p: int, mtry: int | None) -> np.ndarray:
     """nodes x mtry features, ascending."""
     if mtry is None or mtry >= p:
@@ -198,10 +212,17 @@ def histograms(codes: np.ndarray, at: np.ndarray, total: np.ndarray, ones: np.nd
     slots, cells = codes.shape[1], nodes * codes.shape[1] * width
     sums = np.zeros((2, cells))
     step = max(1, COUNT_CELLS // max(slots, 1))
+    both = total.sum() < PACKED                                # both counts in one exact number
     for a in range(0, len(codes), step):
         cell = ((at[a:a + step, None] * slots + np.arange(slots)) * width + codes[a:a + step]).ravel()
-        for k, count in enumerate((total, ones)):
-            sums[k] += np.bincount(cell, np.repeat(count[a:a + step], slots), cells)
+        if both:
+            sums[0] += np.bincount(cell, np.repeat(total[a:a + step] + PACKED * ones[a:a + step], slots), cells)
+        else:
+            for k, count in enumerate((total, ones)):
+                sums[k] += np.bincount(cell, np.repeat(count[a:a + step], slots), cells)
+    if both:
+        sums[1] = np.floor(sums[0] / PACKED)
+        sums[0] -= PACKED * sums[1]
     h, h1 = sums.reshape(2, nodes, slots, width)
     return h - h1, h1
 
@@ -214,11 +235,7 @@ def merged(x: np.ndarray, y: np.ndarray, m: np.ndarray):
     ones = m * y[rows]
     if not len(rows) or not x.shape[1]:
         return x, m, ones
-    mark = np.zeros(len(x), dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for j, factor in enumerate(mix(np.arange(x.shape[1]))):
-            mark += x[:, j] * (factor | np.uint64(1))
-    order = np.argsort(mark, kind="stable")
+    order = np.argsort(marks_of(x), kind="stable")
     x = x[order]
     first = np.concatenate([[0], 1 + np.flatnonzero((x[1:] != x[:-1]).any(axis=1))])
     return x[first], np.add.reduceat(m[order], first), np.add.reduceat(ones[order], first)
@@ -231,7 +248,7 @@ def grow_here(x: np.ndarray, y: np.ndarray, m: np.ndarray, root: np.uint64, dept
 
 def grow_merged(x: np.ndarray, total: np.ndarray, ones: np.ndarray, root: np.uint64, depth: int, rules: Rules, width: int):
     """``grow_here`` from the distinct codes and their counts."""
-    p = x.shape[1]
+    p, flat = x.shape[1], np.ascontiguousarray(x).ravel()
     out: list[list[np.ndarray]] = [[], [], [], [], [], []]
     rows = np.arange(len(x))
     node = np.zeros(len(rows), dtype=np.int64)
@@ -246,17 +263,20 @@ def grow_merged(x: np.ndarray, total: np.ndarray, ones: np.ndarray, root: np.uin
         if len(may):
             rank = np.full(len(hashes), -1, dtype=np.int64)
             rank[may] = np.arange(len(may))
-            used = rank[node] >= 0
-            rows, node = rows[used], rank[node[used]]
-            order = np.argsort(node, kind="stable")
-            rows, node = rows[order], node[order]
-            chosen = features_of(hashes[may], p, rules.mtry)
+            if len(may) < len(hashes):
+                node = rank.take(node)
+                used = np.flatnonzero(node >= 0)
+                rows, node = rows.take(used), node.take(used)
+            chosen = np.ascontiguousarray(features_of(hashes[may], p, rules.mtry))
             step = max(1, TASK_CELLS // (chosen.shape[1] * width))
+            if len(may) > step:
+                order = np.argsort(node, kind="stable")
+                rows, node = rows.take(order), node.take(order)
             for a in range(0, len(may), step):
                 b = min(a + step, len(may))
-                i, j = np.searchsorted(node, (a, b))
+                i, j = np.searchsorted(node, (a, b)) if len(may) > step else (0, len(node))
                 own, at = rows[i:j], node[i:j] - a
-                codes = np.take_along_axis(x[own], chosen[a:b][at], axis=1)
+                codes = flat.take((own * p)[:, None] + chosen.take(at + a, axis=0)) if p else x[own]
                 slot, c, found, _, _ = best_splits(*histograms(codes, at, total[own], ones[own], b - a, width), rules)
                 hit = may[a:b][found]
                 feature[hit] = chosen[a:b][found, slot[found]]
@@ -264,10 +284,11 @@ def grow_merged(x: np.ndarray, total: np.ndarray, ones: np.ndarray, root: np.uin
             split = feature[may] >= 0
             place = np.cumsum(split) - 1
             left[may[split]] = below + 2 * place[split]
-            kept = split[node]
-            rows, node = rows[kept], node[kept]
-            f, c = feature[may][node], cut[may][node]
-            node = 2 * place[node] + (x[rows, f] > c)
+            if not split.all():
+                kept = np.flatnonzero(split.take(node))
+                rows, node = rows.take(kept), node.take(kept)
+            f, c = feature[may].take(node), cut[may].take(node)
+            node = 2 * place.take(node) + (flat.take(rows * p + f) > c if p else False)
             parents = hashes[may[split]]
             hashes = np.stack([child_hash(parents, 0), child_hash(parents, 1)], axis=1).ravel()
             below += len(hashes)
@@ -342,18 +363,20 @@ class StoredTrees:
 
     A subtree's node 0 is the node of the top that it hangs on. ``shift`` is the
     number of the first tree in the table; ``sizes`` are the trees' nodes.
+    ``codes`` are those whose votes the table holds, if it does.
     """
 
     tops: list[Trees]
     subtrees: DataFrame | None
     sizes: np.ndarray
     shift: int = 0
+    codes: Codes | None = None
 
     def __len__(self) -> int:
         return len(self.tops)
 
     def view(self, start: int, stop: int) -> "StoredTrees":
-        return StoredTrees(self.tops[start:stop], self.subtrees, self.sizes[start:stop], self.shift + start)
+        return StoredTrees(self.tops[start:stop], self.subtrees, self.sizes[start:stop], self.shift + start, self.codes)
 
     def _read(self, start: int, stop: int, columns: Sequence[str]) -> list[list[np.ndarray]]:
         """The node arrays of some trees, each tree numbered from 0, and their lengths."""
@@ -395,6 +418,23 @@ class StoredTrees:
         for start, stop in zip(starts, [*starts[1:], len(self)]):
             yield start, Lean(*(lambda roots, a: (roots, *a))(*self._joined(start, stop, ["feature", "cut", "left", "vote"])))
 
+    def told(self) -> Iterator[tuple[int, Told]]:
+        """(number of the first tree, the votes of a pass of trees on each of ``codes``); a pass is bounded unless it is one byte a code."""
+        n, wide = len(self.codes), -(-len(self.codes) // 8)
+        step = 8 * max(1, binned.PASS_BYTES // max(n, 1))
+        for start in range(0, len(self), step):
+            stop = min(start + step, len(self))
+            votes = np.stack([np.full(wide, 255 * int(top.votes_of()[0]), np.uint8) for top in self.tops[start:stop]])
+            if self.subtrees is not None:
+                own = self.subtrees.where(F.col("tree").between(self.shift + start, self.shift + stop - 1))
+                for batch in own.select("tree", "told").toArrow().to_batches():
+                    for i, tree in enumerate(batch.column("tree").to_pylist()):
+                        votes[tree - self.shift - start] = np.frombuffer(batch.column("told")[i].as_buffer(), np.uint8)
+            bits = np.empty((8 * wide, -(-(stop - start) // 8)), np.uint8)
+            for a in range(0, wide, 1024):
+                bits[8 * a:8 * (a + 1024)] = np.packbits(np.unpackbits(votes[:, a:a + 1024], axis=1).T, axis=1)
+            yield start, Told(self.codes, bits[:n], stop - start)
+
     def whole(self) -> Trees:
         """All nodes on the driver."""
         if self.sizes.sum() > MAX_NODES:
@@ -416,7 +456,8 @@ def grow_stored(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int
         t = _Growing(sample, rules, seed)
         t.add(*totals[sample], mix(seed)[()], 0)
         trees.append(t)
-    while True:
+    codes = table.distinct(local_rows)
+    while codes is None:
         wide = [(i, node) for i, t in enumerate(trees) for node in t.open if t.n0[node] + t.n1[node] > local_rows]
         if not wide:
             break
@@ -424,12 +465,12 @@ def grow_stored(table: Table, draws: Draws, plan: Sequence[tuple[int, Rules, int
         step = max(1, JOB_CELLS // cells)
         for a in range(0, len(wide), step):
             _split_wide(table, draws, trees, wide[a:a + step])
-    subtrees = _finish(table, draws, trees)
+    subtrees = _finish(table, draws, trees) if codes is None else _from_codes(table, codes, draws, trees)
     sizes = np.array([len(t.feature) for t in trees], dtype=np.int64)
     if subtrees is not None:
         for r in subtrees.groupBy("tree").agg(F.sum(F.length("tie") - 1).alias("n")).collect():       # a byte a node
             sizes[r["tree"]] += r["n"]
-    return StoredTrees([t.top() for t in trees], subtrees, sizes)
+    return StoredTrees([t.top() for t in trees], subtrees, sizes, codes=codes)
 
 
 def _split_wide(table: Table, draws: Draws, trees: list[_Growing], wide: list[tuple[int, int]]) -> None:
@@ -535,14 +576,87 @@ def _finish(table: Table, draws: Draws, trees: list[_Growing]) -> DataFrame | No
         m = np.concatenate([np.frombuffer(v, np.int32) for v in t.column("m").to_pylist()])
         group, rows = t.column("grp")[0].as_py(), merged(x, y, m)
         del t, x, y, m
-        out = []
-        for i, node, h, depth, rules in jobs[group]:
-            tree = Trees(np.zeros(1, np.int64), *grow_merged(*rows, h, depth, rules, width))
-            arrays = {c: tree.votes_of() if c == "vote" else getattr(tree, c) for c in _STORED}
-            out.append((i, node, *[arrays[c].astype(k).tobytes() for c, k in _STORED.items()]))
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * len(_STORED)]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_SUBTREE)
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(_stored(
+            i, node, Trees(np.zeros(1, np.int64), *grow_merged(*rows, h, depth, rules, width))), names=_SUBTREE)
+            for i, node, h, depth, rules in jobs[group]])
 
     sent = table.map(send, "grp int, block int, x binary, y binary, m binary")
     dealt = sent.repartition(parallelism(sent, len(members), 4), "grp")
     return written(dealt.groupBy("grp").applyInArrow(finish, SUBTREE_SCHEMA), "subtrees")
+
+
+def _stored(i: int, node: int, tree: Trees) -> list[pa.Array]:
+    """The row of a subtree in the written table, as arrays of one value."""
+    arrays = {c: tree.votes_of() if c == "vote" else getattr(tree, c) for c in _STORED}
+    return [pa.array([i], pa.int32()), pa.array([node], pa.int32()),
+            *[pa.array([arrays[c].astype(k).tobytes()], pa.binary()) for c, k in _STORED.items()]]
+
+
+def _from_codes(table: Table, codes: Codes, draws: Draws, trees: list[_Growing]) -> DataFrame | None:
+    """Whole trees, each grown by a task from the counts of the distinct codes in its sample, with its votes on all of them.
+
+    A task adds up its blocks by code for all samples and sends the sums to groups of samples; of a group's trees
+    those that share a sample share its sums.
+    """
+    jobs: dict[int, list[tuple]] = {}
+    for i, t in enumerate(trees):
+        for node, (h, depth) in t.open.items():
+            jobs.setdefault(t.sample, []).append((i, node, h, depth, t.rules))
+    if not jobs:
+        return None
+    samples, n, width = sorted(jobs), len(codes), table.bins.width
+    step = min(-(-len(samples) // parallelism(table.blocks, len(samples), 4)), max(1, GROUP_CELLS // (2 * n)))
+    groups = [samples[a:a + step] for a in range(0, len(samples), step)]
+    lot_rows = max(1, LOT_CELLS // len(samples))
+
+    def added(cells: list[np.ndarray], counts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cell = np.concatenate(cells)
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        first = np.concatenate([[0], 1 + np.flatnonzero(cell[1:] != cell[:-1])])
+        m, at = np.concatenate(counts, axis=1), 0
+        for g, group in enumerate(groups):
+            sums = np.add.reduceat(m[at:at + len(group)][:, order], first, axis=1, dtype=np.int32)
+            at += len(group)
+            sums = sums.astype(np.uint8) if sums.max() < 256 else sums
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([cell[first].astype(np.int32).tobytes()], pa.binary()),
+                                              pa.array([sums.tobytes()], pa.binary())], names=["grp", "cells", "m"])
+
+    def send(blocks):
+        cells, counts, rows = [], [], 0
+        for block in blocks:
+            m = draws.counts(block)[samples]
+            cells.append(2 * codes.find(block.x) + block.y)
+            counts.append(m.astype(np.uint8) if m.size and m.max() < 256 else m)
+            rows += len(block.y)
+            if rows >= lot_rows:
+                yield from added(cells, counts)
+                cells, counts, rows = [], [], 0
+        if rows:
+            yield from added(cells, counts)
+
+    def finish(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                g, cells = batch.column("grp")[i].as_py(), np.frombuffer(batch.column("cells")[i].as_buffer(), np.int32)
+                m, size = batch.column("m")[i].as_buffer(), len(groups[g])
+                m = np.frombuffer(m, np.uint8 if m.size == size * len(cells) else np.int32).reshape(size, -1)
+                if g not in held:
+                    held[g] = np.zeros((size, 2 * n), np.int32)
+                for sums, more in zip(held[g], m):
+                    sums[cells] += more
+        for g in list(held):
+            for sample, sums in zip(groups[g], held.pop(g).reshape(-1, n, 2)):
+                total = sums.sum(axis=1)
+                used = np.flatnonzero(total)
+                x, total, ones = codes.x[used], total[used].astype(float), sums[used, 1].astype(float)
+                for i, node, h, depth, rules in jobs[sample]:
+                    tree = Trees(np.zeros(1, np.int64), *grow_merged(x, total, ones, h, depth, rules, width))
+                    lean = tree.lean()
+                    told = np.packbits(lean.value.take(lean.leaf(codes.x, 0)))
+                    yield pa.RecordBatch.from_arrays([*_stored(i, node, tree), pa.array([told.tobytes()], pa.binary())], names=[*_SUBTREE, "told"])
+
+    sent = table.map_task(send, "grp int, cells binary, m binary")
+    dealt = sent.repartitionById(len(groups), "grp")
+    return written(dealt.mapInArrow(finish, f"{SUBTREE_SCHEMA}, told binary"), "subtrees")

@@ -255,3 +255,59 @@ def test_a_saved_forest_is_a_row_per_subtree(spark, forest, tmp_path):
     assert saved.count() == saved.select("tree").distinct().count() == len(forest.nodes)
     longest = saved.selectExpr("max(length(feature)) AS n").first()["n"]
     assert longest == 2 * forest.nodes.sizes.max() < forest.nodes.sizes.sum() // 10
+
+
+@pytest.fixture(scope="module")
+def coarse(spark):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, size=(1500, 3))
+    y = rng.random(1500) < 0.15 + 0.2 * (x[:, 0] > 1) + 0.1 * x[:, 2]
+    df = spark.createDataFrame([(i, float(y[i]), *map(float, x[i])) for i in range(1500)], "id long, label double, a double, b double, c double")
+    return BG.binned_table(df, ["a", "b", "c"], "id", block_rows=200)
+
+
+def test_many_rows_of_few_codes_grow_without_sending_rows(coarse, monkeypatch):
+    x = np.concatenate([b.x for b in blocks_of(coarse)])
+    monkeypatch.setattr(BN.Table, "distinct", lambda self, most: None)
+    want = BG.fit_forest(coarse, 7, seed=5).trees
+    monkeypatch.undo()
+    for name in ("_finish", "_split_wide"):
+        monkeypatch.setattr(GR, name, lambda *a: pytest.fail("rows were sent"))
+    monkeypatch.setattr(GR, "LOT_CELLS", 7 * 300)               # several sums a task
+    monkeypatch.setattr(GR, "GROUP_CELLS", 2 * 64 * 3)          # several groups of trees
+    got = BG.fit_forest(coarse, 7, seed=5, local_rows=64)
+    for t in range(7):
+        i, j = got.trees.leaf(x, t), want.leaf(x, t)
+        assert (got.trees.n0[i] == want.n0[j]).all() and (got.trees.n1[i] == want.n1[j]).all() and (got.trees.tie[i] == want.tie[j]).all()
+    assert BG.fit_forest(coarse, 3, seed=5).nodes.codes is coarse.distinct(64) and coarse.distinct(63) is None
+
+
+def test_votes_by_code_are_those_of_a_walk(coarse, monkeypatch):
+    forest = BG.fit_forest(coarse, 21, seed=6)
+    monkeypatch.setattr(BN, "PASS_BYTES", 64)                   # eight trees a pass
+    assert [(first, len(told)) for first, told in BG.voters(coarse, forest)] == [(0, 8), (8, 8), (16, 5)]
+    by_code = [sorted(BG.oob_votes(coarse, [forest]).collect()), BG.oob_error_path(coarse, forest).collect()]
+    monkeypatch.undo()
+    forest.nodes.codes = None
+    assert all(isinstance(grown, GR.Lean) for _, grown in BG.voters(coarse, forest))
+    assert by_code == [sorted(BG.oob_votes(coarse, [forest]).collect()), BG.oob_error_path(coarse, forest).collect()]
+
+
+def test_distinct_codes_are_found_whatever_their_hash(coarse, monkeypatch):
+    codes = coarse.distinct(64)
+    x = np.concatenate([b.x for b in blocks_of(coarse)])
+    assert len(codes) == len(np.unique(x, axis=0)) and (codes.x[codes.find(x)] == x).all()
+    monkeypatch.setattr(BN, "marks_of", lambda x: (x.sum(axis=1) % 2).astype(np.uint64))
+    assert len(np.unique(BN.distinct_rows(x), axis=0)) == len(codes) and coarse._find_distinct(10_000) is None
+
+
+def test_counts_in_one_number_are_exact():
+    rng = np.random.default_rng(1)
+    codes, at = rng.integers(0, 5, (300, 2)), rng.integers(0, 3, 300)
+    for most in (100, 10 ** 6):                                 # in one number, and one by one
+        total = rng.integers(1, most, 300).astype(float)
+        ones = np.floor(total * rng.random(300))
+        h0, h1 = GR.histograms(codes, at, total, ones, 3, 5)
+        for k, s, b in np.ndindex(3, 2, 5):
+            own = (at == k) & (codes[:, s] == b)
+            assert (h0[k, s, b], h1[k, s, b]) == ((total - ones)[own].sum(), ones[own].sum())
