@@ -45,6 +45,8 @@ SAVE_ROUNDS = 20
 LOCAL_ROWS = 100_000
 #: Trees of at most so many levels keep the small nodes of a wide tree with the others: no rows are sent.
 SPREAD_DEPTH = 8
+#: Cells that the tasks of a round may send to the driver as they are (28 bytes each); more are added up by Spark.
+DRIVER_CELLS = 500_000
 #: Blocks that a task holds as columns at once.
 CHUNK_BLOCKS = 32
 #: Levels and nodes up to which a tree is applied to whole columns, split by split.
@@ -336,7 +338,7 @@ class Boosting:
         self.boosters = [Booster(s.params, table.bins) for s in specs]
         self.history: list[list[dict]] = [[] for _ in specs]
         self.active = list(range(len(specs)))
-        self.blocks, self.saved = table.blocks, 0
+        self.blocks, self.saved, self.counted, self.tasks = table.blocks, 0, None, 0
         self.two = np.array([j for j, c in enumerate(table.bins.cuts) if len(c) == 1], np.int64)
 
     @property
@@ -412,6 +414,12 @@ class Boosting:
 
         return of, held
 
+    def _tasks(self) -> int:
+        """Tasks that read the blocks."""
+        if self.counted is not self.blocks:
+            self.counted, self.tasks = self.blocks, self.blocks.rdd.getNumPartitions()
+        return self.tasks
+
     def _sums(self, trees: dict[int, _Tree], first: bool) -> tuple[dict[int, np.ndarray], dict[int, dict]]:
         """Histograms of the wide nodes (booster: (g, h, rows) x nodes x features x bins, of the features drawn for the round),
         and held-out measures if ``first``."""
@@ -450,14 +458,16 @@ class Boosting:
                         pa.array(np.full(len(cells), kind, np.int32)), pa.array(np.full(len(cells), k, np.int32)),
                         pa.array(cells.astype(np.int32)), *[pa.array(v[cells]) for v in s]], names=["kind", "k", "cell", "a", "b", "c"])
 
-        got = self._map(run, "kind int, k int, cell int, a long, b long, c long").groupBy("kind", "k", "cell").agg(
-            *[F.sum(c).alias(c) for c in "abc"]).toArrow()
+        sent = self._map(run, "kind int, k int, cell int, a long, b long, c long")
+        if self._tasks() * (sum(nodes.values()) * p * width + len(held) * (SCORE_BINS + 1)) > DRIVER_CELLS:
+            sent = sent.groupBy("kind", "k", "cell").agg(*[F.sum(c).alias(c) for c in "abc"])
+        got = sent.toArrow()                                    # few cells from few tasks are added up here, without a shuffle
         kind, k_, cell, *sums = (got.column(c).to_numpy() for c in ("kind", "k", "cell", *"abc"))
 
         def of_one(which: int, k: int, size: int) -> np.ndarray:
             flat, rows = np.zeros((3, size), np.int64), (kind == which) & (k_ == k)
             for i in range(3):
-                flat[i, cell[rows]] = sums[i][rows]
+                np.add.at(flat[i], cell[rows], sums[i][rows])
             return flat
 
         out = {k: t.whole(of_one(0, k, nodes[k] * p * width).reshape(3, -1, p, width)) for k, t in trees.items()}

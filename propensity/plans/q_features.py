@@ -18,9 +18,10 @@ V_SPEC = PrepSpec(numeric=FX.V_NUMERIC, lump=["nation"], onehot=["segment", "wee
 V_CATS = ["nation", "segment", "weekend"]
 
 
-def visit_artifact(spark, base, spec: PrepSpec = V_SPEC):
-    """Visits and the artifact fitted on their train rows (cached only while the fit reads them twice)."""
-    v = visit_key(FX.visits(spark, base))
+def visit_artifact(spark, base, spec: PrepSpec = V_SPEC, visits=None):
+    """Visits (``visits``, if a query has them already) and the artifact fitted on their train rows (cached only while
+    the fit reads them twice)."""
+    v = visit_key(FX.visits(spark, base)) if visits is None else visits
     train = v.where(F.col("period") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     art = fit_artifact(train, spec)
     train.unpersist()

@@ -223,3 +223,18 @@ def test_small_nodes_of_a_wide_tree_send_no_rows_and_siblings_are_summed_once(pl
             want = BO._margin_of(np.zeros(len(x)), x, [s])
             assert (want == BO._margin_of(np.zeros(len(x)), x, [t])).all() and (want == BO._margin_of(np.zeros(len(x)), x, [u])).all()
     assert here.history == spread.history == mixed.history
+
+
+def test_few_sums_are_added_up_without_a_shuffle_and_give_the_same_trees(table, monkeypatch):
+    p, plans = BO.Params(max_depth=3, eta=0.3), []
+    run = BO.Boosting._map
+    def spied(self, *a):
+        plans.append(self._tasks())
+        return run(self, *a)
+    monkeypatch.setattr(BO.Boosting, "_map", spied)
+    here = BO.fit_booster(table, p, 3)
+    monkeypatch.setattr(BO, "DRIVER_CELLS", 0)
+    spread = BO.fit_booster(table, p, 3)
+    assert min(plans) >= 1
+    for a, b in zip(here.trees, spread.trees):
+        assert all((np.asarray(x) == np.asarray(y)).all() for x, y in zip(a, b))

@@ -202,6 +202,30 @@ def test_six_models_from_saved_packets(spark, tmp_path, monkeypatch):
     assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in want) < 1e-8
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scores_that_queries_return_are_not_computed_again(spark, monkeypatch):
+    """However often a caller reads the scores, the models score once: the result is a table, the visits are built once."""
+    from propensity.plans import fixtures as FX
+    from propensity.plans import q_models as Q
+    from tests.conftest import SMALL
+    monkeypatch.setattr(Q, "N_TREES", 6)
+    monkeypatch.setattr(Q, "LR_LAMBDAS", 6)
+    built, visits = [], FX.visits
+    monkeypatch.setattr(FX, "visits", lambda *a: built.append(1) or visits(*a))
+    got = Q.score_all_models(spark, SMALL)
+    assert len(built) == 1 and "MapInArrow" not in plan_of(got)
+    assert sorted(r["model"] for r in got.groupBy("model").count().collect()) == sorted(Q.MODEL_NAMES)
+    built.clear()
+    got = Q.oof_scores(spark, SMALL)
+    assert len(built) == 1 and "MapInArrow" not in plan_of(got) and got.count() == got.select("visit_id").distinct().count()
+    monkeypatch.setattr(Q.BG, "forest_search", lambda table, n: None)
+    monkeypatch.setattr(Q.BG, "tuned_parameters", lambda search: {"mtry": 2, "nodesize": 5, "ratio": 1.0})
+    built.clear()
+    assert "MapInArrow" not in plan_of(Q.forest_decision(spark, SMALL)) and len(built) == 1
+
 
 def test_warm_screened_path_meets_the_optimality_conditions(spark, planted):
     """At every penalty the slope of a non-zero coefficient equals its penalty, and no zero one has more."""
