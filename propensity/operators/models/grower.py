@@ -137,11 +137,27 @@ class Lean:
     def __len__(self) -> int:
         return len(self.roots)
 
-    def leaf(self, x: np.ndarray, tree: int, rows: np.ndarray | None = None) -> np.ndarray:
-        """The leaf of each of the ``rows`` (default: all) of codes in one tree."""
+    def first_tests(self, tree: int) -> tuple[int, np.ndarray]:
+        """The tree's first node, and nodes x features: the first node above each that tests the feature (-1: none does)."""
+        a = int(self.roots[tree])
+        b = int(self.roots[tree + 1]) if tree + 1 < len(self) else len(self.feature)
+        own = self.feature[a:b].astype(np.int64)
+        out = np.full((b - a, int(self.feature.max(initial=0)) + 1), -1, dtype=np.int64)
+        at = np.flatnonzero(own[:1] >= 0)
+        while len(at):
+            f, row = own[at], out[at]
+            row[np.arange(len(at)), f] = np.where(row[np.arange(len(at)), f] < 0, a + at, row[np.arange(len(at)), f])
+            left = self.left[a + at].astype(np.int64) - a
+            out[left] = out[left + 1] = row
+            at = np.concatenate([left, left + 1])
+            at = at[own[at] >= 0]
+        return a, out
+
+    def leaf(self, x: np.ndarray, tree: int, rows: np.ndarray | None = None, start: np.ndarray | None = None) -> np.ndarray:
+        """The leaf of each of the ``rows`` (default: all) of codes in one tree, from the root or each from a node of its own."""
         flat = np.ascontiguousarray(x).ravel()
         base = (np.arange(len(x)) if rows is None else rows) * x.shape[1]
-        at = np.full(len(base), self.roots[tree], dtype=np.int64)
+        at = np.full(len(base), self.roots[tree], dtype=np.int64) if start is None else start
         out, place = at, np.arange(len(at))
         while len(place):
             for _ in range(STRIDE):

@@ -311,3 +311,44 @@ def test_counts_in_one_number_are_exact():
         for k, s, b in np.ndindex(3, 2, 5):
             own = (at == k) & (codes[:, s] == b)
             assert (h0[k, s, b], h1[k, s, b]) == ((total - ones)[own].sum(), ones[own].sum())
+
+
+def test_a_changed_row_goes_down_from_the_first_node_that_asks_for_the_feature():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 6, (400, 4)).astype(np.uint8), rng.integers(0, 2, 400).astype(np.uint8)
+    parts = [GR.Trees(np.zeros(1, np.int64), *GR.grow_here(x, y, rng.integers(0, 3, 400), GR.mix(s)[()], 0, GR.Rules(mtry=2), 6)) for s in (1, 2)]
+    both = GR.Trees(np.array([0, len(parts[0].feature)]), *(np.concatenate([getattr(parts[0], c), getattr(parts[1], c) + (
+        len(parts[0].feature) if c == "left" else 0)]) for c in ("feature", "cut", "left", "n0", "n1", "tie"))).lean()
+    for t in range(2):
+        leaf = both.leaf(x, t)
+        root, tests = both.first_tests(t)
+        for f in range(4):
+            other = x.copy()
+            other[:, f] = rng.permutation(x[:, f])
+            end, start = both.leaf(other, t), tests[leaf - root, f]
+            assert (end[start < 0] == leaf[start < 0]).all()
+            went = both.leaf(other[start >= 0], t, start=start[start >= 0])
+            assert (went == end[start >= 0]).all() and (both.feature[start[start >= 0]] == f).all()
+        assert (tests > root).any()
+
+
+def test_importance_equals_one_row_block_and_feature_at_a_time(table, forest, monkeypatch):
+    few = BG.Forest(forest.nodes.view(3, 8), forest.bins, BG.BalancedDraws(5, forest.draws.sizes, forest.draws.seed, forest.draws.block_rows))
+    told, lost = few.trees.votes_of(), np.zeros((5, len(FEATS)))
+    seen = np.zeros(5)
+    for b in blocks_of(table):
+        counts = few.draws.counts(b)
+        for t in range(5):
+            a, e = few.trees.roots[t], [*few.trees.roots[1:], len(few.trees.feature)][t]
+            rows = np.flatnonzero(counts[t] == 0)
+            right = (told[few.trees.leaf(b.x[rows], t)] == b.y[rows]).sum()
+            seen[t] += len(rows)
+            rng = np.random.Generator(np.random.PCG64([7, b.number, t]))
+            for f in np.unique(few.trees.feature[a:e][few.trees.feature[a:e] >= 0]):
+                other = b.x[rows]
+                other[:, f] = other[rng.permutation(len(rows)), f]
+                lost[t, f] += right - (told[few.trees.leaf(other, t)] == b.y[rows]).sum()
+    want = dict(zip(FEATS, (lost / seen[:, None]).mean(axis=0)))
+    monkeypatch.setattr(BG, "LOT_ROWS", 700)
+    got = {r["feature"]: r["raw"] for r in BG.oob_importance(table, few, seed=7).collect()}
+    assert got == pytest.approx(want, abs=1e-12)
